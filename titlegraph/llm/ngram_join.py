@@ -8,9 +8,10 @@ share a token among the first n - ceil(0.75 n) + 1 of each, under any global ord
    components, into which large groups of near copies collapse.
 2. Tokens that many documents share are found among the documents of crowded stars and moved to the end of all orders.
 3. Prefixes under the first order are packed by token. Only tokens whose documents lie in different components go on:
-   components need no links within. Their pairs, with size and position filters, are the first candidates.
+   components need no links within. Their pairs, with size and position filters, are the first candidates. Parity
+   signatures, a lower bound of two sets' difference, take out most pairs that share little else.
 4. Prefixes of the candidates' documents under a second order give pairs in the same way; only pairs that both orders
-   found stay. A parity signature, a lower bound of the difference, filters the rest before exact verification.
+   found are verified exactly.
 5. Components of all verified links.
 
 Sets of ids or tokens reach the scans as bitmaps of a fixed size, which let some others through; an exact join follows.
@@ -28,14 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, cut, drop, parts, utf8
+from .common import LOWER_TABLE, cut, drop, parts, small, utf8
 from .graph import components
 
 SHINGLE = 5
 #: Jaccard threshold as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
-STARS = 4
-SIGNATURE = 1024  # bits
+STARS = 2
 #: Bits of a bitmap that is broadcast (2 MB).
 BITMAP = 1 << 24
 #: A star of more classes is crowded; a token in more documents of such stars goes last in all orders.
@@ -81,21 +81,26 @@ def needed(n1, n2):
     return np.ceil((n1 + n2) * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
 
 
-def prefix(tokens: np.ndarray, order: int, late: np.ndarray | None) -> np.ndarray:
+def prefix(tokens: np.ndarray, order: int, late: np.ndarray) -> np.ndarray:
     """The first tokens under an order: those in the bitmap `late` go last."""
-    size = prefix_size(len(tokens))
-    key = _mix(tokens, order)
-    if late is not None:
-        last = _has(late, tokens)
-        rank = np.lexsort((key, last))
-    else:
-        rank = np.argsort(key)
-    return tokens[rank[:size]]
+    key = _mix(tokens, order) >> np.uint64(1) | _has(late, tokens).astype(np.uint64) << np.uint64(63)
+    return tokens[np.argsort(key)[: prefix_size(len(tokens))]]
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Parities of the tokens in each of SIGNATURE bins: sets differ in as many tokens, at least, as parities."""
-    return np.packbits((np.bincount((tokens % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE) & 1).astype(np.uint8)).tobytes()
+    """Parities of the tokens in each of at least as many bins, a power of two: they differ no more than the sets do."""
+    bins = 1 << max(6, len(tokens).bit_length())
+    return np.packbits((np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1).astype(np.uint8)).tobytes()
+
+
+def parities_apart(x: bytes, y: bytes) -> int:
+    """How many parities of two signatures differ; the longer one is folded to the shorter's bins."""
+    x, y = sorted((x, y), key=len)
+    a, b, size = int.from_bytes(x), int.from_bytes(y), len(y)
+    while size > len(x):
+        size //= 2
+        b = (b >> 8 * size) ^ (b & (1 << 8 * size) - 1)
+    return (a ^ b).bit_count()
 
 
 def bitmap(values: DataFrame, bits: int = BITMAP) -> np.ndarray:
@@ -145,40 +150,40 @@ class Join:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = _WordHashes()
-            for b in batches:
+            for b in small(batches):
                 ids = np.asarray(b.column(0))
-                pick = np.arange(len(ids))
+                pick = np.full(len(ids), True)
                 if only is not None:
-                    pick = pick[_has(only.value, _hashed(ids))]
+                    pick &= _has(only.value, _hashed(ids))
                 if without is not None:
-                    pick = pick[~_has(without.value, _hashed(ids))]
-                texts = b.column(1).take(pa.array(pick)).to_pylist()
+                    pick &= ~_has(without.value, _hashed(ids))
+                texts = b.column(1).filter(pa.array(pick)).to_pylist()
                 rows = [r for d, t in zip(ids[pick].tolist(), texts, strict=True) if (r := make(d, shingles(t, known))) is not None]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(types)], names=names)
 
         return self.docs.mapInArrow(run, schema)
 
-    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The links (a, b) among pairs of class ids."""
+    def possible(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs (a, b) of class ids whose sizes and signatures leave a link possible; written out."""
         sig = classes.select("id", "n", "sig")
         both = pairs.join(sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
 
         def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                if b.num_rows:
-                    na, nb = np.asarray(b.column(2)), np.asarray(b.column(3))
-                    x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(b.num_rows, -1) for i in (4, 5))
-                    apart = np.bitwise_count(x ^ y).sum(1)
-                    b = b.select([0, 1]).filter(pa.array((apart <= na + nb - 2 * needed(na, nb)) & (np.minimum(na, nb) >= needed(na, nb))))
-                    yield b
-
-        left = cut(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(may, "a long, b long"), "pairs")
+                na, nb = np.asarray(b.column(2)).astype(np.int64), np.asarray(b.column(3)).astype(np.int64)
+                apart = np.fromiter(map(parities_apart, b.column(4).to_pylist(), b.column(5).to_pylist()), np.int64, b.num_rows)
+                yield b.select([0, 1]).filter(pa.array((apart <= na + nb - 2 * needed(na, nb)) & (np.minimum(na, nb) >= needed(na, nb))))
+
+        return cut(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(may, "a long, b long"), "pairs")
+
+    def verified(self, left: DataFrame) -> DataFrame:
+        """The links (a, b) among pairs of class ids."""
         ids = left.select("a").union(left.select(F.col("b").alias("a"))).distinct()
-        sets = self.scan(lambda d, t: (d, t.tobytes()) if len(t) else None, "a long, set binary", only=self.ids_bitmap(ids)).join(ids, "a", "left_semi").dropDuplicates(["a"])
+        sets = cut(self.scan(lambda d, t: (d, t.tobytes()) if len(t) else None, "a long, set binary", only=self.ids_bitmap(ids)), "sets")
         full = left.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("set").alias("other")), "b")
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in small(batches):
                 ok = []
                 for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -206,7 +211,7 @@ class Join:
         centres = stars.groupBy("i", "token", "band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("size"))
         centres = cut(centres, "stars")
         tried = stars.select("i", "token", F.col("id").alias("b"), F.explode(F.array("band", F.col("band") - 1)).alias("band")).join(centres, ["i", "token", "band"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = self.verified(tried, classes)
+        links = self.verified(self.possible(tried, classes))
         first = cut(components(links), "first-components")
         # 2. tokens that go last
         crowded = centres.groupBy("i", "token").agg(F.sum("size").alias("size")).where(F.col("size") > CROWDED)
@@ -223,7 +228,7 @@ class Join:
         rest = self.scan(make(1), "id long, n int, prefix binary", only=known).join(own, "id").select("id", "comp", "n", "prefix")
         prefixes = cut(alone.union(rest), "prefixes")
         cross = self.send(self.crossing(prefixes))
-        pairs = cut(self.posted(self.postings(prefixes, cross)), "candidates")
+        pairs = self.possible(self.posted(self.postings(prefixes, cross)), classes)
         drop(spark, prefixes)
         # 4. and by the second
         ids = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "id")
@@ -231,7 +236,7 @@ class Join:
         second = cut(second.select("id", "comp", "n", "prefix"), "prefixes")
         cross = self.send(self.crossing(second))
         pairs = pairs.join(self.posted(self.postings(second, cross)), ["a", "b"], "left_semi")
-        more = self.verified(pairs, classes)
+        more = self.verified(cut(pairs, "candidates"))
         drop(spark, second)
         # 5.
         last = components(links.union(more))
@@ -250,10 +255,9 @@ class Join:
                 values, counts = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
                 return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=["token", "n"])
 
-            for b in batches:
-                ids = np.asarray(b.column(0))
-                pick = np.flatnonzero(_has(only.value, _hashed(ids)))
-                for t in b.column(1).take(pa.array(pick)).to_pylist():
+            for b in small(batches):
+                pick = pa.array(_has(only.value, _hashed(np.asarray(b.column(0)))))
+                for t in b.column(1).filter(pick).to_pylist():
                     held.append(shingles(t, known))
                     size += len(held[-1])
                     if size > 2_000_000:
