@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, small
 from .pretokens import splitter
 
 #: Pieces in the lexicon; bounds the automaton (about 3 MB) and what the driver gets.
@@ -251,7 +251,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
         def emit():
             yield pa.RecordBatch.from_pydict({"piece": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
-        for b in batches:
+        for b in small(batches):
             for t in b.column(0).to_pylist():
                 if t:
                     seen.update(split(t))
@@ -290,7 +290,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for b in batches:
+        for b in small(batches):
             coder = coder or Coder(tokenizer_path, Lexicon.open(SparkFiles.get(lexicon)))
             sizes, first, second = [], [], []
             for t in b.column(1).to_pylist():

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, utf8, words
+from .common import LOWER_TABLE, small, utf8, words
 
 WINDOW = 10
 #: Symbols of a shard: bounds a task's memory.
@@ -203,7 +203,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
         windows = frame.sparkSession.sparkContext.broadcast(Windows([(r.i, r.t) for r in rows], width))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in small(batches, 2048):
                 own = [words(t) for t in b.column(at).to_pylist()]
                 found = windows.value.scan(own)
                 k = len(keep)

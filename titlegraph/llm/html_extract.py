@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 from .url_filter import canonical
 
 #: A place is boilerplate if its importance is below LOW on at least MIN_PAGES different pages of the host.
@@ -204,7 +204,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
             seen.clear()
             return out
 
-        for b in batches:
+        for b in small(batches):
             for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 root = parse(page or "")
                 text = xxhash.xxh64_intdigest("\n".join(blocks(root)).encode("utf-8", "surrogatepass")) - (1 << 63)
@@ -236,12 +236,12 @@ def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, url_
     poor = cut(tree.where((F.col("pages") >= min_pages) & (F.col("importance") < low)).select("host", "place"), "low-places")
     own = poor.groupBy("host").agg(F.collect_set("place").alias("__low")).withColumnRenamed("host", "__host")  # a host's templates
     rows = pages.select(*keep, F.col(html_col).cast("string").alias("__html"), host.alias("__at"))
-    small = poor.count() <= BROADCAST_ROWS
-    rows = rows.join(F.broadcast(own) if small else own, F.col("__at") == F.col("__host"), "left").select(*keep, "__html", "__low")
+    few = poor.count() <= BROADCAST_ROWS
+    rows = rows.join(F.broadcast(own) if few else own, F.col("__at") == F.col("__host"), "left").select(*keep, "__html", "__low")
     k = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts = ["\n".join(blocks(parse(h or ""), frozenset(p or ()))) for h, p in zip(b.column(k).to_pylist(), b.column(k + 1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=[f"c{i}" for i in range(k + 2)])
 

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 N = 4
 PROBES = 3
 #: An n-gram is a language's own if it makes up at least this share of the language's n-grams, so that a language has at
@@ -123,7 +125,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound
         rows = rows.where(F.pmod(F.xxhash64("t", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * bound / count))
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             own: dict[str, list[str]] = {}
             for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 own.setdefault(lang, []).append(t)
@@ -150,12 +152,8 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
     at, held = keep.index(text_col), docs.sparkSession.sparkContext.broadcast(filters)  # at most 64 / SHARE n-grams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, lang, score = b.column(at).to_pylist(), [], []
-            for i in range(0, len(texts), 256):
-                one, two = held.value.predict(texts[i : i + 256])
-                lang += one
-                score += two.tolist()
+        for b in small(batches, 256):
+            lang, score = held.value.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[f"c{i}" for i in range(len(keep) + 2)])
 
     frame = docs.select(*keep)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import small, utf8
 
 WINDOW = 3
 #: A line of more words than LONG is cut into pieces of PIECE words: three at least.
@@ -58,7 +58,7 @@ def line_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out: list[list[int]] = [[], [], [], [], []]
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 own = [u for _, u in units(t)]

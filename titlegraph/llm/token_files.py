@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, parts, scratch
+from .common import cut, parts, scratch, small
 from .pretokens import splitter
 
 MAGIC = b"TGRANK1\n"
@@ -140,7 +140,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         encode, end = None, np.array([end_id], "<u4").tobytes()
         doc_ids, ids = [], []
-        for b in batches:
+        for b in small(batches):
             encode = encode or Encoder(tokenizer_path)
             if b.column(0).null_count:
                 raise ValueError("a null doc_id has no place in the order")
