@@ -17,6 +17,7 @@ import mmap
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import scratch, small
-from .pretokens import splitter
+from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
 
 #: Pieces in the lexicon; bounds the automaton (about 3 MB) and what the driver gets.
 ENTRIES = 65_536
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONG = 256  # bytes; from here on merges go through a heap
 
 
@@ -39,10 +40,7 @@ class Merges:
     def __init__(self, path: str):
         model = json.load(open(path, encoding="utf-8"))
         vocab = model["model"]["vocab"]
-        # bytes are written as printable characters: those that are printable stand for themselves, the rest follow from 256 on
-        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        rest = [b for b in range(256) if b not in set(printable)]
-        char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        char = byte_characters()
         byte = {c: b for b, c in char.items()}
         self.first = [vocab[char[b]] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
@@ -196,36 +194,74 @@ class Coder:
     def __init__(self, tokenizer_path: str, lexicon: Lexicon | None):
         from tokenizers import Tokenizer
 
-        self.merges, self.lexicon, self.known = Merges(tokenizer_path), lexicon, {}
+        self.merges, self.lexicon, self.known, self.chunks = Merges(tokenizer_path), lexicon, {}, {}
         self.split = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer)
         size = max(self.merges.text) + 1
+        self.kind = "<u2" if size <= 0x10000 else "<u4"
         self.bytes_of = [self.merges.text.get(i, b"") for i in range(size)]
         self.name_of = list(map(str, range(size)))
 
+    def merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece: the lexicon's, else merged here."""
+        raw = [p.encode() for p in pieces]
+        hits = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
+        return [(h if h is not None else np.array(self.merges.merge(r), "<u4")).astype(self.kind).tobytes() for r, h in zip(raw, hits, strict=True)]
+
     def learn(self, pieces: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        """Fills the memo of pieces."""
+        if len(self.known) > REMEMBERED // 8:
+            keep_half(self.known)
         new = [p for p in pieces if p not in self.known]
-        raw = [p.encode() for p in new]
-        hits = self.lexicon.look_up(raw) if self.lexicon else [None] * len(new)
-        for p, r, h in zip(new, raw, hits, strict=True):
-            self.known[p] = (h if h is not None else np.array(self.merges.merge(r), "<u4")).astype("<u2" if len(self.bytes_of) <= 65536 else "<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.merges.special):
-            return np.concatenate([np.zeros(0, np.int64), *(np.array([self.merges.special[x]]) if x in self.merges.special else self.encode(x) for x in _around(text, list(self.merges.special)))])
-        pieces = self.split(text)
-        try:
-            raw = b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self.learn(set(pieces))
-            raw = b"".join(map(self.known.__getitem__, pieces))
-        return np.frombuffer(raw, "<u2" if len(self.bytes_of) <= 65536 else "<u4")
+        self.known.update(zip(new, self.merged(new), strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. New pieces of all texts are looked up together."""
+        ready = [t if chunkable(t) and not any(s in t for s in self.merges.special) else None for t in texts]
+        parts = [t.split(" ") if t is not None else [] for t in ready]
+        first = [FAST.findall(p[0]) if p else [] for p in parts]
+        if len(self.chunks) > REMEMBERED:
+            keep_half(self.chunks)
+        new = {c for p in parts for c in p[1:]}.difference(self.chunks)
+        words = {c for c in new if c.isalpha()}
+        ended = {c for c in new - words if c[:-1].isalpha() and c[-1] in ",."}
+        words = list((words | {c[:-1] for c in ended}).difference(self.chunks))
+        cut = {c: FAST.findall(" " + c) for c in new.difference(words, ended)}
+        self.learn({",", "."}.union(*cut.values(), *first))
+        self.chunks.update(zip(words, self.merged([" " + w for w in words]), strict=True))
+        get = self.known.__getitem__
+        for c in ended:
+            self.chunks[c] = self.chunks[c[:-1]] + get(c[-1])
+        for c, pieces in cut.items():
+            self.chunks[c] = b"".join(map(get, pieces))
+        out = []
+        for t, whole, p, f in zip(texts, ready, parts, first, strict=True):
+            if whole is None:
+                out.append(None)
+            else:
+                out.append(np.frombuffer(b"".join(map(get, f)) + b"".join(map(self.chunks.__getitem__, p[1:])), self.kind))
+        return [self._unusual(t) if x is None else x for t, x in zip(texts, out, strict=True)]
+
+    def _unusual(self, text: str) -> np.ndarray:
+        ids = []
+        for x in _around(text, list(self.merges.special)):
+            if x in self.merges.special:
+                ids.append(np.array([self.merges.special[x]], self.kind))
+            else:
+                pieces = self.split(x)
+                self.learn(set(pieces))
+                ids.append(np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.kind))
+        return np.concatenate([np.zeros(0, self.kind), *ids])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(1)
+def coder_of(tokenizer_path: str, lexicon: str) -> Coder:
+    """One for all tasks of a worker."""
+    return Coder(tokenizer_path, Lexicon.open(lexicon))
+
+
 def _around(text: str, special: list[str]) -> list[str]:
     """text, cut around the special strings in it; the leftmost first, of those the longest."""
     out = []
@@ -246,19 +282,28 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        split, seen = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer), Counter()
+        split, seen, chunks = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer), Counter(), Counter()
 
-        def emit():
-            yield pa.RecordBatch.from_pydict({"piece": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+        def emit() -> pa.RecordBatch:
+            for c, n in chunks.items():
+                for p in FAST.findall(" " + c):
+                    seen[p] += n
+            out = pa.RecordBatch.from_pydict({"piece": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            seen.clear()
+            chunks.clear()
+            return out
 
         for b in small(batches):
             for t in b.column(0).to_pylist():
-                if t:
+                if t and chunkable(t):
+                    first, *rest = t.split(" ")
+                    chunks.update(rest)
+                    seen.update(FAST.findall(first))
+                elif t:
                     seen.update(split(t))
-                if len(seen) > 500_000:  # bounded memory; the sums below are exact all the same
-                    yield from emit()
-                    seen.clear()
-        yield from emit()
+            if len(seen) + len(chunks) > 300_000:  # bounded memory; the sums below are exact all the same
+                yield emit()
+        yield emit()
 
     counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     top = counts.where(F.length("piece") <= 64).orderBy(F.desc("n"), "piece").limit(entries).select("piece").collect()  # at most `entries` short strings
@@ -289,12 +334,11 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
     from hashlib import sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = None
+        coder = coder_of(tokenizer_path, SparkFiles.get(lexicon))
         for b in small(batches):
-            coder = coder or Coder(tokenizer_path, Lexicon.open(SparkFiles.get(lexicon)))
             sizes, first, second = [], [], []
-            for t in b.column(1).to_pylist():
-                ids = coder.encode(t or "").tolist()
+            for ids in coder.encode([t or "" for t in b.column(1).to_pylist()]):
+                ids = ids.tolist()
                 sizes.append(len(ids))
                 text = coder.decode(ids)
                 first.append(sha256(",".join(map(coder.name_of.__getitem__, ids)).encode()).hexdigest() if digests else ids)

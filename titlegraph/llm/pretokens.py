@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 #: The letters and numbers among the characters that SAFE allows.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
@@ -11,6 +12,14 @@ UNSAFE = re.compile(r"[^\t-\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞₠-₿]")
 FAST = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for themselves, the others
+    follow from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 def splitter(pre_tokenizer):
     """A function from text to its pieces. pre_tokenizer: the library's own, for unusual characters."""
 
@@ -20,3 +29,16 @@ def splitter(pre_tokenizer):
         return FAST.findall(text)
 
     return split
+
+
+def chunkable(text: str) -> bool:
+    """Whether text.split(' ') cuts only where pieces begin, so that the chunks, each but the first with its space in
+    front, are split on their own: so it is for usual characters without two spaces in a row."""
+    return "  " not in text and not UNSAFE.search(text)
+
+
+def keep_half(memo: dict) -> None:
+    """Drops the later half of a memo; what was met first is mostly what is frequent."""
+    kept = list(islice(memo.items(), len(memo) // 2))
+    memo.clear()
+    memo.update(kept)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,78 +26,107 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, parts, scratch, small
-from .pretokens import splitter
+from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
 
 MAGIC = b"TGRANK1\n"
 #: Lengths of the four ranks of each control byte.
 LENGTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
-#: Pieces that an encoder remembers; then it forgets all.
-REMEMBERED = 400_000
+#: Entries of an encoder's memo of chunks; then it forgets half of them.
+REMEMBERED = 500_000
 
 
 class Encoder:
-    """The tokenizers library's encode(text, add_special_tokens=False).ids, remembering the ids of each piece of text.
+    """The tokenizers library's encode(text, add_special_tokens=False).ids, remembering what it has merged.
 
-    The library splits text into pieces that it merges on their own, so the ids of a text are those of its pieces; the
-    library makes the ids of each new piece. A text with a special token's string goes to the library whole.
+    The library splits text into pieces that its model merges on their own, so the ids of a text are those of its pieces.
+    The library's model makes the ids of each new piece; memos of pieces and of chunks between spaces serve the rest. A
+    text with a special token's string goes to the library whole.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(tokenizer_path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.split, self.known = splitter(self.library.pre_tokenizer), {}
+        self.library = library = Tokenizer.from_file(tokenizer_path)
+        library.no_truncation()
+        library.no_padding()
+        self.special = [t.content for t in library.get_added_tokens_decoder().values()]
+        self.kind = kind = "<u2" if library.get_vocab_size() <= 0x10000 else "<u4"
+        self.split, tokenize = splitter(library.pre_tokenizer), library.model.tokenize
+        latin = byte_characters()
+
+        le = [i.to_bytes(np.dtype(kind).itemsize, "little") for i in range(library.get_vocab_size())]
+
+        def merged(piece: str) -> bytes:
+            mapped = piece.encode().decode("latin-1").translate(latin)
+            return b"".join([le[t.id] for t in tokenize(mapped)])
+
+        class Pieces(dict):
+            def __missing__(self, piece: str) -> bytes:
+                if len(self) > REMEMBERED // 8:
+                    keep_half(self)
+                self[piece] = ids = merged(piece)
+                return ids
+
+        self.pieces = pieces = Pieces()
+
+        class Chunks(dict):
+            def __missing__(self, chunk: str) -> bytes:
+                if len(self) > REMEMBERED:
+                    keep_half(self)
+                if chunk.isalpha():  # one piece
+                    ids = merged(" " + chunk)
+                elif chunk[:-1].isalpha() and chunk[-1] in ",.":  # a known word and one piece more
+                    ids = self[chunk[:-1]] + pieces[chunk[-1]]
+                else:
+                    ids = b"".join(map(pieces.__getitem__, FAST.findall(" " + chunk)))
+                self[chunk] = ids
+                return ids
+
+        self.chunks = Chunks()
 
     def __call__(self, text: str) -> bytes:
-        """As little-endian uint32."""
+        """As little-endian integers of self.kind."""
         if any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces, known = self.split(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({p for p in pieces if p not in known})
-            for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, pieces))
-
-
-def pack(doc_ids: list[int], ids: list[bytes]) -> bytes:
-    """A file's bytes. ids: little-endian uint32 of each document."""
-    flat = np.frombuffer(b"".join(ids), "<u4")
-    counts = np.array([len(x) // 4 for x in ids], "<i8")
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        if not chunkable(text):
+            return b"".join(map(self.pieces.__getitem__, self.split(text)))
+        first, *rest = text.split(" ")
+        return b"".join(map(self.pieces.__getitem__, FAST.findall(first))) + b"".join(map(self.chunks.__getitem__, rest))
+
+
+@cache
+def encoder(tokenizer_path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(tokenizer_path)
+
+
+def pack(doc_ids: list[int], ids: list[bytes], kind: str = "<u4") -> bytes:
+    """A file's bytes. ids: little-endian integers of each document."""
+    width = np.dtype(kind).itemsize
+    flat = np.frombuffer(b"".join(ids), kind)
+    counts = np.array([len(x) // width for x in ids], "<i8")
     if len(flat) and flat.max() < 1 << 22:
         seen = np.bincount(flat)
         table = np.argsort(-seen, kind="stable")[: np.count_nonzero(seen)].astype("<u4")
-        rank_of = np.zeros(len(seen), np.uint32)
-        rank_of[table] = np.arange(len(table), dtype=np.uint32)
+        rank_of = np.zeros(len(seen), "<u2" if len(table) <= 0x10000 else "<u4")
+        rank_of[table] = np.arange(len(table))
         ranks = rank_of[flat]
     else:
         values, inverse, seen = np.unique(flat, return_inverse=True, return_counts=True)
         order = np.argsort(-seen, kind="stable")
-        table, rank_of = values[order].astype("<u4"), np.zeros(len(values), np.uint32)
-        rank_of[order] = np.arange(len(values), dtype=np.uint32)
+        table, rank_of = values[order].astype("<u4"), np.zeros(len(values), "<u4")
+        rank_of[order] = np.arange(len(values))
         ranks = rank_of[inverse]
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    width = ranks.dtype.itemsize
+    both = ranks.view(np.uint8).reshape(-1, width)
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = extra
+    for i in range(1, width):  # a rank's data bytes but the first
+        padded[: len(ranks)] += ranks >= 1 << 8 * i
     quads = padded.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    if len(table) <= 0x10000:  # at most two bytes a rank
-        both = ranks.astype("<u2").view(np.uint8).reshape(-1, 2)
-        keep = np.ones(both.shape, bool)
-        keep[:, 1] = extra > 0
-    else:
-        both = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-        keep = np.arange(4) <= extra[:, None]
-    data = both[keep]
+    data = both[np.arange(width, dtype=np.uint8) <= padded[: len(ranks), None]]
     head = np.array([len(doc_ids), len(flat), len(table), len(data)], "<i8")
-    return b"".join([MAGIC, head.tobytes(), np.array(doc_ids, "<i8").tobytes(), counts.tobytes(), table.tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()])
+    return b"".join([MAGIC, head.tobytes(), np.array(doc_ids, "<i8").tobytes(), counts.tobytes(), table.tobytes(), control.tobytes(), data.tobytes()])
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,21 +168,22 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encode, end = None, np.array([end_id], "<u4").tobytes()
-        doc_ids, ids = [], []
+        encode = encoder(tokenizer_path)
+        doc_ids, ids, end = [], [], np.array([end_id], encode.kind).tobytes()
         for b in small(batches):
-            encode = encode or Encoder(tokenizer_path)
             if b.column(0).null_count:
                 raise ValueError("a null doc_id has no place in the order")
             doc_ids += b.column(0).to_pylist()
             ids += [encode(t) + end for t in b.column(1).to_pylist()]
         if doc_ids:
+            size = sum(map(len, ids)) // len(end)
+            blob = pack(doc_ids, ids, encode.kind)
             store, root = fs.FileSystem.from_uri(folder)
             store.create_dir(root, recursive=True)
             name = f"tokens-{uuid.uuid4().hex}.tgr"
             with store.open_output_stream(f"{root}/{name}") as out:
-                out.write(pack(doc_ids, ids))
-            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "first_doc": [doc_ids[0]], "documents": [len(doc_ids)], "ids": [sum(map(len, ids)) // 4]})
+                out.write(blob)
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "first_doc": [doc_ids[0]], "documents": [len(doc_ids)], "ids": [size]})
 
     manifest = cut(rows.mapInArrow(write, "path string, first_doc long, documents long, ids long"), "token-manifest")
     order = Window.orderBy("first_doc", "path")  # a row for each file
