@@ -42,8 +42,6 @@ class Quantizer:
 
     def __init__(self, books: np.ndarray, beam: int = BEAM):
         self.books, self.beam = books.astype(np.float32), beam
-        flat = self.books.reshape(-1, self.books.shape[2])
-        self.cross = (flat @ flat.T).reshape(*self.books.shape[:2], *self.books.shape[:2])  # inner products of codewords
         self.norms = (self.books**2).sum(2)
 
     @classmethod
@@ -60,25 +58,22 @@ class Quantizer:
     def encode(self, x: np.ndarray) -> np.ndarray:
         """Codes (rows, books): of each book the codeword, by beam search over partial sums."""
         out = np.zeros((len(x), len(self.books)), np.uint8 if self.books.shape[1] <= 256 else np.uint16)
-        for a in range(0, len(x), 2048):
-            out[a : a + 2048] = self._encode(x[a : a + 2048].astype(np.float32))
+        for a in range(0, len(x), 1024):
+            out[a : a + 1024] = self._encode(x[a : a + 1024].astype(np.float32))
         return out
 
     def _encode(self, x: np.ndarray) -> np.ndarray:
-        n, (m, k, _) = len(x), self.books.shape
+        n, (_, k, _) = len(x), self.books.shape
         rows = np.arange(n)[:, None]
-        codes, cost = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1), np.float32)
-        for book in range(m):
-            # |x - s - c|2 = |x - s|2 + |c|2 - 2 x.c + 2 s.c
-            step = self.norms[book] - 2 * (x @ self.books[book].T)  # n, k
-            more = np.repeat(step[:, None, :], codes.shape[1], 1)
-            for j in range(book):
-                more += 2 * self.cross[j, :, book][codes[:, :, j]]
-            total = (cost[:, :, None] + more).reshape(n, -1)
+        # of each partial sum s in the beam: its codes, the rest x - s, and |x - s|2 but for |x|2
+        codes, rest, cost = np.zeros((n, 1, 0), np.int64), x[:, None, :], np.zeros((n, 1), np.float32)
+        for words, norms in zip(self.books, self.norms, strict=True):
+            total = (cost[:, :, None] + norms - 2 * (rest @ words.T)).reshape(n, -1)
             width = min(self.beam, total.shape[1])
             best = np.argpartition(total, width - 1, axis=1)[:, :width] if width < total.shape[1] else np.tile(np.arange(width), (n, 1))
-            cost = total[rows, best]
-            codes = np.concatenate([codes[rows, best // k], (best % k)[:, :, None]], axis=2)
+            cost, word = total[rows, best], best % k
+            codes = np.concatenate([codes[rows, best // k], word[:, :, None]], axis=2)
+            rest = rest[rows, best // k] - words[word]
         return codes[np.arange(n), cost.argmin(1)]
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
@@ -112,7 +107,7 @@ def learn_quantizer(vectors: DataFrame, sample: int = SAMPLE, **options) -> Quan
 
 def build_index(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
     """(vec_id, v, codes, norm) of every vector, written to the shared folder."""
-    q = vectors.sparkSession.sparkContext.broadcast(quantizer)  # at most BOOKS * WORDS codewords and their products
+    q = vectors.sparkSession.sparkContext.broadcast(quantizer)  # BOOKS * WORDS codewords at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
