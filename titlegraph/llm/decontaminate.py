@@ -177,9 +177,10 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     places = [m.span() for m in _WORD.finditer(raw.translate(LOWER_TABLE))]
     out, at = [], 0
     for a, z in spans:
-        out.append(raw[at : places[a][0]].rstrip(b" "))
+        piece = raw[at : places[a][0]].rstrip(b" ")
+        out.append(piece.lstrip(b" ") if at else piece)
         at = places[z - 1][1]
-    out.append(raw[at:])
+    out.append(raw[at:].lstrip(b" ") if at else raw)
     return b" ".join(x for x in out if x.strip()).decode("utf-8", "surrogatepass")
 
 
