@@ -1,7 +1,7 @@
 """Operator 10: byte-level BPE through a minimal acyclic transducer of the corpus' frequent pieces.
 
-1. Pieces (the units that BPE merges on their own) are counted over the whole corpus; the ``entries`` most frequent ones
-   enter the lexicon, each with its ids.
+1. Pieces (the units that BPE merges on their own) are counted over the whole corpus; the most frequent ones, at most
+   ``entries``, enter the lexicon, each with its ids.
 2. The lexicon is compiled into a minimal acyclic automaton: pieces with equal tails share states. Each transition
    carries the number of pieces that sort before its branch; their sum along a path is the piece's number, which points
    to its ids. The file is shipped to each executor once, by Spark, and memory-mapped by its Python workers.
@@ -25,12 +25,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, small
+from .common import cut, scratch, small
 from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
 
-#: Pieces in the lexicon; bounds the automaton (about 3 MB) and what the driver gets.
-ENTRIES = 65_536
-REMEMBERED = 400_000
+#: Pieces in the lexicon; bounds the automaton (about 6 MB) and what the driver gets.
+ENTRIES = 131_072
+REMEMBERED = 250_000
 LONG = 256  # bytes; from here on merges go through a heap
 
 
@@ -51,6 +51,10 @@ class Merges:
             a, b = m.split(" ") if isinstance(m, str) else m
             self.rank[vocab[a], vocab[b]] = r
             self.made.append(vocab[a + b])
+        self.first_of, self.made_of = np.array(self.first), np.array(self.made)
+        keys = np.array([a << 32 | b for a, b in self.rank])
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.rank.values()))[order]
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges the pair of the lowest rank, the leftmost of equals, until no pair can be merged."""
@@ -73,6 +77,53 @@ class Merges:
                 ranks[i] = get((new, ids[i + 1]), none)
         return ids
 
+    def merge_many(self, pieces: list[bytes], kind: str) -> list[bytes]:
+        """merge() of many pieces together, a merge of each a round; ids as bytes of `kind`."""
+        out: list[bytes] = [b""] * len(pieces)
+        short = [i for i, p in enumerate(pieces) if len(p) <= LONG]
+        for i in set(range(len(pieces))).difference(short):
+            out[i] = np.array(self.merge(pieces[i]), kind).tobytes()
+        none, width = len(self.made), np.dtype(kind).itemsize
+        own, size = np.array(short, np.int64), np.array([len(pieces[i]) for i in short], np.int64)
+        own, size = own[size > 0], size[size > 0]
+        ids = self.first_of[np.frombuffer(b"".join([pieces[i] for i in short]), np.uint8)]
+        row = np.repeat(np.arange(len(own)), size)
+        # of each id, the rank of its pair with the next one of its piece
+        rank = np.full(len(ids), none)
+
+        def rate(at: np.ndarray) -> None:
+            key = ids[at] << 32 | ids[at + 1]
+            k = np.minimum(np.searchsorted(self.pair_keys, key), none - 1)
+            rank[at] = np.where(self.pair_keys[k] == key, self.pair_ranks[k], none)
+
+        rate(np.flatnonzero(row[1:] == row[:-1]))
+        while len(own):
+            best = np.minimum.reduceat(rank, np.cumsum(size) - size)
+            live = best < none
+            if not live.all():  # pieces that are done leave
+                done = ~live
+                raw = ids[done[row]].astype(kind).tobytes()
+                ends = np.cumsum(size[done]) * width
+                for i, a, z in zip(own[done].tolist(), (ends - size[done] * width).tolist(), ends.tolist(), strict=True):
+                    out[i] = raw[a:z]
+                keep = live[row]
+                ids, rank, own, size, best = ids[keep], rank[keep], own[live], size[live], best[live]
+                row = np.repeat(np.arange(len(own)), size)
+                if not len(own):
+                    break
+            hit = np.flatnonzero(rank == best[row])
+            hit = hit[np.concatenate([[True], row[hit[1:]] != row[hit[:-1]]])]  # the leftmost of each piece
+            ids[hit] = self.made_of[best]
+            keep = np.full(len(ids), True)
+            keep[hit + 1] = False
+            ids, rank, row = ids[keep], rank[keep], row[keep]
+            size -= 1
+            at = hit - np.arange(len(hit))  # a piece before has lost one id
+            rank[at] = none
+            rate(at[(at + 1 < len(ids)) & (row[np.minimum(at + 1, len(ids) - 1)] == row[at])])
+            rate((at - 1)[(at > 0) & (row[at - 1] == row[at])])
+        return out
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         n, get = len(ids), self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -205,7 +256,11 @@ class Coder:
         """The ids of each piece: the lexicon's, else merged here."""
         raw = [p.encode() for p in pieces]
         hits = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
-        return [(h if h is not None else np.array(self.merges.merge(r), "<u4")).astype(self.kind).tobytes() for r, h in zip(raw, hits, strict=True)]
+        new = [i for i, h in enumerate(hits) if h is None]
+        out = [b"" if h is None else h.astype(self.kind).tobytes() for h in hits]
+        for i, ids in zip(new, self.merges.merge_many([raw[i] for i in new], self.kind), strict=True):
+            out[i] = ids
+        return out
 
     def learn(self, pieces: set[str]) -> None:
         """Fills the memo of pieces."""
@@ -301,12 +356,20 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
                     seen.update(FAST.findall(first))
                 elif t:
                     seen.update(split(t))
-            if len(seen) + len(chunks) > 300_000:  # bounded memory; the sums below are exact all the same
+            if len(seen) + len(chunks) > 250_000:  # bounded memory; the sums below are exact all the same
                 yield emit()
         yield emit()
 
     counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    top = counts.where(F.length("piece") <= 64).orderBy(F.desc("n"), "piece").limit(entries).select("piece").collect()  # at most `entries` short strings
+    counts = cut(counts.where(F.length("piece") <= 64).withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "pieces")
+    # how many pieces are as frequent as each of some 500 levels tells from which level on there are at most `entries`
+    least, total = 1 << 30, 0
+    for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        total += r["count"]
+        if total > entries:
+            break
+        least = r.level
+    top = counts.where(F.col("level") >= least).select("piece").collect()
     merges = Merges(tokenizer_path)
     blob = compile_lexicon({r.piece.encode(): merges.merge(r.piece.encode()) for r in top})
     return ship(spark, blob)
