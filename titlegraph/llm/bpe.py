@@ -296,6 +296,10 @@ class Coder:
                 out.append(np.frombuffer(b"".join(map(get, f)) + b"".join(map(self.chunks.__getitem__, p[1:])), self.kind))
         return [self._unusual(t) if x is None else x for t, x in zip(texts, out, strict=True)]
 
+    def forget(self) -> None:
+        self.known, self.chunks = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _unusual(self, text: str) -> np.ndarray:
         ids = []
         for x in _around(text, list(self.merges.special)):
@@ -398,15 +402,24 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(tokenizer_path, SparkFiles.get(lexicon))
-        for b in small(batches):
-            sizes, first, second = [], [], []
-            for ids in coder.encode([t or "" for t in b.column(1).to_pylist()]):
-                ids = ids.tolist()
-                sizes.append(len(ids))
-                text = coder.decode(ids)
-                first.append(sha256(",".join(map(coder.name_of.__getitem__, ids)).encode()).hexdigest() if digests else ids)
-                second.append(sha256(text.encode()).hexdigest() if digests else text)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.string() if digests else pa.list_(pa.int32())), pa.array(second, pa.string())], names=names)
+        try:
+            for b in small(batches, 256):
+                ids = coder.encode([t or "" for t in b.column(1).to_pylist()])
+                sizes = np.array(list(map(len, ids)), np.int64)
+                first, second = [], []
+                for own in ids:
+                    own = own.tolist()
+                    text = coder.decode(own)
+                    second.append(sha256(text.encode()).hexdigest() if digests else text)
+                    if digests:
+                        first.append(sha256(",".join(map(coder.name_of.__getitem__, own)).encode()).hexdigest())
+                if digests:
+                    column = pa.array(first, pa.string())
+                else:
+                    column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), column, pa.array(second, pa.string())], names=names)
+        finally:  # the worker lives on, for other operators
+            coder.forget()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
     kind = docs.schema[id_col].dataType.simpleString()

@@ -204,7 +204,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
         windows = frame.sparkSession.sparkContext.broadcast(Windows([(r.i, r.t) for r in rows], width))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in small(batches, 2048):
+            for b in small(batches, 512):
                 own = [words(t) for t in b.column(at).to_pylist()]
                 found = windows.value.scan(own)
                 k = len(keep)
