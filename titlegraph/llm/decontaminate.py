@@ -224,9 +224,10 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs, same columns, with benchmark passages removed from the text; documents without any stay as they are."""
-    cleaned = F.udf(lambda t, spans: without(t, [(s.start, s.end) for s in spans]), "string")
+    cleaned = F.udf(lambda t, spans: None if t is None else without(t, [(s.start, s.end) for s in spans]), "string")
     marked = mark(docs, benchmark, text_col=text_col, **options)
-    text = F.when(F.size("spans") == 0, F.col(text_col)).otherwise(cleaned(text_col, "spans"))
+    hit = F.size("spans") > 0  # only these texts are sent to Python again
+    text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.when(hit, F.col("spans")))).otherwise(F.col(text_col))
     return marked.select(*[text.alias(c) if c == text_col else c for c in docs.columns])
 
 
