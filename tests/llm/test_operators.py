@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -83,11 +84,26 @@ def test_bpe_equals_the_library(spark, docs, library):
     assert digest.ids_sha256 == hashlib.sha256(",".join(map(str, next(w[2] for w in want if w[0] == 1))).encode()).hexdigest()
 
 
+def test_bpe_of_unusual_texts_and_splits(library):
+    rng = random.Random(5)
+    bits = ["a", "B", "é", " ", "  ", "\n", "\t", ".", ",", "'s", "don't", "7", "½", "中文", "<|endoftext|>", "the", "\xa0", "€", "\u2028", "🙂", "º", "×", "x" * 300]
+    texts = ["", " ", "\n", *["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)]]
+    coder = bpe.Coder(PATH, bpe.Lexicon(bpe.compile_lexicon({p: bpe.Merges(PATH).merge(p) for p in (b"the", b" the", " é".encode())})))
+    ids, ends = coder.encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:])] == want
+    assert coder.decode(ids, ends).to_pylist() == [library.decode(w, skip_special_tokens=False) for w in want]
+    half = np.array(library.encode("🙂", add_special_tokens=False).ids[:1], "<u2")
+    assert coder.decode(half, np.array([0, 1])).to_pylist() == [library.decode(half.tolist(), skip_special_tokens=False)]
+    assert coder.encode([])[0].tolist() == []
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [i, 7] for i, w in enumerate(["tap", "taps", "top", "tops", "é"])}
     lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
-    found = lexicon.look_up([*words, b"to", b"tapsx", b""])
-    assert [x.tolist() for x in found[:5]] == list(words.values()) and found[5:] == [None] * 3
+    found = lexicon.look_up(pa.array(["-", *[w.decode() for w in words], "to", "tapsx", ""])[1:])
+    ids, sizes = lexicon.ids(found[:5], "<u2")
+    assert ids.tolist() == [x for w in words.values() for x in w] and sizes.tolist() == [2] * 5 and found[5:].tolist() == [-1] * 3
     assert len(lexicon.arrays[3]) == 6  # the root, t, ta = to, tap = top, taps = tops = é, the first byte of é
     rng = random.Random(1)
     merges = bpe.Merges(PATH)

@@ -15,22 +15,22 @@ import heapq
 import json
 import mmap
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, scratch, small
-from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
+from .common import cut, scratch, slabs
+from .pretokens import byte_characters, keep_half, split_listed, split_usual, splitter, usual
 
 #: Pieces in the lexicon; bounds the automaton (about 6 MB) and what the driver gets.
 ENTRIES = 131_072
-REMEMBERED = 250_000
+REMEMBERED = 125_000
 LONG = 256  # bytes; from here on merges go through a heap
 
 
@@ -212,32 +212,39 @@ class Lexicon:
         with open(path, "rb") as f:
             return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
-    def look_up(self, pieces: list[bytes]) -> list[np.ndarray | None]:
-        """Each piece's ids, or None. All pieces walk the automaton together, a byte at a time."""
-        keys, targets, outputs, final, offsets, ids = self.arrays
-        found: list[np.ndarray | None] = [None] * len(pieces)
-        if not len(keys) or not pieces:
+    def look_up(self, pieces: pa.Array) -> np.ndarray:
+        """Each piece's number, or -1. All pieces walk the automaton together, a byte at a time, on Arrow's own bytes."""
+        keys, targets, outputs, final, _, _ = self.arrays
+        found = np.full(len(pieces), -1)
+        if not len(keys) or not len(pieces):
             return found
-        size = np.array(list(map(len, pieces)))
-        at = np.cumsum(size) - size
-        text = np.frombuffer(b"".join(pieces), np.uint8)
-        live = np.flatnonzero(size > 0)
-        state, number = np.full(len(pieces), self.root, np.int64), np.zeros(len(pieces), np.int64)
-        i = 0
+        at = np.frombuffer(pieces.buffers()[1], "<i4")[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+        at, end = at[:-1], at[1:]
+        text = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+        live = np.flatnonzero(end > at)
+        at, end = at[live], end[live]
+        state, number = np.full(len(live), self.root, np.int64), np.zeros(len(live), np.int64)
         while len(live):
-            want = state[live] << 8 | text[at[live] + i]
+            want = state << 8 | text[at]
             edge = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            hit = keys[edge] == want
-            live, edge = live[hit], edge[hit]
-            state[live] = targets[edge]
-            number[live] += outputs[edge]
-            i += 1
-            ended = size[live] == i
-            for k in live[ended & (final[state[live]] > 0)].tolist():
-                found[k] = ids[offsets[number[k]] : offsets[number[k] + 1]]
-            live = live[~ended]
+            hit = np.flatnonzero(keys[edge] == want)
+            live, edge, at, end = live[hit], edge[hit], at[hit] + 1, end[hit]
+            state = targets[edge].astype(np.int64)
+            number = number[hit] + outputs[edge]
+            ended = at == end
+            whole = ended & (final[state] > 0)
+            found[live[whole]] = number[whole]
+            on = np.flatnonzero(~ended)
+            live, at, end, state, number = live[on], at[on], end[on], state[on], number[on]
         return found
 
+    def ids(self, numbers: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of these numbers in turn, and how many each has."""
+        _, _, _, _, offsets, ids = self.arrays
+        sizes = offsets[numbers + 1] - offsets[numbers]
+        ends = np.cumsum(sizes)
+        return ids[np.repeat(offsets[numbers] - ends + sizes, sizes) + np.arange(sizes.sum())].astype(kind), sizes
+
 
 class Coder:
     """Encodes and decodes with a lexicon and, for other pieces, merges."""
@@ -245,74 +252,73 @@ class Coder:
     def __init__(self, tokenizer_path: str, lexicon: Lexicon | None):
         from tokenizers import Tokenizer
 
-        self.merges, self.lexicon, self.known, self.chunks = Merges(tokenizer_path), lexicon, {}, {}
+        self.merges, self.lexicon = Merges(tokenizer_path), lexicon
         self.split = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer)
         size = max(self.merges.text) + 1
         self.kind = "<u2" if size <= 0x10000 else "<u4"
-        self.bytes_of = [self.merges.text.get(i, b"") for i in range(size)]
-        self.name_of = list(map(str, range(size)))
-
-    def merged(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece: the lexicon's, else merged here."""
-        raw = [p.encode() for p in pieces]
-        hits = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
-        new = [i for i, h in enumerate(hits) if h is None]
-        out = [b"" if h is None else h.astype(self.kind).tobytes() for h in hits]
-        for i, ids in zip(new, self.merges.merge_many([raw[i] for i in new], self.kind), strict=True):
-            out[i] = ids
-        return out
-
-    def learn(self, pieces: set[str]) -> None:
-        """Fills the memo of pieces."""
-        if len(self.known) > REMEMBERED // 8:
-            keep_half(self.known)
-        new = [p for p in pieces if p not in self.known]
-        self.known.update(zip(new, self.merged(new), strict=True))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. New pieces of all texts are looked up together."""
-        ready = [t if chunkable(t) and not any(s in t for s in self.merges.special) else None for t in texts]
-        parts = [t.split(" ") if t is not None else [] for t in ready]
-        first = [FAST.findall(p[0]) if p else [] for p in parts]
-        if len(self.chunks) > REMEMBERED:
-            keep_half(self.chunks)
-        new = {c for p in parts for c in p[1:]}.difference(self.chunks)
-        words = {c for c in new if c.isalpha()}
-        ended = {c for c in new - words if c[:-1].isalpha() and c[-1] in ",."}
-        words = list((words | {c[:-1] for c in ended}).difference(self.chunks))
-        cut = {c: FAST.findall(" " + c) for c in new.difference(words, ended)}
-        self.learn({",", "."}.union(*cut.values(), *first))
-        self.chunks.update(zip(words, self.merged([" " + w for w in words]), strict=True))
-        get = self.known.__getitem__
-        for c in ended:
-            self.chunks[c] = self.chunks[c[:-1]] + get(c[-1])
-        for c, pieces in cut.items():
-            self.chunks[c] = b"".join(map(get, pieces))
-        out = []
-        for t, whole, p, f in zip(texts, ready, parts, first, strict=True):
-            if whole is None:
-                out.append(None)
-            else:
-                out.append(np.frombuffer(b"".join(map(get, f)) + b"".join(map(self.chunks.__getitem__, p[1:])), self.kind))
-        return [self._unusual(t) if x is None else x for t, x in zip(texts, out, strict=True)]
+        self.bytes_of = pa.array([self.merges.text.get(i, b"") for i in range(size)], pa.binary())
+        self.name_of = pa.array(list(map(str, range(size))))
+        self.forget()
 
     def forget(self) -> None:
-        self.known, self.chunks = {}, {}
+        """Empties the memo of merged pieces. Strings of special tokens have ids of their own and stay in it."""
+        self.known = {s.encode(): np.array([i], self.kind).tobytes() for s, i in self.merges.special.items()}
         pa.default_memory_pool().release_unused()
 
-    def _unusual(self, text: str) -> np.ndarray:
-        ids = []
-        for x in _around(text, list(self.merges.special)):
-            if x in self.merges.special:
-                ids.append(np.array([self.merges.special[x]], self.kind))
-            else:
-                pieces = self.split(x)
-                self.learn(set(pieces))
-                ids.append(np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.kind))
-        return np.concatenate([np.zeros(0, self.kind), *ids])
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def merged(self, pieces: pa.StringArray) -> pa.ListArray:
+        """The ids of each of the distinct pieces: the lexicon's, else merged here."""
+        found = self.lexicon.look_up(pieces) if self.lexicon else np.full(len(pieces), -1)
+        lacks = np.flatnonzero(found < 0)
+        raw = pieces.take(pa.array(lacks)).cast(pa.binary()).to_pylist()
+        if len(self.known) > REMEMBERED:
+            keep_half(self.known)
+        new = [p for p in raw if p not in self.known]
+        self.known.update(zip(new, self.merges.merge_many(new, self.kind), strict=True))
+        own = list(map(self.known.__getitem__, raw))
+        has = np.flatnonzero(found >= 0)
+        ids, sizes = self.lexicon.ids(found[has], self.kind) if len(has) else (np.zeros(0, self.kind), np.zeros(0, np.int64))
+        sizes = np.concatenate([sizes, np.array(list(map(len, own)), np.int64) // np.dtype(self.kind).itemsize])
+        both = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([ids, np.frombuffer(b"".join(own), self.kind)])))
+        order = np.empty(len(pieces), np.int64)
+        order[np.concatenate([has, lacks])] = np.arange(len(pieces))
+        return both.take(pa.array(order))
+
+    def encode(self, texts: pa.StringArray | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, none of them null, and where each text ends in them, a zero first."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        plain = usual(texts)
+        for s in self.merges.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, s))
+        plain = plain.to_numpy(zero_copy_only=False)
+        groups = []
+        if plain.any():
+            groups.append((np.flatnonzero(plain), split_usual(texts.filter(pa.array(plain)))))
+        if not plain.all():
+            groups.append((np.flatnonzero(~plain), split_listed([self._pieces(t) for t in texts.filter(pa.array(~plain)).to_pylist()])))
+        done = [(at, *split.fill(self.merged(split.pieces))) for at, split in groups]
+        if len(done) == 1:
+            return done[0][1:]
+        each: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
+        for at, ids, ends in done:
+            for i, a, z in zip(at.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                each[i] = ids[a:z]
+        return np.concatenate([np.zeros(0, self.kind), *each]), np.concatenate([[0], np.cumsum(np.array(list(map(len, each)), np.int64))])
+
+    def _pieces(self, text: str) -> list[str]:
+        special = self.merges.special
+        return [p for x in _around(text, list(special)) for p in ([x] if x in special else self.split(x))]
+
+    def named(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Each text's ids in decimal, joined by commas."""
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.name_of.take(pa.array(ids))), ",")
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.StringArray:
+        """Each text of its ids; bytes that are no UTF-8 become replacement characters."""
+        raw = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.bytes_of.take(pa.array(ids))), b"")
+        try:
+            return raw.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
 
 
 @lru_cache(1)
@@ -341,28 +347,25 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        split, seen, chunks = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer), Counter(), Counter()
-
-        def emit() -> pa.RecordBatch:
-            for c, n in chunks.items():
-                for p in FAST.findall(" " + c):
-                    seen[p] += n
-            out = pa.RecordBatch.from_pydict({"piece": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-            seen.clear()
-            chunks.clear()
-            return out
-
-        for b in small(batches):
-            for t in b.column(0).to_pylist():
-                if t and chunkable(t):
-                    first, *rest = t.split(" ")
-                    chunks.update(rest)
-                    seen.update(FAST.findall(first))
-                elif t:
-                    seen.update(split(t))
-            if len(seen) + len(chunks) > 250_000:  # bounded memory; the sums below are exact all the same
-                yield emit()
-        yield emit()
+        split = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer)
+        schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
+        held = schema.empty_table()
+
+        def summed() -> pa.Table:
+            return held.group_by("piece", use_threads=False).aggregate([("n", "sum")]).rename_columns(["piece", "n"]).cast(schema)
+
+        for b in slabs(batches, 0):
+            texts = b.column(0).drop_null()
+            plain = usual(texts)
+            for part in (split_usual(texts.filter(plain)), split_listed([split(t) for t in texts.filter(pc.invert(plain)).to_pylist()])):
+                n = part.counts()  # zero for what only would follow if a text's first chunk had a space in front
+                held = pa.concat_tables([held, pa.table([part.pieces, pa.array(n)], schema=schema).filter(pa.array(n > 0))])
+            if held.num_rows > 1_000_000:  # bounded memory; the sums below are exact all the same
+                held = summed()
+                if held.num_rows > 500_000:
+                    yield from held.to_batches(max_chunksize=100_000)
+                    held = schema.empty_table()
+        yield from summed().to_batches(max_chunksize=100_000)
 
     counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     counts = cut(counts.where(F.length("piece") <= 64).withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "pieces")
@@ -403,21 +406,15 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(tokenizer_path, SparkFiles.get(lexicon))
         try:
-            for b in small(batches, 256):
-                ids = coder.encode([t or "" for t in b.column(1).to_pylist()])
-                sizes = np.array(list(map(len, ids)), np.int64)
-                first, second = [], []
-                for own in ids:
-                    own = own.tolist()
-                    text = coder.decode(own)
-                    second.append(sha256(text.encode()).hexdigest() if digests else text)
-                    if digests:
-                        first.append(sha256(",".join(map(coder.name_of.__getitem__, own)).encode()).hexdigest())
+            for b in slabs(batches, 1):
+                ids, ends = coder.encode(b.column(1).fill_null(""))
+                second = coder.decode(ids, ends)
                 if digests:
-                    column = pa.array(first, pa.string())
+                    first = pa.array([sha256(x.encode()).hexdigest() for x in coder.named(ids, ends).to_pylist()], pa.string())
+                    second = pa.array([sha256(x.encode()).hexdigest() for x in second.to_pylist()], pa.string())
                 else:
-                    column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), column, pa.array(second, pa.string())], names=names)
+                    first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), first, second], names=names)
         finally:  # the worker lives on, for other operators
             coder.forget()
 

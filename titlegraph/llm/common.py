@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
@@ -63,5 +65,17 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
             yield b.slice(i, rows)
 
 
+def slabs(batches: Iterator[pa.RecordBatch], column: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `size` bytes of text in that column; a longer text is a slice of its own."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: The letters and numbers among the characters that SAFE allows.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
 #: Texts of only these characters are split by FAST; any other is split by the library itself.
-UNSAFE = re.compile(r"[^\t-\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞₠-₿]")
+_SAFE = r"\t-\r\x20-\x7e\u00a0-ɏ‐-‧‰-⁞₠-₿"
+UNSAFE = re.compile(f"[^{_SAFE}]")
 FAST = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
@@ -42,3 +48,68 @@ def keep_half(memo: dict) -> None:
     kept = list(islice(memo.items(), len(memo) // 2))
     memo.clear()
     memo.update(kept)
+
+
+@dataclass
+class Split:
+    """Texts as numbers of chunks, chunks as numbers of pieces; chunks and pieces are distinct."""
+
+    pieces: pa.StringArray
+    numbers: np.ndarray  # pieces of all chunks
+    ends: np.ndarray  # of each chunk in numbers, a zero first
+    chunks: np.ndarray  # chunks of all texts
+    bounds: np.ndarray  # of each text in chunks, a zero first
+
+    def counts(self) -> np.ndarray:
+        """How often each piece occurs in the texts."""
+        each = np.bincount(self.chunks, minlength=len(self.ends) - 1)
+        return np.bincount(self.numbers, np.repeat(each, np.diff(self.ends)), len(self.pieces)).astype(np.int64)
+
+    def fill(self, of_piece: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """What the pieces stand for in place of them: all values, and where each text ends in them, a zero first."""
+        of_chunk = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.numbers))
+        sizes = np.diff(of_piece.offsets.to_numpy())
+        inner = of_piece.take(of_chunk.values)
+        upto = np.concatenate([[0], np.cumsum(sizes[self.numbers])])
+        of_chunk = pa.ListArray.from_arrays(pa.array(upto[self.ends], pa.int32()), inner.flatten())
+        upto = np.concatenate([[0], np.cumsum(np.diff(upto[self.ends])[self.chunks])])
+        return of_chunk.take(pa.array(self.chunks)).flatten().to_numpy(), upto[self.bounds]
+
+
+def usual(texts: pa.StringArray) -> pa.BooleanArray:
+    """chunkable() of each text."""
+    cls = _SAFE.replace(r"\u00a0", "\u00a0")
+    return pc.invert(pc.or_(pc.match_substring(texts, "  "), pc.match_substring_regex(texts, f"[^{cls}]")))
+
+
+def split_usual(texts: pa.StringArray) -> Split:
+    """Splits chunkable texts. Only chunks other than a word, with a comma or full stop or without, become Python objects."""
+    lists = pc.split_pattern(texts, " ")
+    bounds, flat = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
+    coded = flat.dictionary_encode()
+    first = flat.take(pa.array(bounds[:-1])).dictionary_encode()
+    table, chunks = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    chunks[bounds[:-1]] = len(table) + first.indices.to_numpy()  # they have no space in front
+    word = pc.match_substring_regex(table, rf"\A[{_L}]+\z").to_numpy(zero_copy_only=False)
+    ended = pc.match_substring_regex(table, rf"\A[{_L}]+[,.]\z").to_numpy(zero_copy_only=False)
+    other = np.flatnonzero(~word & ~ended)
+    cut = [FAST.findall(" " + c) for c in table.take(pa.array(other)).to_pylist()] + [FAST.findall(c) for c in first.dictionary.to_pylist()]
+    sizes = np.concatenate([np.ones(len(table), np.int64), np.zeros(len(first.dictionary), np.int64)])
+    sizes[np.flatnonzero(ended)] = 2
+    rest = np.concatenate([other, np.arange(len(table), len(sizes))])
+    sizes[rest] = own = np.array(list(map(len, cut)), np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    marked = table.filter(pa.array(ended))
+    spaced = pc.binary_join_element_wise("", pa.concat_arrays([table.filter(pa.array(word)), pc.utf8_slice_codeunits(marked, 0, -1)]), " ")
+    every = pa.concat_arrays([spaced, pc.utf8_slice_codeunits(marked, -1), pa.array([p for c in cut for p in c], pa.string())]).dictionary_encode()
+    at = np.concatenate([ends[:-1][: len(table)][word], ends[:-1][: len(table)][ended], ends[:-1][: len(table)][ended] + 1, np.repeat(ends[:-1][rest] - np.cumsum(own) + own, own) + np.arange(own.sum())])
+    numbers = np.empty(len(at), np.int64)
+    numbers[at] = every.indices.to_numpy()
+    return Split(every.dictionary, numbers, ends, chunks, bounds)
+
+
+def split_listed(cut: list[list[str]]) -> Split:
+    """The pieces of texts that were split already, each as a chunk."""
+    coded = pa.array([p for c in cut for p in c], pa.string()).dictionary_encode()
+    ends = np.concatenate([[0], np.cumsum(np.array(list(map(len, cut)), np.int64))])
+    return Split(coded.dictionary, coded.indices.to_numpy().astype(np.int64), ends, np.arange(len(cut)), np.arange(len(cut) + 1))
