@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from titlegraph.llm import ann, bpe, decontaminate, html_extract, language_id, line_dedup, ngram_join, queries, sharding, token_files, url_filter
+from titlegraph.llm import ann, bpe, decontaminate, html_extract, language_id, line_dedup, ngram_join, pretokens, queries, sharding, token_files, url_filter
 
 SF = "/root/testdata/sf0.001"
 PATH = queries.tokenizer_path()
@@ -96,6 +97,10 @@ def test_bpe_of_unusual_texts_and_splits(library):
     half = np.array(library.encode("🙂", add_special_tokens=False).ids[:1], "<u2")
     assert coder.decode(half, np.array([0, 1])).to_pylist() == [library.decode(half.tolist(), skip_special_tokens=False)]
     assert coder.encode([])[0].tolist() == []
+    plain = [t for t in texts if pretokens.chunkable(t)]
+    split = pretokens.split_usual(pa.array(plain))
+    found = dict(zip(split.pieces.to_pylist(), split.counts().tolist()))
+    assert {p: n for p, n in found.items() if n} == Counter(p for t in plain for p in pretokens.FAST.findall(t))
 
 
 def test_lexicon_is_minimal_and_exact():

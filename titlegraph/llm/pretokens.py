@@ -37,10 +37,14 @@ def splitter(pre_tokenizer):
     return split
 
 
+#: White space among the characters that SAFE allows, and a space. Runs of it are pieces that cuts at spaces would part.
+RUNS = [c + " " for c in " \t\n\v\f\r\xa0"]
+
+
 def chunkable(text: str) -> bool:
     """Whether text.split(' ') cuts only where pieces begin, so that the chunks, each but the first with its space in
-    front, are split on their own: so it is for usual characters without two spaces in a row."""
-    return "  " not in text and not UNSAFE.search(text)
+    front, are split on their own: so it is for usual characters where no space follows other white space."""
+    return not any(r in text for r in RUNS) and not UNSAFE.search(text)
 
 
 def keep_half(memo: dict) -> None:
@@ -78,8 +82,8 @@ class Split:
 
 def usual(texts: pa.StringArray) -> pa.BooleanArray:
     """chunkable() of each text."""
-    cls = _SAFE.replace(r"\u00a0", "\u00a0")
-    return pc.invert(pc.or_(pc.match_substring(texts, "  "), pc.match_substring_regex(texts, f"[^{cls}]")))
+    safe, runs = _SAFE.replace(r"\u00a0", "\u00a0"), "|".join(RUNS)
+    return pc.invert(pc.match_substring_regex(texts, f"[^{safe}]|{runs}"))
 
 
 def split_usual(texts: pa.StringArray) -> Split:
