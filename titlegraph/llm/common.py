@@ -65,7 +65,7 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
             yield b.slice(i, rows)
 
 
-def slabs(batches: Iterator[pa.RecordBatch], column: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slabs(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about `size` bytes of text in that column; a longer text is a slice of its own."""
     for b in batches:
         ends = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
