@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from titlegraph.llm import bpe, decontaminate, language_id, line_dedup, ngram_jo
 from titlegraph.llm.common import cut
 from titlegraph.llm.queries import table, tokenizer_path
 
+#: Rows of a batch between Spark and Python; results do not depend on it.
+ROWS = 1_000
+
 
 def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of docs; n_chars follows the text."""
@@ -46,12 +50,29 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.bpe_encode(docs, tokenizer_path(), bpe.build_lexicon(docs, tokenizer_path()))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", identify_language),
-    ("line_dedup", dedup_lines),
-    ("ngram_join", join_near_duplicates),
-    ("decontaminate", decontaminate_documents),
-    ("bpe", encode),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _small_batches(stage: Stage) -> Stage:
+    """The stage with at most ROWS texts at a time on their way to Python, for the memory of executors and workers."""
+
+    @wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return limited
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, _small_batches(stage))
+    for name, stage in (
+        ("language_id", identify_language),
+        ("line_dedup", dedup_lines),
+        ("ngram_join", join_near_duplicates),
+        ("decontaminate", decontaminate_documents),
+        ("bpe", encode),
+    )
 ]
 
 #: Language ID learns its filters; SQL cannot express it.

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, parts
+from .common import cut, parts, tidy
 
 BOOKS, WORDS, BEAM = 24, 256, 4
 #: Bound of the sample that codebooks are learned on, chosen by a hash of vec_id.
@@ -116,7 +116,7 @@ def build_index(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm, pa.float32())], names=["vec_id", "v", "codes", "norm"])
 
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
-    return cut(vectors.mapInArrow(run, f"vec_id {kinds['vec_id']}, v {kinds['v']}, codes binary, norm float"), "ann-index")
+    return cut(vectors.mapInArrow(tidy(run), f"vec_id {kinds['vec_id']}, v {kinds['v']}, codes binary, norm float"), "ann-index")
 
 
 def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int = 20, rerank: int = RERANK, metric: str = "ip", block: int = BLOCK) -> DataFrame:
@@ -166,7 +166,7 @@ def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int =
                         got.append((np.full(len(top), ids[a + i]), vec[near[top]], exact[top]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in range(3)], names=["query_id", "vec_id", "score"])
 
-        found = index.select("vec_id", "v", "codes", "norm").mapInArrow(run, "query_id long, vec_id long, score double")
+        found = index.select("vec_id", "v", "codes", "norm").mapInArrow(tidy(run), "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, scratch, slabs
+from .common import cut, scratch, slabs, tidy
 from .pretokens import byte_characters, keep_half, split_listed, split_usual, splitter, usual
 
 #: Pieces in the lexicon; bounds the automaton (about 6 MB) and what the driver gets.
@@ -367,7 +367,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
                     held = schema.empty_table()
         yield from summed().to_batches(max_chunksize=100_000)
 
-    counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(tidy(count), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     counts = cut(counts.where(F.length("piece") <= 64).withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "pieces")
     # how many pieces are as frequent as each of some 500 levels tells from which level on there are at most `entries`
     least, total = 1 << 30, 0
@@ -420,4 +420,4 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, {names[2]} {'string' if digests else 'array<int>'}, {names[3]} string")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, {names[2]} {'string' if digests else 'array<int>'}, {names[3]} string")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, small, utf8, words
+from .common import LOWER_TABLE, small, tidy, utf8, words
 
 WINDOW = 10
 #: Symbols of a shard: bounds a task's memory.
@@ -215,7 +215,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
                 yield pa.RecordBatch.from_arrays([*b.columns[:k], *cols], names=[f"c{i}" for i in range(k + 3)])
 
         schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(frame.schema))
-        return frame.toDF(*[f"c{i}" for i in range(len(keep) + 3)]).mapInArrow(scan, schema).toDF(*keep, "n_words", "spans", "items")
+        return frame.toDF(*[f"c{i}" for i in range(len(keep) + 3)]).mapInArrow(tidy(scan), schema).toDF(*keep, "n_words", "spans", "items")
 
     for block in range(blocks):
         out = pass_over(out, block)

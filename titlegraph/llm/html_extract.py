@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, small, tidy
 from .url_filter import canonical
 
 #: A place is boilerplate if its importance is below LOW on at least MIN_PAGES different pages of the host.
@@ -214,7 +214,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
                     yield emit()
         yield emit()
 
-    rows = pages.select("host", "html").mapInArrow(count, "host string, place string, content long, page long").distinct()
+    rows = pages.select("host", "html").mapInArrow(tidy(count), "host string, place string, content long, page long").distinct()
     n = rows.groupBy("host", "place", "content").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n")
     return n.groupBy("host", "place").agg(
@@ -246,4 +246,4 @@ def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, url_
             yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=[f"c{i}" for i in range(k + 2)])
 
     schema = ", ".join([f"c{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + [f"c{k} string, c{k + 1} long"])
-    return rows.toDF(*[f"c{i}" for i in range(k + 2)]).mapInArrow(run, schema).toDF(*keep, "text", "n_chars")
+    return rows.toDF(*[f"c{i}" for i in range(k + 2)]).mapInArrow(tidy(run), schema).toDF(*keep, "text", "n_chars")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import small, tidy
 
 N = 4
 PROBES = 3
@@ -133,7 +133,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound
                 values, seen = np.unique(ngrams(texts, n)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(seen, pa.int64())], names=["lang", "gram", "n"])
 
-    grams = rows.mapInArrow(count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = rows.mapInArrow(tidy(count_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))  # a row for each language
     own = grams.join(F.broadcast(totals), "lang").where(F.col("n") >= F.col("total") * share)
     held: dict[str, list[int]] = {r.lang: [] for r in totals.select("lang").collect()}
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
 
     frame = docs.select(*keep)
     schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(frame.schema)] + [f"c{len(keep)} string, c{len(keep) + 1} double"])
-    return frame.toDF(*[f"c{i}" for i in range(len(keep))]).mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")
+    return frame.toDF(*[f"c{i}" for i in range(len(keep))]).mapInArrow(tidy(run), schema).toDF(*keep, "lang_pred", "score")
 
 
 def held_out(id_col):

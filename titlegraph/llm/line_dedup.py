@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, utf8
+from .common import small, tidy, utf8
 
 WINDOW = 3
 #: A line of more words than LONG is cut into pieces of PIECE words: three at least.
@@ -71,7 +71,7 @@ def line_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
                             x.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i in (1, 2) else pa.int64()) for i, x in enumerate(out)], names=["doc_id", "at", "n", "h1", "h2"])
 
-    return docs.mapInArrow(run, "doc_id long, at int, n int, h1 long, h2 long")
+    return docs.mapInArrow(tidy(run), "doc_id long, at int, n int, h1 long, h2 long")
 
 
 def repeated_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:

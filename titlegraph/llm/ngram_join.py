@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, cut, drop, parts, small, utf8
+from .common import LOWER_TABLE, cut, drop, parts, small, tidy, utf8
 from .graph import components
 
 SHINGLE = 5
@@ -161,7 +161,7 @@ class Join:
                 rows = [r for d, t in zip(ids[pick].tolist(), texts, strict=True) if (r := make(d, shingles(t, known))) is not None]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(types)], names=names)
 
-        return self.docs.mapInArrow(run, schema)
+        return self.docs.mapInArrow(tidy(run), schema)
 
     def possible(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (a, b) of class ids whose sizes and signatures leave a link possible; written out."""
@@ -174,7 +174,7 @@ class Join:
                 apart = np.fromiter(map(parities_apart, b.column(4).to_pylist(), b.column(5).to_pylist()), np.int64, b.num_rows)
                 yield b.select([0, 1]).filter(pa.array((apart <= na + nb - 2 * needed(na, nb)) & (np.minimum(na, nb) >= needed(na, nb))))
 
-        return cut(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(may, "a long, b long"), "pairs")
+        return cut(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(tidy(may), "a long, b long"), "pairs")
 
     def verified(self, left: DataFrame) -> DataFrame:
         """The links (a, b) among pairs of class ids."""
@@ -191,7 +191,7 @@ class Join:
                     ok.append(common * DENOMINATOR >= NUMERATOR * (len(x) + len(y) - common))
                 yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-        return cut(full.select("a", "b", "set", "other").mapInArrow(exact, "a long, b long"), "links")
+        return cut(full.select("a", "b", "set", "other").mapInArrow(tidy(exact), "a long, b long"), "links")
 
     def posted(self, rows: DataFrame) -> DataFrame:
         """The distinct pairs (a, b) of different components from postings (token, id, comp, n, at)."""
@@ -265,7 +265,7 @@ class Join:
                         held, size = [], 0
             yield emit()
 
-        return self.docs.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT).select("token")
+        return self.docs.mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT).select("token")
 
     def crossing(self, prefixes: DataFrame) -> np.ndarray:
         """The bitmap of tokens whose documents lie in more than one component.
@@ -311,7 +311,7 @@ class Join:
             found = np.unique(token[1:][token[1:] == token[:-1]])
             return pa.table({"token": pa.array(found.view(np.int64))})
 
-        packed = prefixes.select("comp", "prefix").mapInArrow(pack, "r int, tokens binary, comps binary")
+        packed = prefixes.select("comp", "prefix").mapInArrow(tidy(pack), "r int, tokens binary, comps binary")
         return bitmap(packed.groupBy("r").applyInArrow(merge, "token long"))
 
     def postings(self, prefixes: DataFrame, tokens) -> DataFrame:
@@ -328,7 +328,7 @@ class Join:
                 pick = pa.array(row[hit])
                 yield pa.RecordBatch.from_arrays([pa.array(token[hit].view(np.int64)), *(b.column(i).take(pick) for i in range(3)), pa.array(at[hit], pa.int32())], names=["token", "id", "comp", "n", "at"])
 
-        return prefixes.select("id", "comp", "n", "prefix").mapInArrow(run, "token long, id long, comp long, n int, at int")
+        return prefixes.select("id", "comp", "n", "prefix").mapInArrow(tidy(run), "token long, id long, comp long, n int, at int")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             n = [len(shingles(t, known)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(0)], names=["doc_id", "n_shingles", "component_id"])
 
-    return out.union(lost.mapInArrow(count, "doc_id long, n_shingles long, component_id long"))
+    return out.union(lost.mapInArrow(tidy(count), "doc_id long, n_shingles long, component_id long"))
 
 
 def brute_force(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, parts, scratch, small
+from .common import cut, parts, scratch, small, tidy
 from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
 
 MAGIC = b"TGRANK1\n"
@@ -185,7 +185,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 out.write(blob)
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "first_doc": [doc_ids[0]], "documents": [len(doc_ids)], "ids": [size]})
 
-    manifest = cut(rows.mapInArrow(write, "path string, first_doc long, documents long, ids long"), "token-manifest")
+    manifest = cut(rows.mapInArrow(tidy(write), "path string, first_doc long, documents long, ids long"), "token-manifest")
     order = Window.orderBy("first_doc", "path")  # a row for each file
     return manifest.select((F.row_number().over(order) - 1).alias("file"), "path", "first_doc", "documents", "ids", F.coalesce(F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
 
@@ -220,7 +220,7 @@ def _read(manifest: DataFrame, with_ids: bool) -> DataFrame:
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     spark = manifest.sparkSession
-    return manifest.select("path", "start").repartition(parts(spark)).mapInArrow(read, schema)
+    return manifest.select("path", "start").repartition(parts(spark)).mapInArrow(tidy(read), schema)
 
 
 def token_folder(spark: SparkSession) -> str:
