@@ -28,8 +28,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated passages; a document of which nothing but white space is left goes."""
-    return _same_columns(line_dedup.dedup_lines(docs).where(F.col("text").rlike(r"\S")), docs)
+    """Removes repeated passages of three lines, then those of 51 words at any place; a document of which nothing but white space is left goes."""
+    lines = cut(line_dedup.dedup_lines(docs), "lines")
+    return _same_columns(line_dedup.dedup_passages(lines).where(F.col("text").rlike(r"\S")), docs)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -210,6 +210,41 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(docs).columns == docs.columns and line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def brute_passages(rows):
+    """The texts' words without those that later occurrences of a passage cover, and without layout."""
+    seen, out = {}, []
+    for d, t in sorted(rows):
+        words, gone = t.split(), set()
+        for i in range(len(words) - 50):
+            first = seen.setdefault(tuple(words[i : i + 51]), (d, i))
+            if first != (d, i):
+                gone |= set(range(max(i, first[1] + 51) if first[0] == d else i, i + 51))
+        out.append((d, [w for i, w in enumerate(words) if i not in gone]))
+    return dict(out)
+
+
+def test_passages_at_any_place_equal_brute_force(spark, docs):
+    rng = random.Random(8)
+    new = lambda n: [f"{rng.randrange(10**6)}é" for _ in range(n)]
+    para, loop = new(51), new(3)
+    texts = [" ".join([*new(3), *para, *new(9)]), " ".join(new(20) + para), " ".join(new(2)) + "\n" + " ".join(para[:26]) + "\n" + " ".join(para[26:]) + "\nlast", " ".join(new(2) + para[1:] + new(70)), " ".join(loop * 60), "", " \n ", " ".join(para[5:] + para + new(1)), " ".join(new(50)), "\n".join(new(60))]
+    texts += [" ".join(sum((rng.choice([para[: rng.randint(30, 51)], new(rng.randint(1, 40)), new(5) + para]) for _ in range(4)), [])) for _ in range(30)]
+    texts += [texts[9], " ".join(texts[9].split()[4:58])]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (None, texts[0]), (500, None)], "doc_id long, text string").repartition(4)
+    out = [(r.doc_id, r.text) for r in line_dedup.dedup_passages(df).collect()]
+    want = brute_passages(list(enumerate(texts)))
+    assert {i: t.split() for i, t in out if i is not None and t is not None} == want and len(out) == len(texts) + 3
+    assert out.count((0, texts[0])) == 2 and (None, texts[0]) in out and (500, None) in out
+    assert dict(out)[1] == " ".join(texts[1].split()[:20]) and dict(out)[2] == texts[2].split("\n")[0] + "\nlast" and dict(out)[3] == texts[3]
+    assert line_dedup.dedup_passages(docs).columns == docs.columns and line_dedup.dedup_passages(docs.limit(0)).count() == 0
+
+
+def test_pipeline_removes_passages_within_lines(spark):
+    para = " ".join(f"p{i}" for i in range(55))
+    df = spark.createDataFrame([(1, f"x {para} end"), (2, f"some other words {para}")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, SF).collect()} == {1: f"x {para} end", 2: "some other words"}
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(300)]

@@ -2,26 +2,39 @@
 
 Every three consecutive lines of a document make a window (a document of fewer lines is one window). The first
 occurrence of a window, by (doc_id, place), stays; all lines that any later occurrence covers are removed. A line of
-over 50 words is taken as several lines of 17 words, so that a long paragraph that stands in one line is found too, at
-whatever place it is repeated. Only hashes and places are shuffled to find repeats, pre-aggregated on the map side, so a
-passage that a third of all documents share costs one row a task.
+over 50 words is taken as several lines of 17 words counted from its first word, so that a paragraph that stands in one
+line is found too where it is repeated from a line's start on. Only hashes and places are shuffled to find repeats,
+pre-aggregated on the map side, so a passage that a third of all documents share costs one row a task.
+
+dedup_passages() finds passages of 51 words or more at whatever place they are repeated, within lines and across line ends.
+Every window of 51 words has a sign, the least hash of its runs of 25 words, so equal windows have equal signs. Only
+windows whose sign occurs more than once in the corpus are compared, all of them; there are no misses.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, tidy, utf8
+from .common import cut, slabs, small, tidy, utf8
 
 WINDOW = 3
 #: A line of more words than LONG is cut into pieces of PIECE words: three at least.
 LONG, PIECE = 50, 17
+#: Words of a passage, and of the runs one of which is its sign.
+PASSAGE, GRAM = 51, 25
+#: Signs or windows up to which a table by document is broadcast; a larger one is joined by shuffle.
+BROADCAST_ITEMS = 500_000
+
+_WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_BYTES = np.random.default_rng(8).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
 def units(text: str | None) -> list[tuple[int, bytes]]:
@@ -113,3 +126,140 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", te
         size = count(F.col(text_col))
         columns += [size.alias("n_units"), F.when(hit, F.size("__gone")).otherwise(0).cast("long").alias("n_removed")]
     return joined.select(*columns)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
+    """The polynomial hash modulo 2^64 of each values[start:end]."""
+    powers = np.full(len(values) + 1, base, np.uint64)
+    back = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
+    powers[:1] = back[:1] = 1
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * np.cumprod(powers)[:-1])))
+    return (sums[ends] - sums[starts]) * np.cumprod(back)[starts]
+
+
+def _runs(values: np.ndarray, n: int, base: int = _BASES[0]) -> np.ndarray:
+    at = np.arange(max(0, len(values) - n + 1))
+    return _mix(_hashes(values, at, at + n, base))
+
+
+def _slide(f: np.ufunc, x: np.ndarray, n: int) -> np.ndarray:
+    """f, minimum or maximum, over each n values in a row."""
+    width = 1
+    while 2 * width <= n:
+        x = f(x[:-width], x[width:])
+        width *= 2
+    return f(x[: len(x) - (n - width)], x[n - width :])
+
+
+class Words:
+    """The words of some texts in a row: hash, text, place in its text; and of each window of PASSAGE words its sign."""
+
+    def __init__(self, texts: list[str | None]):
+        parts = [utf8(t) for t in texts]
+        data = np.frombuffer(b"\n".join(parts), np.uint8)
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], _WHITE[data], [True])).astype(np.int8)))
+        self.hash = _mix(_hashes(_BYTES[data], edges[::2], edges[1::2]))
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        self.text = np.searchsorted(ends, edges[::2], "right")
+        self.place = np.arange(len(self.text)) - np.searchsorted(self.text, self.text)
+        n = max(0, len(self.text) - PASSAGE + 1)
+        self.whole = self.text[:n] == self.text[PASSAGE - 1 :] if n else np.zeros(0, bool)
+        self.grams = _runs(self.hash, GRAM)
+        self.sign = _slide(np.minimum, self.grams, PASSAGE - GRAM + 1) if n else np.zeros(0, np.uint64)
+
+    def signs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, sign, times) of the runs of GRAM words that are the sign of a window."""
+        if not self.whole.any():
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        n = PASSAGE - GRAM
+        at = np.flatnonzero(_slide(np.maximum, np.pad(np.where(self.whole, self.sign, 0).astype(np.uint64), n), n + 1) == self.grams)
+        found = np.empty(len(at), [("text", np.int64), ("sign", np.uint64)])
+        found["text"], found["sign"] = self.text[at], self.grams[at]
+        found, times = np.unique(found, return_counts=True)
+        return found["text"], found["sign"], times
+
+    def windows(self, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place, h1, h2) of each window whose sign is one of signs."""
+        at = np.flatnonzero(self.whole & np.isin(self.sign, signs))
+        h1, h2 = (_runs(x, PASSAGE, b)[at] for x, b in zip((self.hash, _mix(~self.hash)), _BASES, strict=True))
+        return self.text[at], self.place[at], h1, h2
+
+
+def without_words(text: str, gone: list[tuple[int, int]]) -> str:
+    """text without the words numbered from start to end of each of gone; lines that lose nothing stay as they are."""
+    cut_out = {i for a, z in gone for i in range(a, z)}
+    out, at = [], 0
+    for line in utf8(text).split(b"\n"):
+        words = line.split()
+        kept = [w for i, w in enumerate(words, at) if i not in cut_out]
+        at += len(words)
+        if len(kept) == len(words):
+            out.append(line)
+        elif kept:
+            out.append(b" ".join(kept))
+    return b"\n".join(out).decode("utf-8", "surrogatepass")
+
+
+def _by_document(items: DataFrame, column: str, name: str) -> DataFrame:
+    """items (doc_id, copy, column: an array), written, with a hint to broadcast them if they are few."""
+    items = cut(items, name)
+    few = (items.agg(F.sum(F.size(column))).first()[0] or 0) <= BROADCAST_ITEMS
+    items = items.select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), F.col(column).alias("__" + column))
+    return F.broadcast(items) if few else items
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, copy, gone array<struct<start int, end int>>): the words that repeat an earlier passage.
+
+    docs is (doc_id, copy, text), where copy tells texts of one doc_id apart. The first occurrence, by (doc_id, copy, place),
+    stays whole, also where a later one overlaps it.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slabs(batches, 2, 1 << 19):
+            text, signs, times = Words(b.column(2).to_pylist()).signs()
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), pa.array(signs.view(np.int64)), pa.array(times.astype(np.int64))], names=["doc_id", "copy", "sign", "times"])
+
+    def window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slabs(batches, 2, 1 << 19):
+            wanted = np.unique(b.column(3).flatten().to_numpy(zero_copy_only=False)).view(np.uint64)
+            text, place, h1, h2 = Words(b.column(2).to_pylist()).windows(wanted)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), pa.array(place.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["doc_id", "copy", "at", "h1", "h2"])
+
+    signs = docs.select("doc_id", "copy", "text").mapInArrow(tidy(sign), "doc_id long, copy long, sign long, times long")
+    again = signs.groupBy("sign").agg(F.sum("times").alias("n")).where("n > 1").select("sign")
+    own = _by_document(signs.join(again, "sign").groupBy("doc_id", "copy").agg(F.collect_set("sign").alias("signs")), "signs", "passage-signs")
+    hit = docs.join(own, (F.col("doc_id") == F.col("__id")) & (F.col("copy") == F.col("__copy")))
+    windows = cut(hit.select("doc_id", "copy", "text", "__signs").mapInArrow(tidy(window), "doc_id long, copy long, at int, h1 long, h2 long"), "passage-windows")
+    key, place = ["h1", "h2"], F.struct("doc_id", "copy", "at")
+    first = windows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(*key, "first")
+    later = windows.join(first, key).where(place > F.col("first"))
+    same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
+    start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + PASSAGE)).otherwise(F.col("at"))
+    return later.groupBy("doc_id", "copy").agg(F.collect_list(F.struct(start.alias("start"), (F.col("at") + PASSAGE).alias("end"))).alias("gone"))
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the words of passages of PASSAGE words or more that stand earlier in the corpus, at whatever place.
+
+    Words are what white space parts; line ends part words like spaces. Nulls stay null. Rows that share a doc_id and a text
+    are one document; rows with a null doc_id stay as they are and take no part. Other columns pass through.
+    """
+    copy = F.xxhash64(F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), copy.alias("copy"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
+    gone = _by_document(repeated_passages(rows), "gone", "passages-gone")
+    joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (copy == F.col("__copy")), "left")
+
+    @F.pandas_udf("string")
+    def cleaned(text: pd.Series, drop: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None or d is None else without_words(t, [(s["start"], s["end"]) for s in d]) for t, d in zip(text, drop, strict=True)], dtype=object)
+
+    hit = F.col("__gone").isNotNull()
+    text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.col("__gone"))).otherwise(F.col(text_col))
+    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
