@@ -210,6 +210,13 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(docs).columns == docs.columns and line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_looks_past_blank_lines(spark):
+    passage = "first line here\n\nsecond line here\n\n\nthird line here"
+    rows = [(1, f"one text\n\nReferences\n\n{passage}\n\nend"), (2, "other text\n\nReferences\n\nmore of it\n\nlast"), (3, f"new\n\n{passage.replace(chr(10) * 3, chr(10))}\n\nown"), (4, "\nReferences\n"), (5, "\n\n"), (6, "References\n")]
+    out = {r.doc_id: (r.text, r.n_units, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()}
+    assert out == {1: (rows[0][1], 12, 0), 2: (rows[1][1], 7, 0), 3: ("new\n\n\nown", 8, 4), 4: (rows[3][1], 3, 0), 5: (rows[4][1], 3, 0), 6: ("", 2, 1)}
+
+
 def brute_passages(rows):
     """The texts' words without those that later occurrences of a passage cover, and without layout."""
     seen, out = {}, []

@@ -1,6 +1,7 @@
 """Operator 8: repeated passages of three lines, across the whole corpus.
 
-Every three consecutive lines of a document make a window (a document of fewer lines is one window). The first
+Every three consecutive lines of a document that are not blank make a window (a document of fewer is one window); the
+blank lines between them go with them. The first
 occurrence of a window, by (doc_id, place), stays; all lines that any later occurrence covers are removed. A line of
 over 50 words is taken as several lines of 17 words counted from its first word, so that a paragraph that stands in one
 line is found too where it is repeated from a line's start on. Only hashes and places are shuffled to find repeats,
@@ -65,26 +66,26 @@ def without(text: str, gone: set[int]) -> str:
 
 
 def line_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(doc_id, at, n, h1, h2) of each window of docs (doc_id, text): its first unit, its units and its 128-bit hash.
+    """(doc_id, at, span, n, h1, h2) of each window of docs (doc_id, text): its first unit, how many units it covers, how many of
+    them are not blank, and its 128-bit hash.
 
-    Windows of blank lines only do not count.
+    Blank units do not count towards a window.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            out: list[list[int]] = [[], [], [], [], []]
+            out: list[list[int]] = [[], [], [], [], [], []]
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = [u for _, u in units(t)]
+                own = [(k, u) for k, (_, u) in enumerate(units(t)) if u]
                 n = min(width, len(own))
                 for i in range(len(own) - n + 1 if own else 0):
-                    joined = b"\n".join(own[i : i + n])
-                    if joined.strip():
-                        h = xxhash.xxh3_128_intdigest(joined)
-                        for x, v in zip(out, (d, i, n, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)), strict=True):
-                            x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i in (1, 2) else pa.int64()) for i, x in enumerate(out)], names=["doc_id", "at", "n", "h1", "h2"])
+                    h = xxhash.xxh3_128_intdigest(b"\n".join(u for _, u in own[i : i + n]))
+                    at, end = own[i][0], own[i + n - 1][0]
+                    for x, v in zip(out, (d, at, end - at + 1, n, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)), strict=True):
+                        x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i in (1, 2, 3) else pa.int64()) for i, x in enumerate(out)], names=["doc_id", "at", "span", "n", "h1", "h2"])
 
-    return docs.mapInArrow(tidy(run), "doc_id long, at int, n int, h1 long, h2 long")
+    return docs.mapInArrow(tidy(run), "doc_id long, at int, span int, n int, h1 long, h2 long")
 
 
 def repeated_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -94,7 +95,7 @@ def repeated_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     first = windows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(*key, "first")
     later = windows.join(first, key).where(F.struct("doc_id", "at") > F.col("first"))
     # a document's own windows: no more than it has lines
-    covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("n") - 1)))))
+    covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("span") - 1)))))
     return later.groupBy("doc_id").agg(covered.alias("gone"))
 
 
