@@ -127,6 +127,15 @@ def test_extract_drops_what_is_not_the_article(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_extract_keeps_sections_whose_ids_are_words_of_marks(spark):
+    inner = "<h2 id='side-effects'>one</h2><section id='modal-logic'>two</section><section class='related-work'>three</section><div id='search-engine'>four</div><h3 class='header' id='search'>five</h3><section id='advertising'>six</section><div class='promontory'>seven</div>"
+    pages = [(1, "http://a.b/", f"<body><article>{inner}<div class='x ads'>no</div><div id='comments'>no</div></article>"), (2, "http://a.b/", f"<body>{inner}<div class='site-footer'>no</div><div class='search'>no</div><div class='comment-list'>no</div></body>")]
+    pages += [(10 + i, f"http://s.t/{i}", f"<article><p>text {i}</p><section id='side-effects'>{'same' if i % 3 else 'other'}</section><section id='modal-logic'>own {i}</section></article>") for i in range(20)]
+    out = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out[1] == out[2] == "one\ntwo\nthree\nfour\nfive\nsix\nseven"
+    assert all(out[10 + i] == f"text {i}\nown {i}" for i in range(20))  # a possible mark that the style tree confirms
+
+
 def test_url_rules(spark):
     rules = spark.createDataFrame([("com", "/en/", "block"), ("example.com", "/en/7", "allow")], "host string, path string, verdict string")
     urls = ["http://WWW.Example.COM/en/71?x", "https://b.com/en/1", "http://acom/en/1", "no url", None, "http://com/en/#f", "http://example.com/EN/7", ""]

@@ -7,7 +7,8 @@
    all tasks and only its places, not its pages, meet.
 3. A page's text is that of its article (or body) without branches whose place has low importance, and without the
    branches that the page itself marks as menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-   comments by tag, role, class or id.
+   comments by tag, role, class or id. Classes and ids that only may be marks, such as the id 'side-effects' or the class
+   'related' in an article, need a place of no more than middling importance beside.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from .url_filter import canonical
 
 #: A place is boilerplate if its importance is below LOW on at least MIN_PAGES different pages of the host.
 LOW, MIN_PAGES = 0.2, 5
+#: A class or id that may be a mark is one if the place's importance is below CONFIRMED.
+CONFIRMED = 0.5
 #: Rows of the table of boilerplate places up to which it is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -48,22 +51,42 @@ _CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _MARK = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|widget|ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|comments?|replies|disqus|related|login|signup|search|toolbar|copyright|disclaimer|pagination|pager)(?:$|[\s_-])",
+    r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|widget|ads?|advert(?:s|isements?|ising|orials?)?|banner|promo(?:s|tions?|tional|ted)?|sponsor(?:s|ed|ship)?|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|comments?|replies|disqus|related|login|signup|search|toolbar|copyright|disclaimer|pagination|pager",
     re.I,
 )
+#: Marks that are also words of headings, from which ids are made.
+_WEAK = frozenset("side search related modal navigation notice consent copyright disclaimer advertising promotion sponsorship".split())
+_UNMARKED = frozenset("html body article main h1 h2 h3 h4 h5 h6 hgroup".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert toolbar".split())
 
 
 class Node:
-    __slots__ = ("tag", "place", "skip", "children", "parent")
+    __slots__ = ("tag", "place", "skip", "weak", "inside", "children", "parent")
 
-    def __init__(self, tag: str, place: str, skip: bool, parent: Node | None):
-        self.tag, self.place, self.skip, self.children, self.parent = tag, place, skip, [], parent
+    def __init__(self, tag: str, place: str, skip: bool, weak: bool, parent: Node | None):
+        self.tag, self.place, self.skip, self.weak, self.children, self.parent = tag, place, skip, weak, [], parent
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+
+
+def marked(name: str, classes: str, own_id: str, inside: bool) -> tuple[bool, bool]:
+    """Whether class and id mark an element as no part of the text: surely, and if the style tree confirms it.
+
+    A whole class or id that is a mark is sure, but for weak marks in ids and inside an article; so is a class of which a
+    part is a mark that is not weak, outside of articles. Other parts are not sure. Headings are never marked.
+    """
+    sure = weak = False
+    if name not in _UNMARKED:
+        for token, free in [*((c, not inside) for c in classes.split()), (own_id.strip(), False)]:
+            found = [x.lower() for x in re.split("[_-]", token) if _MARK.fullmatch(x)]
+            strong = any(x not in _WEAK for x in found)
+            weak = weak or bool(found)
+            sure = sure or strong and (free or found == [token.lower()]) or free and found == [token.lower()]
+    return sure, weak
 
 
 def parse(page: str) -> Node:
     """The page's tree of block elements; inline elements leave their text in their parents."""
-    root = Node("#", "", False, None)
+    root = Node("#", "", False, False, None)
     node, at, size = root, 0, len(page)
     hidden = 0  # inline elements that are open and to be skipped, by nesting
     while at < size:
@@ -117,14 +140,16 @@ def parse(page: str) -> Node:
                 node = last.parent
         elif node.tag == "p" or node.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and name[0] == "h" and name[1:].isdigit():
             node = node.parent
-        label, skip = name, name in _SKIP
+        label, skip, weak = name, name in _SKIP, False
         if m.group(3).strip(" /\n\t"):
             attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m.group(3))}
             marks = " ".join(attrs[k] for k in ("class", "id") if k in attrs)
             label += "." + marks if marks else ""
             skip = skip or attrs.get("role", "").lower() in _ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-            skip = skip or bool(marks and name not in ("html", "body", "article", "main") and _MARK.search(marks))
-        child = Node(name, f"{node.place}/{label}", skip, node)
+            if marks:
+                sure, weak = marked(name, attrs.get("class", ""), attrs.get("id", ""), node.inside)
+                skip = skip or sure
+        child = Node(name, f"{node.place}/{label}", skip, weak, node)
         node.children.append(child)
         node = child
     return root
@@ -150,7 +175,10 @@ def _clean(raw: str) -> str:
 
 
 def blocks(root: Node, low: frozenset = frozenset()) -> list[str]:
-    """The page's blocks of text in order, without branches that are marked or in low places."""
+    """The page's blocks of text in order, without branches that are marked or in low places.
+
+    A branch with a mark that is not sure goes if low has its place after a "?".
+    """
     out: list[str] = []
     for top in _main(root):
         todo, text = [(top, 0)], []
@@ -164,7 +192,7 @@ def blocks(root: Node, low: frozenset = frozenset()) -> list[str]:
                     continue
                 out.append(_clean("".join(text)))
                 text = []
-                if c is not None and not c.skip and c.place not in low:
+                if c is not None and not c.skip and c.place not in low and not (c.weak and f"?{c.place}" in low):
                     todo += [(n, i)]
                     n, i = c, 0
             out.append(_clean("".join(text)))
@@ -233,7 +261,9 @@ def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, url_
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     host = canonical(F.col(url_col))[0]
     tree = style_tree(pages.select(host.alias("host"), F.col(html_col).cast("string").alias("html")))
-    poor = cut(tree.where((F.col("pages") >= min_pages) & (F.col("importance") < low)).select("host", "place"), "low-places")
+    poor = (F.col("importance") < low) | (F.col("importance") < CONFIRMED) & F.col("place").contains(".")  # a class or id follows a dot
+    name = F.when(F.col("importance") < low, F.col("place")).otherwise(F.concat(F.lit("?"), F.col("place")))
+    poor = cut(tree.where((F.col("pages") >= min_pages) & poor).select("host", name.alias("place")), "low-places")
     own = poor.groupBy("host").agg(F.collect_set("place").alias("__low")).withColumnRenamed("host", "__host")  # a host's templates
     rows = pages.select(*keep, F.col(html_col).cast("string").alias("__html"), host.alias("__at"))
     few = poor.count() <= BROADCAST_ROWS
