@@ -14,6 +14,8 @@ from titlegraph.llm.queries import table, tokenizer_path
 
 #: Rows of a batch between Spark and Python; results do not depend on it.
 ROWS = 1_000
+#: doc_ids of several rows up to which their table is broadcast; a larger one is joined by shuffle.
+REPEATED_IDS = 500_000
 
 
 def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
@@ -34,10 +36,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id."""
+    """Keeps of each group of near duplicates the document with the smallest id, and one row of those that repeat its id and text.
+
+    Rows with a null doc_id are in no group and all stay.
+    """
     groups = ngram_join.near_duplicates(docs)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id") == F.col("__keep"), "left_semi")
+    keep = cut(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__keep")).agg(F.count(F.lit(1)).alias("n")), "keep")
+    once, more = keep.where("n = 1"), keep.where("n > 1")
+    if more.count() <= REPEATED_IDS:
+        more = F.broadcast(more)
+    same = F.col("doc_id") == F.col("__keep")
+    repeated = docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(once, same, "left_semi").unionByName(repeated).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -279,6 +279,14 @@ def test_near_duplicates_equal_brute_force(spark):
     assert ngram_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pipeline_keeps_null_ids_and_one_row_of_repeats(spark):
+    t, u = "a b c d e f g", "some other text of its own"
+    rows = [(1, t), (1, t), (2, t), (3, u), (3, u), (4, "only one here to keep"), (None, t), (None, t), (None, "lone")]
+    out = dict(corpus_pipeline.STAGES)["ngram_join"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, t), (3, u), rows[5], *rows[6:]], key=str)
+    assert out.columns == ["doc_id", "text"]
+
+
 def test_pipeline(spark, library):
     out = corpus_pipeline.run(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
