@@ -192,9 +192,9 @@ class Words:
         return self.text[at], self.place[at], h1, h2
 
 
-def without_words(text: str, gone: list[tuple[int, int]]) -> str:
-    """text without the words numbered from start to end of each of gone; lines that lose nothing stay as they are."""
-    cut_out = {i for a, z in gone for i in range(a, z)}
+def without_words(text: str, gone: np.ndarray) -> str:
+    """text without the words numbered from start to end of each of gone (start << 32 | end); lines that lose nothing stay as they are."""
+    cut_out = {i for g in np.unique(gone).tolist() for i in range(g >> 32, g & (1 << 32) - 1)}
     out, at = [], 0
     for line in utf8(text).split(b"\n"):
         words = line.split()
@@ -216,7 +216,7 @@ def _by_document(items: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, gone array<struct<start int, end int>>): the words that repeat an earlier passage.
+    """(doc_id, copy, gone array<long>): the words that repeat an earlier passage, each item start << 32 | end.
 
     docs is (doc_id, copy, text), where copy tells texts of one doc_id apart. The first occurrence, by (doc_id, copy, place),
     stays whole, also where a later one overlaps it.
@@ -243,7 +243,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     later = windows.join(first, key).where(place > F.col("first"))
     same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
     start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + PASSAGE)).otherwise(F.col("at"))
-    return later.groupBy("doc_id", "copy").agg(F.collect_list(F.struct(start.alias("start"), (F.col("at") + PASSAGE).alias("end"))).alias("gone"))
+    return later.groupBy("doc_id", "copy").agg(F.collect_list(F.shiftleft(start.cast("long"), 32) + F.col("at") + PASSAGE).alias("gone"))
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,7 +259,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     @F.pandas_udf("string")
     def cleaned(text: pd.Series, drop: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None or d is None else without_words(t, [(s["start"], s["end"]) for s in d]) for t, d in zip(text, drop, strict=True)], dtype=object)
+        return pd.Series([None if t is None or d is None else without_words(t, d) for t, d in zip(text, drop, strict=True)], dtype=object)
 
     hit = F.col("__gone").isNotNull()
     text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.col("__gone"))).otherwise(F.col(text_col))
