@@ -59,6 +59,22 @@ def drop(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Tables:
+    """Tables written with cut() that go together when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.held.append(cut(df, name))
+        return self.held[-1]
+
+    def drop(self) -> None:
+        for df in self.held:
+            drop(self.spark, df)
+        self.held.clear()
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a few rows, so that a worker holds few texts and results as Python objects at a time."""
     for b in batches:

@@ -223,12 +223,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """docs, same columns, with benchmark passages removed from the text; documents without any stay as they are."""
-    cleaned = F.udf(lambda t, spans: None if t is None else without(t, [(s.start, s.end) for s in spans]), "string")
-    marked = mark(docs, benchmark, text_col=text_col, **options)
+    """docs, same columns and other values, with benchmark passages removed from the text; documents without any stay as
+    they are."""
+    inner = [f"c{i}" for i in range(len(docs.columns))]  # names of our own, so that none clashes with what mark() adds
+    at = inner[docs.columns.index(text_col)]
+
+    @F.arrow_udf("string")
+    def cleaned(text: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([None if t is None or s is None else without(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+
+    marked = mark(docs.toDF(*inner), benchmark, text_col=at, **options)
     hit = F.size("spans") > 0  # only these texts are sent to Python again
-    text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.when(hit, F.col("spans")))).otherwise(F.col(text_col))
-    return marked.select(*[text.alias(c) if c == text_col else c for c in docs.columns])
+    text = F.when(hit, cleaned(F.when(hit, F.col(at)), F.when(hit, F.col("spans")))).otherwise(F.col(at))
+    return marked.select(*[text.alias(c) if c == at else c for c in inner]).toDF(*docs.columns)
 
 
 def items_digest(items):

@@ -142,13 +142,13 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound
     return Filters({k: np.array(v, np.int64).view(np.uint64) for k, v in held.items()})
 
 
-def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score added (columns of these names are replaced). Only the text is used.
+def identify(docs: DataFrame, filters: Filters, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with lang_pred and score (or other names) added; columns of these names are replaced. Only the text is used.
 
     A null text, or one without a letter, is 'und' with score 0; a text whose n-grams are in no filter gets the first
     language with score 0; filters without languages call everything 'und'. Repeated rows get equal results.
     """
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in docs.columns if c not in names]
     at, held = keep.index(text_col), docs.sparkSession.sparkContext.broadcast(filters)  # at most 64 / SHARE n-grams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
 
     frame = docs.select(*keep)
     schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(frame.schema)] + [f"c{len(keep)} string, c{len(keep) + 1} double"])
-    return frame.toDF(*[f"c{i}" for i in range(len(keep))]).mapInArrow(tidy(run), schema).toDF(*keep, "lang_pred", "score")
+    return frame.toDF(*[f"c{i}" for i in range(len(keep))]).mapInArrow(tidy(run), schema).toDF(*keep, *names)
 
 
 def held_out(id_col):

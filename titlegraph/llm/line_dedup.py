@@ -1,15 +1,23 @@
-"""Operator 8: repeated passages of three lines, across the whole corpus.
-
-Every three consecutive lines of a document that are not blank make a window (a document of fewer is one window); the
-blank lines between them go with them. The first
-occurrence of a window, by (doc_id, place), stays; all lines that any later occurrence covers are removed. A line of
-over 50 words is taken as several lines of 17 words counted from its first word, so that a paragraph that stands in one
-line is found too where it is repeated from a line's start on. Only hashes and places are shuffled to find repeats,
-pre-aggregated on the map side, so a passage that a third of all documents share costs one row a task.
-
-dedup_passages() finds passages of 51 words or more at whatever place they are repeated, within lines and across line ends.
-Every window of 51 words has a sign, the least hash of its runs of 25 words, so equal windows have equal signs. Only
-windows whose sign occurs more than once in the corpus are compared, all of them; there are no misses.
+"""Operator 8: repeated passages, across the whole corpus, by overlapping windows.
+
+Two kinds of windows are looked for, in every text alike:
+
+- three lines in a row that are not blank (a document of fewer such lines is one window), and
+- 51 words in a row, wherever they begin, within lines and across line ends.
+
+A window that stands earlier, by (doc_id, text's hash, place), is removed where it stands again; overlapping windows merge.
+Of word windows the first occurrence stays whole, also where a later one of the same text overlaps it.
+
+1. One scan hashes lines and words. It writes a mark for each line window and for each *anchor*: a run of 25 words that
+   has the least hash of the runs in some word window, its sign. Equal windows have equal signs, so a repeated window has
+   a repeated sign; there is about one anchor to 14 words.
+2. Marks are counted by key (line window, or sign). Only those of repeated keys go on.
+3. An anchor's context, its words and 26 on each side, holds all windows whose sign it is. A context that stands earlier
+   repeats all of them, so long copies cost a row for each anchor. Only signs with several contexts, at the edges of
+   passages, have their windows compared one by one, in a second scan of the documents that hold such signs.
+
+Counts are summed on the map side, so a passage that a third of all documents share costs a row a task; its occurrences
+meet what is known of it in a join that adaptive execution can split. No window is missed, dropped or capped.
 """
 
 from __future__ import annotations
@@ -17,250 +25,273 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slabs, small, tidy, utf8
+from .common import Tables, cut, slabs, tidy, utf8
 
 WINDOW = 3
-#: A line of more words than LONG is cut into pieces of PIECE words: three at least.
-LONG, PIECE = 50, 17
 #: Words of a passage, and of the runs one of which is its sign.
 PASSAGE, GRAM = 51, 25
-#: Signs or windows up to which a table by document is broadcast; a larger one is joined by shuffle.
-BROADCAST_ITEMS = 500_000
+#: Rows of 16 bytes (keys), or items of arrays, up to which a table is broadcast; a larger one is joined by shuffle.
+BROADCAST_KEYS, BROADCAST_ITEMS = 2_000_000, 500_000
+#: Bytes of text that a worker hashes at a time.
+SLAB = 1 << 19
 
 _WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _BYTES = np.random.default_rng(8).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
-def units(text: str | None) -> list[tuple[int, bytes]]:
-    """(line number, words joined by one space) of each line, or of each piece of a long line."""
-    out = []
-    if text is not None:
-        for i, line in enumerate(utf8(text).split(b"\n")):
-            words = line.split()
-            if len(words) > LONG:
-                out += [(i, b" ".join(words[k : k + PIECE])) for k in range(0, len(words), PIECE)]
-            else:
-                out.append((i, b" ".join(words)))
-    return out
-
-
-def without(text: str, gone: set[int]) -> str:
-    """text without the units numbered in gone; lines that lose nothing stay as they are."""
-    left: dict[int, list[bytes]] = {}
-    cut = set()
-    for n, (line, words) in enumerate(units(text)):
-        left.setdefault(line, [])
-        if n in gone:
-            cut.add(line)
-        else:
-            left[line].append(words)
-    lines = utf8(text).split(b"\n")
-    return b"\n".join(b" ".join(kept) if i in cut else lines[i] for i, kept in left.items() if kept or i not in cut).decode("utf-8", "surrogatepass")
-
-
-def line_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(doc_id, at, span, n, h1, h2) of each window of docs (doc_id, text): its first unit, how many units it covers, how many of
-    them are not blank, and its 128-bit hash.
-
-    Blank units do not count towards a window.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
-            out: list[list[int]] = [[], [], [], [], [], []]
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = [(k, u) for k, (_, u) in enumerate(units(t)) if u]
-                n = min(width, len(own))
-                for i in range(len(own) - n + 1 if own else 0):
-                    h = xxhash.xxh3_128_intdigest(b"\n".join(u for _, u in own[i : i + n]))
-                    at, end = own[i][0], own[i + n - 1][0]
-                    for x, v in zip(out, (d, at, end - at + 1, n, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)), strict=True):
-                        x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i in (1, 2, 3) else pa.int64()) for i, x in enumerate(out)], names=["doc_id", "at", "span", "n", "h1", "h2"])
-
-    return docs.mapInArrow(tidy(run), "doc_id long, at int, span int, n int, h1 long, h2 long")
-
-
-def repeated_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(doc_id, gone array<int>): the sorted units that later occurrences cover; only documents that have any."""
-    windows = line_windows(docs, width)
-    key, place = ["h1", "h2", "n"], F.struct("doc_id", "at")
-    first = windows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(*key, "first")
-    later = windows.join(first, key).where(F.struct("doc_id", "at") > F.col("first"))
-    # a document's own windows: no more than it has lines
-    covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("span") - 1)))))
-    return later.groupBy("doc_id").agg(covered.alias("gone"))
-
-
-def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", report: bool = False) -> DataFrame:
-    """docs without the lines that repeat an earlier passage; with report, also n_units and n_removed (long).
-
-    Null texts stay null and have no units; blank texts stay as they are. Rows that share a doc_id are one document: they
-    lose the same units, and exact copies of a row lose none to each other. Rows with a null doc_id stay as they are and
-    take no part. Other columns pass through, whatever their names. An empty table gives no rows.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    gone = repeated_lines(rows, width).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")
-
-    @F.pandas_udf("string")
-    def cleaned(text: pd.Series, drop: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None or d is None else without(t, set(d.tolist())) for t, d in zip(text, drop, strict=True)], dtype=object)
-
-    hit = F.col("__gone").isNotNull() & F.col(text_col).isNotNull()
-    # only the texts that change are sent to Python
-    text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.col("__gone"))).otherwise(F.col(text_col))
-    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    if report:
-
-        @F.pandas_udf("long")
-        def count(text: pd.Series) -> pd.Series:
-            return pd.Series([len(units(t)) for t in text], dtype="int64")
-
-        size = count(F.col(text_col))
-        columns += [size.alias("n_units"), F.when(hit, F.size("__gone")).otherwise(0).cast("long").alias("n_removed")]
-    return joined.select(*columns)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
-    """The polynomial hash modulo 2^64 of each values[start:end]."""
-    powers = np.full(len(values) + 1, base, np.uint64)
-    back = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
-    powers[:1] = back[:1] = 1
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * np.cumprod(powers)[:-1])))
-    return (sums[ends] - sums[starts]) * np.cumprod(back)[starts]
+class Rolling:
+    """The polynomial hashes modulo 2^64 of runs of values."""
+
+    def __init__(self, values: np.ndarray, base: int = _BASES[0]):
+        powers = np.full(len(values) + 1, base, np.uint64)
+        self.back = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
+        powers[:1] = self.back[:1] = 1
+        self.back = np.cumprod(self.back)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * np.cumprod(powers)[:-1])))
 
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
 
-def _runs(values: np.ndarray, n: int, base: int = _BASES[0]) -> np.ndarray:
-    at = np.arange(max(0, len(values) - n + 1))
-    return _mix(_hashes(values, at, at + n, base))
 
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """Where the least of each n values in a row stands, the first of equals."""
+    at = np.arange(len(x), dtype=np.int32)
+
+    def step(x: np.ndarray, at: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
+        right = x[by:] < x[: len(x) - by]
+        return np.where(right, x[by:], x[: len(x) - by]), np.where(right, at[by:], at[: len(at) - by])
 
-def _slide(f: np.ufunc, x: np.ndarray, n: int) -> np.ndarray:
-    """f, minimum or maximum, over each n values in a row."""
     width = 1
     while 2 * width <= n:
-        x = f(x[:-width], x[width:])
+        x, at = step(x, at, width)
         width *= 2
-    return f(x[: len(x) - (n - width)], x[n - width :])
+    return step(x, at, n - width)[1] if n > width else at
 
 
 class Words:
-    """The words of some texts in a row: hash, text, place in its text; and of each window of PASSAGE words its sign."""
+    """The words of some texts in a row: hash, text, line (blank ones counted), and where each text begins and ends."""
 
     def __init__(self, texts: list[str | None]):
         parts = [utf8(t) for t in texts]
         data = np.frombuffer(b"\n".join(parts), np.uint8)
         edges = np.flatnonzero(np.diff(np.concatenate(([True], _WHITE[data], [True])).astype(np.int8)))
-        self.hash = _mix(_hashes(_BYTES[data], edges[::2], edges[1::2]))
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        self.text = np.searchsorted(ends, edges[::2], "right")
-        self.place = np.arange(len(self.text)) - np.searchsorted(self.text, self.text)
-        n = max(0, len(self.text) - PASSAGE + 1)
-        self.whole = self.text[:n] == self.text[PASSAGE - 1 :] if n else np.zeros(0, bool)
-        self.grams = _runs(self.hash, GRAM)
-        self.sign = _slide(np.minimum, self.grams, PASSAGE - GRAM + 1) if n else np.zeros(0, np.uint64)
-
-    def signs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, sign, times) of the runs of GRAM words that are the sign of a window."""
-        if not self.whole.any():
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        n = PASSAGE - GRAM
-        at = np.flatnonzero(_slide(np.maximum, np.pad(np.where(self.whole, self.sign, 0).astype(np.uint64), n), n + 1) == self.grams)
-        found = np.empty(len(at), [("text", np.int64), ("sign", np.uint64)])
-        found["text"], found["sign"] = self.text[at], self.grams[at]
-        found, times = np.unique(found, return_counts=True)
-        return found["text"], found["sign"], times
-
-    def windows(self, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, place, h1, h2) of each window whose sign is one of signs."""
-        at = np.flatnonzero(self.whole & np.isin(self.sign, signs))
-        h1, h2 = (_runs(x, PASSAGE, b)[at] for x, b in zip((self.hash, _mix(~self.hash)), _BASES, strict=True))
-        return self.text[at], self.place[at], h1, h2
-
-
-def without_words(text: str, gone: np.ndarray) -> str:
-    """text without the words numbered from start to end of each of gone (start << 32 | end); lines that lose nothing stay as they are."""
-    cut_out = {i for g in np.unique(gone).tolist() for i in range(g >> 32, g & (1 << 32) - 1)}
-    out, at = [], 0
+        self.hash = Rolling(_BYTES[data]).of(edges[::2], edges[1::2])
+        self.text = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), edges[::2], "right")
+        self.line = np.searchsorted(np.flatnonzero(data == 10), edges[::2])
+        self.begin = np.searchsorted(self.text, np.arange(len(parts)))
+        self.end = np.searchsorted(self.text, np.arange(len(parts)), "right")
+
+    def rolling(self) -> tuple[Rolling, Rolling]:
+        return Rolling(self.hash), Rolling(_mix(~self.hash), _BASES[1])
+
+    def lines(self, width: int, rolling: tuple[Rolling, Rolling]) -> tuple[np.ndarray, ...]:
+        """(h1, h2, first word, end) of each window of `width` lines that are not blank; of all of them, if a text has fewer."""
+        first = np.flatnonzero(np.concatenate(([True], self.line[1:] != self.line[:-1]))) if len(self.line) else np.zeros(0, np.int64)
+        after = np.concatenate((first[1:], [len(self.line)])) if len(first) else first
+        own = self.text[first]
+        n = np.minimum(np.bincount(own, minlength=len(self.begin))[own], width) if len(own) else own
+        at = np.arange(len(first))
+        last = at + n - 1
+        ok = last < len(first)
+        ok[ok] = own[last[ok]] == own[ok]
+        at, last = at[ok], last[ok]
+        h1, h2 = (Rolling(r.of(first, after), b).of(at, last + 1) for r, b in zip(rolling, _BASES, strict=True))
+        return h1, h2, first[at], after[last]
+
+    def anchors(self, size: int, gram: int, rolling: tuple[Rolling, Rolling]) -> tuple[np.ndarray, ...]:
+        """(sign, context, first window, end of the windows) of each anchor; windows by their first word."""
+        none = np.zeros(0, np.int64)
+        n, reach = len(self.text) - size + 1, size - gram
+        if n < 1 or not (whole := self.text[:n] == self.text[size - 1 :]).any():
+            return none.astype(np.uint64), none.astype(np.uint64), none, none
+        at = np.arange(len(self.text) - gram + 1)
+        grams = rolling[0].of(at, at + gram)
+        place = _least(grams, reach + 1)[:n]
+        windows = np.flatnonzero(whole)
+        new = np.concatenate(([True], (place[windows[1:]] != place[windows[:-1]]) | (windows[1:] != windows[:-1] + 1)))
+        starts = np.flatnonzero(new)
+        low, high = windows[starts], windows[np.concatenate((starts[1:], [len(windows)])) - 1] + 1
+        p = place[low]
+        own = self.text[p]
+        left, right = np.maximum(p - reach, self.begin[own]), np.minimum(p + size, self.end[own])
+        # where the windows lie in the context belongs to it: it is cut off at the text's ends
+        context = _mix(rolling[1].of(left, right) ^ ((low - left) << 16 | (high - left)).astype(np.uint64) * np.uint64(_BASES[0]))
+        return grams[p], context, low, high
+
+
+def _merged(ranges: np.ndarray) -> list[tuple[int, int]]:
+    """The union of ranges start << 32 | end, as sorted ranges that do not touch."""
+    out: list[tuple[int, int]] = []
+    for r in np.unique(ranges).tolist():
+        a, z = r >> 32, r & (1 << 32) - 1
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
+def without(text: str, ranges: np.ndarray) -> str:
+    """text without the words in ranges (start << 32 | end, counted from 0), with the white space after each in its line.
+
+    A line of which the last word goes loses the white space before it too; a line of which all words go, and a blank line
+    between words that go, goes itself. All else stays as it is.
+    """
+    gone, out, at = _merged(ranges), [], 0
+    k = 0  # the first range that ends after the words so far
     for line in utf8(text).split(b"\n"):
         words = line.split()
-        kept = [w for i, w in enumerate(words, at) if i not in cut_out]
-        at += len(words)
-        if len(kept) == len(words):
+        end = at + len(words)
+        while k < len(gone) and gone[k][1] <= at:
+            k += 1
+        if not words:
+            inside = k < len(gone) and gone[k][0] < at < gone[k][1]
+            if not inside:
+                out.append(line)
+            continue
+        if k == len(gone) or gone[k][0] >= end:
             out.append(line)
-        elif kept:
-            out.append(b" ".join(kept))
+        else:
+            keep, j, last = [], k, True
+            pos = 0
+            for i, w in enumerate(words, at):
+                while j < len(gone) and gone[j][1] <= i:
+                    j += 1
+                start = line.index(w, pos)
+                after = start + len(w)
+                following = line.index(words[i - at + 1], after) if i + 1 < end else len(line)
+                last = not (j < len(gone) and gone[j][0] <= i)
+                if last:
+                    keep.append(line[0 if i == at else start : following])
+                pos = after
+            if keep:
+                kept = b"".join(keep)
+                out.append(kept if last else kept.rstrip(b" \t\r\x0b\x0c"))
+        at = end
     return b"\n".join(out).decode("utf-8", "surrogatepass")
 
 
-def _by_document(items: DataFrame, column: str, name: str) -> DataFrame:
-    """items (doc_id, copy, column: an array), written, with a hint to broadcast them if they are few."""
-    items = cut(items, name)
-    few = (items.agg(F.sum(F.size(column))).first()[0] or 0) <= BROADCAST_ITEMS
-    items = items.select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), F.col(column).alias("__" + column))
-    return F.broadcast(items) if few else items
+def _small(table: DataFrame, items: str | None = None) -> DataFrame:
+    """A written table, with a hint to broadcast it if it has few rows, or few items in the arrays of a column."""
+    if items is None:
+        return F.broadcast(table) if table.count() <= BROADCAST_KEYS else table
+    return F.broadcast(table) if (table.agg(F.sum(F.size(items))).first()[0] or 0) <= BROADCAST_ITEMS else table
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, gone array<long>): the words that repeat an earlier passage, each item start << 32 | end.
+def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passage: int | None = PASSAGE, gram: int = GRAM) -> DataFrame:
+    """(doc_id, copy, gone array<long>): the words that repeat an earlier window, as ranges start << 32 | end.
 
-    docs is (doc_id, copy, text), where copy tells texts of one doc_id apart. The first occurrence, by (doc_id, copy, place),
-    stays whole, also where a later one overlaps it.
+    docs is (doc_id, copy, text), where copy tells texts of one doc_id apart. width None looks for no lines, passage None
+    for no word windows. What is written on the way is in tables.
     """
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slabs(batches, 2, 1 << 19):
-            text, signs, times = Words(b.column(2).to_pylist()).signs()
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), pa.array(signs.view(np.int64)), pa.array(times.astype(np.int64))], names=["doc_id", "copy", "sign", "times"])
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slabs(batches, 2, SLAB):
+            own = Words(b.column(2).to_pylist())
+            rolling = own.rolling()
+            rows = []
+            if width is not None:
+                h1, h2, low, high = own.lines(width, rolling)
+                rows.append((h1, h2, np.zeros(len(h1), np.uint64), low, high))
+            if passage is not None:
+                sign, context, low, high = own.anchors(passage, gram, rolling)
+                rows.append((sign, np.zeros(len(sign), np.uint64), context | np.uint64(1), low, high))
+            if rows:
+                h1, h2, context, low, high = (np.concatenate(c) for c in zip(*rows, strict=True))
+                text = own.text[low]
+                take, start = pa.array(text), own.begin[text]
+                columns = [pa.array(x.view(np.int64)) for x in (h1, h2, context)]
+                yield pa.RecordBatch.from_arrays([*columns, b.column(0).take(take), b.column(1).take(take), pa.array((low - start).astype(np.int32)), pa.array((high - start).astype(np.int32))], names=["h1", "h2", "context", "doc_id", "copy", "low", "high"])
 
     def window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slabs(batches, 2, 1 << 19):
-            wanted = np.unique(b.column(3).flatten().to_numpy(zero_copy_only=False)).view(np.uint64)
-            text, place, h1, h2 = Words(b.column(2).to_pylist()).windows(wanted)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), pa.array(place.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["doc_id", "copy", "at", "h1", "h2"])
-
-    signs = docs.select("doc_id", "copy", "text").mapInArrow(tidy(sign), "doc_id long, copy long, sign long, times long")
-    again = signs.groupBy("sign").agg(F.sum("times").alias("n")).where("n > 1").select("sign")
-    own = _by_document(signs.join(again, "sign").groupBy("doc_id", "copy").agg(F.collect_set("sign").alias("signs")), "signs", "passage-signs")
-    hit = docs.join(own, (F.col("doc_id") == F.col("__id")) & (F.col("copy") == F.col("__copy")))
-    windows = cut(hit.select("doc_id", "copy", "text", "__signs").mapInArrow(tidy(window), "doc_id long, copy long, at int, h1 long, h2 long"), "passage-windows")
-    key, place = ["h1", "h2"], F.struct("doc_id", "copy", "at")
-    first = windows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(*key, "first")
-    later = windows.join(first, key).where(place > F.col("first"))
-    same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
-    start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + PASSAGE)).otherwise(F.col("at"))
-    return later.groupBy("doc_id", "copy").agg(F.collect_list(F.shiftleft(start.cast("long"), 32) + F.col("at") + PASSAGE).alias("gone"))
-
-
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the words of passages of PASSAGE words or more that stand earlier in the corpus, at whatever place.
-
-    Words are what white space parts; line ends part words like spaces. Nulls stay null. Rows that share a doc_id and a text
-    are one document; rows with a null doc_id stay as they are and take no part. Other columns pass through.
+        for b in slabs(batches, 2, SLAB):
+            own = Words(b.column(2).to_pylist())
+            row = np.repeat(np.arange(b.num_rows), b.column(3).value_lengths().to_numpy(zero_copy_only=False))
+            ranges = b.column(3).flatten().to_numpy(zero_copy_only=False)
+            low, size = (ranges >> 32) + own.begin[row], (ranges & (1 << 32) - 1) - (ranges >> 32)
+            row = np.repeat(row, size)
+            at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+            h1, h2 = (r.of(at, at + passage) for r in own.rolling())
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array((at - own.begin[row]).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["doc_id", "copy", "at", "h1", "h2"])
+
+    key, place = ["h1", "h2"], F.struct("doc_id", "copy", "low")
+    packed = lambda low, high: (F.shiftleft(low.cast("long"), 32) + high).alias("gone")
+    marks = tables.cut(docs.select("doc_id", "copy", "text").mapInArrow(tidy(mark), "h1 long, h2 long, context long, doc_id long, copy long, low int, high int"), "marks")
+    again = tables.cut(marks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeated-keys")
+    hits = tables.cut(marks.join(_small(again), key), "repeated-marks")
+    first = tables.cut(hits.groupBy(*key, "context").agg(F.min(F.struct("doc_id", "copy", "low", "high")).alias("first"), F.count(F.lit(1)).alias("n")), "first-marks")
+    later = tables.cut(hits.join(_small(tables.cut(first.where("n > 1").select(*key, "context", "first"), "repeated-contexts")), [*key, "context"]).where(place > F.struct("first.doc_id", "first.copy", "first.low")), "later-marks")
+    of_line = F.col("context") == 0
+    # anchors close to their first in the same text: there the first window stays whole, so windows are compared one by one
+    close = ~of_line & (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy")) & (F.col("low") - F.col("first.low") < 2 * (passage or 0))
+    gone = later.where(~close).select("doc_id", "copy", packed(F.col("low"), F.when(of_line, F.col("high")).otherwise(F.col("high") + (passage or 1) - 1)))
+    if passage is not None:
+        several = tables.cut(first.where(~of_line).groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "edge-signs")
+        edges = first.where(~of_line).join(_small(several), "h1").select("first.*").union(later.where(close).select("doc_id", "copy", "low", "high")).union(later.where(close).select("first.*"))
+        # a text's own anchors: no more than it has words
+        own = tables.cut(edges.groupBy("doc_id", "copy").agg(F.collect_set(packed(F.col("low"), F.col("high"))).alias("own")).select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), "own"), "edge-anchors")
+        hit = docs.join(_small(own, "own"), (F.col("doc_id") == F.col("__id")) & (F.col("copy") == F.col("__copy")))
+        windows = tables.cut(hit.select("doc_id", "copy", "text", "own").mapInArrow(tidy(window), "doc_id long, copy long, at int, h1 long, h2 long"), "edge-windows")
+        at = F.struct("doc_id", "copy", "at")
+        known = tables.cut(windows.groupBy(*key).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, "first"), "first-windows")
+        later = windows.join(_small(known), key).where(at > F.col("first"))
+        same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
+        start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + passage)).otherwise(F.col("at"))
+        gone = gone.union(later.select("doc_id", "copy", packed(start, F.col("at") + passage)))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.set_column(2, "gone", pa.array([[x << 32 | y for x, y in _merged(np.array(g, np.int64))] for g in b.column(2).to_pylist()], pa.list_(pa.int64())))
+
+    # a text's own windows: no more than it has words
+    return gone.groupBy("doc_id", "copy").agg(F.collect_set("gone").alias("gone")).mapInArrow(tidy(merge), "doc_id long, copy long, gone array<long>")
+
+
+def dedup_lines(docs: DataFrame, width: int | None = WINDOW, passage: int | None = PASSAGE, id_col: str = "doc_id", text_col: str = "text", report: bool = False) -> DataFrame:
+    """docs without the words that repeat an earlier window; with report, also n_removed (long), how many words went.
+
+    Null texts stay null and have no words; blank texts stay as they are. A text of which all goes is left empty. Rows that share
+    a doc_id and a text are one document, and lose none to each other; different texts of one doc_id are two, in the order
+    of a hash. Rows with a null doc_id stay as they are and take no part. Other columns pass through, whatever their names.
+    An empty table gives no rows. See without() for white space.
     """
     copy = F.xxhash64(F.col(text_col).cast("string"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), copy.alias("copy"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    gone = _by_document(repeated_passages(rows), "gone", "passages-gone")
-    joined = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (copy == F.col("__copy")), "left")
-
-    @F.pandas_udf("string")
-    def cleaned(text: pd.Series, drop: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None or d is None else without_words(t, d) for t, d in zip(text, drop, strict=True)], dtype=object)
+    # rows that repeat a doc_id and a text: one of them is looked at
+    tables = Tables(docs.sparkSession)
+    twice = tables.cut(rows.groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "copy"), "repeated-rows")
+    if twice.count():
+        rows = rows.join(_small(twice), ["doc_id", "copy"], "left_anti").unionByName(rows.join(_small(twice), ["doc_id", "copy"]).groupBy("doc_id", "copy").agg(F.min("text").alias("text")))
+    gone = cut(repeated(rows, tables, width, passage).select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), F.col("gone").alias("__gone")), "gone")
+    tables.drop()
+    joined = docs.join(_small(gone, "__gone"), (F.col(id_col).cast("long") == F.col("__id")) & (copy == F.col("__copy")), "left")
+
+    @F.arrow_udf("string")
+    def cleaned(text: pa.Array, drop: pa.Array) -> pa.Array:
+        return pa.array([None if t is None or d is None else without(t, np.array(d, np.int64)) for t, d in zip(text.to_pylist(), drop.to_pylist(), strict=True)], pa.string())
 
     hit = F.col("__gone").isNotNull()
+    # only the texts that change are sent to Python
     text = F.when(hit, cleaned(F.when(hit, F.col(text_col)), F.col("__gone"))).otherwise(F.col(text_col))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    if report:
+        size = lambda c: F.size(F.filter(F.split(c, r"[ \t\n\r\f\x0b]+"), lambda w: w != ""))
+        columns.append(F.when(hit, size(F.col(text_col)) - size(text)).otherwise(0).cast("long").alias("n_removed"))
+    return joined.select(*columns)
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """dedup_lines() by word windows alone."""
+    return dedup_lines(docs, None, PASSAGE, id_col, text_col)
