@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlegraph.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
-from titlegraph.llm.common import cut
+from titlegraph.llm.common import cut, drop
 from titlegraph.llm.queries import table, tokenizer_path
 
-#: Rows of a batch between Spark and Python; results do not depend on it.
+#: Rows of a batch between Spark and Python while run() runs; results do not depend on it.
 ROWS = 1_000
 #: doc_ids of several rows up to which their table is broadcast; a larger one is joined by shuffle.
 REPEATED_IDS = 500_000
@@ -26,13 +25,13 @@ def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents and drops those without a language: null text, or no letter."""
     filters = language_id.learn(docs.select("text", "lang"))
-    return language_id.identify(docs, filters).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    found = language_id.identify(docs, filters, names=("__lang_pred", "__score"))
+    return found.where(F.col("__lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated passages of three lines, then those of 51 words at any place; a document of which nothing but white space is left goes."""
-    lines = cut(line_dedup.dedup_lines(docs), "lines")
-    return _same_columns(line_dedup.dedup_passages(lines).where(F.col("text").rlike(r"\S")), docs)
+    """Removes repeated passages of three lines, or of 51 words at any place; a document of which nothing but white space is left goes."""
+    return _same_columns(line_dedup.dedup_lines(docs).where(F.col("text").rlike(r"\S")), docs)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,26 +63,12 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _small_batches(stage: Stage) -> Stage:
-    """The stage with at most ROWS texts at a time on their way to Python, for the memory of executors and workers."""
-
-    @wraps(stage)
-    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
-        return stage(spark, docs, sf_dir)
-
-    return limited
-
-
 STAGES: list[tuple[str, Stage]] = [
-    (name, _small_batches(stage))
-    for name, stage in (
-        ("language_id", identify_language),
-        ("line_dedup", dedup_lines),
-        ("ngram_join", join_near_duplicates),
-        ("decontaminate", decontaminate_documents),
-        ("bpe", encode),
-    )
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("ngram_join", join_near_duplicates),
+    ("decontaminate", decontaminate_documents),
+    ("bpe", encode),
 ]
 
 #: Language ID learns its filters; SQL cannot express it.
@@ -91,7 +76,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+    """The stages in turn, each result written to the shared folder; the one before it is deleted then.
+
+    Rows may have any other columns, whatever their names: each stage but the last hands them on as they are. Repeated
+    doc_ids of different texts are different documents until ngram_join, which keeps the rows of the ids that it keeps.
+    Null texts go at language_id; rows with a null doc_id take no part in line_dedup and ngram_join and stay. An empty
+    table gives none.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, docs, last = spark.conf.get(key), table(spark, sf_dir, "documents"), None
+    spark.conf.set(key, ROWS)
+    try:
+        for name, stage in STAGES:
+            docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+            if last is not None:
+                drop(spark, last)
+            last = docs
+    finally:
+        spark.conf.set(key, before)
     return docs
