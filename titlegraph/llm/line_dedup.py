@@ -34,8 +34,8 @@ from .common import Tables, cut, slabs, tidy, utf8
 WINDOW = 3
 #: Words of a passage, and of the runs one of which is its sign.
 PASSAGE, GRAM = 51, 25
-#: Rows of 16 bytes (keys), or items of arrays, up to which a table is broadcast; a larger one is joined by shuffle.
-BROADCAST_KEYS, BROADCAST_ITEMS = 2_000_000, 500_000
+#: Keys or items of 8 bytes, or rows of 48, up to which a table is broadcast; a larger one is joined by shuffle.
+BROADCAST_KEYS, BROADCAST_ROWS = 2_000_000, 1_000_000
 #: Bytes of text that a worker hashes at a time.
 SLAB = 1 << 19
 
@@ -182,11 +182,10 @@ def without(text: str, ranges: np.ndarray) -> str:
     return b"\n".join(out).decode("utf-8", "surrogatepass")
 
 
-def _small(table: DataFrame, items: str | None = None) -> DataFrame:
+def _small(table: DataFrame, items: str | None = None, rows: int = BROADCAST_KEYS) -> DataFrame:
     """A written table, with a hint to broadcast it if it has few rows, or few items in the arrays of a column."""
-    if items is None:
-        return F.broadcast(table) if table.count() <= BROADCAST_KEYS else table
-    return F.broadcast(table) if (table.agg(F.sum(F.size(items))).first()[0] or 0) <= BROADCAST_ITEMS else table
+    size = table.count() if items is None else table.agg(F.sum(F.size(items))).first()[0] or 0
+    return F.broadcast(table) if size <= rows else table
 
 
 def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passage: int | None = PASSAGE, gram: int = GRAM) -> DataFrame:
@@ -229,10 +228,10 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
     key, place = ["h1", "h2"], F.struct("doc_id", "copy", "low")
     packed = lambda low, high: (F.shiftleft(low.cast("long"), 32) + high).alias("gone")
     marks = tables.cut(docs.select("doc_id", "copy", "text").mapInArrow(tidy(mark), "h1 long, h2 long, context long, doc_id long, copy long, low int, high int"), "marks")
-    again = tables.cut(marks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeated-keys")
-    hits = tables.cut(marks.join(_small(again), key), "repeated-marks")
+    again = tables.cut(marks.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "repeated-keys")
+    hits = tables.cut(marks.join(_small(again), "h1", "left_semi"), "repeated-marks")
     first = tables.cut(hits.groupBy(*key, "context").agg(F.min(F.struct("doc_id", "copy", "low", "high")).alias("first"), F.count(F.lit(1)).alias("n")), "first-marks")
-    later = tables.cut(hits.join(_small(tables.cut(first.where("n > 1").select(*key, "context", "first"), "repeated-contexts")), [*key, "context"]).where(place > F.struct("first.doc_id", "first.copy", "first.low")), "later-marks")
+    later = tables.cut(hits.join(_small(tables.cut(first.where("n > 1").select(*key, "context", "first"), "repeated-contexts"), rows=BROADCAST_ROWS), [*key, "context"]).where(place > F.struct("first.doc_id", "first.copy", "first.low")), "later-marks")
     of_line = F.col("context") == 0
     # anchors close to their first in the same text: there the first window stays whole, so windows are compared one by one
     close = ~of_line & (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy")) & (F.col("low") - F.col("first.low") < 2 * (passage or 0))
@@ -246,7 +245,7 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
         windows = tables.cut(hit.select("doc_id", "copy", "text", "own").mapInArrow(tidy(window), "doc_id long, copy long, at int, h1 long, h2 long"), "edge-windows")
         at = F.struct("doc_id", "copy", "at")
         known = tables.cut(windows.groupBy(*key).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, "first"), "first-windows")
-        later = windows.join(_small(known), key).where(at > F.col("first"))
+        later = windows.join(_small(known, rows=BROADCAST_ROWS), key).where(at > F.col("first"))
         same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
         start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + passage)).otherwise(F.col("at"))
         gone = gone.union(later.select("doc_id", "copy", packed(start, F.col("at") + passage)))
