@@ -231,7 +231,7 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
     again = tables.cut(marks.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "repeated-keys")
     hits = tables.cut(marks.join(_small(again), "h1", "left_semi"), "repeated-marks")
     first = tables.cut(hits.groupBy(*key, "context").agg(F.min(F.struct("doc_id", "copy", "low", "high")).alias("first"), F.count(F.lit(1)).alias("n")), "first-marks")
-    later = tables.cut(hits.join(_small(tables.cut(first.where("n > 1").select(*key, "context", "first"), "repeated-contexts"), rows=BROADCAST_ROWS), [*key, "context"]).where(place > F.struct("first.doc_id", "first.copy", "first.low")), "later-marks")
+    later = tables.cut(hits.join(tables.cut(first.where("n > 1").select(*key, "context", "first"), "repeated-contexts"), [*key, "context"]).where(place > F.struct("first.doc_id", "first.copy", "first.low")), "later-marks")
     of_line = F.col("context") == 0
     # anchors close to their first in the same text: there the first window stays whole, so windows are compared one by one
     close = ~of_line & (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy")) & (F.col("low") - F.col("first.low") < 2 * (passage or 0))
