@@ -34,8 +34,8 @@ from .common import Tables, cut, slabs, tidy, utf8
 WINDOW = 3
 #: Words of a passage, and of the runs one of which is its sign.
 PASSAGE, GRAM = 51, 25
-#: Keys or items of 8 bytes, or rows of 48, up to which a table is broadcast; a larger one is joined by shuffle.
-BROADCAST_KEYS, BROADCAST_ROWS = 2_000_000, 1_000_000
+#: Keys or items of 8 bytes up to which a table is broadcast; a larger one is joined by shuffle.
+BROADCAST_KEYS = 2_000_000
 #: Bytes of text that a worker hashes at a time.
 SLAB = 1 << 19
 
@@ -182,10 +182,10 @@ def without(text: str, ranges: np.ndarray) -> str:
     return b"\n".join(out).decode("utf-8", "surrogatepass")
 
 
-def _small(table: DataFrame, items: str | None = None, rows: int = BROADCAST_KEYS) -> DataFrame:
+def _small(table: DataFrame, items: str | None = None) -> DataFrame:
     """A written table, with a hint to broadcast it if it has few rows, or few items in the arrays of a column."""
     size = table.count() if items is None else table.agg(F.sum(F.size(items))).first()[0] or 0
-    return F.broadcast(table) if size <= rows else table
+    return F.broadcast(table) if size <= BROADCAST_KEYS else table
 
 
 def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passage: int | None = PASSAGE, gram: int = GRAM) -> DataFrame:
@@ -245,7 +245,7 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
         windows = tables.cut(hit.select("doc_id", "copy", "text", "own").mapInArrow(tidy(window), "doc_id long, copy long, at int, h1 long, h2 long"), "edge-windows")
         at = F.struct("doc_id", "copy", "at")
         known = tables.cut(windows.groupBy(*key).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, "first"), "first-windows")
-        later = windows.join(_small(known, rows=BROADCAST_ROWS), key).where(at > F.col("first"))
+        later = windows.join(known, key).where(at > F.col("first"))
         same = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.copy") == F.col("copy"))
         start = F.when(same, F.greatest(F.col("at"), F.col("first.at") + passage)).otherwise(F.col("at"))
         gone = gone.union(later.select("doc_id", "copy", packed(start, F.col("at") + passage)))
