@@ -291,6 +291,31 @@ def test_near_duplicates_equal_brute_force(spark):
     assert ngram_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_misses_of_a_template_do_not_meet(spark):
+    """Documents that share four fifths of their text are no near duplicates, and never become pairs; true copies among them link."""
+    rng = random.Random(6)
+    template = " ".join(f"t{i}" for i in range(84))
+    texts = {i: f"{template} " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(20 + i % 3)) for i in range(1500)}
+    texts |= {2000 + i: texts[i] + " x" for i in range(0, 1500, 100)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen = []
+    posted = ngram_join.Join.posted
+    ngram_join.Join.posted = lambda self, rows: (lambda out: seen.append(out.count()) or out)(posted(self, rows))
+    try:
+        out = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()}
+    finally:
+        ngram_join.Join.posted = posted
+    assert out == {i: i - 2000 if i >= 2000 else i for i in texts}
+    assert sum(seen) <= 3 * len(texts)
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = [(5, a), (7, a), (7, b), (9, b), (11, "other words that are alone here")]
+    out = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == [(5, 6, 5), (7, 6, 5), (7, 6, 5), (9, 6, 5), (11, 2, 11)]
+
+
 def test_pipeline_keeps_null_ids_and_one_row_of_repeats(spark):
     t, u = "a b c d e f g", "some other text of its own"
     rows = [(1, t), (1, t), (2, t), (3, u), (3, u), (4, "only one here to keep"), (None, t), (None, t), (None, "lone")]

@@ -406,7 +406,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(tokenizer_path, SparkFiles.get(lexicon))
         try:
-            for b in slabs(batches, 1):
+            for b in slabs(batches, 1, 2 << 20):
                 ids, ends = coder.encode(b.column(1).fill_null(""))
                 second = coder.decode(ids, ends)
                 if digests:

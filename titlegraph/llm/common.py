@@ -44,11 +44,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/titlegraph/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def drop(spark: SparkSession, df: DataFrame) -> None:
@@ -59,6 +59,18 @@ def drop(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_settings(df: DataFrame, **settings: object) -> DataFrame:
+    """df in a session of its own with other settings; names have __ for a dot. The caller's session stays as it is."""
+    own = df.sparkSession.newSession()
+    for k, v in df.sparkSession.conf.getAll.items():
+        if k.startswith("spark.sql.") and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    for k, v in settings.items():
+        own.conf.set(k.replace("__", "."), v)
+    plan = own._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own._jsparkSession, df._jdf.queryExecution().analyzed())
+    return DataFrame(plan, own)
+
+
 class Tables:
     """Tables written with cut() that go together when nothing reads them any more."""
 

@@ -184,13 +184,14 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return b" ".join(x for x in out if x.strip()).decode("utf-8", "surrogatepass")
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, clean: bool = False) -> DataFrame:
     """docs with n_words, spans array<struct<start,end>> (merged, in words) and items array<long> (sorted) added.
 
     A window is `width` consecutive words of an item; an item of fewer words, but not none, is one window. Null and
     empty texts have no words; items without words are in no document; repeated rows each get a result; an empty
     benchmark marks nothing. Columns of docs with the added names are replaced. The benchmark is read in blocks of at
-    most block_bytes (or one item); each takes a narrow pass of its own.
+    most block_bytes (or one item); each takes a narrow pass of its own. clean takes the spans out of the texts, after
+    the last block.
     """
     keep = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
     out = docs.select(*keep, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<long>").alias("items"))
@@ -211,6 +212,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: s
                 spans, names = b.column(k + 1).to_pylist(), b.column(k + 2).to_pylist()
                 spans = [_merged([(x["start"], x["end"]) for x in old] + new) for old, (new, _) in zip(spans, found, strict=True)]
                 names = [sorted({*old, *new}) for old, (_, new) in zip(names, found, strict=True)]
+                if clean and block == blocks - 1:
+                    cut_out = [t if t is None or not s else without(t, s) for t, s in zip(b.column(at).to_pylist(), spans, strict=True)]
+                    b = b.set_column(at, b.schema.field(at), pa.array(cut_out, b.schema.field(at).type))
                 cols = [pa.array(list(map(len, own)), pa.int64()), pa.array([[{"start": a, "end": z} for a, z in s] for s in spans], b.schema.field(k + 1).type), pa.array(names, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*b.columns[:k], *cols], names=[f"c{i}" for i in range(k + 3)])
 
@@ -226,16 +230,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """docs, same columns and other values, with benchmark passages removed from the text; documents without any stay as
     they are."""
     inner = [f"c{i}" for i in range(len(docs.columns))]  # names of our own, so that none clashes with what mark() adds
-    at = inner[docs.columns.index(text_col)]
-
-    @F.arrow_udf("string")
-    def cleaned(text: pa.Array, spans: pa.Array) -> pa.Array:
-        return pa.array([None if t is None or s is None else without(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
-
-    marked = mark(docs.toDF(*inner), benchmark, text_col=at, **options)
-    hit = F.size("spans") > 0  # only these texts are sent to Python again
-    text = F.when(hit, cleaned(F.when(hit, F.col(at)), F.when(hit, F.col("spans")))).otherwise(F.col(at))
-    return marked.select(*[text.alias(c) if c == at else c for c in inner]).toDF(*docs.columns)
+    marked = mark(docs.toDF(*inner), benchmark, text_col=inner[docs.columns.index(text_col)], clean=True, **options)
+    return marked.select(*inner).toDF(*docs.columns)
 
 
 def items_digest(items):

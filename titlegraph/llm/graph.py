@@ -20,12 +20,13 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        after = cut(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "components")
-        drop(spark, edges)
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")  # written, so that a hub's join can be split
+        large = cut(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "components")
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")), "components")
+        moved = large.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        after = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "components")
+        for done in (edges, low, large, least):
+            drop(spark, done)
         edges, now = after, after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first()
         if now == state or not now[0]:
             break

@@ -29,15 +29,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, cut, drop, parts, small, tidy, utf8
+from .common import LOWER_TABLE, Tables, cut, drop, parts, small, tidy, utf8
 from .graph import components
 
 SHINGLE = 5
 #: Jaccard threshold as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
 STARS = 2
-#: Bits of a bitmap that is broadcast (2 MB).
-BITMAP = 1 << 24
+#: Least and most bits of a bitmap that is broadcast (2 MB, 32 MB): about eight for each document, in between.
+BITMAP, LARGEST = 1 << 24, 1 << 28
+#: A token with more postings is joined by bands of sizes, each BAND times the one before.
+HOT, BAND = 64, 1 + 1 / 32
+#: Hot tokens up to which their table is broadcast; a larger one is joined by shuffle.
+BROADCAST_TOKENS = 500_000
 #: A star of more classes is crowded; a token in more documents of such stars goes last in all orders.
 CROWDED, FREQUENT = 16, 32
 
@@ -103,7 +107,7 @@ def parities_apart(x: bytes, y: bytes) -> int:
     return (a ^ b).bit_count()
 
 
-def bitmap(values: DataFrame, bits: int = BITMAP) -> np.ndarray:
+def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """The bitmap (uint8) of the top bits of a single long column: bits / 32768 rows of 4 KB, whatever the table's size."""
     shift = 64 - (bits.bit_length() - 1)
     at = values.select((F.shiftrightunsigned(values.columns[0], shift) + 1).alias("at"))  # Spark's bitmaps count from 1
@@ -115,7 +119,7 @@ def bitmap(values: DataFrame, bits: int = BITMAP) -> np.ndarray:
 
 
 def _has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = (values >> np.uint64(64 - (BITMAP.bit_length() - 1))).astype(np.int64)
+    at = (values >> np.uint64(64 - ((8 * len(bits)).bit_length() - 1))).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -134,13 +138,13 @@ class Join:
     """One run of the operator over docs (doc_id long, text)."""
 
     def __init__(self, docs: DataFrame):
-        self.docs, self.spark = docs, docs.sparkSession
+        self.docs, self.spark, self.bits, self.tables = docs, docs.sparkSession, BITMAP, Tables(docs.sparkSession)
 
     def send(self, value):
         return self.spark.sparkContext.broadcast(value)
 
     def ids_bitmap(self, ids: DataFrame):
-        return self.send(bitmap(ids.select(F.xxhash64(ids.columns[0]))))
+        return self.send(bitmap(ids.select(F.xxhash64(ids.columns[0])), self.bits))
 
     def scan(self, make: Callable, schema: str, only=None, without=None) -> DataFrame:
         """make(doc_id, tokens) -> rows' tuple or None, for each document with tokens; only and without: bitmaps of ids."""
@@ -194,18 +198,45 @@ class Join:
         return cut(full.select("a", "b", "set", "other").mapInArrow(tidy(exact), "a long, b long"), "links")
 
     def posted(self, rows: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) of different components from postings (token, id, comp, n, at)."""
-        x, y = (rows.select(*[F.col(c).alias(f"{c}{s}") for c in ("token", "id", "comp", "n", "at")]) for s in "12")
+        """The distinct pairs (a, b) of different components from postings (token, id, comp, n, at).
+
+        Postings of hot tokens meet by size too: one with n tokens, at a place in its prefix, meets only those sizes for
+        which what follows in it could still be enough. So many documents that share a part which is too small to link
+        them never meet, however many they are.
+        """
+        rows = self.tables.cut(rows, "postings")
+        hot = self.tables.cut(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("token"), "hot-tokens")
         total = F.col("n1") + F.col("n2")
         least = F.ceil(total * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
         fits = (F.col("comp1") < F.col("comp2")) & (F.least("n1", "n2") * DENOMINATOR >= F.greatest("n1", "n2") * NUMERATOR) & (F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2")) >= least)
-        return x.join(y, (F.col("token1") == F.col("token2")) & fits).select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
+
+        def side(df: DataFrame, s: str) -> DataFrame:
+            return df.select(*[F.col(c).alias(f"{c}{s}") for c in df.columns])
+
+        def met(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+            same = fits
+            for c in on:
+                same = same & (F.col(f"{c}1") == F.col(f"{c}2"))
+            return side(x, "1").join(side(y, "2"), same).select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b"))
+
+        number = hot.count()
+        if not number:
+            return met(rows, rows, ["token"]).distinct()
+        known = F.broadcast(hot) if number <= BROADCAST_TOKENS else hot
+        cold, warm = rows.join(known, "token", "left_anti"), self.tables.cut(rows.join(known, "token", "left_semi"), "hot-postings")
+        band = lambda n: F.floor(F.log(n.cast("double")) / math.log(BAND)).cast("int")
+        low = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR - 1e-9)
+        high = F.least(F.floor(F.col("n") * DENOMINATOR / NUMERATOR + 1e-9), F.floor((F.col("n") - F.col("at")) * (NUMERATOR + DENOMINATOR) / NUMERATOR + 1e-9) - F.col("n"))
+        own = warm.withColumns({"low": low, "high": high}).where("low <= high")
+        wanted = own.select("token", "id", "comp", "n", "at", F.explode(F.sequence(band(F.col("low")), band(F.col("high")))).alias("band"))
+        return met(cold, cold, ["token"]).union(met(own.withColumn("band", band(F.col("n"))).drop("low", "high"), wanted, ["token", "band"])).distinct()
 
     def run(self) -> DataFrame:
         spark = self.spark
         # 1. classes and stars
         feats = cut(self.scan(lambda d, t: (d, len(t), xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63), xxhash.xxh64_intdigest(t.tobytes(), 3) - (1 << 63), [int(_mix(t, i + 1).min().view(np.int64)) for i in range(STARS)] if len(t) else [], signature(t)), "doc_id long, n int, s1 long, s2 long, stars array<long>, sig binary"), "features")
         key = ["s1", "s2", "n"]
+        self.bits = min(LARGEST, max(BITMAP, 1 << (8 * feats.count()).bit_length()))
         classes = cut(feats.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("stars").alias("stars"), F.first("sig").alias("sig")), "classes")
         stars = classes.select("id", F.posexplode("stars").alias("i", "token"), F.floor(F.log("n") / math.log(DENOMINATOR / NUMERATOR)).cast("int").alias("band"))
         centres = stars.groupBy("i", "token", "band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("size"))
@@ -214,9 +245,9 @@ class Join:
         links = self.verified(self.possible(tried, classes))
         first = cut(components(links), "first-components")
         # 2. tokens that go last
-        crowded = centres.groupBy("i", "token").agg(F.sum("size").alias("size")).where(F.col("size") > CROWDED)
-        crowd = cut(stars.join(crowded, ["i", "token"], "left_semi").select("id").distinct(), "crowd")
-        late = self.send(bitmap(self.frequent(crowd)))
+        crowded = self.tables.cut(centres.groupBy("i", "token").agg(F.sum("size").alias("size")).where(F.col("size") > CROWDED).select("i", "token"), "crowded")
+        crowd = self.tables.cut(stars.join(crowded, ["i", "token"], "left_semi").select("id").distinct(), "crowd")
+        late = self.send(bitmap(self.frequent(crowd), self.bits))
         drop(spark, centres)
         # 3. candidates by the first order. Ids that are in no link and not in a larger class are their own component.
         found = feats.where("n > 0").join(classes.select(*key, "id"), key)
@@ -239,11 +270,17 @@ class Join:
         more = self.verified(cut(pairs, "candidates"))
         drop(spark, second)
         # 5.
-        last = components(links.union(more))
+        last = components(links.union(more).union(self.of_one_id(feats, classes, key)))
+        self.tables.drop()
         named = classes.select(*key, "id").join(last, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
         linked = feats.where("n > 0").join(named, key).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
         return linked.union(feats.where("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id"))
 
+    def of_one_id(self, feats: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
+        """Links between a doc_id and the classes of its texts, where it has several."""
+        several = self.tables.cut(feats.where("n > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "several")
+        return self.tables.cut(feats.join(several, "doc_id").select("doc_id", *key).distinct().join(classes.select(*key, "id"), key).where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")), "own-links")
+
     def frequent(self, crowd: DataFrame) -> DataFrame:
         """Tokens in more than FREQUENT of the documents in crowd."""
         only = self.ids_bitmap(crowd)
@@ -274,7 +311,7 @@ class Join:
         entries a token and task, however many documents share it. The owner of a range merges them and marks its part.
         """
         ranges = 1 << max(4, (4 * parts(self.spark) - 1).bit_length())
-        ranges = min(ranges, 1 << 15)
+        ranges = min(ranges, 1 << 20)
         shift = np.uint64(64 - (ranges.bit_length() - 1))
 
         def ends(token: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,7 +349,7 @@ class Join:
             return pa.table({"token": pa.array(found.view(np.int64))})
 
         packed = prefixes.select("comp", "prefix").mapInArrow(tidy(pack), "r int, tokens binary, comps binary")
-        return bitmap(packed.groupBy("r").applyInArrow(merge, "token long"))
+        return bitmap(packed.groupBy("r").applyInArrow(merge, "token long"), self.bits)
 
     def postings(self, prefixes: DataFrame, tokens) -> DataFrame:
         """A row (token, id, comp, n, at) for each prefix token that is in the bitmap."""
@@ -336,7 +373,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty and blank texts have no shingles and are their own component; texts of fewer than five words have one.
     component_id is the smallest doc_id that links reach. doc_ids (integers) name documents; rows with a null doc_id are
-    in no link (n_shingles as counted, component_id null). Repeated rows each get a row. An empty table gives none.
+    in no link (n_shingles as counted, component_id null). Repeated rows each get a row; rows that share a doc_id are one
+    document, linked to all that any of their texts links to. Other columns are ignored. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = Join(rows.where("doc_id is not null")).run()
