@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlegraph.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
-from titlegraph.llm.common import cut, drop
+from titlegraph.llm.common import cut, drop, with_settings
 from titlegraph.llm.queries import table, tokenizer_path
 
-#: Rows of a batch between Spark and Python while run() runs; results do not depend on it.
+#: Rows of a batch between Spark and Python, for the memory of executors and workers; results do not depend on it.
 ROWS = 1_000
 #: doc_ids of several rows up to which their table is broadcast; a larger one is joined by shuffle.
 REPEATED_IDS = 500_000
@@ -63,12 +64,26 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _small_batches(stage: Stage) -> Stage:
+    """The stage in a session of its own, with at most ROWS texts at a time on their way to Python."""
+
+    @wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        docs = with_settings(docs, spark__sql__execution__arrow__maxRecordsPerBatch=ROWS)
+        return stage(docs.sparkSession, docs, sf_dir)
+
+    return limited
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", identify_language),
-    ("line_dedup", dedup_lines),
-    ("ngram_join", join_near_duplicates),
-    ("decontaminate", decontaminate_documents),
-    ("bpe", encode),
+    (name, _small_batches(stage))
+    for name, stage in (
+        ("language_id", identify_language),
+        ("line_dedup", dedup_lines),
+        ("ngram_join", join_near_duplicates),
+        ("decontaminate", decontaminate_documents),
+        ("bpe", encode),
+    )
 ]
 
 #: Language ID learns its filters; SQL cannot express it.
@@ -83,15 +98,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null texts go at language_id; rows with a null doc_id take no part in line_dedup and ngram_join and stay. An empty
     table gives none.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before, docs, last = spark.conf.get(key), table(spark, sf_dir, "documents"), None
-    spark.conf.set(key, ROWS)
-    try:
-        for name, stage in STAGES:
-            docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
-            if last is not None:
-                drop(spark, last)
-            last = docs
-    finally:
-        spark.conf.set(key, before)
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}", spark)
+        if last is not None:
+            drop(spark, last)
+        last = docs
     return docs
