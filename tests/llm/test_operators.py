@@ -56,10 +56,13 @@ def test_shards_are_even_and_gapless(docs):
 
 
 def test_token_files_round_trip(spark, docs, library):
-    manifest = token_files.write_token_files(docs, token_files.token_folder(spark), PATH, files=3)
+    docs = docs.unionByName(spark.createDataFrame([(None, "no id", 0, "h", 1, 0.5, "c"), (None, None, 0, "h", 1, 0.5, "c")], ODD))
+    manifest = token_files.write_token_files(docs, token_files.token_folder(spark), PATH, tasks=3, file_ids=1000)
+    assert manifest.count() > 3 and manifest.agg(F.max("documents")).first()[0] > 1
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32, tuple(r.ids)) for r in token_files.read_token_files(manifest).collect())
     start, want = 0, []
-    for i, t in sorted(rows_of(docs), key=lambda x: (x[0], x[1] or "")):
+    nulls = [r.n_tokens > 1 for r in token_files.read_token_files(manifest).where("doc_id is null").orderBy("start").collect()]
+    for i, t in sorted(rows_of(docs), key=lambda x: (x[0] or 0, (x[1] is not None) != nulls[0] if x[0] is None else x[1] or "")):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
         want.append((start, i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), tuple(ids)))
         start += len(ids)
@@ -67,10 +70,20 @@ def test_token_files_round_trip(spark, docs, library):
     assert token_files.digest_token_files(token_files.write_token_files(docs.limit(0), token_files.token_folder(spark), PATH)).count() == 0
 
 
+def test_encoder_equals_the_library(library):
+    rng = random.Random(3)
+    bits = ["a", "Bc", "é", " ", " ", "\n", "\n", "\t", ".", ",", "'s", "7", "中", "<|endoftext|>", "the", "\xa0", "\r", "x" * 60]
+    own = token_files.Encoder(PATH)
+    for size in (1, 7, 2000):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(size)]
+        ids, ends = own(pa.array(texts))
+        assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_file_format_of_wide_ids():
     ids = [[1, 70_000, 5, 1 << 30], [], list(range(66_000))]
-    d, n, flat = token_files.unpack(token_files.pack([3, 4, 9], [np.array(x, "<u4").tobytes() for x in ids]))
-    assert d.tolist() == [3, 4, 9] and n.tolist() == [4, 0, 66_000] and flat.tolist() == [x for y in ids for x in y]
+    d, n, flat = token_files.unpack(token_files.pack(pa.array([3, None, 9]), np.array(list(map(len, ids))), np.array(sum(ids, []), "<u4")))
+    assert d.tolist() == [3, None, 9] and n.tolist() == [4, 0, 66_000] and flat.tolist() == [x for y in ids for x in y]
 
 
 def test_bpe_equals_the_library(spark, docs, library):

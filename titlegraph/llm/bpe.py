@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, scratch, slabs, tidy
-from .pretokens import byte_characters, keep_half, split_listed, split_usual, splitter, usual
+from .pretokens import byte_characters, encode, keep_half, split_listed, split_usual, splitter, usual
 
 #: Pieces in the lexicon; bounds the automaton (about 6 MB) and what the driver gets.
 ENTRIES = 131_072
@@ -286,27 +286,7 @@ class Coder:
     def encode(self, texts: pa.StringArray | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, none of them null, and where each text ends in them, a zero first."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-        plain = usual(texts)
-        for s in self.merges.special:
-            plain = pc.and_not(plain, pc.match_substring(texts, s))
-        plain = plain.to_numpy(zero_copy_only=False)
-        groups = []
-        if plain.any():
-            groups.append((np.flatnonzero(plain), split_usual(texts.filter(pa.array(plain)))))
-        if not plain.all():
-            groups.append((np.flatnonzero(~plain), split_listed([self._pieces(t) for t in texts.filter(pa.array(~plain)).to_pylist()])))
-        done = [(at, *split.fill(self.merged(split.pieces))) for at, split in groups]
-        if len(done) == 1:
-            return done[0][1:]
-        each: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
-        for at, ids, ends in done:
-            for i, a, z in zip(at.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                each[i] = ids[a:z]
-        return np.concatenate([np.zeros(0, self.kind), *each]), np.concatenate([[0], np.cumsum(np.array(list(map(len, each)), np.int64))])
-
-    def _pieces(self, text: str) -> list[str]:
-        special = self.merges.special
-        return [p for x in _around(text, list(special)) for p in ([x] if x in special else self.split(x))]
+        return encode(texts, list(self.merges.special), self.split, self.merged, self.kind)
 
     def named(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Each text's ids in decimal, joined by commas."""
@@ -327,19 +307,6 @@ def coder_of(tokenizer_path: str, lexicon: str) -> Coder:
     return Coder(tokenizer_path, Lexicon.open(lexicon))
 
 
-def _around(text: str, special: list[str]) -> list[str]:
-    """text, cut around the special strings in it; the leftmost first, of those the longest."""
-    out = []
-    while text:
-        at, _, s = min(((text.find(s), -len(s), s) for s in special if s in text), default=(-1, 0, ""))
-        if at < 0:
-            out.append(text)
-            break
-        out += ([text[:at]] if at else []) + [s]
-        text = text[at + len(s) :]
-    return out
-
-
 def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES, text_col: str = "text") -> str:
     """Counts docs' pieces and ships the lexicon of the most frequent to the executors. The name of its file there."""
     spark = docs.sparkSession

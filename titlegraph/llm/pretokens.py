@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import islice
 
@@ -117,3 +118,41 @@ def split_listed(cut: list[list[str]]) -> Split:
     coded = pa.array([p for c in cut for p in c], pa.string()).dictionary_encode()
     ends = np.concatenate([[0], np.cumsum(np.array(list(map(len, cut)), np.int64))])
     return Split(coded.dictionary, coded.indices.to_numpy().astype(np.int64), ends, np.arange(len(cut)), np.arange(len(cut) + 1))
+
+
+def around(text: str, special: list[str]) -> list[str]:
+    """text, cut around the special strings in it; the leftmost first, of those the longest."""
+    out = []
+    while text:
+        at, _, s = min(((text.find(s), -len(s), s) for s in special if s in text), default=(-1, 0, ""))
+        if at < 0:
+            out.append(text)
+            break
+        out += ([text[:at]] if at else []) + [s]
+        text = text[at + len(s) :]
+    return out
+
+
+def encode(texts: pa.StringArray, special: list[str], split: Callable[[str], list[str]], merged: Callable[[pa.StringArray], pa.ListArray], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, none of them null, and where each text ends in them, a zero first.
+
+    merged gives the ids of each of some distinct pieces, special strings among them; split cuts unusual texts.
+    """
+    plain = usual(texts)
+    for s in special:
+        plain = pc.and_not(plain, pc.match_substring(texts, s))
+    plain = plain.to_numpy(zero_copy_only=False)
+    groups = []
+    if plain.any():
+        groups.append((np.flatnonzero(plain), split_usual(texts.filter(pa.array(plain)))))
+    if not plain.all():
+        cut = [[p for x in around(t, special) for p in ([x] if x in special else split(x))] for t in texts.filter(pa.array(~plain)).to_pylist()]
+        groups.append((np.flatnonzero(~plain), split_listed(cut)))
+    done = [(at, *part.fill(merged(part.pieces))) for at, part in groups]
+    if len(done) == 1:
+        return done[0][1:]
+    each: list[np.ndarray] = [np.zeros(0, kind)] * len(texts)
+    for at, ids, ends in done:
+        for i, a, z in zip(at.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            each[i] = ids[a:z]
+    return np.concatenate([np.zeros(0, kind), *each]), np.concatenate([[0], np.cumsum(np.array(list(map(len, each)), np.int64))])

@@ -22,24 +22,29 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, parts, scratch, small, tidy
-from .pretokens import FAST, byte_characters, chunkable, keep_half, splitter
+from .common import cut, parts, scratch, slabs, tidy
+from .pretokens import byte_characters, encode, keep_half, splitter
 
-MAGIC = b"TGRANK1\n"
+MAGIC = b"TGRANK2\n"
+#: Ids from which on a file is closed: bounds what a task holds, however large its partition is.
+FILE_IDS = 1 << 22
 #: Lengths of the four ranks of each control byte.
 LENGTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
-#: Entries of an encoder's memo of chunks; then it forgets half of them.
-REMEMBERED = 500_000
+#: Entries of an encoder's memo of pieces; then it forgets half of them.
+REMEMBERED = 400_000
+#: Bytes of text that are encoded at a time.
+SLAB = 8 << 20
 
 
 class Encoder:
     """The tokenizers library's encode(text, add_special_tokens=False).ids, remembering what it has merged.
 
     The library splits text into pieces that its model merges on their own, so the ids of a text are those of its pieces.
-    The library's model makes the ids of each new piece; memos of pieces and of chunks between spaces serve the rest. A
+    Texts are split on Arrow arrays; the library's model makes the ids of each new piece, and a memo serves the rest. A
     text with a special token's string goes to the library whole.
     """
 
@@ -53,45 +58,39 @@ class Encoder:
         self.kind = kind = "<u2" if library.get_vocab_size() <= 0x10000 else "<u4"
         self.split, tokenize = splitter(library.pre_tokenizer), library.model.tokenize
         latin = byte_characters()
-
         le = [i.to_bytes(np.dtype(kind).itemsize, "little") for i in range(library.get_vocab_size())]
-
-        def merged(piece: str) -> bytes:
-            mapped = piece.encode().decode("latin-1").translate(latin)
-            return b"".join([le[t.id] for t in tokenize(mapped)])
+        space = latin[ord(" ")]
 
         class Pieces(dict):
             def __missing__(self, piece: str) -> bytes:
-                if len(self) > REMEMBERED // 8:
-                    keep_half(self)
-                self[piece] = ids = merged(piece)
-                return ids
-
-        self.pieces = pieces = Pieces()
-
-        class Chunks(dict):
-            def __missing__(self, chunk: str) -> bytes:
-                if len(self) > REMEMBERED:
-                    keep_half(self)
-                if chunk.isalpha():  # one piece
-                    ids = merged(" " + chunk)
-                elif chunk[:-1].isalpha() and chunk[-1] in ",.":  # a known word and one piece more
-                    ids = self[chunk[:-1]] + pieces[chunk[-1]]
+                if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":  # letters stand for themselves
+                    mapped = space + piece[1:]
                 else:
-                    ids = b"".join(map(pieces.__getitem__, FAST.findall(" " + chunk)))
-                self[chunk] = ids
+                    mapped = piece.encode().decode("latin-1").translate(latin)
+                self[piece] = ids = b"".join([le[t.id] for t in tokenize(mapped)])
                 return ids
 
-        self.chunks = Chunks()
-
-    def __call__(self, text: str) -> bytes:
-        """As little-endian integers of self.kind."""
-        if any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if not chunkable(text):
-            return b"".join(map(self.pieces.__getitem__, self.split(text)))
-        first, *rest = text.split(" ")
-        return b"".join(map(self.pieces.__getitem__, FAST.findall(first))) + b"".join(map(self.chunks.__getitem__, rest))
+        self.pieces = Pieces()
+
+    def merged(self, pieces: pa.StringArray) -> pa.ListArray:
+        """The ids of each of the distinct pieces."""
+        if len(self.pieces) > REMEMBERED:
+            keep_half(self.pieces)
+        own = list(map(self.pieces.__getitem__, pieces.to_pylist()))
+        ends = np.cumsum([0, *map(len, own)]) // np.dtype(self.kind).itemsize
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(own), self.kind)))
+
+    def __call__(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, none of them null, and where each text ends in them, a zero first."""
+        whole = np.zeros(len(texts), bool)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return encode(texts, [], self.split, self.merged, self.kind)
+        ids, ends = encode(texts.filter(pa.array(~whole)), [], self.split, self.merged, self.kind) if not whole.all() else (np.zeros(0, self.kind), np.zeros(1, np.int64))
+        parts = iter([ids[a:z] for a, z in zip(ends[:-1], ends[1:], strict=True)])
+        each = [np.array(self.library.encode(t, add_special_tokens=False).ids, self.kind) if w else next(parts) for t, w in zip(texts.to_pylist(), whole, strict=True)]
+        return np.concatenate(each), np.concatenate([[0], np.cumsum(list(map(len, each)))])
 
 
 @cache
@@ -100,11 +99,8 @@ def encoder(tokenizer_path: str) -> Encoder:
     return Encoder(tokenizer_path)
 
 
-def pack(doc_ids: list[int], ids: list[bytes], kind: str = "<u4") -> bytes:
-    """A file's bytes. ids: little-endian integers of each document."""
-    width = np.dtype(kind).itemsize
-    flat = np.frombuffer(b"".join(ids), kind)
-    counts = np.array([len(x) // width for x in ids], "<i8")
+def pack(doc_ids: pa.Int64Array, counts: np.ndarray, flat: np.ndarray) -> bytes:
+    """A file's bytes. counts: ids of each document; flat: all ids, unsigned integers."""
     if len(flat) and flat.max() < 1 << 22:
         seen = np.bincount(flat)
         table = np.argsort(-seen, kind="stable")[: np.count_nonzero(seen)].astype("<u4")
@@ -126,17 +122,18 @@ def pack(doc_ids: list[int], ids: list[bytes], kind: str = "<u4") -> bytes:
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
     data = both[np.arange(width, dtype=np.uint8) <= padded[: len(ranks), None]]
     head = np.array([len(doc_ids), len(flat), len(table), len(data)], "<i8")
-    return b"".join([MAGIC, head.tobytes(), np.array(doc_ids, "<i8").tobytes(), counts.tobytes(), table.tobytes(), control.tobytes(), data.tobytes()])
+    return b"".join([MAGIC, head.tobytes(), np.asarray(doc_ids.fill_null(0)).astype("<i8").tobytes(), counts.astype("<i8").tobytes(), np.asarray(doc_ids.is_valid()).astype(np.uint8).tobytes(), table.tobytes(), control.tobytes(), data.tobytes()])
 
 
-def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, ids of each document, all ids (uint32)."""
+def unpack(blob: bytes) -> tuple[np.ma.MaskedArray, np.ndarray, np.ndarray]:
+    """doc_ids (null ones masked), ids of each document, all ids (uint32)."""
     if blob[:8] != MAGIC:
         raise ValueError("not a token file")
     docs, n, ranks, size = np.frombuffer(blob, "<i8", 4, 8).tolist()
     at = 40
     doc_ids, counts = np.frombuffer(blob, "<i8", docs, at), np.frombuffer(blob, "<i8", docs, at + 8 * docs)
-    at += 16 * docs
+    doc_ids = np.ma.MaskedArray(doc_ids, np.frombuffer(blob, np.uint8, docs, at + 16 * docs) == 0)
+    at += 17 * docs
     table = np.frombuffer(blob, "<u4", ranks, at)
     at += 4 * ranks
     quads = -(-n // 4)
@@ -152,42 +149,56 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, counts, table[value]
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes docs' ids, end_id after each document, and returns the manifest: file, path, first_doc, documents, ids, start.
+def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, tasks: int | None = None, file_ids: int = FILE_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Writes docs' ids, end_id after each document, and returns the manifest: file, path, documents, ids, start.
 
     Files are in ascending doc_id order; start is the number of ids in the files before. A null text is empty (end_id
-    only); rows with a null doc_id have no place in the order and raise an error; repeated doc_ids are neighbours, in
-    order of their text; an empty table makes no file. folder: a URI that all executors reach. A file is written under
-    a name of its own for each attempt and the manifest names the one that counts, so a task can be run again.
+    only). Rows with a null doc_id come first; rows that share a doc_id are neighbours, in the order of a hash of their
+    text. An empty table makes no file. folder: a URI that all executors reach. A file is written under a name of its own
+    for each attempt and the manifest names the one that counts, so a task can be run again.
     """
-    spark = docs.sparkSession
-    n = files or parts(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    n = tasks or parts(docs.sparkSession)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # equal rows, of which there may be very many, are told apart by where they were read
+    order = [F.col("doc_id").asc_nulls_first(), "h", "m"]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("m"))
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
-        encode = encoder(tokenizer_path)
-        doc_ids, ids, end = [], [], np.array([end_id], encode.kind).tobytes()
-        for b in small(batches):
-            if b.column(0).null_count:
-                raise ValueError("a null doc_id has no place in the order")
-            doc_ids += b.column(0).to_pylist()
-            ids += [encode(t) + end for t in b.column(1).to_pylist()]
-        if doc_ids:
-            size = sum(map(len, ids)) // len(end)
-            blob = pack(doc_ids, ids, encode.kind)
-            store, root = fs.FileSystem.from_uri(folder)
+        own, task, part = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        store, root = fs.FileSystem.from_uri(folder)
+        held, size = [], 0
+
+        def close() -> pa.RecordBatch:
             store.create_dir(root, recursive=True)
             name = f"tokens-{uuid.uuid4().hex}.tgr"
+            doc_ids = pa.concat_arrays([h[0] for h in held])
             with store.open_output_stream(f"{root}/{name}") as out:
-                out.write(blob)
-            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "first_doc": [doc_ids[0]], "documents": [len(doc_ids)], "ids": [size]})
-
-    manifest = cut(rows.mapInArrow(tidy(write), "path string, first_doc long, documents long, ids long"), "token-manifest")
-    order = Window.orderBy("first_doc", "path")  # a row for each file
-    return manifest.select((F.row_number().over(order) - 1).alias("file"), "path", "first_doc", "documents", "ids", F.coalesce(F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+                out.write(pack(doc_ids, np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])))
+            return pa.RecordBatch.from_pydict({"task": pa.array([task], pa.int32()), "part": pa.array([part], pa.int32()), "path": [f"{folder}/{name}"], "documents": [len(doc_ids)], "ids": [size]})
+
+        for b in slabs(batches, 1, SLAB):
+            ids, ends = own(b.column(1))
+            ids, ends = np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
+            at = 0
+            while at < b.num_rows:  # up to the document with which the file is full
+                to = min(b.num_rows, int(np.searchsorted(ends, ends[at] + file_ids - size)))
+                to = max(to, at + 1)
+                held.append((b.column(0).slice(at, to - at), np.diff(ends[at : to + 1]), ids[ends[at] : ends[to]]))
+                size += int(ends[to] - ends[at])
+                at = to
+                if size >= file_ids:
+                    yield close()
+                    held, size, part = [], 0, part + 1
+        if held:
+            yield close()
+
+    manifest = cut(rows.mapInArrow(tidy(write), "task int, part int, path string, documents long, ids long"), "token-manifest")
+    order = Window.orderBy("task", "part")  # a row for each file
+    return manifest.select((F.row_number().over(order) - 1).alias("file"), "path", "documents", "ids", F.coalesce(F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -212,10 +223,10 @@ def _read(manifest: DataFrame, with_ids: bool) -> DataFrame:
                 ends = np.cumsum(counts)
                 starts = ends - counts
                 raw = memoryview(ids.astype("<u4").tobytes())
-                out = {"doc_id": pa.array(doc_ids, pa.int64()), "start": pa.array(starts + before, pa.int64()), "n_tokens": pa.array(counts, pa.int64())}
+                out = {"doc_id": pa.array(doc_ids.data, pa.int64(), mask=doc_ids.mask), "start": pa.array(starts + before, pa.int64()), "n_tokens": pa.array(counts, pa.int64())}
                 out["ids_crc32"] = pa.array([zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(starts.tolist(), ends.tolist(), strict=True)], pa.int64())
                 if with_ids:
-                    out["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64)))
+                    out["ids"] = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int64()), pa.array(ids.astype(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
