@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables, cut, slabs, tidy, utf8
+from .hashing import BASES, Rolling, Words, mix
 
 WINDOW = 3
 #: Words of a passage, and of the runs one of which is its sign.
@@ -39,31 +40,6 @@ BROADCAST_KEYS = 2_000_000
 #: Bytes of text that a worker hashes at a time.
 SLAB = 1 << 19
 
-_WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
-_BYTES = np.random.default_rng(8).integers(0, 1 << 64, 256, dtype=np.uint64)
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Rolling:
-    """The polynomial hashes modulo 2^64 of runs of values."""
-
-    def __init__(self, values: np.ndarray, base: int = _BASES[0]):
-        powers = np.full(len(values) + 1, base, np.uint64)
-        self.back = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
-        powers[:1] = self.back[:1] = 1
-        self.back = np.cumprod(self.back)
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * np.cumprod(powers)[:-1])))
-
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
-
-
 def _least(x: np.ndarray, n: int) -> np.ndarray:
     """Where the least of each n values in a row stands, the first of equals."""
     at = np.arange(len(x), dtype=np.int32)
@@ -79,21 +55,11 @@ def _least(x: np.ndarray, n: int) -> np.ndarray:
     return step(x, at, n - width)[1] if n > width else at
 
 
-class Words:
-    """The words of some texts in a row: hash, text, line (blank ones counted), and where each text begins and ends."""
-
-    def __init__(self, texts: list[str | None]):
-        parts = [utf8(t) for t in texts]
-        data = np.frombuffer(b"\n".join(parts), np.uint8)
-        edges = np.flatnonzero(np.diff(np.concatenate(([True], _WHITE[data], [True])).astype(np.int8)))
-        self.hash = Rolling(_BYTES[data]).of(edges[::2], edges[1::2])
-        self.text = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), edges[::2], "right")
-        self.line = np.searchsorted(np.flatnonzero(data == 10), edges[::2])
-        self.begin = np.searchsorted(self.text, np.arange(len(parts)))
-        self.end = np.searchsorted(self.text, np.arange(len(parts)), "right")
+class Lines(Words):
+    """Words with the windows that they make."""
 
     def rolling(self) -> tuple[Rolling, Rolling]:
-        return Rolling(self.hash), Rolling(_mix(~self.hash), _BASES[1])
+        return Rolling(self.hash), Rolling(mix(~self.hash), BASES[1])
 
     def lines(self, width: int, rolling: tuple[Rolling, Rolling]) -> tuple[np.ndarray, ...]:
         """(h1, h2, first word, end) of each window of `width` lines that are not blank; of all of them, if a text has fewer."""
@@ -106,7 +72,7 @@ class Words:
         ok = last < len(first)
         ok[ok] = own[last[ok]] == own[ok]
         at, last = at[ok], last[ok]
-        h1, h2 = (Rolling(r.of(first, after), b).of(at, last + 1) for r, b in zip(rolling, _BASES, strict=True))
+        h1, h2 = (Rolling(r.of(first, after), b).of(at, last + 1) for r, b in zip(rolling, BASES, strict=True))
         return h1, h2, first[at], after[last]
 
     def anchors(self, size: int, gram: int, rolling: tuple[Rolling, Rolling]) -> tuple[np.ndarray, ...]:
@@ -126,7 +92,7 @@ class Words:
         own = self.text[p]
         left, right = np.maximum(p - reach, self.begin[own]), np.minimum(p + size, self.end[own])
         # where the windows lie in the context belongs to it: it is cut off at the text's ends
-        context = _mix(rolling[1].of(left, right) ^ ((low - left) << 16 | (high - left)).astype(np.uint64) * np.uint64(_BASES[0]))
+        context = mix(rolling[1].of(left, right) ^ ((low - left) << 16 | (high - left)).astype(np.uint64) * np.uint64(BASES[0]))
         return grams[p], context, low, high
 
 
@@ -197,7 +163,7 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slabs(batches, 2, SLAB):
-            own = Words(b.column(2).to_pylist())
+            own = Lines(b.column(2).to_pylist())
             rolling = own.rolling()
             rows = []
             if width is not None:
@@ -215,7 +181,7 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
 
     def window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slabs(batches, 2, SLAB):
-            own = Words(b.column(2).to_pylist())
+            own = Lines(b.column(2).to_pylist())
             row = np.repeat(np.arange(b.num_rows), b.column(3).value_lengths().to_numpy(zero_copy_only=False))
             ranges = b.column(3).flatten().to_numpy(zero_copy_only=False)
             low, size = (ranges >> 32) + own.begin[row], (ranges & (1 << 32) - 1) - (ranges >> 32)

@@ -29,13 +29,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, Tables, cut, drop, parts, small, tidy, utf8
+from .common import LOWER_TABLE, Tables, cut, drop, parts, slabs, small, tidy, utf8
 from .graph import components
+from .hashing import Rolling, Words
 
 SHINGLE = 5
 #: Jaccard threshold as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
 STARS = 2
+#: Bytes of text that a worker takes at a time.
+SLAB = 1 << 19
 #: Least and most bits of a bitmap that is broadcast (2 MB, 32 MB): about eight for each document, in between.
 BITMAP, LARGEST = 1 << 24, 1 << 28
 #: A token with more postings is joined by bands of sizes, each BAND times the one before.
@@ -45,35 +48,21 @@ BROADCAST_TOKENS = 500_000
 #: A star of more classes is crowded; a token in more documents of such stars goes last in all orders.
 CROWDED, FREQUENT = 16, 32
 
-_P = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def _mix(x: np.ndarray, order: int) -> np.ndarray:
     x = (x ^ np.uint64(0xD6E8FEB86659FD93 * (order + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str | None, known: dict, width: int = SHINGLE) -> np.ndarray:
-    """The text's set of tokens, sorted. Fewer words than width: the whole sequence is one; no words: none."""
-    own = utf8(text).translate(LOWER_TABLE).split()
-    if not own:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
-    n = min(width, len(h))
-    m = len(h) - n + 1
-    out = np.full(m, n, np.uint64)
-    for i in range(n):
-        out = out * _P + h[i : i + m]
-    return np.unique(_mix(out, 0))
+def shingles(texts: list[str | None], width: int = SHINGLE) -> list[np.ndarray]:
+    """Each text's set of tokens, sorted. Fewer words than width: the whole sequence is one; no words: none."""
+    own = Words(texts, lower=True)
+    size = own.end - own.begin
+    many = np.where(size >= width, size - width + 1, np.minimum(size, 1))
+    ends = np.cumsum(many)
+    at = np.repeat(own.begin - ends + many, many) + np.arange(many.sum())
+    tokens = Rolling(own.hash).of(at, np.minimum(at + width, np.repeat(own.end, many)))
+    return [np.unique(tokens[a:z]) for a, z in zip((ends - many).tolist(), ends.tolist(), strict=True)]
 
 
 def prefix_size(n: int) -> int:
@@ -153,8 +142,7 @@ class Join:
         types = [kinds[x.split()[1]] for x in schema.split(", ")]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = _WordHashes()
-            for b in small(batches):
+            for b in slabs(batches, 1, SLAB):
                 ids = np.asarray(b.column(0))
                 pick = np.full(len(ids), True)
                 if only is not None:
@@ -162,7 +150,7 @@ class Join:
                 if without is not None:
                     pick &= ~_has(without.value, _hashed(ids))
                 texts = b.column(1).filter(pa.array(pick)).to_pylist()
-                rows = [r for d, t in zip(ids[pick].tolist(), texts, strict=True) if (r := make(d, shingles(t, known))) is not None]
+                rows = [r for d, t in zip(ids[pick].tolist(), shingles(texts), strict=True) if (r := make(d, t)) is not None]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(types)], names=names)
 
         return self.docs.mapInArrow(tidy(run), schema)
@@ -286,20 +274,19 @@ class Join:
         only = self.ids_bitmap(crowd)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, held, size = _WordHashes(), [], 0
+            held, size = [], 0
 
             def emit() -> pa.RecordBatch:
                 values, counts = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
                 return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=["token", "n"])
 
-            for b in small(batches):
+            for b in slabs(batches, 1, SLAB):
                 pick = pa.array(_has(only.value, _hashed(np.asarray(b.column(0)))))
-                for t in b.column(1).filter(pick).to_pylist():
-                    held.append(shingles(t, known))
-                    size += len(held[-1])
-                    if size > 2_000_000:
-                        yield emit()
-                        held, size = [], 0
+                held += shingles(b.column(1).filter(pick).to_pylist())
+                size = sum(map(len, held))
+                if size > 1_000_000:
+                    yield emit()
+                    held, size = [], 0
             yield emit()
 
         return self.docs.mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT).select("token")
@@ -381,9 +368,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lost = rows.where("doc_id is null")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
-        for b in batches:
-            n = [len(shingles(t, known)) for t in b.column(1).to_pylist()]
+        for b in slabs(batches, 1, SLAB):
+            n = list(map(len, shingles(b.column(1).to_pylist())))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(0)], names=["doc_id", "n_shingles", "component_id"])
 
     return out.union(lost.mapInArrow(tidy(count), "doc_id long, n_shingles long, component_id long"))
