@@ -14,8 +14,8 @@ from titlegraph.llm.queries import table, tokenizer_path
 
 #: Rows of a batch between Spark and Python, for the memory of executors and workers; results do not depend on it.
 ROWS = 1_000
-#: doc_ids of several rows up to which their table is broadcast; a larger one is joined by shuffle.
-REPEATED_IDS = 500_000
+#: doc_ids of 8 bytes up to which a table of them is broadcast; a larger one is joined by shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
@@ -43,8 +43,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = ngram_join.near_duplicates(docs)
     keep = cut(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__keep")).agg(F.count(F.lit(1)).alias("n")), "keep")
     once, more = keep.where("n = 1"), keep.where("n > 1")
-    if more.count() <= REPEATED_IDS:
-        more = F.broadcast(more)
+    once, more = (F.broadcast(x) if x.count() <= BROADCAST_IDS else x for x in (once.select("__keep"), more.select("__keep")))
     same = F.col("doc_id") == F.col("__keep")
     repeated = docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return docs.join(once, same, "left_semi").unionByName(repeated).unionByName(docs.where("doc_id is null"))
