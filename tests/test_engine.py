@@ -100,11 +100,11 @@ def test_names_and_facts(spark):
 
 
 def test_manifests(spark):
-    good = {"manifestVersion": "1.0.0", "id": "x-y", "name": "n", "version": "1.0.0", "description": "d", "license": "MIT", "ljb": {"minVersion": "1"}, "entry": {"kind": "javascript", "module": "m"}}
+    good = {"manifestVersion": "1.0.0", "id": "x-y", "name": "n", "version": "1.0.0", "description": "d", "license": "MIT", "host": {"minVersion": "1"}, "entry": {"kind": "javascript", "module": "m"}}
     assert manifest.errors_of(json.dumps(good)) == []
     bad = manifest.errors_of(json.dumps({"manifestVersion": "9.0.0", "id": "x"}))
-    assert "manifestVersion must be 1.0.0" in bad and "ljb must be an object" in bad and "entry must be an object" in bad
-    assert manifest.errors_of("[1]") == ["manifest must be an object"] and manifest.errors_of("{") == ["manifest is not JSON"]
+    assert "manifestVersion must be 1.0.0" in bad and "host must be an object" in bad and "entry must be an object" in bad
+    assert manifest.errors_of("[1]")[:2] == ["manifest.0 is not allowed", "manifestVersion must be 1.0.0"] and manifest.errors_of("1") == ["manifest must be an object"] and manifest.errors_of("{") == ["manifest is not JSON"]
     df = manifest.validate(spark.createDataFrame([(json.dumps(good),), ("{}",)], "raw string"))
     assert sorted(r.ok for r in df.collect()) == [False, True]
 
@@ -156,3 +156,29 @@ def test_files_and_stream(spark, tmp_path):
     files.write_csv(sheet, str(tmp_path / "csv"))
     assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "csv"), ["x", "y"]).collect()] == [('a"b\nc', "")]
     assert files.inventory(spark, str(src / "a.json")).first().bytes == (src / "a.json").stat().st_size
+
+
+def test_numbers_are_gapless_at_size(spark, tmp_path):
+    """More rows than the range sample holds, with a payload that counting does not read."""
+    path = str(tmp_path / "rows")
+    spark.range(3_000_000).select((F.col("id") * 7_919 % 3_000_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload")).write.parquet(path)
+    out = review.number(spark.read.parquet(path), ["k"], "n")
+    assert out.count() == 3_000_000 and out.where("n <> k + 1").isEmpty()
+
+
+def test_numbers_of_equal_rows(spark):
+    out = review.number(spark.range(5000).select(F.lit(1).alias("k")), ["k"], "n", start=10)
+    assert sorted(r.n for r in out.collect()) == list(range(10, 5010))
+
+
+def test_match_of_rows_without_candidates_or_status(spark):
+    schema = "row_id long, dynCandidates array<string>, fief string, pn string, nt string, personBare string, startYear int, endYear int, skipReason string, reviewStatus string"
+    rows = spark.createDataFrame([(1, None, "f", None, "王", "甲", None, None, None, "ready"), (2, ["漢"], "f", None, "王", "乙", None, None, "section:x", None), (3, [], "f", None, "王", "丙", None, None, None, "ready"), (4, ["漢"], "f", None, "王", "戊", None, None, None, "ready")], schema)
+    titles = spark.createDataFrame([(0, 1, 1, None, "f", None, None, "王", 1, 2, 3)], "row_pos long, ind long, person_id long, dyn string, fief string, pn string, pn_abr string, nt string, start_year int, end_year int, dyn_id long")
+    persons = spark.createDataFrame([(0, 1, "甲"), (1, 5, "丙"), (2, 5, "丁"), (3, 6, "戊"), (4, 6, "戊")], "row_pos long, id long, name string")
+    out = {r.row_id: r for r in match.match(rows, titles, persons).collect()}
+    assert (out[1].matchTier, out[1].suggestedAction) == ("B", "link")
+    assert (out[2].matchStatus, out[2].suggestedAction) == ("skip", "skip")
+    assert out[3].matchStatus == "wiki_only"  # 丙 was renamed
+    assert (out[4].matchStatus, out[4].db.person_id, out[4].db.can_name) == ("person_only", 6, "戊")
+    assert sorted(r.row_id for r in match.only_matched(match.match(rows, titles, persons)).collect()) == [1, 4]

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: The version, and patterns of ids and versions.
 VERSION = "1.0.0"
 ID = re.compile(r"^[a-z][a-z0-9]*(-[a-z0-9]+)*\Z")
 SEMVER = re.compile(r"^\d+\.\d+\.\d+(-[0-9A-Za-z.-]+)?\Z")
@@ -17,7 +18,7 @@ SEMVER = re.compile(r"^\d+\.\d+\.\d+(-[0-9A-Za-z.-]+)?\Z")
 #: Fields in the order in which errors are told. A field's rule is (type, required, extra).
 _ITEM = {"id": ("text", True, "kebab"), "label": ("text", True, None)}
 SPEC: dict[str, dict] = {
-    "ljb": {"minVersion": ("text", True, None), "maxVersion": ("text", False, None)},
+    "host": {"minVersion": ("text", True, None), "maxVersion": ("text", False, None)},
     "languagePrompt": {"message": ("text", True, None), "documentLanguages": ("texts", False, None)},
     "toolsMenu": _ITEM | {"action": None, "separatorBefore": None},
     "autoTagging": {"id": ("text", True, None), "label": ("text", True, None), "kind": ("text", True, "kind"), "description": None, "defaultEnabled": None, "tags": None},
@@ -25,18 +26,21 @@ SPEC: dict[str, dict] = {
     "settingsSections": {"id": ("text", True, None), "label": ("text", True, None), "description": None},
     "disambiguation": {"id": ("text", True, None), "label": ("text", True, None), "entityKind": ("text", True, None), "description": None, "usesContextKeys": None},
 }
-TOP = ["manifestVersion", "id", "name", "version", "description", "author", "homepage", "license", "ljb", "languages", "regions", "languagePrompt", "entry", "contributions", "dependencies", "bundled"]
+TOP = ["manifestVersion", "id", "name", "version", "description", "author", "homepage", "license", "host", "languages", "regions", "languagePrompt", "entry", "contributions", "dependencies", "bundled"]
 REGIONS = ["east-asia", "china", "japan", "korea"]
 KINDS = ["dates", "authority-tag-bomb", "contextual-disambiguation", "pattern-tag", "custom"]
 INSTALL = {"bundled": "path", "authoritypacks-release": "releaseId", "url": "url"}
-#: What only the strict rules restrict.
-ENTITY_KINDS_UNIQUE = ["languages", "regions", "bundled"]
+
+
+def _object(v: Any) -> dict | None:
+    """An object; an array is one with numbers for keys; nothing else is."""
+    return v if isinstance(v, dict) else {str(i): x for i, x in enumerate(v)} if isinstance(v, list) else None
 
 
 class _Walk:
-    def __init__(self, strict: bool):
+    def __init__(self, strict: bool, host: str):
         self.errors: list[str] = []
-        self.strict = strict
+        self.strict, self.host = strict, host
 
     def say(self, what: str) -> None:
         self.errors.append(what)
@@ -44,7 +48,7 @@ class _Walk:
     def keys(self, obj: dict, allowed: list[str], path: str) -> None:
         for k in obj:
             if k not in allowed:
-                self.say(f"{path} has unknown key: {k}")
+                self.say(f"{path}.{k} is not allowed")
 
     def text(self, v: Any, path: str) -> bool:
         if isinstance(v, str) and v.strip():
@@ -62,7 +66,8 @@ class _Walk:
             self.say(f"{path} must have unique items")
 
     def fields(self, v: Any, spec: str, path: str) -> None:
-        if not isinstance(v, dict):
+        v = _object(v)
+        if v is None:
             self.say(f"{path} must be an object")
             return
         rules = SPEC[spec]
@@ -85,7 +90,8 @@ class _Walk:
                     self.say(f"{own} is invalid")
 
     def install(self, v: Any, path: str) -> None:
-        if not isinstance(v, dict):
+        v = _object(v)
+        if v is None:
             self.say(f"{path} is required")
             return
         self.keys(v, ["source", "path", "releaseId", "url", "manifestPath"], path)
@@ -97,7 +103,8 @@ class _Walk:
             self.say(f"{path}.source is invalid")
 
     def entry(self, v: Any) -> None:
-        if not isinstance(v, dict):
+        v = _object(v)
+        if v is None:
             self.say("entry must be an object")
             return
         self.keys(v, ["kind", "module", "python"], "entry")
@@ -107,16 +114,18 @@ class _Walk:
         if kind in ("javascript", "hybrid") and not isinstance(v.get("module"), str):
             self.say("entry.module is required for javascript/hybrid plugins")
         if kind in ("python", "hybrid"):
-            if not isinstance(v.get("python"), dict):
+            python = _object(v.get("python"))
+            if python is None:
                 self.say("entry.python is required for python/hybrid plugins")
             else:
-                self.keys(v["python"], ["module", "runtime", "runtimePath"], "entry.python")
-                self.text(v["python"].get("module"), "entry.python.module")
+                self.keys(python, ["module", "runtime", "runtimePath"], "entry.python")
+                self.text(python.get("module"), "entry.python.module")
 
     def manifest(self, m: Any) -> list[str]:
-        if not isinstance(m, dict):
+        m = _object(m)
+        if m is None:
             return ["manifest must be an object"]
-        self.keys(m, TOP, "manifest")
+        self.keys(m, [self.host if k == "host" else k for k in TOP], "manifest")
         if m.get("manifestVersion") != VERSION:
             self.say(f"manifestVersion must be {VERSION}")
         for name, pattern, what in (("id", ID, "kebab-case"), ("name", None, ""), ("version", SEMVER, "semver"), ("description", None, ""), ("license", None, "")):
@@ -126,7 +135,7 @@ class _Walk:
         for name in ("author", "homepage"):
             if m.get(name) is not None:
                 self.text(m[name], name)
-        self.fields(m.get("ljb"), "ljb", "ljb")
+        self.fields(m.get(self.host), "host", self.host)
         if m.get("languages") is not None:
             self.texts(m["languages"], "languages")
         if m.get("regions") is not None:
@@ -140,9 +149,9 @@ class _Walk:
             self.fields(m["languagePrompt"], "languagePrompt", "languagePrompt")
         self.entry(m.get("entry"))
         if m.get("contributions") is not None:
-            c = m["contributions"]
+            c = _object(m["contributions"])
             kinds = ["toolsMenu", "autoTagging", "authorityPacks", "settingsSections", "disambiguation"]
-            if not isinstance(c, dict):
+            if c is None:
                 self.say("contributions must be an object")
             else:
                 self.keys(c, kinds, "contributions")
@@ -155,8 +164,8 @@ class _Walk:
                     for i, item in enumerate(c[k]):
                         self.fields(item, k, f"contributions.{k}[{i}]")
         if m.get("dependencies") is not None:
-            d = m["dependencies"]
-            if not isinstance(d, dict):
+            d = _object(m["dependencies"])
+            if d is None:
                 self.say("dependencies must be an object")
             else:
                 self.keys(d, ["plugins"], "dependencies")
@@ -170,24 +179,27 @@ class _Walk:
         return self.errors
 
 
-def errors_of(raw: str | None, strict: bool = False) -> list[str]:
-    """The errors of a manifest given as JSON, in order; none if it is valid."""
+def errors_of(raw: str | None, strict: bool = False, host: str = "host") -> list[str]:
+    """The errors of a manifest given as JSON, in order; none if it is valid. host: the field with the host's versions."""
     try:
-        return _Walk(strict).manifest(json.loads(raw or "null"))
+        return _Walk(strict, host).manifest(json.loads(raw or "null"))
     except ValueError:
         return ["manifest is not JSON"]
 
 
-def validate(manifests: DataFrame, strict: bool = False, raw_col: str = "raw") -> DataFrame:
+def validate(manifests: DataFrame, strict: bool = False, raw_col: str = "raw", host: str = "host") -> DataFrame:
     """manifests with errors array<string> and ok."""
 
     @F.pandas_udf("array<string>")
     def run(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda x: errors_of(x, strict))
+        return raw.map(lambda x: errors_of(x, strict, host))
 
     return manifests.withColumn("errors", run(raw_col)).withColumn("ok", F.size("errors") == 0)
 
 
-def read_manifests(spark, pattern: str, skip: str = "plugin-sdk") -> DataFrame:
-    """(path, raw) of every manifest file that a glob finds, but for those in the skipped directory."""
-    return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw")).where(~F.contains("path", F.lit(f"/{skip}/")))
+def read_manifests(spark, pattern: str, skip: str = "sdk") -> DataFrame:
+    """(path, raw) of every manifest file that a glob finds, but for those in the skipped directory; an error if none."""
+    found = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw")).where(~F.contains("path", F.lit(f"/{skip}/")))
+    if found.isEmpty():
+        raise FileNotFoundError(f"no manifests at {pattern}")
+    return found

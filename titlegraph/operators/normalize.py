@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import DYNASTIES, MARK_SKIP
 from ..functions.text import page_url, translate, without_note
+from ..storage import cut
 from .wikitext import split_title
 
 
@@ -37,15 +38,24 @@ def normalize(rows: DataFrame, characters: dict[str, str] | None = None, order:
 
 
 def mark_duplicates(rows: DataFrame, key: Column, skipped: Column, order: list[str], status: str = "reviewStatus") -> DataFrame:
-    """First wins: status ready, duplicate or skip_section; no row goes."""
-    n = F.row_number().over(Window.partitionBy(skipped, key).orderBy(*order))
-    return rows.withColumn(status, F.when(skipped, "skip_section").when(n > 1, "duplicate").otherwise("ready"))
+    """First wins: status ready, duplicate or skip_section; no row goes.
+
+    The first row of a key is found by a minimum, summed on the map side, so that a key with very many rows is no task's
+    alone. Rows that are equal in `order` too are told apart by where they were read.
+    """
+    rows = cut(rows.withColumns({"__key": F.sha2(key, 256), "__skip": skipped, "__m": F.monotonically_increasing_id()}), "marked")
+    first = cut(rows.where("not __skip").groupBy("__key").agg(F.min(F.struct(*order, "__m"))["__m"].alias("__first")), "first-of-key")
+    out = rows.join(first, "__key", "left")
+    return out.withColumn(status, F.when(F.col("__skip"), "skip_section").when(F.col("__m") != F.col("__first"), "duplicate").otherwise("ready")).drop("__key", "__skip", "__m", "__first")
 
 
 def resolve_redirects(titles: DataFrame, info: DataFrame, redirects: DataFrame) -> DataFrame:
-    """info (title, pageId, url, wikidataId) of each distinct title, direct or over one redirect (source, target)."""
+    """info (title, pageId, url, wikidataId) of each distinct title, direct or over one redirect (source, target).
+
+    Of several redirects of a source the last counts, by row_pos where redirects have it.
+    """
     titles = titles.distinct()
-    hop = redirects.groupBy(F.col("source").alias("title")).agg(F.max("target").alias("target"))
+    hop = redirects.groupBy(F.col("source").alias("title")).agg(F.max_by("target", "row_pos" if "row_pos" in redirects.columns else "target").alias("target"))
     direct = titles.join(info, "title", "left").join(hop, "title", "left")
     over = info.select(F.col("title").alias("target"), *[F.col(c).alias(f"r_{c}") for c in ("pageId", "url", "wikidataId")])
     return direct.join(over, "target", "left").select("title", *[F.coalesce(c, f"r_{c}").alias(c) for c in ("pageId", "url", "wikidataId")])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, csv_cell, first_of, sql_int, sql_string
+from ..functions.text import blank_to_null, csv_cell, first_of, key, sql_int, sql_string, trim
+from ..storage import cut
 
 #: Columns of the review sheet; those of the matched title get the given prefix.
 WIKI_COLUMNS = ["sourcePage", "dynastySection", "dyn_candidates", "fief", "pn", "nt", "person", "personBare", "startYear", "endYear"]
@@ -14,15 +15,18 @@ CORRECTED = ["fief_corrected", "pn_corrected", "reviewer_notes"]
 
 
 def number(rows: DataFrame, order: list[str], name: str = "review_id", start: int = 1) -> DataFrame:
-    """Gapless numbers in the given order, without moving all rows to one task: counts of range partitions are summed
-    first, and each partition numbers its own rows."""
+    """Gapless numbers in the given order, without moving all rows to one task.
+
+    Range partitions are sorted and written once, each row with its place in its partition, so that the sizes that are
+    summed are those of the partitions that are numbered. Rows that are equal in `order` are told apart by where they were
+    read, so that many of them do not meet in one task.
+    """
     spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    flat = rows.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
-    mark = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    flat = flat.withColumn("__n", mark)
-    before = flat.groupBy("__part").agg(F.max("__n").alias("__size"))  # a row for each partition
-    before = before.select("__part", (F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + start - 1).alias("__before"))
+    n, key = int(spark.conf.get("spark.sql.shuffle.partitions")), [*order, "__m"]
+    flat = rows.withColumn("__m", F.monotonically_increasing_id()).repartitionByRange(n, *key).sortWithinPartitions(*key).drop("__m")
+    flat = cut(flat.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__n")), "numbered")
+    sizes = flat.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))  # a row for each partition
+    before = sizes.select("__part", (F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + start).alias("__before"))
     return flat.join(F.broadcast(before), "__part").withColumn(name, F.col("__n") + F.col("__before")).drop("__part", "__n", "__before")
 
 
@@ -59,15 +63,16 @@ def correct(rows: DataFrame, corrections: DataFrame, use_action: bool = True) ->
     return out.drop("__id", *[f"__{c}" for c in names])
 
 
-def effective(column: str) -> Column:
-    """A corrected value, else the parsed one."""
-    return first_of(F.col(f"{column}_corrected"), F.col(column))
+def effective(column: str, fallback: Column | None = None) -> Column:
+    """A corrected value, else the parsed one, else the sheet's."""
+    found = [F.col(f"{column}_corrected"), F.col(column)]
+    return first_of(*found, *([] if fallback is None else [fallback]))
 
 
 def decide(manual: Column, suggested: Column, status: Column, corrected: Column, honour_skip: bool = True) -> Column:
     """The action: the reviewer's, else the suggested one if it applies by itself, else a title link for rows without a
     unique match or with corrections, else skip. honour_skip False lets a manual skip fall through."""
-    manual = blank_to_null(manual)
+    manual, suggested = blank_to_null(trim(manual)), trim(suggested)
     if not honour_skip:
         manual = F.when(manual != "skip", manual)
     return F.coalesce(manual, F.when(suggested.isin("link", "insert_nt", "update_nt"), suggested), F.when(status.isin("wiki_only", "ambiguous") | corrected, F.lit("link_title")), F.lit("skip"))
@@ -76,20 +81,29 @@ def decide(manual: Column, suggested: Column, status: Column, corrected: Column,
 def dynasty(rows: DataFrame, ids: DataFrame, row_id: str) -> DataFrame:
     """rows with dyn and dynId: the matched title's, else of the first candidate that has an id, else the first candidate.
 
-    ids: (row_pos, id, name), the last of a name counts.
+    ids: (row_pos, id, name), the last of a name (as a join key) counts. Candidates are trimmed, blank ones left out.
     """
-    table = ids.groupBy("name").agg(F.max_by("id", "row_pos").alias("own"))
+    rows = rows.withColumn("dynCandidates", F.filter(F.transform("dynCandidates", trim), lambda x: x != ""))
+    table = ids.where(F.col("name") != "").groupBy(key(F.col("name")).alias("name")).agg(F.max_by("id", "row_pos").alias("own")).where("own <> 0")
     found = rows.select(row_id, F.posexplode("dynCandidates").alias("pos", "name")).join(table, "name").groupBy(row_id).agg(F.min(F.struct("pos", "name", "own")).alias("hit"))
     out = rows.join(found, row_id, "left")
     matched = F.coalesce(F.col("db.dyn_id"), F.lit(0)) != 0
-    return out.withColumn("dyn", F.when(matched, F.coalesce("db.dyn", F.get("dynCandidates", F.lit(0)))).otherwise(F.coalesce("hit.name", F.get("dynCandidates", F.lit(0))))).withColumn("dynId", F.when(matched, F.col("db.dyn_id")).otherwise(F.col("hit.own"))).drop("hit")
+    return out.withColumn("dyn", F.when(matched, F.col("db.dyn")).otherwise(F.coalesce("hit.name", F.get("dynCandidates", F.lit(0))))).withColumn("dynId", F.when(matched, F.col("db.dyn_id")).otherwise(F.col("hit.own"))).drop("hit")
 
 
 def plan(rows: DataFrame, ids: DataFrame, row_id: str = "review_id", honour_skip: bool = True) -> DataFrame:
-    """Corrected rows with the apply plan's columns: action, fief, pn, nt, dyn, dynId, personId, ntInd."""
+    """Corrected rows with the apply plan's columns: action, fief, pn, nt, dyn, dynId, personId, ntInd.
+
+    Columns of the sheet (wiki_fief and so on), where rows have them, serve where a value is missing.
+    """
+    for c in ("fief", "pn", "nt", "startYear", "endYear", "sourcePage", "personBare"):
+        if f"wiki_{c}" in rows.columns and c not in ("fief", "pn"):
+            own = F.col(c) if c in rows.columns else F.lit(None)
+            rows = rows.withColumn(c, F.coalesce(own, F.col(f"wiki_{c}").cast(rows.schema[c].dataType if c in rows.columns else "string")))
+    sheet = {c: F.col(f"wiki_{c}") if f"wiki_{c}" in rows.columns else None for c in ("fief", "pn")}
     rows = dynasty(rows, ids, row_id)
     corrected = (F.coalesce("fief_corrected", F.lit("")) != "") | (F.coalesce("pn_corrected", F.lit("")) != "")
-    return rows.withColumns({"action": decide(F.col("action"), F.col("suggestedAction"), F.col("matchStatus"), corrected, honour_skip), "fief": effective("fief"), "pn": effective("pn"), "personId": F.col("db.person_id"), "ntInd": F.col("db.ind")})
+    return rows.withColumns({"action": decide(F.col("action"), F.col("suggestedAction"), F.col("matchStatus"), corrected, honour_skip), "fief": effective("fief", sheet["fief"]), "pn": effective("pn", sheet["pn"]), "personId": F.col("db.person_id"), "ntInd": F.col("db.ind")})
 
 
 def statements(plans: DataFrame, created_by: str = "wiki-import") -> DataFrame:

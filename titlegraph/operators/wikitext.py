@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import PARSE_SKIP, RANKS
 from ..functions.text import blank_to_null, trim
 
+#: Patterns of links, years of office and level-two headers.
 LINK = r"\[\[([^|\]#]+)(?:#[^\]|]+)?(?:\|([^\]]+))?\]\]"
 YEARS = r"(\d+|\?)年\s*-\s*(\d+|\?)年"
 HEADER = r"^==\s*([^=\n]+?)\s*==\s*\z"
 
 
 def split_title(title: Column, ranks: list[str] = RANKS) -> Column:
-    """struct(fief, nt): by the first rank, in list order, that ends the title and leaves something before it."""
+    """struct(fief, nt): by the first rank, in list order, that ends the trimmed title and leaves something before it."""
+    title = trim(title)
     ways = [F.when(F.endswith(title, F.lit(r)) & (F.length(title) > len(r)), F.struct(F.substring(title, F.lit(1), F.length(title) - len(r)).alias("fief"), F.lit(r).alias("nt"))) for r in ranks]
     return F.coalesce(*ways, F.struct(F.lit(None).cast("string").alias("fief"), F.lit(None).cast("string").alias("nt")))
 
@@ -56,13 +58,17 @@ def is_disambiguation(text: Column) -> Column:
 
 
 def sectioned_lines(pages: DataFrame, keys: list[str], text_col: str = "wikitext") -> DataFrame:
-    """Every line with its number and the level-two header above it; lines above a page's first header go, if it has one."""
-    lines = pages.select(*keys, F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    header = F.when(F.col("line").rlike(HEADER), F.regexp_extract("line", HEADER, 1))
-    page = Window.partitionBy(*keys)
-    lines = lines.withColumn("header", header).withColumn("section", F.last("header", ignorenulls=True).over(page.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lines.withColumn("any", F.max(F.col("header").isNotNull()).over(page))
-    return lines.where(F.col("header").isNull() & (F.col("section").isNotNull() | ~F.col("any"))).drop("header", "any")
+    """Every line with its number and the level-two header above it; lines above a page's first header go, if it has one.
+
+    All inside a page's row, by a running header over its lines: nothing is shuffled, and pages of one key stay apart.
+    """
+    header = lambda x: F.when(x.rlike(HEADER), F.regexp_extract(x, HEADER, 1))
+    found = F.filter(F.transform(F.split(text_col, "\n"), lambda x, i: F.named_struct(F.lit("at"), i, F.lit("name"), header(x))), lambda h: h["name"].isNotNull())
+    lines = pages.select(*keys, found.alias("__headers"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
+    above = F.filter("__headers", lambda h: h["at"] <= F.col("line_no"))
+    lines = lines.withColumn("__above", F.element_at(above, F.when(F.size(above) > 0, F.lit(-1)))).withColumn("section", F.col("__above.name"))
+    is_header = F.coalesce(F.col("__above.at") == F.col("line_no"), F.lit(False))
+    return lines.where(~is_header & (F.col("section").isNotNull() | (F.size("__headers") == 0))).select(*keys, "line_no", "line", "section")
 
 
 def holders(pages: DataFrame, text_col: str = "wikitext", title_col: str = "title") -> DataFrame:
