@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: list[str] = []
+from ..storage import cut, drop, scratch, shared_dir  # noqa: F401
 
 #: Bytes: A-Z to a-z, all but 0-9, a-z and bytes over 0x7F to a space.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -29,36 +27,6 @@ def words(text: str | None) -> list[bytes]:
     return utf8(text).translate(WORD_TABLE).split()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not _OWN:
-        _OWN.append("file://" + tempfile.mkdtemp(prefix="titlegraph-"))
-    return _OWN[0]
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/titlegraph/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
-
-
-def drop(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files behind a cut() that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def with_settings(df: DataFrame, **settings: object) -> DataFrame:
     """df in a session of its own with other settings; names have __ for a dot. The caller's session stays as it is."""
     own = df.sparkSession.newSession()
