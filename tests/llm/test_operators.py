@@ -55,6 +55,29 @@ def test_shards_are_even_and_gapless(docs):
     assert sharding.shard_by_bytes(docs.limit(0)).count() == 0
 
 
+def test_shards_equal_brute_force(spark):
+    """Even, contiguous, equal texts together; null doc_ids and a text that half of the rows share."""
+    rng = random.Random(2)
+    rows = [(i, "x" * rng.randint(0, 40) + str(i % 90)) for i in range(900)] + [(None, None), (None, "n")] + [(2000 + i, "hot text") for i in range(900)]
+    out = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=8).collect()
+    size = lambda t: len((t or "").encode()) + 1
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in out) == Counter((i, size(t), zlib.crc32((t or "").encode())) for i, t in rows)
+    total, order = sum(size(t) for _, t in rows), sorted(out, key=lambda r: (r.shard, r.slot))
+    weigh = Counter()
+    for r in out:
+        weigh[r.shard] += r["size"]
+    assert sorted(weigh) == list(range(8)) and all(abs(w - total / 8) <= 41 * 20 for w in weigh.values())
+    before = 0
+    for r in order:  # a shard begins where the bytes before it are its share, but for a group of equal texts
+        assert abs(min(7, before * 8 // total) - r.shard) <= 1
+        before += r["size"]
+    where = {}
+    for r in out:
+        where.setdefault(r.text_crc32, set()).add(r.shard)
+    assert sum(len(s) > 1 for s in where.values()) <= 7  # at most one group of equal texts at each cut
+    assert [[r.slot for r in order if r.shard == s] for s in range(8)] == [list(range(n)) for n in (sum(r.shard == s for r in out) for s in range(8))]
+
+
 def test_token_files_round_trip(spark, docs, library):
     docs = docs.unionByName(spark.createDataFrame([(None, "no id", 0, "h", 1, 0.5, "c"), (None, None, 0, "h", 1, 0.5, "c")], ODD))
     manifest = token_files.write_token_files(docs, token_files.token_folder(spark), PATH, tasks=3, file_ids=1000)
@@ -149,6 +172,58 @@ def test_extract_keeps_sections_whose_ids_are_words_of_marks(spark):
     assert all(out[10 + i] == f"text {i}\nown {i}" for i in range(20))  # a possible mark that the style tree confirms
 
 
+def test_importance_equals_brute_force(spark):
+    from math import log
+
+    pages = [("h", f"<body><ul>{'<li>m' * (1 + i % 2)}</ul><div class=c><p>text {i}{'<p>more' * (i % 3)}</div><footer>f {i % 2}</footer></body>") for i in range(7)]
+    got = {r.place & (1 << 64) - 1: r for r in html_extract.style_tree(spark.createDataFrame([*pages, pages[0]], "host string, html string")).collect()}
+    seen = {}
+    for host, html in pages:
+        root = html_extract.parse(html, host)
+        todo = [root]
+        sums = {}
+        while todo:
+            n = todo.pop()
+            kids = [c for c in n.children if isinstance(c, html_extract.Node)]
+            todo += kids
+            inner = lambda n: [inner(c) if isinstance(c, html_extract.Node) else (c or "").strip() for c in n.children]
+            size = lambda n: sum(size(c) if isinstance(c, html_extract.Node) else len((c or "").strip()) for c in n.children)
+            if size(n):
+                own = sums.setdefault(n.place, [[], [], 0])
+                own[0].insert(0, str(inner(n)))
+                own[1].insert(0, str([c.place for c in kids]))
+                own[2] += size(n)
+        for p, (c, f, z) in sums.items():
+            seen.setdefault(p, []).append((str(c), str(f), z, size(root)))
+    entropy = lambda xs: 1.0 if len(xs) < 2 else -sum(n / len(xs) * log(n / len(xs)) for n in Counter(xs).values()) / log(len(xs))
+    assert set(got) == set(seen)
+    for p, rows in seen.items():
+        c, f, share = entropy([r[0] for r in rows]), entropy([r[1] for r in rows]), sum(r[2] for r in rows) / sum(r[3] for r in rows)
+        assert (got[p].pages, round(got[p].content, 9), round(got[p].presentation, 9), round(got[p].share, 9), round(got[p].importance, 9)) == (len(rows), round(c, 9), round(f, 9), round(share, 9), round(f + (1 - f) * c * share, 9))
+
+
+def test_the_style_tree_alone_finds_the_articles(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("url", F.regexp_replace("url", "://[^/]*", "://one.host"))
+    texts = lambda **kw: {r.page_id: r.text for r in html_extract.extract(pages, **kw).collect()}
+    whole = texts()
+    assert texts(marks=False) == whole == texts(tree=False)
+    assert not any(t == whole[i] for i, t in texts(marks=False, tree=False).items())
+    monkeypatch.setattr(html_extract, "BROADCAST_PLACES", 0)
+    assert texts(marks=False) == whole
+
+
+def test_broken_pages_take_linear_time(spark):
+    import time
+
+    began = time.time()
+    for page in ("<a " * 300_000, '<a "' * 200_000 + ">", "<div>" * 50_000 + "x", "<div>" * 20_000 + "</section>" * 50_000, "<ul>" + "<div>" * 20_000 + "<li>a" * 20_000, "<button>" * 100_000):
+        root = html_extract.parse(page)
+        html_extract.blocks(root), html_extract.places(root)
+    assert time.time() - began < 20
+    hidden = "<article>a <span hidden>no <b>no</b></span><i class=ad>no</i>b<p>c <em aria-hidden=true>no</em>d</article>"
+    assert html_extract.blocks(html_extract.parse(hidden)) == ["a b", "c d"]
+
+
 def test_url_rules(spark):
     rules = spark.createDataFrame([("com", "/en/", "block"), ("example.com", "/en/7", "allow")], "host string, path string, verdict string")
     urls = ["http://WWW.Example.COM/en/71?x", "https://b.com/en/1", "http://acom/en/1", "no url", None, "http://com/en/#f", "http://example.com/EN/7", ""]
@@ -201,6 +276,21 @@ def test_nearest_neighbours_equal_brute_force(spark):
             hits += len(set(np.argsort(-s)[:10]) & set(got[i]))
         assert hits >= 0.9 * 80
     assert ann.learn_quantizer(df.limit(0)) is None
+    # repeated rows, two vectors of one id, another length; and results do not depend on batches
+    odd = spark.createDataFrame([*[(i, v.tolist()) for i, v in enumerate(x)], *[(8, x[8].tolist())] * 30, (9, (x[9] * 2).tolist()), (950, [1.0])], "vec_id long, embedding array<float>")
+    odd = ann.usable(odd).coalesce(1)
+    index = ann.build_index(odd, q)
+    find = lambda: [tuple(r) for r in ann.search(index, index.where("vec_id = 20"), q, k=399, rerank=500).orderBy("rank").collect()]
+    found = find()
+    scores = sorted(((max(float(x[i].astype(float) @ x[20]), 2 * float(x[i].astype(float) @ x[20])) if i == 9 else float(x[i].astype(float) @ x[20])), -i) for i in range(400) if i != 20)[::-1]
+    assert [r[2] for r in found] == [-i for _, i in scores]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        narrow = [r[2] for r in ann.search(index, index.where("vec_id = 20"), q, k=10, rerank=30).orderBy("rank").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert narrow == [r[2] for r in ann.search(index, index.where("vec_id = 20"), q, k=10, rerank=30).orderBy("rank").collect()]
+    index = ann.build_index(df, q)
     few = index.where("vec_id < 3")
     assert ann.search(few, few, q, k=20).count() == 6
 
@@ -216,6 +306,26 @@ def test_language_id(spark):
     assert language_id.ngrams(texts)[1].tolist() == [sum(language_id.tally([t]).values()) for t in texts]
 
 
+def test_many_languages_and_filters_equal_sets():
+    rng = np.random.default_rng(1)
+    grams = {f"l{i:03}": rng.integers(0, 1 << 63, 200, dtype=np.uint64) for i in range(130)}
+    filters = language_id.Filters(grams)
+    for i, lang in enumerate(filters.languages):
+        assert filters.bit(filters.masks(grams[lang]), i).all()  # no false negative
+    other = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    rates = np.array([filters.bit(filters.masks(other), i).mean() for i in range(130)])
+    assert np.abs(rates - filters.false).max() < 0.02
+    words = {f"l{i:03}": "".join(chr(97 + i // 26 + 3 * j) + chr(97 + i % 26) for j in range(4)) for i in range(130)}
+    filters = language_id.Filters({k: np.unique(language_id.ngrams([w])[0]) for k, w in words.items()})
+    assert filters.predict(list(words.values()))[0] == list(words)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [("the common text", "en")] * 3000 + [(f"english words number {i} and others", "en") for i in range(300)] + [("ein seltener deutscher satz", "de")]
+    filters = language_id.learn(spark.createDataFrame(rows, "text string, lang string"), bound=20)
+    assert filters.languages == ["de", "en"] and filters.predict(["seltener satz", "english words"])[0] == ["de", "en"]
+
+
 def test_held_out_accuracy(spark):
     out = queries.op7_language_id(spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     r = out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()

@@ -20,8 +20,10 @@ from .common import cut, parts, tidy
 BOOKS, WORDS, BEAM = 24, 256, 4
 #: Bound of the sample that codebooks are learned on, chosen by a hash of vec_id.
 SAMPLE = 8_192
-#: Vectors that each task reranks exactly for each query.
+#: Vectors that each task reranks exactly for each query, over all its batches.
 RERANK = 300
+#: Vectors that a task scores at a time.
+ROWS = 4_096
 #: Queries that are broadcast at a time.
 BLOCK = 4_096
 
@@ -88,10 +90,22 @@ class Quantizer:
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v array<float>) without vectors that are null, empty or zero or hold null or non-finite components."""
+    """(vec_id, v array<float>) without vectors that are null, empty or zero or hold null or non-finite components.
+
+    Vectors of another length than most have take no part either. Rows that repeat a vec_id and its vector count once;
+    different vectors of one vec_id are each searched, and the vec_id is found by its best.
+    """
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v")).where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v")).where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
+    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").take(2)  # a row for each length
+    if len(sizes) > 1:
+        rows = rows.where(F.size("v") == sizes[0].n)
+    several = cut(rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id"), "ann-repeated")
+    if not several.isEmpty():
+        again = rows.join(several, "vec_id", "left_semi")
+        rows = rows.join(several, "vec_id", "left_anti").unionByName(again.groupBy("vec_id", F.xxhash64("v").alias("h")).agg(F.min("v").alias("v")).drop("h"))
+    return rows
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -119,6 +133,16 @@ def build_index(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
     return cut(vectors.mapInArrow(tidy(run), f"vec_id {kinds['vec_id']}, v {kinds['v']}, codes binary, norm float"), "ann-index")
 
 
+def _best(scores: np.ndarray, n: int) -> np.ndarray:
+    """Of each row, the places of its n highest scores in ascending order; of equals the first."""
+    if n >= scores.shape[1]:
+        return np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+    edge = np.partition(scores, scores.shape[1] - n, axis=1)[:, [scores.shape[1] - n]]
+    above, equal = scores > edge, scores == edge
+    room = n - above.sum(1, keepdims=True)
+    return np.nonzero(above | equal & (np.cumsum(equal, axis=1) <= room))[1].reshape(len(scores), n)
+
+
 def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int = 20, rerank: int = RERANK, metric: str = "ip", block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query (vec_id, v) its k nearest found, itself left out.
 
@@ -138,37 +162,44 @@ def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int =
         def run(batches: Iterator[pa.RecordBatch], mine=mine) -> Iterator[pa.RecordBatch]:
             ids, own = mine.value
             tables = np.einsum("qd,mkd->qmk", own.astype(np.float32), q.value.books)
+            # of each query its best rows so far over all batches: approximate and exact score, vec_id
+            held = [[np.zeros((len(part), 0), np.float32), np.zeros((len(part), 0)), np.zeros((len(part), 0), np.int64)] for part in np.split(ids, range(64, len(ids), 64))]
             for b in batches:
-                if not b.num_rows:
-                    continue
-                vec, x = np.asarray(b.column(0)), _matrix(b.column(1))
-                order = np.argsort(vec, kind="stable")  # so that equal scores keep the smaller vec_ids
-                vec, x = vec[order], x[order].astype(np.float64)
-                codes = np.frombuffer(b"".join(b.column(2).to_pylist()), code).reshape(len(vec), -1)[order]
-                norm = np.asarray(b.column(3))[order]
-                got = []
-                for a in range(0, len(ids), 64):
-                    s = q.value.scores(tables[a : a + 64], codes)
-                    if metric == "l2":
-                        s = 2 * s - norm
-                    if rerank < len(vec):
-                        edge = np.partition(s, len(vec) - rerank, axis=1)[:, len(vec) - rerank]
-                    for i in range(len(s)):
-                        if rerank < len(vec):
-                            above = np.flatnonzero(s[i] > edge[i])
-                            near = np.sort(np.concatenate([above, np.flatnonzero(s[i] == edge[i])[: rerank - len(above)]]))
-                        else:
-                            near = np.arange(len(vec))
-                        near = near[vec[near] != ids[a + i]]
-                        v = own[a + i].astype(np.float64)
-                        exact = x[near] @ v if metric == "ip" else -((x[near] - v) ** 2).sum(1)
-                        top = np.lexsort((vec[near], -exact))[:k]
-                        got.append((np.full(len(top), ids[a + i]), vec[near[top]], exact[top]))
+                for at in range(0, b.num_rows, ROWS):
+                    part = b.slice(at, ROWS)
+                    vec, x = np.asarray(part.column(0)), _matrix(part.column(1))
+                    order = np.argsort(vec, kind="stable")  # so that equal scores keep the smaller vec_ids
+                    vec, x = vec[order], x[order].astype(np.float64)
+                    codes = np.frombuffer(b"".join(part.column(2).to_pylist()), code).reshape(len(vec), -1)[order]
+                    norm = np.asarray(part.column(3))[order]
+                    for i, best in enumerate(held):
+                        asked, v = ids[64 * i : 64 * i + 64], own[64 * i : 64 * i + 64].astype(np.float64)
+                        s = q.value.scores(tables[64 * i : 64 * i + 64], codes)
+                        if metric == "l2":
+                            s = 2 * s - norm
+                        s[asked[:, None] == vec] = -np.inf
+                        near = _best(s, rerank)
+                        exact = np.stack([x[n] @ y if metric == "ip" else -((x[n] - y) ** 2).sum(1) for n, y in zip(near, v, strict=True)])
+                        new = np.take_along_axis(s, near, 1), exact, vec[near]
+                        best[:] = [np.concatenate(z, axis=1) for z in zip(best, new, strict=True)]
+                        by_id = np.argsort(best[2], axis=1, kind="stable")
+                        best[:] = [np.take_along_axis(z, by_id, 1) for z in best]
+                        keep = _best(best[0], rerank)
+                        best[:] = [np.take_along_axis(z, keep, 1) for z in best]
+            got = []
+            for i, (approximate, exact, vec) in enumerate(held):
+                for who, s, e, f in zip(ids[64 * i : 64 * i + 64], approximate, exact, vec, strict=True):
+                    e, f = e[s > -np.inf], f[s > -np.inf]
+                    order = np.lexsort((f, -e))
+                    once = np.sort(np.unique(f[order], return_index=True)[1])[:k]  # the best of each vec_id
+                    got.append((np.full(len(once), who), f[order][once], e[order][once]))
+            if got:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in range(3)], names=["query_id", "vec_id", "score"])
 
         found = index.select("vec_id", "v", "codes", "norm").mapInArrow(tidy(run), "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    out = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # different vectors of one vec_id
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows a query and task
     return out.repartition(parts(spark), "query_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

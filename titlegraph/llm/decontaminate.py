@@ -24,8 +24,9 @@ from .common import LOWER_TABLE, small, tidy, utf8, words
 WINDOW = 10
 #: Symbols of a shard: bounds a task's memory.
 SHARD_SYMBOLS = 1 << 20
-#: Bytes of benchmark text that are broadcast at a time; a larger benchmark takes more passes over the documents.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text that are broadcast at a time, as arrays of about ten times that; a larger benchmark takes more
+#: passes over the documents.
+BLOCK_BYTES = 8 << 20
 SAMPLE = 8
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -105,15 +106,19 @@ class Windows:
 
     def __init__(self, items: list[tuple[int, str | None]], width: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
-        found: dict[tuple, set] = {}
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
         for item, text in items:
-            own = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
-            for i in range(max(1, len(own) - width + 1) if own else 0):
-                found.setdefault(tuple(own[i : i + width]), set()).add(item)
-        self.by_length: dict[int, tuple[np.ndarray, list]] = {}
-        for n in sorted({len(w) for w in found}):
-            same = [w for w in found if len(w) == n]
-            self.by_length[n] = np.array(same), [found[w] for w in same]
+            own = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)], np.int32)
+            if n := min(len(own), width):
+                found.setdefault(n, []).append((np.lib.stride_tricks.sliding_window_view(own, n), item))
+        # of each length: the different windows, and the items of window i at items[ends[i] : ends[i + 1]]
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n, rows in sorted(found.items()):
+            patterns, which = np.unique(np.concatenate([w for w, _ in rows]), axis=0, return_inverse=True)
+            own = np.repeat(np.array([i for _, i in rows], np.int64), [len(w) for w, _ in rows])
+            order = np.argsort(which.reshape(-1), kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(which.reshape(-1), minlength=len(patterns)))])
+            self.by_length[n] = patterns, ends, own[order]
         self.shortest = min(self.by_length, default=0)
 
     def scan(self, docs: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set]]:
@@ -147,7 +152,7 @@ class Windows:
         begin = np.cumsum(lengths) - lengths
         doc, at = np.array([r[0] for r in runs]), np.array([r[1] for r in runs])
         index = FMIndex(seq)
-        for n, (patterns, items) in self.by_length.items():
+        for n, (patterns, ends, items) in self.by_length.items():
             low, high = index.search(patterns)
             hit = np.flatnonzero(high > low)
             count = (high - low)[hit]
@@ -158,7 +163,7 @@ class Windows:
             run = np.searchsorted(begin, where, side="right") - 1
             for d, a, w in zip(doc[run].tolist(), (at[run] + where - begin[run]).tolist(), which.tolist(), strict=True):
                 out[d][0].append((a, a + n))
-                out[d][1].update(items[w])
+                out[d][1].update(items[ends[w] : ends[w + 1]].tolist())
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -23,8 +23,8 @@ PROBES = 3
 #: An n-gram is a language's own if it makes up at least this share of the language's n-grams, so that a language has at
 #: most 1 / SHARE of them.
 SHARE = 1 / 20_000
-#: Bound of the labelled sample: documents that the filters are learned from, chosen by a hash of their text.
-TRAINING_DOCS = 20_000
+#: Bound of the labelled sample: about so many different texts of each language, chosen by a hash of the text.
+TRAINING_DOCS = 5_000
 UNKNOWN = "und"
 #: Whether each 16-bit character is a letter.
 LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
@@ -71,21 +71,23 @@ def ngrams(texts: list[str | None], n: int = N) -> tuple[np.ndarray, np.ndarray,
 
 
 class Filters:
-    """Bit-sliced Bloom filters of up to 64 languages."""
+    """Bit-sliced Bloom filters: a slot of the table has a bit for each language, in as many words as are needed."""
 
     def __init__(self, grams: dict[str, np.ndarray], probes: int = PROBES):
         self.languages, self.probes = sorted(grams), probes
-        if len(self.languages) > 64:
-            raise ValueError("more than 64 languages")
         most = max((len(g) for g in grams.values()), default=0)
         self.bits = max(12, (8 * most).bit_length())
-        kind = np.uint8 if len(grams) <= 8 else np.uint64
-        self.table = np.zeros(1 << self.bits, kind)
+        self.kind = kind = np.uint8 if len(grams) <= 8 else np.uint64
+        self.width = np.dtype(kind).itemsize * 8
+        self.table = np.zeros((1 << self.bits, max(1, -(-len(grams) // self.width))), kind)
         for i, lang in enumerate(self.languages):
             for at in self._slots(np.asarray(grams[lang], np.uint64)):
-                self.table[at] |= kind(1 << i)
-        fill = [float(np.mean(self.table >> kind(i) & kind(1))) for i in range(len(self.languages))]
-        self.false = np.array(fill) ** probes
+                self.table[at, i // self.width] |= kind(1 << i % self.width)
+        self.false = np.array([float(np.mean(self.bit(self.table, i))) for i in range(len(self.languages))]) ** probes
+
+    def bit(self, masks: np.ndarray, i: int) -> np.ndarray:
+        """The bit of the language numbered i in each of some masks (n, words)."""
+        return masks[:, i // self.width] >> self.kind(i % self.width) & self.kind(1)
 
     def _slots(self, h: np.ndarray) -> Iterator[np.ndarray]:
         mask = np.uint64((1 << self.bits) - 1)
@@ -107,7 +109,7 @@ class Filters:
         some = counts > 0
         for i in range(len(self.languages)):
             if some.any():
-                hits[some, i] = np.add.reduceat((mask >> mask.dtype.type(i) & mask.dtype.type(1)).astype(np.int64), at[some])
+                hits[some, i] = np.add.reduceat(self.bit(mask, i).astype(np.int64), at[some])
         total = counts[:, None]
         true = np.clip((hits - total * self.false) / np.maximum(1 - self.false, 1e-9), 0, None) if self.languages else hits
         best = true.argmax(1)
@@ -118,11 +120,12 @@ class Filters:
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound: int = TRAINING_DOCS, share: float = SHARE, n: int = N) -> Filters:
-    """Filters from the labelled rows of docs (text and lang not null). At most about `bound` documents are read."""
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).where("lang is not null and t is not null")
-    count = rows.count()
-    if count > bound:
-        rows = rows.where(F.pmod(F.xxhash64("t", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * bound / count))
+    """Filters from the labelled rows of docs (text and lang not null): about `bound` different texts of each language, or
+    all that it has, so that neither a rare language nor a text with many copies is over- or underrated."""
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).where("lang is not null and t is not null").withColumn("h", F.xxhash64("t", F.lit(11)))
+    sizes = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("size"))  # a row for each language
+    rows = rows.join(F.broadcast(sizes), "lang").where(F.pmod("h", F.lit(1 << 20)) < (F.lit(1 << 20) * F.least(F.lit(1.0), bound / F.col("size"))))
+    rows = rows.groupBy("lang", "h").agg(F.min("t").alias("t")).select("lang", "t")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -149,7 +152,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", names: t
     language with score 0; filters without languages call everything 'und'. Repeated rows get equal results.
     """
     keep = [c for c in docs.columns if c not in names]
-    at, held = keep.index(text_col), docs.sparkSession.sparkContext.broadcast(filters)  # at most 64 / SHARE n-grams
+    at, held = keep.index(text_col), docs.sparkSession.sparkContext.broadcast(filters)  # at most 1 / SHARE n-grams for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 256):

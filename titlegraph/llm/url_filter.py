@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_BLOCKS = 1 << 20  # of 12 bytes: bounds what is broadcast
 
@@ -55,12 +57,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_c
         return pages.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
     blocks = min(MAX_BLOCKS, max(64, 1 << (count // 4).bit_length()))
     labels = F.split("host", r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    most = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first().n  # no rule has more labels
+    hosts = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     paths = F.transform(F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     seen = pages.where(F.col("host") != "").select("host", "path").distinct()
     keys = seen.withColumn("key", F.explode(F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))))
     keys = keys.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).withColumn("mask", key_mask(F.col("key")))
     possible = keys.join(F.broadcast(bloom(listed, blocks)), "block").where(F.col("word").bitwiseAND(F.col("mask")) == F.col("mask"))
     hits = possible.join(listed.select("key", "verdict"), "key")
-    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), F.col("key"), F.col("verdict"))).alias("best"))
+    # written, so that the join with very many pages of one url, or of none, can be split
+    best = cut(hits.groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), F.col("key"), F.col("verdict"))).alias("best")), "url-verdicts")
     return pages.join(best, ["host", "path"], "left").select(*keep, "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
