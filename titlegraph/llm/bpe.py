@@ -16,7 +16,7 @@ import json
 import mmap
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +46,17 @@ class Merges:
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.text = {i: bytes(byte[c] for c in s) for s, i in vocab.items() if i not in self.special.values()}
         self.text |= {i: s.encode() for s, i in self.special.items()}
-        self.rank, self.made = {}, []
-        for r, m in enumerate(model["model"]["merges"]):
-            a, b = m.split(" ") if isinstance(m, str) else m
-            self.rank[vocab[a], vocab[b]] = r
-            self.made.append(vocab[a + b])
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+        self.made = [vocab[a + b] for a, b in pairs]
         self.first_of, self.made_of = np.array(self.first), np.array(self.made)
-        keys = np.array([a << 32 | b for a, b in self.rank])
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.rank.values()))[order]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs])
+        order = np.argsort(keys, kind="stable")
+        self.pair_keys, self.pair_ranks = keys[order], order
+
+    @cached_property
+    def rank(self) -> dict[tuple[int, int], int]:
+        """The rank of each pair; for pieces that are merged alone."""
+        return {(k >> 32, k & (1 << 32) - 1): r for k, r in zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True)}
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges the pair of the lowest rank, the leftmost of equals, until no pair can be merged."""
@@ -250,10 +252,8 @@ class Coder:
     """Encodes and decodes with a lexicon and, for other pieces, merges."""
 
     def __init__(self, tokenizer_path: str, lexicon: Lexicon | None):
-        from tokenizers import Tokenizer
-
         self.merges, self.lexicon = Merges(tokenizer_path), lexicon
-        self.split = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer)
+        self.split = splitter(tokenizer_path)
         size = max(self.merges.text) + 1
         self.kind = "<u2" if size <= 0x10000 else "<u4"
         self.bytes_of = pa.array([self.merges.text.get(i, b"") for i in range(size)], pa.binary())
@@ -312,24 +312,22 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        split = splitter(Tokenizer.from_file(tokenizer_path).pre_tokenizer)
+        split = splitter(tokenizer_path)
         schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
         held = schema.empty_table()
 
         def summed() -> pa.Table:
             return held.group_by("piece", use_threads=False).aggregate([("n", "sum")]).rename_columns(["piece", "n"]).cast(schema)
 
-        for b in slabs(batches, 0):
+        for b in slabs(batches, 0, 2 << 20):
             texts = b.column(0).drop_null()
             plain = usual(texts)
             for part in (split_usual(texts.filter(plain)), split_listed([split(t) for t in texts.filter(pc.invert(plain)).to_pylist()])):
                 n = part.counts()  # zero for what only would follow if a text's first chunk had a space in front
                 held = pa.concat_tables([held, pa.table([part.pieces, pa.array(n)], schema=schema).filter(pa.array(n > 0))])
-            if held.num_rows > 1_000_000:  # bounded memory; the sums below are exact all the same
+            if held.num_rows > 600_000:  # bounded memory; the sums below are exact all the same
                 held = summed()
-                if held.num_rows > 500_000:
+                if held.num_rows > 300_000:
                     yield from held.to_batches(max_chunksize=100_000)
                     held = schema.empty_table()
         yield from summed().to_batches(max_chunksize=100_000)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 from itertools import islice
 
 import numpy as np
@@ -27,12 +28,19 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def splitter(pre_tokenizer):
-    """A function from text to its pieces. pre_tokenizer: the library's own, for unusual characters."""
+def splitter(tokenizer_path: str) -> Callable[[str], list[str]]:
+    """A function from text to its pieces. The library's own splitter is loaded for the first text of unusual characters:
+    it takes some 30 MB in each worker."""
+
+    @cache
+    def own():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(tokenizer_path).pre_tokenizer
 
     def split(text: str) -> list[str]:
         if UNSAFE.search(text):
-            return [text[a:b] for _, (a, b) in pre_tokenizer.pre_tokenize_str(text)]
+            return [text[a:b] for _, (a, b) in own().pre_tokenize_str(text)]
         return FAST.findall(text)
 
     return split

@@ -56,7 +56,7 @@ class Encoder:
         library.no_padding()
         self.special = [t.content for t in library.get_added_tokens_decoder().values()]
         self.kind = kind = "<u2" if library.get_vocab_size() <= 0x10000 else "<u4"
-        self.split, tokenize = splitter(library.pre_tokenizer), library.model.tokenize
+        self.split, tokenize = splitter(tokenizer_path), library.model.tokenize
         latin = byte_characters()
         le = [i.to_bytes(np.dtype(kind).itemsize, "little") for i in range(library.get_vocab_size())]
         space = latin[ord(" ")]
