@@ -115,19 +115,21 @@ def _parts(spark, sf_dir):
         F.col("p_partkey").alias("row_id"), F.array("p_brand", F.lit("other")).alias("dynCandidates"), F.col("p_type").alias("fief"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_size").cast("string")).alias("pn"),
         F.lit("x").alias("nt"), F.col("p_name").alias("personBare"), F.lit(None).cast("int").alias("startYear"), F.lit(None).cast("int").alias("endYear"), F.lit(None).cast("string").alias("skipReason"), F.when(F.col("p_partkey") % 50 == 0, "duplicate").otherwise("ready").alias("reviewStatus"),
     )
-    titles = part.where("p_partkey % 2 = 0").select(
+    titles = part.select(
         F.col("p_partkey").alias("row_pos"), F.col("p_partkey").alias("ind"), F.col("p_partkey").alias("person_id"), F.col("p_brand").alias("dyn"), F.when(F.col("p_partkey") % 6 != 0, F.col("p_type")).otherwise("?").alias("fief"),
         F.when(F.col("p_partkey") % 10 != 0, F.col("p_size").cast("string")).alias("pn"), F.lit("x").alias("nt"), F.lit(1).alias("start_year"), F.lit(2).alias("end_year"), F.lit(7).cast("long").alias("dyn_id"),
     )
-    persons = part.where("p_partkey % 3 <> 1").select(F.col("p_partkey").alias("row_pos"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    # rows miss where sizes and prices change a value
+    titles = titles.join(part.select(F.col("p_partkey").alias("ind"), (F.col("p_size") > 25).alias("other")), "ind").withColumn("dyn", F.when(F.col("other"), F.lit("none")).otherwise(F.col("dyn"))).drop("other")
+    persons = part.select(F.col("p_partkey").alias("row_pos"), F.col("p_partkey").alias("id"), F.when(F.col("p_retailprice") % 100 < 30, F.concat(F.lit("no "), F.col("p_name"))).otherwise(F.col("p_name")).alias("name"))
     return rows, titles, persons
 
 
 _MATCH = """
     with r as (select p_partkey as row_id, p_brand as dyn, p_type as fief, case when p_partkey % 4 <> 0 then cast(p_size as varchar) end as pn, p_name as person, p_partkey % 50 = 0 as dup from part),
-    p as (select p_partkey as id, p_name as name from part where p_partkey % 3 <> 1),
-    t as (select p_partkey as row_pos, p_brand as dyn, case when p_partkey % 6 <> 0 then p_type else '?' end as fief, case when p_partkey % 10 <> 0 then cast(p_size as varchar) end as pn, coalesce(name, '') as name
-          from part left join p on p_partkey = id where p_partkey % 2 = 0),
+    p as (select p_partkey as id, case when p_retailprice % 100 < 30 then 'no ' || p_name else p_name end as name from part),
+    t as (select p_partkey as row_pos, case when p_size > 25 then 'none' else p_brand end as dyn, case when p_partkey % 6 <> 0 then p_type else '?' end as fief, case when p_partkey % 10 <> 0 then cast(p_size as varchar) end as pn, coalesce(name, '') as name
+          from part left join p on p_partkey = id),
     h as (
         select row_id, 'B' as tier, row_pos from r join t on r.dyn = t.dyn and r.fief = t.fief and coalesce(r.pn, '') = coalesce(t.pn, '') and r.person = t.name where not dup
         union all select row_id, 'C', row_pos from r join t on r.dyn = t.dyn and r.fief = t.fief and r.person = t.name where not dup
@@ -163,13 +165,19 @@ def match_action_counts(spark, sf_dir):
 
 
 @query("""
-    select o_orderkey, coalesce(c_name, 'none') as name, case when c_custkey is null then cast(o_custkey as varchar) else 'C' || c_custkey end as item
-    from orders left join (select * from customer where c_custkey % 3 <> 0) on o_custkey = c_custkey
+    with c as (select c_name, c_custkey, c_acctbal from customer where c_acctbal > 0)
+    select o_orderkey, c.c_custkey + 5 as page_id, coalesce('u' || c.c_custkey, 'https://zh.wikipedia.org/wiki/' || replace(o.c_name, '#', '%23')) as url, h.c_custkey + 5 as person_page, coalesce('Q' || h.c_custkey, 'old') as item
+    from (select o_orderkey, a.c_name, b.c_name as person from orders join customer a on o_custkey = a.c_custkey left join customer b on o_custkey + 1 = b.c_custkey) o
+    left join c on c.c_name = o.c_name left join c h on h.c_name = o.person
 """)
 def enrich_left_coalesce(spark, sf_dir):
-    known = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select("c_custkey", "c_name")
-    rows = table(spark, sf_dir, "orders").join(known, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return rows.select("o_orderkey", F.coalesce("c_name", F.lit("none")).alias("name"), F.coalesce(F.concat(F.lit("C"), F.col("c_custkey").cast("string")), F.col("o_custkey").cast("string")).alias("item"))
+    customer = table(spark, sf_dir, "customer")
+    other = customer.select((F.col("c_custkey") - 1).alias("k"), F.col("c_name").alias("wikiPersonTitle"))
+    rows = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(other, F.col("o_custkey") == F.col("k"), "left").select("o_orderkey", F.col("c_name").alias("sourcePage"), "wikiPersonTitle", F.lit("old").alias("wikidataId"))
+    k = F.col("c_custkey").cast("string")
+    info = customer.where("c_acctbal > 0").select(F.col("c_name").alias("title"), (F.col("c_custkey") + 5).alias("pageId"), F.concat(F.lit("u"), k).alias("url"), F.concat(F.lit("Q"), k).alias("wikidataId"))
+    out = normalize.enrich(rows, info, spark.createDataFrame([], "source string, target string"))
+    return out.select("o_orderkey", F.col("sourcePageId").alias("page_id"), F.col("sourcePageUrl").alias("url"), F.col("wikiPersonPageId").alias("person_page"), F.col("wikidataId").alias("item"))
 
 
 @query("""
@@ -261,11 +269,6 @@ def action_counts(spark, sf_dir):
     return review.action_counts(table(spark, sf_dir, "events"), "event_type")
 
 
-@query("select count(*) as rows, cast(coalesce(sum(quality), 0) as bigint) as good, cast(coalesce(sum(toxic), 0) as bigint) as toxic from labels")
-def conditional_counts(spark, sf_dir):
-    return table(spark, sf_dir, "labels").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("toxic") == 1).alias("toxic"))
-
-
 @query("select doc_id from documents where doc_id not in (select doc_id from labels)")
 def resume_pending(spark, sf_dir):
     return names.pending(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
@@ -314,13 +317,6 @@ def page_urls(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", page_url(title).alias("url"), without_note(F.concat("n_name", F.lit(" (x)"))).alias("bare"))
 
 
-@query("""
-    select event_id, json_extract(props, '$.k') is not null as ok from events
-""")
-def json_rule_validation(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "string").isNotNull().alias("ok"))
-
-
 @query("select c_custkey, c_nationkey not in (select c_nationkey from customer where c_acctbal > 9900) as missing from customer")
 def sync_missing(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
@@ -338,3 +334,6 @@ def longest_prefix_segment(spark, sf_dir):
     name = F.concat(F.when(k % 3 == 0, "司").when(k % 3 == 1, "司马").otherwise("司马相"), F.when(k % 2 == 0, "如").otherwise(""))
     split = names.segment(name, ["司马", "司"])
     return table(spark, sf_dir, "part").select("p_partkey", split["family"].alias("family"), split["given"].alias("given"))
+
+
+from . import domain  # noqa: E402, F401  registers its queries too

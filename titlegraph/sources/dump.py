@@ -63,8 +63,8 @@ def rows(text: str, table: str, first_only: bool = False) -> Iterator[list[str |
 
 
 class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, number: int):
+        self.path, self.number = path, number
 
 
 class _Reader(DataSourceReader):
@@ -78,11 +78,11 @@ class _Reader(DataSourceReader):
         store, path = fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
         info = store.get_file_info(path)
         if info.type == fs.FileType.Directory:
-            found = [i.path for i in store.get_file_info(fs.FileSelector(path)) if i.is_file]
+            found = [i.path for i in store.get_file_info(fs.FileSelector(path)) if i.is_file and i.base_name[0] not in "._"]
         else:
             found = [path]
         scheme = uri.split("://")[0] if "://" in uri else "file"
-        return [_File(f"{scheme}://{p}") for p in sorted(found)]
+        return [_File(f"{scheme}://{p}", i) for i, p in enumerate(sorted(found))]
 
     def read(self, partition: _File) -> Iterator[tuple]:
         from pyarrow import fs
@@ -91,11 +91,12 @@ class _Reader(DataSourceReader):
         with store.open_input_stream(path) as f:
             text = f.read().decode("utf-8")
         for i, r in enumerate(rows(text, self.options["table"], self.options.get("firstonly", "false") == "true")):
-            yield i, r
+            yield partition.number << 40 | i, r
 
 
 class SqlDump(DataSource):
-    """Options: path (a file or a folder of files), table. Columns row_pos and fields array<string>."""
+    """Options: path (a file or a folder of files), table. Columns row_pos, which grows with the files by name and with the
+    rows in each, and fields array<string>."""
 
     @classmethod
     def name(cls) -> str:
