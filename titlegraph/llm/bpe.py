@@ -16,7 +16,7 @@ import json
 import mmap
 import uuid
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from .pretokens import byte_characters, encode, keep_half, split_listed, split_u
 
 #: Pieces in the lexicon; bounds the automaton (about 6 MB) and what the driver gets.
 ENTRIES = 131_072
-REMEMBERED = 125_000
+REMEMBERED = 60_000
 LONG = 256  # bytes; from here on merges go through a heap
 
 
@@ -258,12 +258,8 @@ class Coder:
         self.kind = "<u2" if size <= 0x10000 else "<u4"
         self.bytes_of = pa.array([self.merges.text.get(i, b"") for i in range(size)], pa.binary())
         self.name_of = pa.array(list(map(str, range(size))))
-        self.forget()
-
-    def forget(self) -> None:
-        """Empties the memo of merged pieces. Strings of special tokens have ids of their own and stay in it."""
+        # the memo of merged pieces; strings of special tokens have ids of their own
         self.known = {s.encode(): np.array([i], self.kind).tobytes() for s, i in self.merges.special.items()}
-        pa.default_memory_pool().release_unused()
 
     def merged(self, pieces: pa.StringArray) -> pa.ListArray:
         """The ids of each of the distinct pieces: the lexicon's, else merged here."""
@@ -301,12 +297,6 @@ class Coder:
             return pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
 
 
-@lru_cache(1)
-def coder_of(tokenizer_path: str, lexicon: str) -> Coder:
-    """One for all tasks of a worker."""
-    return Coder(tokenizer_path, Lexicon.open(lexicon))
-
-
 def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES, text_col: str = "text") -> str:
     """Counts docs' pieces and ships the lexicon of the most frequent to the executors. The name of its file there."""
     spark = docs.sparkSession
@@ -319,15 +309,15 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, entries: int = ENTRIES,
         def summed() -> pa.Table:
             return held.group_by("piece", use_threads=False).aggregate([("n", "sum")]).rename_columns(["piece", "n"]).cast(schema)
 
-        for b in slabs(batches, 0, 2 << 20):
+        for b in slabs(batches, 0, 1 << 20):
             texts = b.column(0).drop_null()
             plain = usual(texts)
             for part in (split_usual(texts.filter(plain)), split_listed([split(t) for t in texts.filter(pc.invert(plain)).to_pylist()])):
                 n = part.counts()  # zero for what only would follow if a text's first chunk had a space in front
                 held = pa.concat_tables([held, pa.table([part.pieces, pa.array(n)], schema=schema).filter(pa.array(n > 0))])
-            if held.num_rows > 600_000:  # bounded memory; the sums below are exact all the same
+            if held.num_rows > 400_000:  # bounded memory; the sums below are exact all the same
                 held = summed()
-                if held.num_rows > 300_000:
+                if held.num_rows > 200_000:
                     yield from held.to_batches(max_chunksize=100_000)
                     held = schema.empty_table()
         yield from summed().to_batches(max_chunksize=100_000)
@@ -369,19 +359,17 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon: str, id_col: str =
     from hashlib import sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(tokenizer_path, SparkFiles.get(lexicon))
-        try:
-            for b in slabs(batches, 1, 2 << 20):
-                ids, ends = coder.encode(b.column(1).fill_null(""))
-                second = coder.decode(ids, ends)
-                if digests:
-                    first = pa.array([sha256(x.encode()).hexdigest() for x in coder.named(ids, ends).to_pylist()], pa.string())
-                    second = pa.array([sha256(x.encode()).hexdigest() for x in second.to_pylist()], pa.string())
-                else:
-                    first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), first, second], names=names)
-        finally:  # the worker lives on, for other operators
-            coder.forget()
+        # made anew for each task: the worker lives on, for other operators, and others wait beside it
+        coder = Coder(tokenizer_path, Lexicon.open(SparkFiles.get(lexicon)))
+        for b in slabs(batches, 1, 1 << 20):
+            ids, ends = coder.encode(b.column(1).fill_null(""))
+            second = coder.decode(ids, ends)
+            if digests:
+                first = pa.array([sha256(x.encode()).hexdigest() for x in coder.named(ids, ends).to_pylist()], pa.string())
+                second = pa.array([sha256(x.encode()).hexdigest() for x in second.to_pylist()], pa.string())
+            else:
+                first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), first, second], names=names)
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
     kind = docs.schema[id_col].dataType.simpleString()

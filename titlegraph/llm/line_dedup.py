@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tables, cut, slabs, tidy, utf8
+from .common import Tables, cut, give_back, slabs, tidy, utf8
 from .hashing import BASES, Rolling, Words, mix
 
 WINDOW = 3
@@ -245,7 +245,9 @@ def dedup_lines(docs: DataFrame, width: int | None = WINDOW, passage: int | None
 
     @F.arrow_udf("string")
     def cleaned(text: pa.Array, drop: pa.Array) -> pa.Array:
-        return pa.array([None if t is None or d is None else without(t, np.array(d, np.int64)) for t, d in zip(text.to_pylist(), drop.to_pylist(), strict=True)], pa.string())
+        out = pa.array([None if t is None or d is None else without(t, np.array(d, np.int64)) for t, d in zip(text.to_pylist(), drop.to_pylist(), strict=True)], pa.string())
+        give_back()
+        return out
 
     hit = F.col("__gone").isNotNull()
     # only the texts that change are sent to Python
