@@ -41,8 +41,9 @@ STARS = 2
 SLAB = 1 << 19
 #: Least and most bits of a bitmap that is broadcast (2 MB, 32 MB): about eight for each document, in between.
 BITMAP, LARGEST = 1 << 24, 1 << 28
-#: A token with more postings is joined by bands of sizes, each BAND times the one before.
-HOT, BAND = 64, 1 + 1 / 32
+#: A token with more postings, of which half a million pairs would be compared, is joined by bands of sizes, each BAND times
+#: the one before.
+HOT, BAND = 1024, 1 + 1 / 32
 #: Hot tokens up to which their table is broadcast; a larger one is joined by shuffle.
 BROADCAST_TOKENS = 500_000
 #: A star of more classes is crowded; a token in more documents of such stars goes last in all orders.
