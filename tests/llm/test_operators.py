@@ -326,6 +326,30 @@ def test_rare_languages_are_learned(spark):
     assert filters.languages == ["de", "en"] and filters.predict(["seltener satz", "english words"])[0] == ["de", "en"]
 
 
+def test_texts_of_no_learned_language_fit_none(spark):
+    """Clean documents all fit, learned from or not; unlearned languages and letters at random do not, unless they are short."""
+    labelled = spark.read.parquet(f"{SF}/documents.parquet").where(~language_id.held_out("doc_id"))
+    filters = language_id.learn(labelled)
+    out = language_id.identify(spark.read.parquet(f"{SF}/documents.parquet"), filters)
+    assert out.where(~F.col("fits") & (F.col("lang_pred") != "und")).count() == 0
+    rng = random.Random(3)
+    noise = " ".join("".join(rng.choice("bcdfgjkqvwxyz") for _ in range(7)) for _ in range(40))
+    texts = [noise, "это предложение написано на русском языке " * 4, "qvx", "", None, "12 !"]
+    assert filters.predict(texts)[2].tolist() == [False, False, True, False, False, False]
+    # n-grams that one text alone has say nothing about other texts: a language of one text rejects none
+    one = language_id.learn(spark.createDataFrame([("a single english sentence", "en")], "text string, lang string"))
+    assert one.known.tolist() == [0.0] and one.predict([noise])[2].tolist() == [True]
+    assert language_id.learn(labelled.limit(0)).predict(["some words"])[2].tolist() == [False]
+
+
+def test_known_share_equals_brute_force(spark):
+    texts = ["the house and the garden", "the garden of the king", "a king", "zebra zebra"]
+    filters = language_id.learn(spark.createDataFrame([(t, "en") for t in texts + texts[:1]], "text string, lang string"))
+    tallies = [language_id.tally([t]) for t in texts]
+    shared = sum(n for t in tallies for g, n in t.items() if sum(g in u for u in tallies) > 1)
+    assert abs(filters.known[0] - shared / sum(sum(t.values()) for t in tallies)) < 1e-12
+
+
 def test_held_out_accuracy(spark):
     out = queries.op7_language_id(spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     r = out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()

@@ -3,7 +3,8 @@
 Each language has a Bloom filter of its frequent character n-grams. The filters are bit-sliced: one table whose slot i
 holds, as a bitmask, bit i of every language's filter, so that probing an n-gram once returns all languages that may
 contain it. A text's n-grams are probed together; the popcount of each language's bit, corrected for that language's
-rate of false positives, decides.
+rate of false positives, decides. A text fits no language if, for each of them, that count is clearly below what a text
+of the language has: of the n-grams of the labelled texts, the share that another labelled text of the language has too.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ SHARE = 1 / 20_000
 #: Bound of the labelled sample: about so many different texts of each language, chosen by a hash of the text.
 TRAINING_DOCS = 5_000
 UNKNOWN = "und"
+#: A text fits a language if its corrected count could come, within DEVIATIONS standard deviations, from a text that has
+#: at least this part of the language's own share of known n-grams. A short text always fits.
+FIT = 1 / 4
+DEVIATIONS = 3
 #: Whether each 16-bit character is a letter.
 LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
 
@@ -73,8 +78,9 @@ def ngrams(texts: list[str | None], n: int = N) -> tuple[np.ndarray, np.ndarray,
 class Filters:
     """Bit-sliced Bloom filters: a slot of the table has a bit for each language, in as many words as are needed."""
 
-    def __init__(self, grams: dict[str, np.ndarray], probes: int = PROBES):
+    def __init__(self, grams: dict[str, np.ndarray], probes: int = PROBES, known: dict[str, float] | None = None):
         self.languages, self.probes = sorted(grams), probes
+        self.known = np.array([(known or {}).get(lang, 0.0) for lang in self.languages])
         most = max((len(g) for g in grams.values()), default=0)
         self.bits = max(12, (8 * most).bit_length())
         self.kind = kind = np.uint8 if len(grams) <= 8 else np.uint64
@@ -102,7 +108,8 @@ class Filters:
             out = self.table[at] if out is None else out & self.table[at]
         return out
 
-    def predict(self, texts: list[str | None], n: int = N) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None], n: int = N) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language, the score and whether the text fits any language, of each text."""
         h, counts, has = ngrams(texts, n)
         mask, at = self.masks(h), np.cumsum(counts) - counts
         hits = np.zeros((len(texts), max(1, len(self.languages))))
@@ -116,7 +123,9 @@ class Filters:
         top = true[np.arange(len(texts)), best]
         sums = true.sum(1)
         score = np.where(has & (sums > 0), np.clip(top / np.maximum(sums, 1e-9), 0, 1), 0.0)
-        return [self.languages[b] if ok and self.languages else UNKNOWN for b, ok in zip(best.tolist(), has.tolist(), strict=True)], score
+        least = total * self.known * FIT
+        fits = has & ((true + DEVIATIONS * np.sqrt(least) >= least).any(1) if self.languages else False)
+        return [self.languages[b] if ok and self.languages else UNKNOWN for b, ok in zip(best.tolist(), has.tolist(), strict=True)], score, fits
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound: int = TRAINING_DOCS, share: float = SHARE, n: int = N) -> Filters:
@@ -133,34 +142,46 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bound
             for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 own.setdefault(lang, []).append(t)
             for lang, texts in own.items():
-                values, seen = np.unique(ngrams(texts, n)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(seen, pa.int64())], names=["lang", "gram", "n"])
-
-    grams = rows.mapInArrow(tidy(count_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                h, counts, _ = ngrams(texts, n)
+                text = np.repeat(np.arange(len(texts)), counts)
+                order = np.lexsort((text, h))
+                h, text = h[order], text[order]
+                first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
+                seen = np.diff(np.append(first, len(h)))
+                new = np.ones(len(h), np.int64)
+                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+                held_by = np.add.reduceat(new, first) if len(h) else new
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), pa.array(h[first].view(np.int64)), pa.array(seen, pa.int64()), pa.array(held_by, pa.int64())], names=["lang", "gram", "n", "texts"])
+
+    grams = rows.mapInArrow(tidy(count_grams), "lang string, gram long, n long, texts long").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))  # a row for each language
     own = grams.join(F.broadcast(totals), "lang").where(F.col("n") >= F.col("total") * share)
-    held: dict[str, list[int]] = {r.lang: [] for r in totals.select("lang").collect()}
-    for r in own.select("lang", "gram").collect():  # at most 1 / share for each language
+    sums = {r.lang: r.total for r in totals.collect()}
+    held: dict[str, list[int]] = {lang: [] for lang in sums}
+    known = dict.fromkeys(sums, 0.0)
+    for r in own.select("lang", "gram", "n", "texts").collect():  # at most 1 / share for each language
         held[r.lang].append(r.gram)
-    return Filters({k: np.array(v, np.int64).view(np.uint64) for k, v in held.items()})
+        known[r.lang] += r.n / sums[r.lang] if r.texts > 1 else 0
+    return Filters({k: np.array(v, np.int64).view(np.uint64) for k, v in held.items()}, known=known)
 
 
-def identify(docs: DataFrame, filters: Filters, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """docs with lang_pred and score (or other names) added; columns of these names are replaced. Only the text is used.
+def identify(docs: DataFrame, filters: Filters, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "fits")) -> DataFrame:
+    """docs with lang_pred, score and fits (or other names) added; columns of these names are replaced. Only the text is used.
 
-    A null text, or one without a letter, is 'und' with score 0; a text whose n-grams are in no filter gets the first
-    language with score 0; filters without languages call everything 'und'. Repeated rows get equal results.
+    A null text, or one without a letter, is 'und' with score 0 and fits none; a text whose n-grams are in no filter gets
+    the first language with score 0, and fits none if it is long; filters without languages call everything 'und'.
+    Repeated rows get equal results.
     """
     keep = [c for c in docs.columns if c not in names]
     at, held = keep.index(text_col), docs.sparkSession.sparkContext.broadcast(filters)  # at most 1 / SHARE n-grams for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 256):
-            lang, score = held.value.predict(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[f"c{i}" for i in range(len(keep) + 2)])
+            lang, score, fits = held.value.predict(b.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.bool_())], names=[f"c{i}" for i in range(len(keep) + 3)])
 
     frame = docs.select(*keep)
-    schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(frame.schema)] + [f"c{len(keep)} string, c{len(keep) + 1} double"])
+    schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(frame.schema)] + [f"c{len(keep)} string, c{len(keep) + 1} double, c{len(keep) + 2} boolean"])
     return frame.toDF(*[f"c{i}" for i in range(len(keep))]).mapInArrow(tidy(run), schema).toDF(*keep, *names)
 
 
