@@ -24,10 +24,13 @@ def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled documents and drops those without a language: null text, or no letter."""
+    """Learns from the labelled documents and drops those without a language: null text, no letter, or, in a text long
+    enough to tell, n-grams that fit no learned language. Without any labelled document all that have a letter stay."""
     filters = language_id.learn(docs.select("text", "lang"))
-    found = language_id.identify(docs, filters, names=("__lang_pred", "__score"))
-    return found.where(F.col("__lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    if not filters.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.identify(docs, filters, names=("__lang_pred", "__score", "__fits"))
+    return found.where("__fits").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
