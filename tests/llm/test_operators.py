@@ -471,6 +471,46 @@ def test_pipeline_keeps_null_ids_and_one_row_of_repeats(spark):
     assert out.columns == ["doc_id", "text"]
 
 
+def test_pipeline_equals_brute_force(spark, library, tmp_path):
+    """All stages over a fixture with nulls, noise, copies, repeated passages and benchmark passages, stage by stage."""
+    rng = random.Random(12)
+    vocab = "the house garden of king water and stone river under old new tree light over hill day night road small bread winter summer green field child mother father story long short open close write read north south east west morning evening river bank market town village ship sea island wind rain snow fire".split()
+    say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    item, lines, para = say(14), "\n".join(say(6) for _ in range(3)), say(55)
+    base = [say(60) for _ in range(12)]
+    texts = [say(rng.randint(5, 90)) for _ in range(25)] + base
+    texts += [b + " " + say(2) for b in base] + base[:3]
+    texts += [f"{say(15)} {item} {say(15)}" for _ in range(4)] + [f"{say(9)}\n{lines}\n{say(9)}" for _ in range(4)] + [f"{say(7)} {para} {say(7)}" for _ in range(4)]
+    texts += [None, "", " \n ", "12 3 !", "zqxv kkjw wqqz vvxq jjkz " * 12, item, "a b"]
+    rng.shuffle(texts)
+    rows = [(i, t, "en" if i % 3 and t and "zqxv" not in t else None, len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids, r.decoded) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+    # with so many labelled texts only letters at random fit no language
+    kept = [(i, t) for i, t, _, _ in rows if t and any(c.isalpha() for c in t) and "zqxv" not in t]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", kept)
+    found = con.execute(queries.ORACLE_SQL["op8_line_dedup"])
+    at = [c[0] for c in found.description]
+    kept = {r[at.index("doc_id")]: r[at.index("text")] for r in found.fetchall() if r[at.index("text")].strip()}
+    kept = {i: kept[i] for i, (_, group) in ngram_join.brute_force(kept).items() if i == group}
+    want = {}
+    for i, t in kept.items():
+        own, gone, w = decontaminate.words(t), set(), item.lower().encode().split()
+        for a in range(len(own) - 9):
+            if any(own[a : a + 10] == w[b : b + 10] for b in range(len(w) - 9)):
+                gone |= set(range(a, a + 10))
+        if gone:
+            t = " ".join(x for n, x in enumerate(t.split()) if n not in gone)
+        if t.strip():
+            ids = library.encode(t, add_special_tokens=False).ids
+            want[i] = (len(ids), ids, library.decode(ids, skip_special_tokens=False))
+    assert got == want and len(rows) > len(want) > 30
+
+
 def test_pipeline(spark, library):
     out = corpus_pipeline.run(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
