@@ -34,9 +34,23 @@ def cut(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFra
     return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _file(spark, path)
+    return store.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder or file, if there is one."""
+    store, at = _file(spark, path)
+    store.delete(at, True)
+
+
 def drop(spark: SparkSession, df: DataFrame) -> None:
     """Deletes the files behind a cut() that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
     for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, f)
