@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, html_extract, language_id, line_dedup, ngram_join, sharding, token_files, url_filter
+from . import ann, bpe, decontaminate, exact_dedup, fim, html_extract, language_id, lexical, line_dedup, ngram_join, sharding, token_files, url_filter
+from .common import drop
 
 #: The rules of the url query.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -74,7 +75,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_encode(docs, tokenizer_path(), bpe.build_lexicon(docs, tokenizer_path()), digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_files, op3_html_extract, op4_url_filter, op5_decontaminate, op6_ann, op7_language_id, op8_line_dedup, op9_ngram_join, op10_bpe)}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), digests=True)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings = lexical.build_postings(table(spark, sf_dir, "documents"))
+    out = lexical.search(postings, table(spark, sf_dir, "benchmark"), k=50)
+    drop(spark, postings)
+    return out
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_files, op3_html_extract, op4_url_filter, op5_decontaminate, op6_ann, op7_language_id, op8_line_dedup, op9_ngram_join, op10_bpe, op11_fill_in_middle, op12_exact_dedup, op13_lexical_search)}
 
 ORACLE_SQL = {
     "op4_url_filter": """
@@ -137,4 +154,47 @@ ORACLE_SQL = {
         )
         select d.doc_id, coalesce(n_removed, 0) as n_removed, whole.text from documents d left join whole on d.doc_id = whole.doc_id
     """,
+    "op11_fill_in_middle": r"""
+        with t as (
+            select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as seed from documents
+        ), u as (
+            select doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as tokens,
+                   cast('0x' || seed[1:8] as bigint) as h1, cast('0x' || seed[9:16] as bigint) as h2, cast('0x' || seed[17:24] as bigint) as h3, cast('0x' || seed[25:32] as bigint) as h4 from t
+        ), c as (
+            select doc_id, text, tokens, len(tokens) as n, least(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as a, greatest(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as b,
+                   case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form from u
+        ), p as (
+            select doc_id, text, n, form, array_to_string(tokens[1:a], '') as prefix, array_to_string(tokens[a + 1:b], '') as middle, array_to_string(tokens[b + 1:], '') as suffix from c
+        )
+        select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+               sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(text) as restored_sha256
+        from p
+    """,
+    "op12_exact_dedup": """
+        with t as (
+            select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+        ), g as (
+            select text, max(doc_id) as keep_id, count(*) as group_size from t group by text
+        )
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(g.text) as text_sha256 from t join g on t.text = g.text
+    """,
+    "op13_lexical_search": r"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+        ), q as (
+            select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+        ), s as (
+            select count(*) as docs, sum(len(terms)) as words from d where len(terms) > 0
+        ), p as (
+            select doc_id, n, term, count(*) as tf from (select doc_id, len(terms) as n, unnest(terms) as term from d) group by doc_id, n, term
+        ), w as (
+            select term, cast(floor(1000 * ln((2.0::double * max(docs) + 2) / (2 * count(*) + 1))) as bigint) as w from p, s where term in (select term from q) group by term
+        ), r as (
+            select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))))) as bigint) as score
+            from q join w on q.term = w.term join p on p.term = q.term, s group by item_id, doc_id
+        )
+        select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from r where score > 0
+        qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50
+    """,
 }
