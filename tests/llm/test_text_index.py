@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from titlegraph.llm import contents, exact_dedup, fim, lexical
+from titlegraph.llm.common import Tables
 
 TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -72,13 +73,24 @@ def test_fill_in_middle_equals_brute_force(odd, monkeypatch, group, broadcast):
     assert fim.fill_in_middle(odd.limit(0)).count() == 0
 
 
-def test_index_leaves_clashing_digests_out(odd, monkeypatch):
-    """Under a digest of 20 values most hold several texts, which are cut without the index."""
+def test_texts_of_one_digest_are_told_apart(odd, monkeypatch):
+    """Under a digest of 20 values most hold several texts; the texts themselves are grouped and joined."""
     monkeypatch.setattr(fim, "sha256", lambda t: F.pmod(F.crc32(t.cast("binary")), F.lit(20)).cast("string").cast("binary"))
     want = Counter((r.doc_id, *plain_cut(r.doc_id, r.text)) for r in odd.collect())
     assert Counter((r.doc_id, r.n, r.form, r.output, r.prefix_chars, r.middle_chars) for r in fim.fill_in_middle(odd).collect()) == want
 
 
+def test_texts_are_shuffled_once(odd):
+    """The index and the join with it read one shuffle of the texts; a list is made once for each distinct text."""
+    dealt = fim.deal(odd, Tables(odd.sparkSession))
+    joined = dealt.join(fim.build_index(dealt), ["digest", "salt", "text"])
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")]
+    assert plan.count("hashpartitioning(digest") == 1 + plan.count("ReusedExchange") and "ReusedExchange" in plan
+    assert fim.build_index(dealt).count() == odd.select(F.coalesce("text", F.lit(""))).distinct().count()
+
+
 def check_copies(got, source):
     groups = defaultdict(list)
     for i, t in source:
@@ -145,9 +157,12 @@ def plain_search(docs, items, k):
     return out
 
 
-@pytest.mark.parametrize("broadcast", [500_000, 0])
-def test_search_equals_brute_force(spark, odd, monkeypatch, broadcast):
+@pytest.mark.parametrize("broadcast,size,slices", [(500_000, 2 << 20, 1_024), (0, 300, 7)])
+def test_search_equals_brute_force(spark, odd, monkeypatch, broadcast, size, slices):
+    """Also with many small slices, of which several share a number, and terms joined by shuffle."""
     monkeypatch.setattr(lexical, "BROADCAST_TERMS", broadcast)
+    monkeypatch.setattr(lexical, "SLAB", size)
+    monkeypatch.setattr(lexical, "SLICES", slices)
     items = [(1, "CAT mat the the"), (2, None), (3, ""), (4, "no such terms"), (5, "one text w5 É naïve 2"), (6, "cat"), (7, "中文 x")]
     table = spark.createDataFrame([(i, t, 0, "c") for i, t in items], "item_id long, text string, score int, term string")
     postings = lexical.build_postings(odd)
@@ -170,5 +185,6 @@ def test_search_sums_within_a_slice(spark, odd, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plan = plans[-1]
-    between = plan[plan.index("HashAggregate") : plan.index("SortMergeJoin")]
-    assert "Exchange" not in between and plan.count("WindowGroupLimit") == 2
+    sums = plan.index("HashAggregate")
+    between = plan[sums : plan.index("SortMergeJoin", sums)]
+    assert "Exchange" not in between and "Generate explode" in between and plan.count("WindowGroupLimit") == 2

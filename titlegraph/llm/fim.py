@@ -1,10 +1,11 @@
 """Operator 11: fill-in-middle, over an index of distinct texts.
 
-1. Texts are counted by digest. Where several rows share one, their texts are grouped themselves, copies combined on the
-   map side: a digest with several texts, if there is any, is left out of the index.
-2. Of each distinct text one row is indexed: the ends of its tokens, in code points, as an Elias-Fano list.
-3. Documents are joined with the index by digest, digests of very many documents spread by salts. A document's seed gives
-   two numbers of tokens; the list gives where these end (select), which is where the text is cut.
+1. Documents are dealt to tasks by the digest of their text; digests of very many documents are spread by salts. That is
+   the only shuffle of texts, which the index and the join with it share.
+2. Within its digest, identical texts are grouped by the texts themselves. Of each the ends of its tokens, in code points,
+   become an Elias-Fano list, once.
+3. Documents are joined with the index by digest and text. A document's seed gives two numbers of tokens; the list gives
+   where these end (select), which is where the text is cut.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from .common import Tables, cut, slabs, tidy
-from .contents import replicated, salted, salts, sha256, small
+from .common import Tables, cut, slabs, tidy, with_settings
+from .contents import salted, salts, sha256
 
 #: Marks of the parts: prefix, suffix, middle.
 MARKS = ("<P>", "<S>", "<M>")
@@ -26,6 +28,8 @@ MARKS = ("<P>", "<S>", "<M>")
 CUT, SUFFIX_FIRST = 50, 80
 #: Bytes of text that a worker takes at a time.
 SLAB = 1 << 20
+#: Rows of a batch between Spark and Python.
+ROWS = 1_000
 
 
 def token_ends(text: str) -> np.ndarray:
@@ -105,26 +109,24 @@ def restore(output: str, form: str, marks: tuple[str, str, str] = MARKS) -> str:
     return one + middle + other if form == "psm" else other + middle + one
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with __text, null as empty, and its digest."""
-    return docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))).withColumn("__digest", sha256(F.col("__text"))).withColumn("__id", F.col(id_col))
+def deal(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, digest, salt), null texts as empty, dealt by digest and salt."""
+    docs = with_settings(docs, spark__sql__requireAllClusterKeysForCoPartition="false", spark__sql__execution__arrow__maxRecordsPerBatch=ROWS)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), sha256(text).alias("digest"))
+    repeated = tables.cut(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-texts")
+    large = tables.cut(salts(repeated, repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "large-groups")
+    return salted(rows, F.broadcast(large), F.col("id")).repartition("digest", "salt")
 
 
-def build_index(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(index, repeated): index (digest, n, ends) of the distinct texts, repeated (digest, n, first) of those with several rows."""
-    rows = _keyed(docs, id_col, text_col).select(F.col("__digest").alias("digest"), F.col("__text").alias("text"), F.col("__id").alias("id"))
-    repeated = tables.cut(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1"), "repeated-texts")
-    texts = rows.join(small(repeated), "digest", "left_semi").groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
-    clashing = tables.cut(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"), "clashing-digests")
+@F.arrow_udf(BinaryType())
+def _list_of_ends(text: pa.Array) -> pa.Array:
+    return pa.array([EliasFano.of(token_ends(t)).to_bytes() for t in text.to_pylist()], pa.binary())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slabs(batches, 1, SLAB):
-            ends = [token_ends(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(e) for e in ends], pa.int64()), pa.array([EliasFano.of(e).to_bytes() for e in ends], pa.binary())], names=["digest", "n", "ends"])
 
-    one = rows.join(small(repeated.select("digest", "first")), "digest", "left").where(F.col("first").isNull() | (F.col("id") == F.col("first")))
-    index = one.join(small(clashing), "digest", "left_anti").select("digest", "text").mapInArrow(tidy(run), "digest binary, n long, ends binary")
-    return tables.cut(index.groupBy("digest").agg(F.first("n").alias("n"), F.first("ends").alias("ends")), "distinct-texts"), repeated
+def build_index(dealt: DataFrame) -> DataFrame:
+    """(digest, salt, text, ends) of the distinct texts of deal(), without another shuffle."""
+    return dealt.select("digest", "salt", "text").distinct().withColumn("ends", _list_of_ends("text"))
 
 
 def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_first: int = SUFFIX_FIRST, marks: tuple[str, str, str] = MARKS, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -135,12 +137,10 @@ def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_firs
     own; rows that repeat a doc_id and a text are cut alike. Texts are whole, whatever their length. Other columns are not
     looked at, whatever their names. An empty table gives no rows.
     """
-    tables = Tables(docs.sparkSession)
-    index, repeated = build_index(docs, tables, id_col, text_col)
-    large = salts(repeated, repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = _keyed(docs, id_col, text_col).select(F.col("__digest").alias("digest"), F.col("__text").alias("text"), F.col("__id").alias("id"))
-    joined = salted(rows, large, F.col("id")).join(replicated(index, large), ["digest", "salt"], "left").select("id", "text", "ends")
+    tables = Tables(docs.sparkSession)
+    dealt = deal(docs, tables, id_col, text_col)
+    joined = dealt.join(build_index(dealt), ["digest", "salt", "text"]).select("id", "text", "ends")
     sha = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +148,8 @@ def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_firs
         for b in slabs(batches, 1, SLAB):
             out = []
             for i, t, e in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if e is None:  # a digest that several texts share
-                    ends = EliasFano.of(token_ends(t))
-                elif e != raw:
-                    ends = EliasFano.from_bytes(e)
-                raw = e
+                if e != raw:
+                    raw, ends = e, EliasFano.from_bytes(e)
                 form, output, a, m = cut_text(t, ends, seeds(i, seed), rate, suffix_first, marks)
                 out.append((ends.size, form, a, m, *((sha(output), sha(restore(output, form, marks))) if digests else (output,))))
             columns = list(zip(*out, strict=True)) if out else [[]] * (6 if digests else 5)
@@ -160,6 +157,6 @@ def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_firs
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))], names=["doc_id", "n", "form", "prefix_chars", "middle_chars", *(("output_sha256", "restored_sha256") if digests else ("output",))])
 
     last = "output_sha256 string, restored_sha256 string" if digests else "output string"
-    out = cut(joined.mapInArrow(tidy(run), f"doc_id {kind}, n long, form string, prefix_chars long, middle_chars long, {last}"), "fill-in-middle")
+    out = cut(joined.mapInArrow(tidy(run), f"doc_id {kind}, n long, form string, prefix_chars long, middle_chars long, {last}"), "fill-in-middle", docs.sparkSession)
     tables.drop()
     return out
