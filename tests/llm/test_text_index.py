@@ -80,15 +80,17 @@ def test_texts_of_one_digest_are_told_apart(odd, monkeypatch):
     assert Counter((r.doc_id, r.n, r.form, r.output, r.prefix_chars, r.middle_chars) for r in fim.fill_in_middle(odd).collect()) == want
 
 
-def test_texts_are_shuffled_once(odd):
-    """The index and the join with it read one shuffle of the texts; a list is made once for each distinct text."""
-    dealt = fim.deal(odd, Tables(odd.sparkSession))
-    joined = dealt.join(fim.build_index(dealt), ["digest", "salt", "text"])
-    joined.collect()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    plan = plan[: plan.index("Initial Plan")]
-    assert plan.count("hashpartitioning(digest") == 1 + plan.count("ReusedExchange") and "ReusedExchange" in plan
-    assert fim.build_index(dealt).count() == odd.select(F.coalesce("text", F.lit(""))).distinct().count()
+def test_index_holds_each_text_once(odd, monkeypatch):
+    """An entry for each distinct text; more only where very many documents share it. Texts are shuffled once."""
+    monkeypatch.setattr(contents, "GROUP_ROWS", 100)
+    index = fim.build_index(odd, Tables(odd.sparkSession))
+    rows = index.collect()
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.find("Initial Plan")].count("Exchange hashpartitioning") == 1
+    want = Counter(r.text or "" for r in odd.collect())
+    assert Counter({t: sum(len(r.documents) for r in rows if r.text == t) for t in want}) == want
+    assert all(len([r for r in rows if r.text == t]) == 1 for t, n in want.items() if n <= 100)
+    assert all(len(r.documents) < 200 for r in rows) and [fim.EliasFano.from_bytes(r.ends).size for r in rows] == [len(TOKEN.findall(r.text)) for r in rows]
 
 
 def check_copies(got, source):

@@ -1,11 +1,11 @@
 """Operator 11: fill-in-middle, over an index of distinct texts.
 
-1. Documents are dealt to tasks by the digest of their text; digests of very many documents are spread by salts. That is
-   the only shuffle of texts, which the index and the join with it share.
-2. Within its digest, identical texts are grouped by the texts themselves. Of each the ends of its tokens, in code points,
-   become an Elias-Fano list, once.
-3. Documents are joined with the index by digest and text. A document's seed gives two numbers of tokens; the list gives
-   where these end (select), which is where the text is cut.
+1. Identical texts are grouped by their digest and by the texts themselves, copies combined on the map side; that is the
+   only shuffle of texts. An entry of the index is a text with its documents. Digests of very many documents are spread
+   over several entries by salts, so that an entry's documents are bounded.
+2. Of each entry the ends of its text's tokens, in code points, become an Elias-Fano list, once.
+3. The entries go back to their documents, each with the list. A document's seed gives two numbers of tokens; the list
+   gives where these end (select), which is where the text is cut.
 """
 
 from __future__ import annotations
@@ -109,14 +109,16 @@ def restore(output: str, form: str, marks: tuple[str, str, str] = MARKS) -> str:
     return one + middle + other if form == "psm" else other + middle + one
 
 
-def deal(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, digest, salt), null texts as empty, dealt by digest and salt."""
-    docs = with_settings(docs, spark__sql__requireAllClusterKeysForCoPartition="false", spark__sql__execution__arrow__maxRecordsPerBatch=ROWS)
+def build_index(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text, documents array<struct<id>>, ends) of the distinct texts, null texts as empty; several entries of a text that
+    very many documents have."""
+    docs = with_settings(docs, spark__sql__execution__arrow__maxRecordsPerBatch=ROWS)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), sha256(text).alias("digest"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), sha256(text).alias("digest"), F.monotonically_increasing_id().alias("m"))
     repeated = tables.cut(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-texts")
-    large = tables.cut(salts(repeated, repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "large-groups")
-    return salted(rows, F.broadcast(large), F.col("id")).repartition("digest", "salt")
+    large = salts(repeated, repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    entries = salted(rows, large, F.col("m")).groupBy("digest", "salt", "text").agg(F.collect_list(F.struct("id")).alias("documents"))
+    return entries.select("text", "documents", _list_of_ends("text").alias("ends"))
 
 
 @F.arrow_udf(BinaryType())
@@ -124,11 +126,6 @@ def _list_of_ends(text: pa.Array) -> pa.Array:
     return pa.array([EliasFano.of(token_ends(t)).to_bytes() for t in text.to_pylist()], pa.binary())
 
 
-def build_index(dealt: DataFrame) -> DataFrame:
-    """(digest, salt, text, ends) of the distinct texts of deal(), without another shuffle."""
-    return dealt.select("digest", "salt", "text").distinct().withColumn("ends", _list_of_ends("text"))
-
-
 def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_first: int = SUFFIX_FIRST, marks: tuple[str, str, str] = MARKS, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """A row (doc_id, n, form, output, prefix_chars, middle_chars) for each row of docs; with digests, output_sha256 and
     restored_sha256 instead of output.
@@ -139,8 +136,7 @@ def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = CUT, suffix_firs
     """
     kind = docs.schema[id_col].dataType.simpleString()
     tables = Tables(docs.sparkSession)
-    dealt = deal(docs, tables, id_col, text_col)
-    joined = dealt.join(build_index(dealt), ["digest", "salt", "text"]).select("id", "text", "ends")
+    joined = build_index(docs, tables, id_col, text_col).select(F.explode("documents").alias("d"), "text", "ends").select("d.id", "text", "ends")
     sha = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,9 @@
 
 A file holds one contiguous range of doc_ids in ascending order. Layout, little-endian::
 
-    magic  b"TGRANK1\\n"
+    magic  b"TGRANK2\\n"
     int64  documents, ids, table entries, data bytes
-    int64  doc_id of each document; int64 ids of each document
+    int64  doc_id of each document; int64 ids of each document; uint8 of each document, 0 where its doc_id is null
     uint32 id of each rank, the file's most frequent id first
     uint8  controls, two bits an id: the number of data bytes of its rank, less one (four ids a control byte)
     uint8  data, each rank in 1 to 4 bytes
@@ -154,7 +154,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
     Files are in ascending doc_id order; start is the number of ids in the files before. A null text is empty (end_id
     only). Rows with a null doc_id come first; rows that share a doc_id are neighbours, in the order of a hash of their
-    text. An empty table makes no file. folder: a URI that all executors reach. A file is written under a name of its own
+    text; a doc_id that is no whole number is an error. An empty table makes no file. folder: a URI that all executors reach. A file is written under a name of its own
     for each attempt and the manifest names the one that counts, so a task can be run again.
     """
     n = tasks or parts(docs.sparkSession)
