@@ -1,6 +1,13 @@
 import glob
 import json
 import os
+import random
+import re
+import socket
+import tempfile
+import threading
+import time
+import urllib.parse
 from collections import Counter
 
 import duckdb
@@ -9,10 +16,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from titlegraph.functions import text
-from titlegraph.operators import asset, manifest, match, names, normalize, review, wikitext
+from titlegraph.functions import phrases, text
+from titlegraph.operators import asset, json_rules, manifest, match, names, normalize, review, wikitext
 from titlegraph.plans import queries
-from titlegraph.sources import dump, files, wiki_api
+from titlegraph.sources import asset_sink, dump, files, wiki_api
 from titlegraph.streaming import crawl
 
 SF = "/root/testdata/sf0.001"
@@ -99,14 +106,47 @@ def test_names_and_facts(spark):
     assert spark.sql("select element from facts('<w><placeOfOrigin>a</placeOfOrigin></w>')").first().element == "placeName"
 
 
+GOOD = {"manifestVersion": "1.0.0", "id": "x-y", "name": "n", "version": "1.0.0", "description": "d", "license": "MIT", "host": {"minVersion": "1"}, "entry": {"kind": "javascript", "module": "m"}}
+
+
+def errors_of(spark, *raws, **options):
+    df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
+    return [r.errors for r in manifest.validate(df, **options).orderBy("i").collect()]
+
+
 def test_manifests(spark):
-    good = {"manifestVersion": "1.0.0", "id": "x-y", "name": "n", "version": "1.0.0", "description": "d", "license": "MIT", "host": {"minVersion": "1"}, "entry": {"kind": "javascript", "module": "m"}}
-    assert manifest.errors_of(json.dumps(good)) == []
-    bad = manifest.errors_of(json.dumps({"manifestVersion": "9.0.0", "id": "x"}))
-    assert "manifestVersion must be 1.0.0" in bad and "host must be an object" in bad and "entry must be an object" in bad
-    assert manifest.errors_of("[1]")[:2] == ["manifest.0 is not allowed", "manifestVersion must be 1.0.0"] and manifest.errors_of("1") == ["manifest must be an object"] and manifest.errors_of("{") == ["manifest is not JSON"]
-    df = manifest.validate(spark.createDataFrame([(json.dumps(good),), ("{}",)], "raw string"))
-    assert sorted(r.ok for r in df.collect()) == [False, True]
+    good, bad, array, number, text, broken, null, twice = errors_of(spark, json.dumps(GOOD), json.dumps({"manifestVersion": "9.0.0", "id": "x"}), "[1]", "1", '"x"', "{", None, '{"id": "a", "id": "b"}')
+    assert good == [] and number == text == null == ["manifest must be an object"] and broken == twice == ["manifest is not JSON"]
+    assert bad == ["manifestVersion must be 1.0.0", "name must be a non-empty string", "version must be a non-empty string", "description must be a non-empty string", "license must be a non-empty string", "host must be an object", "entry must be an object"]
+    assert array[:2] == ["manifest.0 is not allowed", "manifestVersion must be 1.0.0"]
+    other = {k: v for k, v in GOOD.items() if k != "host"} | {"shell": {"minVersion": "1"}, "dependencies": {"modules": ["Bad", None]}, "entry": {"kind": "python"}}
+    assert errors_of(spark, json.dumps(other), host="shell", group="modules") == [["entry.python is required for python/hybrid modules", "dependencies.modules[1] must be a non-empty string", "dependencies.modules contains invalid id: Bad", "dependencies.modules contains invalid id: null"]]
+    rows = manifest.validate(spark.createDataFrame([(json.dumps(GOOD),), ("{}",)], "raw string")).collect()
+    assert sorted(r.ok for r in rows) == [False, True]
+
+
+def test_manifests_by_schema(spark):
+    schema = {"type": "object", "properties": {"languages": {"type": "array", "items": {"type": "string", "minLength": 2}, "uniqueItems": True}, "homepage": {"type": "string", "format": "uri"}}}
+    (found,) = errors_of(spark, json.dumps(GOOD | {"languages": ["zh", "zh", "z"], "homepage": "x"}), schema=schema)
+    assert found == ["manifest.languages must have unique items", "manifest.languages[2] must have at least 2 characters"]
+
+
+def test_schema_rules(spark):
+    schema = {
+        "type": "object", "required": ["a"], "additionalProperties": False, "allOf": [{"if": {"properties": {"b": {"const": "x"}}, "required": ["b"]}, "then": {"required": ["c"]}}],
+        "properties": {"a": {"$ref": "#/$defs/n"}, "b": {"type": ["string", "null"], "maxLength": 3}, "c": {"const": [1, {"k": None}]}, "d.e": {"type": "boolean"}, "f": {"type": "array", "minItems": 1, "maxItems": 2, "items": {"type": "object", "required": ["g"]}}},
+        "$defs": {"n": {"type": "integer", "maximum": 5}},
+    }
+    cases = {
+        '{"a": 5.0, "b": null, "d.e": true}': [], '{"a": 1, "c": [1, {"k": null}], "b": "x", "f": [{"g": null}]}': [], '{"a": 1.5}': ["$.a must be of type integer"], '{"a": "1"}': ["$.a must be of type integer"], '{"a": 6}': ["$.a must be at most 5"],
+        '{}': ["$.a is required"], '{"a": 1, "z": 0}': ["$.z is not allowed"], '{"a": 1, "b": "x"}': ["$.c is required"], '{"a": 1, "b": "long"}': ["$.b must have at most 3 characters"], '{"a": 1, "c": [2]}': ['$.c must be [1, {"k": null}]'],
+        '{"a": 1, "d.e": 1}': ["$.d.e must be of type boolean"], '{"a": 1, "f": []}': ["$.f must have at least 1 items"], '{"a": 1, "f": [1, {}, {"g": 1}]}': ["$.f must have at most 2 items", "$.f[0] must be of type object", "$.f[1].g is required"],
+        "[]": ["$ must be of type object"], "{": ["$ is not JSON"],
+    }
+    df = spark.createDataFrame([(c,) for c in [*cases, None]], "raw string").select("raw", json_rules.schema_errors(F.col("raw"), schema).alias("e"))
+    assert {r.raw: r.e for r in df.collect()} == cases | {None: ["$ is not JSON"]}
+    with pytest.raises(ValueError):
+        json_rules.schema_errors(F.col("raw"), {"not": {}})
 
 
 def test_dump(spark, tmp_path):
@@ -115,14 +155,44 @@ def test_dump(spark, tmp_path):
     got = dump.load(spark, str(tmp_path / "d.sql"), "person").orderBy("row_pos").collect()
     assert [(r.id, r.name) for r in got] == [(1, "a'b;(x),"), (2, None), (4, "it's")]
     assert dump.load(spark, str(tmp_path / "d.sql"), "date_dynasties").count() == 0
+    assert [r.id for r in dump.load(spark, str(tmp_path), "person", first_only=True).orderBy("row_pos").collect()] == [1, 2]
+
 
+CELLS = st.one_of(st.none(), st.sampled_from(["INSERT INTO `t` VALUES (1)", "--", ";"]), st.text(alphabet="a'\\\n(),;\u6f22", max_size=6))
+INSERTS = st.lists(st.tuples(st.sampled_from(["t", "u"]), st.booleans(), st.lists(st.lists(CELLS, min_size=1, max_size=4), max_size=4)), max_size=4)
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.one_of(st.none(), st.text(alphabet="a'\\\n(),;\u6f22", max_size=6)), min_size=1, max_size=4), max_size=4))
-def test_dump_round_trip(table):
+
+def as_dump(inserts):
     quote = lambda v: "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-    sql = "INSERT INTO `t` VALUES " + ",".join("(" + ",".join(map(quote, r)) + ")" for r in table) + ";"
-    assert list(dump.rows(sql, "t")) == table
+    return "".join(f"DROP TABLE x;\nINSERT INTO `{t}` {'(`a`, `b`)' if named else ''}\nVALUES " + ",".join("(" + ",".join(map(quote, r)) + ")" for r in rows) + ";\n" for t, named, rows in inserts)
+
+
+@settings(max_examples=100, deadline=None)
+@given(INSERTS, st.integers(1, 60))
+def test_dump_in_ranges_equals_the_whole(inserts, size):
+    """A file cut anywhere, into ranges of any size, each scanned without what stands before it."""
+    sql, want = as_dump(inserts), [r for t, _, rows in inserts if t == "t" for r in rows]
+    assert list(dump.rows(sql, "t")) == want
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(sql.encode())
+        f.flush()
+        start, n = dump._start("t"), len(sql.encode())
+        ranges = [dump.Range(f.name, a, min(a + size, n)) for a in range(0, n, size)]
+        begun = dump.beginnings([[dump.outcome(r, start, s) for s in (dump.OUT, dump.IN, dump.ESCAPED)] for r in ranges])
+        assert [t for r, b in zip(ranges, begun, strict=True) for t in dump.tuples(r, start, *b, False)] == want
+        first = next((rows for t, _, rows in inserts if t == "t"), [])
+        assert [t for r, b in zip(ranges, begun, strict=True) for t in dump.tuples(r, start, *b, True)] == first
+
+
+def test_large_dump_in_many_tasks(spark, tmp_path):
+    """One file of one statement, read by many tasks."""
+    path = tmp_path / "d.sql"
+    path.write_text("INSERT INTO `t` VALUES " + ",".join(f"({i},'it\\'s; ({i}),漢')" for i in range(20_000)) + ";")
+    found = dump.read_dump(spark, str(path), "t", size=10_000)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+    rows = found.orderBy("row_pos").collect()
+    assert [r.fields for r in rows] == [[str(i), f"it's; ({i}),漢"] for i in range(20_000)]
+    assert len({r.row_pos for r in rows}) == len(rows)
 
 
 def test_client_waits_and_pages():
@@ -182,3 +252,178 @@ def test_match_of_rows_without_candidates_or_status(spark):
     assert out[3].matchStatus == "wiki_only"  # 丙 was renamed
     assert (out[4].matchStatus, out[4].db.person_id, out[4].db.can_name) == ("person_only", 6, "戊")
     assert sorted(r.row_id for r in match.only_matched(match.match(rows, titles, persons)).collect()) == [1, 4]
+
+
+def test_sections_equal_a_walk_and_take_linear_time(spark):
+    rng = random.Random(6)
+    bits = ["==A==", "== B c ==\r", "===no===", "x", "", "*[[y]]", "==", "==D=="]
+    pages = [(i, "\n".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))) for i in range(200)] + [(900, None)]
+
+    def walk(text):
+        lines, section, any_header, out = text.split("\n"), None, False, []
+        names_of = [m.group(1) if (m := re.fullmatch(r"==\s*([^=\n]+?)\s*==\s*", x)) else None for x in lines]
+        any_header = any(names_of)
+        for n, (x, name) in enumerate(zip(lines, names_of, strict=True)):
+            section = name or section
+            if not name and (section or not any_header):
+                out.append((n, x, section))
+        return out
+
+    got = wikitext.sectioned_lines(spark.createDataFrame(pages, "k int, wikitext string"), ["k"]).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((k, *x) for k, t in pages if t is not None for x in walk(t)), key=str)
+    long = "\n".join(f"==h{i}==\nline {i}\nmore" for i in range(10_000))
+    began = time.time()
+    assert wikitext.sectioned_lines(spark.createDataFrame([(1, long)], "k int, wikitext string"), ["k"]).count() == 20_000
+    assert time.time() - began < 10
+
+
+def test_pages_of_one_title_keep_their_own_rows(spark):
+    pages = spark.createDataFrame([("东海王", "*[[甲]]\n{{disambig}}", 1, "u1", "Q1"), ("东海王", "*[[乙]]\n{{disambig}}", 2, "u2", "Q2")], crawl.PAGES)
+    assert sorted((r.person, r.sourcePageId) for r in wikitext.ingest(pages).collect()) == [("乙", 2), ("甲", 1)]
+
+
+PAIRS = st.dictionaries(st.text(alphabet="abc中", min_size=1, max_size=4), st.sampled_from(["X", "YY", ""]), max_size=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(PAIRS, st.lists(st.one_of(st.none(), st.text(alphabet="abcd中\U0001f600", max_size=12)), max_size=4))
+def test_phrases_equal_the_longest_match(pairs, texts):
+    def plain(t):
+        out, i = [], 0
+        while i < len(t):
+            best = max((p for p in pairs if t.startswith(p, i)), key=len, default=None)
+            out.append(t[i] if best is None else pairs[best])
+            i += 1 if best is None else len(best)
+        return "".join(out)
+
+    assert phrases.Phrases(pairs).convert(texts) == [None if t is None else plain(t) for t in texts]
+
+
+def test_phrase_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("皇后\t皇后\n后\t後 后\n只\t隻\nno tab\n")
+    pairs = phrases.read_phrases(spark, str(tmp_path))
+    assert pairs == {"皇后": "皇后", "后": "後", "只": "隻"}
+    rows = spark.createDataFrame([("皇后之后",), (None,), ("",)], "t string").select(text.translate(F.col("t"), pairs).alias("t")).collect()
+    assert [r.t for r in rows] == ["皇后之後", None, ""]
+
+
+def test_asset_sink(spark, tmp_path):
+    asset_sink.register(spark)
+    at = str(tmp_path / "asset")
+    rows = spark.createDataFrame([(1, "link", ["a"]), (2, "skip", []), (3, "link", None)], "id int, action string, s array<string>").repartition(3)
+    rows.write.format("asset").option("id", "x").mode("overwrite").save(at)
+    envelope = json.load(open(f"{at}/asset.json"))
+    assert (envelope["recordCount"], envelope["actionCounts"]) == (3, {"link": 2, "skip": 1}) and envelope["compiledAt"].endswith("Z")
+    assert sorted((r.id, r.s) for r in spark.read.json(f"{at}/part-*").collect()) == [(1, ["a"]), (2, []), (3, None)]
+    failing = rows.select("id", F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("action")).alias("action"))
+    with pytest.raises(Exception, match="no"):
+        failing.write.format("asset").mode("overwrite").save(at)
+    assert os.listdir(tmp_path) == ["asset"] and json.load(open(f"{at}/asset.json")) == envelope  # nothing of it is left
+    with pytest.raises(Exception, match="no"):
+        failing.write.format("asset").mode("overwrite").save(str(tmp_path / "other"))
+    assert os.listdir(tmp_path) == ["asset"]
+
+
+def test_crawl_goes_on_in_the_middle(spark, tmp_path):
+    """Stopped after each answer and started again: no title is lost or asked for twice. A busy answer is asked for again."""
+    key = lambda **p: urllib.parse.urlencode(sorted({k: str(v) for k, v in p.items()}.items()))
+    answers = {}
+    for i in range(3):
+        more = {"cmcontinue": f"t{i}"} if i else {}
+        body = {"query": {"categorymembers": [{"pageid": 10 * i + j, "title": f"T{i}{j}"} for j in range(2)]}} | ({"continue": {"cmcontinue": f"t{i + 1}"}} if i < 2 else {})
+        answers[key(action="query", list="categorymembers", cmtitle="c", cmlimit=500, **more)] = [[429, {"Retry-After": "0"}, ""], [200, {}, body]] if i == 1 else body
+        titles = f"T{i}0|T{i}1"
+        answers[key(action="query", redirects=1, prop="info|pageprops|revisions", inprop="url", titles=titles, rvprop="content", rvslots="main")] = {"query": {"pages": {str(10 * i + j): {"pageid": 10 * i + j, "title": f"T{i}{j}"} for j in range(2)}}}
+    (tmp_path / "answers").write_text(json.dumps(answers))
+    options = {"api": "http://x.invalid/api", "category": "c", "delay_ms": "0", "answers": str(tmp_path / "answers")}
+    runs = 0
+    while True:
+        query = crawl.crawl_category(spark, options, str(tmp_path / "out"), str(tmp_path / "cp"))
+        until = time.time() + 60
+        while not [p for p in query.recentProgress if p["numInputRows"]] and time.time() < until and query.isActive:
+            time.sleep(0.05)
+        query.stop()
+        runs += 1
+        found = sorted(r.title for r in wiki_api.captured(spark.read.schema("value string").parquet(str(tmp_path / "out")))[0].collect())
+        assert len(found) == len(set(found))
+        if len(found) == 6:
+            break
+        assert runs < 6
+    assert found == [f"T{i}{j}" for i in range(3) for j in range(2)]
+
+
+def test_client_settings(monkeypatch):
+    monkeypatch.setenv("WIKI_DELAY_MS", "5")
+    monkeypatch.setenv("ALL_PROXY", "http://p:1")
+    client = wiki_api.Client.configured({"api": "u"})
+    assert client.delay_ms == 5 and client.retries == 6 and wiki_api.proxy_setting() == "http://p:1"
+    assert wiki_api.delay_setting("x") == 2000 and wiki_api.delay_setting("-1") == 2000 and wiki_api.delay_setting("7") == 7
+    monkeypatch.setenv("WIKI_PROXY", "socks5://p:2")
+    assert wiki_api.proxy_setting() == "socks5://p:2" and wiki_api.proxy_setting("socks5://q:3") == "socks5://q:3"
+
+
+def test_client_through_socks():
+    """A request through a small SOCKS5 server that answers for the wiki itself."""
+    server, seen = socket.create_server(("127.0.0.1", 0)), []
+
+    def serve():
+        c, _ = server.accept()
+        assert c.recv(3) == b"\x05\x01\x00"
+        c.sendall(b"\x05\x00")
+        head = c.recv(5)
+        seen.append(c.recv(head[4] + 2)[:-2].decode())
+        c.sendall(b"\x05\x00\x00\x01\x00\x00\x00\x00\x00\x00")
+        seen.append(c.recv(4096).decode().split("\r\n")[0])
+        body = b'{"query": {"categorymembers": [{"title": "a"}]}}'
+        c.sendall(b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\nConnection: close\r\n\r\n" % len(body) + body)
+        c.close()
+
+    threading.Thread(target=serve, daemon=True).start()
+    client = wiki_api.Client("http://wiki.invalid/api", delay_ms=0, proxy=f"socks5://127.0.0.1:{server.getsockname()[1]}")
+    assert list(client.members("c")) == ["a"] and seen[0] == "wiki.invalid" and seen[1].startswith("GET /api?format=json&action=query")
+    with pytest.raises(OSError, match="could not connect to the SOCKS proxy"):
+        server.close()
+        wiki_api.Client("http://wiki.invalid/api", delay_ms=0, retries=0, proxy="socks5://127.0.0.1:1").get({})
+
+
+def test_redirects_agree(spark):
+    """The last of several redirects of a title counts, in both operators."""
+    hops = spark.createDataFrame([("a", "z", 0), ("a", "b", 1)], "source string, target string, row_pos long")
+    pages = spark.createDataFrame([("b", None, 2, "ub", "Q2"), ("z", None, 9, "uz", "Q9")], crawl.PAGES)
+    titles = spark.createDataFrame([("a",)], "title string")
+    assert wiki_api.with_members(titles, pages, hops).first().pageId == normalize.resolve_redirects(titles, pages.drop("wikitext"), hops).first().pageId == 2
+
+
+def test_titles_that_come_again(spark, tmp_path):
+    """A title is parsed once, over restarts; broken lines and files give nothing."""
+    page = lambda t, p: json.dumps({"title": t, "wikitext": f"*[[{p}]]\n{{{{disambig}}}}", "pageId": 1})
+    src = tmp_path / "in"
+    src.mkdir()
+    for n, lines in enumerate([[page("东海王", "甲"), "{broken"], [page("东海王", "乙"), page("南康公", "丙")], [page(None, "丁")]]):
+        (src / f"{n}.json").write_text("\n".join(lines))
+        crawl.ingest_stream(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    assert sorted(r.person for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["丙", "甲"]
+
+
+def test_hooks_refuse_wrong_arguments(spark):
+    names.register(spark, ["張"])
+    with pytest.raises(Exception, match="surname"):
+        spark.sql("select * from name_patterns(table(select 1 as x), array('王'))").collect()
+    assert spark.sql("select segment_name(null) as s, segment_name('張 ') as t").first().asDict() == {"s": None, "t": None}
+
+
+def test_renumber_equals_counting_again(spark):
+    rng = random.Random(9)
+    rows = spark.createDataFrame([(rng.choice([None, 1, 2]), rng.choice("ab"), i) for i in range(300)], "d int, e string, p int")
+    gone = rows.where("p % 7 = 0 and (d = 1 or d is null)")
+    numbered = names.occurrences(rows, "d", "e", "p")
+    want = names.occurrences(rows.where("not (p % 7 = 0 and (d = 1 or d is null))"), "d", "e", "p")
+    assert sorted(map(str, names.renumber(numbered, gone, "d", "e", "p").collect())) == sorted(map(str, want.collect()))
+
+
+def test_small_operators(spark):
+    r = one(spark, a=asset.bundled_paths(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("a"), F.lit(None), F.lit("c"))), b=asset.bundled_paths(F.lit(None).cast("array<string>"), F.lit(None).cast("array<string>")))
+    assert r.a == ["b", "a", "c"] and r.b == []
+    rows = spark.createDataFrame([(True, 1, ""), (None, 0, "Q"), (False, None, None)], "needsReview boolean, wikiPersonPageId long, wikidataId string")
+    assert tuple(review.crawl_counts(rows).first()) == (3, 1, 1, 1) and review.sample(rows, ["wikidataId"], 2).count() == 2
+    assert asset.append_records(spark.range(1).select("id"), spark.createDataFrame([(5, "x")], "id long, s string")).count() == 2

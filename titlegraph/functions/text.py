@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import WIKI_URL
+from .phrases import convert
 
 
 def trim(c: Column) -> Column:
@@ -43,6 +44,7 @@ def key(c: Column) -> Column:
 
 def without_note(c: Column) -> Column:
     """Without one parenthesis, ASCII or full-width, at the end; what does not fit stays. Empty is null."""
+    # a fixed value
     pattern = r"^([^()（）]+?)(?:\s*[(（][^)）]+[)）])?\z"
     return blank_to_null(trim(F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1)).otherwise(c)))
 
@@ -72,5 +74,12 @@ def sql_int(c: Column) -> Column:
 
 
 def translate(c: Column, pairs: dict[str, str] | None = None) -> Column:
-    """Character by character, such as simplified to traditional forms; without pairs, as it is."""
-    return F.translate(c, "".join(pairs), "".join(pairs.values())) if pairs else c
+    """By a table of characters and phrases, such as simplified to traditional forms; without pairs, as it is.
+
+    The longest phrase that begins at a place counts. Tables of single characters alone stay within built-in functions.
+    """
+    if not pairs:
+        return c
+    if all(len(k) == len(v) == 1 for k, v in pairs.items()):
+        return F.translate(c, "".join(pairs), "".join(pairs.values()))
+    return convert(c, pairs)

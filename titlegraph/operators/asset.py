@@ -113,3 +113,14 @@ def envelope(records: DataFrame, asset_id: str, version: str, compiled_at: str,
     """One row about the records: their number, and their number by action. The records stay a table beside it."""
     counts = records.groupBy("action").agg(F.count(F.lit(1)).alias("n"))  # a row for each action
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("recordCount"), F.map_from_entries(F.collect_list(F.struct("action", "n"))).alias("actionCounts")).select(F.lit(asset_id).alias("id"), F.lit(version).alias("assetVersion"), F.lit(compiled_at).alias("compiledAt"), F.lit(license).alias("license"), F.lit(attribution).alias("attribution"), "recordCount", "actionCounts")
+
+
+def append_records(base: DataFrame, more: DataFrame) -> DataFrame:
+    """Records of an asset with those of a later run behind them; columns that one of them lacks are null."""
+    return base.unionByName(more, allowMissingColumns=True)
+
+
+def bundled_paths(own: Column, packs: Column) -> Column:
+    """The paths that a release bundles: its own and its packs', each once, in the order in which they are first told."""
+    empty = F.array().cast("array<string>")
+    return F.array_compact(F.array_distinct(F.concat(F.coalesce(own, empty), F.coalesce(packs, empty))))

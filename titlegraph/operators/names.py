@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.constants import PATTERN_RANKS
 from ..functions.text import nfc, trim
@@ -87,9 +91,64 @@ class Facts:
         yield from facts_of(xml)
 
 
-def register(spark: SparkSession) -> None:
-    """Registers the table function facts(xml) for SQL."""
+RELATION = "doc_id string, source string, rule string, sourceIds array<string>, confidence string"
+
+
+class OfficeRelations:
+    """Table function: office_relations(TABLE(t) PARTITION BY doc_id ORDER BY (start, end), source, max_gap)."""
+
+    def __init__(self):
+        self.last = None
+
+    def eval(self, row: Row, source: str, max_gap: int):
+        last, self.last = self.last, row
+        if last is None or last["kind"] != "office" or row["kind"] != "office" or (row["source"] or "").lower() != source.lower() or not row["followsOffice"]:
+            return
+        if last["end"] is not None and row["start"] is not None and 0 <= row["start"] - last["end"] <= max_gap:
+            yield str(row["doc_id"]), source, "office-concatenation", [None if x is None else str(x) for x in (last["authorityId"], row["authorityId"])], "inferred"
+
+
+class NamePatterns:
+    """Table function: name_patterns(TABLE(t), array of ranks): every princely rank of the array with every surname of t."""
+
+    @staticmethod
+    def analyze(row: AnalyzeArgument, ranks: AnalyzeArgument) -> AnalyzeResult:
+        if not row.isTable or not isinstance(row.dataType, StructType) or "surname" not in row.dataType.names:
+            raise ValueError("the first argument must be a table with a column surname")
+        if not isinstance(ranks.dataType, ArrayType):
+            raise ValueError("the second argument must be an array of ranks")
+        return AnalyzeResult(StructType().add("rank", "string").add("surname", row.dataType["surname"].dataType).add("authorityId", "string").add("searchString", "string"))
+
+    def eval(self, row: Row, ranks: list[str]):
+        for rank in ranks:
+            if rank in PATTERN_RANKS and row["surname"] is not None:
+                yield rank, row["surname"], f"pattern:{rank}:{row['surname']}", f"{rank}{row['surname']}"
+
+
+def segmenter(surnames: list[str]):
+    """A scalar function for SQL: struct(family, given) as of segment(), null where there is no split."""
+    pattern = re.compile("(" + "|".join(map(re.escape, surnames)) + ")(.+)", re.S)
+
+    @F.arrow_udf(StructType().add("family", "string").add("given", "string"))
+    def segment_name(name: pa.Array) -> pa.Array:
+        out = []
+        for x in name.to_pylist():
+            own = None if x is None else re.sub(r"^[\s\ufeff]+|[\s\ufeff]+\Z", "", unicodedata.normalize("NFC", x))
+            m = pattern.fullmatch(own) if own and len(own) > 1 and all("\u4e00" <= c <= "\u9fff" for c in own) else None
+            out.append(m and {"family": m.group(1), "given": m.group(2)})
+        return pa.array(out, pa.struct([("family", pa.string()), ("given", pa.string())]))
+
+    return segment_name
+
+
+def register(spark: SparkSession, surnames: list[str] | None = None) -> None:
+    """Registers what annotators call from SQL: the table functions facts(xml), office_relations(table, source, max_gap) and
+    name_patterns(table, ranks), and with surnames, longest first, the function segment_name(name)."""
     spark.udtf.register("facts", F.udtf(Facts, returnType=FACTS))
+    spark.udtf.register("office_relations", F.udtf(OfficeRelations, returnType=RELATION))
+    spark.udtf.register("name_patterns", F.udtf(NamePatterns))
+    if surnames:
+        spark.udf.register("segment_name", segmenter(surnames))
 
 
 def occurrences(entries: DataFrame, doc: str, entry: str, position: str) -> DataFrame:
@@ -98,6 +157,20 @@ def occurrences(entries: DataFrame, doc: str, entry: str, position: str) -> Data
     return entries.withColumn("occurrence_index", n).withColumn("form", F.when(n == 1, "full").otherwise("short"))
 
 
+def renumber(numbered: DataFrame, deleted: DataFrame, doc: str, entry: str, position: str) -> DataFrame:
+    """occurrences() after rows are deleted: numbered without those in deleted (doc, entry, position).
+
+    Only groups that lose a row are numbered again; all others pass as they are, without a shuffle where the table of groups
+    that lose one is small enough to be broadcast.
+    """
+    touched = deleted.select(F.col(doc).alias("__doc"), F.col(entry).alias("__entry")).distinct()
+    same = F.col(doc).eqNullSafe(F.col("__doc")) & F.col(entry).eqNullSafe(F.col("__entry"))
+    gone = deleted.select(F.col(doc).alias("__doc"), F.col(entry).alias("__entry"), F.col(position).alias("__at"))
+    left = numbered.join(touched, same, "left_semi").join(gone, same & F.col(position).eqNullSafe(F.col("__at")), "left_anti")
+    again = occurrences(left.drop("occurrence_index", "form"), doc, entry, position)
+    return numbered.join(touched, same, "left_anti").unionByName(again.select(*numbered.columns))
+
+
 def search(table: DataFrame, columns: list[str], text: str, limit: int = 20, offset: int = 0, order: str | None = None) -> DataFrame:
     """Rows of which any column contains the text, whatever its accents, case and spaces: a page of the result."""
     plain = lambda c: F.replace(F.lower(c), F.lit(" "), F.lit(""))

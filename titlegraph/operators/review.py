@@ -145,3 +145,19 @@ def statements(plans: DataFrame, created_by: str = "wiki-import") -> DataFrame:
 def action_counts(rows: DataFrame, column: str = "action") -> DataFrame:
     """(action, n), most frequent first; null counts as none."""
     return rows.groupBy(F.coalesce(F.col(column), F.lit("none")).alias("action")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "action")
+
+
+def conditional_counts(rows: DataFrame, **conditions: Column) -> DataFrame:
+    """One row: n, and for each condition the number of rows for which it holds, in one pass."""
+    return rows.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+
+def crawl_counts(rows: DataFrame) -> DataFrame:
+    """What a crawl reports of its rows: how many need a review, and how many have a person's page and an item."""
+    there = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).isin("", "0") == F.lit(False)
+    return conditional_counts(rows, needs_review=F.col("needsReview"), with_person_page=there("wikiPersonPageId"), with_item=there("wikidataId"))
+
+
+def sample(rows: DataFrame, order: list[str], n: int = 3) -> DataFrame:
+    """The first rows, to print."""
+    return rows.orderBy(*order).limit(n)

@@ -60,24 +60,30 @@ def is_disambiguation(text: Column) -> Column:
 def sectioned_lines(pages: DataFrame, keys: list[str], text_col: str = "wikitext") -> DataFrame:
     """Every line with its number and the level-two header above it; lines above a page's first header go, if it has one.
 
-    All inside a page's row, by a running header over its lines: nothing is shuffled, and pages of one key stay apart.
+    All inside a page's row, in time that grows with its length: its lines are cut at the headers into sections, sections
+    and then their lines become rows. Nothing is shuffled, and pages of one key stay apart.
     """
-    header = lambda x: F.when(x.rlike(HEADER), F.regexp_extract(x, HEADER, 1))
-    found = F.filter(F.transform(F.split(text_col, "\n"), lambda x, i: F.named_struct(F.lit("at"), i, F.lit("name"), header(x))), lambda h: h["name"].isNotNull())
-    lines = pages.select(*keys, found.alias("__headers"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    above = F.filter("__headers", lambda h: h["at"] <= F.col("line_no"))
-    lines = lines.withColumn("__above", F.element_at(above, F.when(F.size(above) > 0, F.lit(-1)))).withColumn("section", F.col("__above.name"))
-    is_header = F.coalesce(F.col("__above.at") == F.col("line_no"), F.lit(False))
-    return lines.where(~is_header & (F.col("section").isNotNull() | (F.size("__headers") == 0))).select(*keys, "line_no", "line", "section")
-
-
-def holders(pages: DataFrame, text_col: str = "wikitext", title_col: str = "title") -> DataFrame:
-    """Title-holder rows of pages, in page order by (sourcePage, line_no).
+    name = lambda x: F.when(F.startswith(x, F.lit("==")), blank_to_null(F.regexp_extract(x, HEADER, 1)))
+    headers = F.filter(F.transform(F.col("p.lines"), lambda x, i: F.struct(i.alias("at"), name(x).alias("name"))), lambda h: h["name"].isNotNull())
+    # the arrays are made once: a generator ends what may be merged into the expressions above it
+    once = lambda df, c, alias: df.withColumn(alias, F.explode(F.array(F.struct(c))))
+    rows = once(pages.select(*keys, F.col(text_col).alias("__text")).where("__text is not null"), F.split("__text", "\n").alias("lines"), "p").drop("__text")
+    rows = once(rows, headers.alias("headers"), "h")
+    end = lambda i: F.coalesce(F.get(F.col("h.headers"), i + 1)["at"], F.size("p.lines"))
+    section = lambda h, i: F.struct(h["name"].alias("section"), (h["at"] + 1).alias("first"), F.slice(F.col("p.lines"), h["at"] + 2, end(i) - h["at"] - 1).alias("lines"))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("section"), F.lit(0).alias("first"), F.col("p.lines").alias("lines")))
+    cut = rows.select(*keys, F.explode(F.when(F.size("h.headers") == 0, whole).otherwise(F.transform("h.headers", section))).alias("s"))
+    lines = cut.select(*keys, "s.section", "s.first", F.posexplode("s.lines").alias("__i", "line"))
+    return lines.select(*keys, (F.col("first") + F.col("__i")).alias("line_no"), "line", "section")
+
+
+def holders(pages: DataFrame, text_col: str = "wikitext", title_col: str = "title", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Title-holder rows of pages, in page order by (sourcePage, line_no); columns in keep come along.
 
     The list lines of each section, but for reference sections and headings of grants. Confidence falls to medium without
     a link or where the line's fief or rank differs from the page's, and to low with neither link nor label.
     """
-    rows = sectioned_lines(pages.select(F.col(title_col).alias("sourcePage"), F.col(text_col).alias("wikitext")), ["sourcePage"])
+    rows = sectioned_lines(pages.select(F.col(title_col).alias("sourcePage"), F.col(text_col).alias("wikitext"), *keep), ["sourcePage", *keep])
     rows = rows.where(F.col("line").rlike(r"^\*+") & (F.col("section").isNull() | ~F.col("section").isin(PARSE_SKIP)))
     rows = rows.withColumn("rawLine", trim(F.regexp_replace("line", r"^\*+\s*", ""))).where(F.col("rawLine") != "")
     rows = rows.where(~((F.startswith("rawLine", F.lit("第")) & F.contains("rawLine", F.lit("册封"))) | F.col("rawLine").rlike(r"^第[一二三四五六七八九十\d]+次")))
@@ -90,12 +96,13 @@ def holders(pages: DataFrame, text_col: str = "wikitext", title_col: str = "titl
     rows = rows.withColumn("confidence", F.when(F.col("link").isNull() & (trim(F.col("label")) == ""), "low").when(F.col("link").isNull() | changed, "medium").otherwise("high"))
     return rows.select(
         "sourcePage", "line_no", F.col("section").alias("dynastySection"), "rawLine", "t.fief", "t.pn", "t.nt", F.col("link.display").alias("person"), F.col("link.target").alias("wikiPersonTitle"),
-        F.col("y.start").alias("startYear"), F.col("y.end").alias("endYear"), "confidence", ((F.col("confidence") != "high") | (F.col("y.start").isNull() & F.col("y.end").isNull())).alias("needsReview"),
+        F.col("y.start").alias("startYear"), F.col("y.end").alias("endYear"), "confidence", ((F.col("confidence") != "high") | (F.col("y.start").isNull() & F.col("y.end").isNull())).alias("needsReview"), *keep,
     )
 
 
 def ingest(pages: DataFrame) -> DataFrame:
     """Holder rows, with page metadata, of the disambiguation pages among pages (title, wikitext, pageId, url, wikidataId)."""
-    fit = pages.where(F.col("wikitext").isNotNull() & ~F.col("wikitext").rlike(r"(?i)^\s*#REDIRECT|^\s*#重定向") & is_disambiguation(F.col("wikitext")))
-    meta = fit.select(F.col("title").alias("sourcePage"), F.col("pageId").alias("sourcePageId"), F.col("url").alias("sourcePageUrl"), F.col("wikidataId").alias("sourceWikidataId"))
-    return holders(fit).join(meta, "sourcePage")
+    text = F.col("wikitext")
+    fit = pages.where(text.isNotNull() & ~text.rlike(r"(?i)^\s*#REDIRECT|^\s*#重定向") & is_disambiguation(text))
+    meta = {"sourcePageId": F.col("pageId"), "sourcePageUrl": F.col("url"), "sourceWikidataId": F.col("wikidataId")}
+    return holders(fit.withColumns(meta), keep=tuple(meta))

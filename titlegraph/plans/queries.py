@@ -26,27 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _RANKS = ["small", "large", "red", "blue"]
-_PAGE = "東海王"
-_WIKI = [
-    ("東海王", "==漢朝==\n*第一次册封\n**[[漢明帝|劉陽]]，41年-43年在位\n**東海恭王[[劉彊]]，43年-58年在位\n**崇德侯[[劉羨 (東海王)|劉羨]]，200年-220年\n==參見==\n*[[東海國]]\n==西晉==\n*東海文獻王[[司馬越]]，?年-311年"),
-    ("南康公", "*[[某列表]][[王曇]]\n*南康文宣公"),
-]
-
-
-@query("""
-    select * from (values
-        ('東海王', 2, '漢朝', '東海', null, '王', '劉陽', '漢明帝', 41, 43, 'high', false),
-        ('東海王', 3, '漢朝', '東海', '恭', '王', '劉彊', '劉彊', 43, 58, 'high', false),
-        ('東海王', 4, '漢朝', '崇德', null, '侯', '劉羨', '劉羨 (東海王)', 200, 220, 'medium', true),
-        ('東海王', 8, '西晉', '東海', '文獻', '王', '司馬越', '司馬越', null, 311, 'high', false),
-        ('南康公', 0, null, '南康', null, '公', '王曇', '王曇', null, null, 'high', true),
-        ('南康公', 1, null, '南康', '文宣', '公', null, null, null, null, 'medium', true)
-    ) t(sourcePage, line_no, dynastySection, fief, pn, nt, person, wikiPersonTitle, startYear, endYear, confidence, needsReview)
-""")
-def parse_holders(spark, sf_dir):
-    return wikitext.holders(spark.createDataFrame(_WIKI, "title string, wikitext string")).drop("rawLine")
-
-
 @query("""
     select p_partkey, case when ends_with(p_name, 'small') then p_name[:-6] when ends_with(p_name, 'large') then p_name[:-6] when ends_with(p_name, 'red') then p_name[:-4] when ends_with(p_name, 'blue') then p_name[:-5] end as fief,
            case when ends_with(p_name, 'small') then 'small' when ends_with(p_name, 'large') then 'large' when ends_with(p_name, 'red') then 'red' when ends_with(p_name, 'blue') then 'blue' end as nt
@@ -159,6 +138,30 @@ def tiered_match(spark, sf_dir):
     return out.select("row_id", F.col("matchStatus").alias("status"), F.col("matchTier").alias("tier"), F.col("suggestedAction").alias("action"), F.col("db.ind").alias("ind"), F.col("matchCount").alias("candidates"))
 
 
+_SHEET = ", ".join(f"coalesce(cast({v} as varchar), '') as {c}" for c, v in {
+    "review_id": "row_number() over (order by row_id)", "suggested_action": "case when dup then 'skip' when n > 1 then 'review' when n = 1 and lacks then 'update_nt' when n = 1 then 'link' when only_id is not null then 'insert_nt' else 'review' end", "action": "''",
+    "match_status": "case when dup then 'duplicate' when n > 1 then 'ambiguous' when n = 1 then 'matched' when only_id is not null then 'person_only' else 'wiki_only' end", "match_tier": "case when dup then null when n >= 1 then tier when only_id is not null then 'E' end",
+    "match_note": "case when dup then 'duplicate' when n > 1 then n || ' candidates' when n = 1 and lacks then 'row incomplete' when n = 1 then 'full match' when only_id is not null then 'person known, no matching title' else 'no match' end",
+    "wiki_sourcePage": "p_type || '王'", "wiki_dynastySection": "p_brand", "wiki_dyn_candidates": "p_brand || '|other'", "wiki_fief": "p_type", "fief_corrected": "''", "wiki_pn": "case when p_partkey % 4 <> 0 then p_size end", "pn_corrected": "''", "wiki_nt": "'x'", "wiki_person": "p_name || ' (x)'", "wiki_personBare": "p_name",
+    "wiki_startYear": "null", "wiki_endYear": "null", "wikidataId": "'Q' || row_id", "wikiPersonUrl": "null", "db_person_id": "case when not dup and n >= 1 then row_pos when not dup then only_id end", "db_nt_ind": "case when not dup and n >= 1 then row_pos end", "db_can_name": "case when not dup and (n >= 1 or only_id is not null) then tname end",
+    "db_dyn": "case when not dup and n >= 1 then tdyn end", "db_fief": "case when not dup and n >= 1 then tfief end", "db_pn": "case when not dup and n >= 1 then tpn end", "db_nt": "case when not dup and n >= 1 then 'x' end", "db_start_year": "case when not dup and n >= 1 then 1 end", "db_end_year": "case when not dup and n >= 1 then 2 end",
+    "db_dyn_id": "case when not dup and n >= 1 then 7 end", "fill_notes": "'fief←sourcePage'", "reviewer_notes": "''",
+}.items())
+
+
+@query(_MATCH + f"""
+    select {_SHEET} from (
+        select m.*, p_type, p_brand, p_size, p_partkey, p_name, coalesce(nullif(t.name, ''), case when n is null then p.name end) as tname, t.dyn as tdyn, t.fief as tfief
+        from m join part on row_id = p_partkey left join t on t.row_pos = m.row_pos left join p on p.id = m.only_id
+    )
+""")
+def review_sheet(spark, sf_dir):
+    """The sheet that reviewers edit, all its 32 columns."""
+    rows, titles, persons = _parts(spark, sf_dir)
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.concat("p_type", F.lit("王")).alias("sourcePage"), F.col("p_brand").alias("dynastySection"), F.concat("p_name", F.lit(" (x)")).alias("person"), F.concat(F.lit("Q"), F.col("p_partkey").cast("string")).alias("wikidataId"), F.lit(None).cast("string").alias("wikiPersonUrl"), F.lit("fief←sourcePage").alias("fillNotes"))
+    return review.review_sheet(match.match(rows.join(part, "row_id"), titles, persons), ["row_id"])
+
+
 @query(_MATCH + "select case when dup then 'skip' when n > 1 then 'review' when n = 1 and lacks then 'update_nt' when n = 1 then 'link' when only_id is not null then 'insert_nt' else 'review' end as action, count(*) as n from m group by 1")
 def match_action_counts(spark, sf_dir):
     return review.action_counts(match.match(*_parts(spark, sf_dir)), "suggestedAction")
@@ -171,13 +174,19 @@ def match_action_counts(spark, sf_dir):
     left join c on c.c_name = o.c_name left join c h on h.c_name = o.person
 """)
 def enrich_left_coalesce(spark, sf_dir):
+    rows, info = _enriched(spark, sf_dir)
+    out = normalize.enrich(rows, info, spark.createDataFrame([], "source string, target string"))
+    return out.select("o_orderkey", F.col("sourcePageId").alias("page_id"), F.col("sourcePageUrl").alias("url"), F.col("wikiPersonPageId").alias("person_page"), F.col("wikidataId").alias("item"))
+
+
+def _enriched(spark, sf_dir):
+    """Rows for enrich(), one for each order, and what is known of pages."""
     customer = table(spark, sf_dir, "customer")
     other = customer.select((F.col("c_custkey") - 1).alias("k"), F.col("c_name").alias("wikiPersonTitle"))
     rows = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(other, F.col("o_custkey") == F.col("k"), "left").select("o_orderkey", F.col("c_name").alias("sourcePage"), "wikiPersonTitle", F.lit("old").alias("wikidataId"))
     k = F.col("c_custkey").cast("string")
     info = customer.where("c_acctbal > 0").select(F.col("c_name").alias("title"), (F.col("c_custkey") + 5).alias("pageId"), F.concat(F.lit("u"), k).alias("url"), F.concat(F.lit("Q"), k).alias("wikidataId"))
-    out = normalize.enrich(rows, info, spark.createDataFrame([], "source string, target string"))
-    return out.select("o_orderkey", F.col("sourcePageId").alias("page_id"), F.col("sourcePageUrl").alias("url"), F.col("wikiPersonPageId").alias("person_page"), F.col("wikidataId").alias("item"))
+    return rows, info
 
 
 @query("""
@@ -253,15 +262,13 @@ def cross_pattern_candidates(spark, sf_dir):
 
 @query("""
     select doc_id, source_id, next_id from (
-        select conv_id as doc_id, role, cast(turn as varchar) as source_id, lead(role) over w as next_role, cast(lead(turn) over w as varchar) as next_id from conversations window w as (partition by conv_id order by turn)
-    ) where role = 'user' and next_role = 'assistant'
+        select conv_id as doc_id, role, turn, cast(turn as varchar) as source_id, lead(role) over w as next_role, cast(lead(turn) over w as varchar) as next_id, lead(turn) over w as next_turn from conversations window w as (partition by conv_id order by turn)
+    ) where role in ('user', 'assistant') and next_role = 'assistant' and turn % 2 = 0 and next_turn = turn + 1
 """)
 def adjacent_relation(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), (F.col("turn") * 10).alias("start"), (F.col("turn") * 10 + 10).alias("end"), F.col("role").alias("source"), F.col("turn").cast("string").alias("authorityId"), F.lit("office").alias("kind"), (F.col("role") == "assistant").alias("followsOffice"))
-    first = turns.where("source in ('user', 'assistant', 'system', 'tool')")
-    out = names.office_relations(first, "assistant", max_gap=1 << 40).select("doc_id", F.col("sourceIds")[0].alias("source_id"), F.col("sourceIds")[1].alias("next_id"))
-    users = turns.where("source = 'user'").select("doc_id", F.col("authorityId").alias("source_id"))
-    return out.join(users, ["doc_id", "source_id"]).select("doc_id", "source_id", "next_id")
+    """Turns as offices; every second one ends before the next begins, and relates to none."""
+    out = names.office_relations(domain._turns(spark, sf_dir), "assistant")
+    return out.select("doc_id", F.col("sourceIds")[0].alias("source_id"), F.col("sourceIds")[1].alias("next_id"))
 
 
 @query("select event_type as action, count(*) as n from events group by 1")
@@ -275,12 +282,43 @@ def resume_pending(spark, sf_dir):
 
 
 @query("""
-    select c_custkey, 'INSERT INTO person_wiki (person_id, person_nt_ind, wikidata_id, wiki_url, wiki_source_page, created_by) VALUES (' || c_custkey || ', ' || c_nationkey || ', ''Q' || c_custkey || ''', NULL, ''' || replace(c_name, '''', '''''') || ''', ''wiki-import'');' as sql from customer where c_custkey <> 0
+    with c as (
+        select c_custkey as k, c_nationkey as n, '''' || replace(c_name, '''', '''''') || '''' as page, case when c_custkey % 3 = 0 then 'NULL' else '''p''''n''' end as pn, case when c_custkey % 3 = 0 then '' else ', pn = COALESCE(NULLIF(pn, ''''), ''p''''n'')' end as set_pn,
+               case when c_custkey % 5 = 0 then 'NULL' else cast(c_nationkey as varchar) end as y, case when c_custkey % 5 = 0 then '' else ', start_year = COALESCE(start_year, ' || c_nationkey || ')' end as set_y from customer
+    )
+    select k as c_custkey, 0 as n, 'INSERT INTO person_wiki (person_id, person_nt_ind, wikidata_id, wiki_url, wiki_source_page, created_by) VALUES (' || k || ', ' || n || ', ''Q' || k || ''', NULL, ' || page || ', ''wiki-import'');' as sql from c where k % 4 = 0 and k <> 0
+    union all select k, 0, 'INSERT INTO person_nt (person_id, dyn, fief, pn, nt, start_year, end_year, dyn_id, created_by) VALUES (' || k || ', ''d'', NULL, ' || pn || ', ''王'', ' || y || ', NULL, NULL, ''wiki-import'');' from c where k % 4 = 1
+    union all select k, 1, 'INSERT INTO person_wiki (person_id, person_nt_ind, wikidata_id, wiki_url, wiki_source_page, created_by) VALUES (' || k || ', LAST_INSERT_ID(), ''Q' || k || ''', NULL, ' || page || ', ''wiki-import'');' from c where k % 4 = 1
+    union all select k, 0, 'UPDATE person_nt SET modified_by = ''wiki-import'', mod_date = NOW()' || set_pn || set_y || ' WHERE ind = ' || n || ';' from c where k % 4 = 2 and n <> 0
+    union all select k, 1, 'INSERT INTO person_wiki (person_id, person_nt_ind, wikidata_id, wiki_url, wiki_source_page, created_by) VALUES (' || k || ', ' || n || ', ''Q' || k || ''', NULL, ' || page || ', ''wiki-import'');' from c where k % 4 = 2 and n <> 0
+    union all select k, 0, 'INSERT INTO nt_wiki (dyn, fief, pn, nt, start_year, end_year, wiki_source_page, wiki_source_page_id, wiki_source_wikidata, wiki_person_wikidata, wiki_person_url, wiki_person_name, link_status, created_by) VALUES (''d'', NULL, ' || pn || ', ''王'', ' || y || ', NULL, ' || page || ', ' || k || ', NULL, ''Q' || k || ''', NULL, ''甲'', ''title_only'', ''wiki-import'');' from c where k % 4 = 3
 """)
 def sql_render(spark, sf_dir):
-    null = F.lit(None).cast("string")
-    plans = table(spark, sf_dir, "customer").select("c_custkey", F.lit("link").alias("action"), F.col("c_custkey").alias("personId"), F.col("c_nationkey").alias("ntInd"), F.concat(F.lit("Q"), F.col("c_custkey").cast("string")).alias("wikidataId"), F.col("c_name").alias("sourcePage"), *[null.alias(c) for c in ("wikiPersonUrl", "dyn", "fief", "pn", "nt", "dynId", "startYear", "endYear", "sourcePageId", "sourceWikidataId", "personBare")])
-    return review.statements(plans).select("c_custkey", "sql")
+    """The statements of all actions."""
+    k, null = F.col("c_custkey"), F.lit(None).cast("string")
+    plans = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k % 4 == 0, "link").when(k % 4 == 1, "insert_nt").when(k % 4 == 2, "update_nt").otherwise("link_title").alias("action"), k.alias("personId"), F.col("c_nationkey").alias("ntInd"), F.concat(F.lit("Q"), k.cast("string")).alias("wikidataId"), F.col("c_name").alias("sourcePage"),
+        F.lit("d").alias("dyn"), F.when(k % 3 != 0, "p'n").alias("pn"), F.lit("王").alias("nt"), F.when(k % 5 != 0, F.col("c_nationkey")).alias("startYear"), k.alias("sourcePageId"), F.lit("甲").alias("personBare"), *[null.alias(c) for c in ("wikiPersonUrl", "fief", "dynId", "endYear", "sourceWikidataId")],
+    )
+    return review.statements(plans).select("c_custkey", "n", "sql")
+
+
+@query("""
+    with c as (select c_name, c_custkey from customer where c_acctbal > 0)
+    select count(*) as n, count(*) filter (where o_orderkey % 3 = 0) as needs_review, count(h.c_custkey) as with_person_page, count(*) filter (where h.c_custkey is not null or o_orderkey % 2 = 0) as with_item
+    from (select o_orderkey, b.c_name as person from orders join customer a on o_custkey = a.c_custkey left join customer b on o_custkey + 1 = b.c_custkey) o left join c h on h.c_name = o.person
+""")
+def conditional_counts(spark, sf_dir):
+    """What a crawl reports of its rows, counted in one pass."""
+    rows, info = _enriched(spark, sf_dir)
+    out = normalize.enrich(rows.withColumn("wikidataId", F.when(F.col("o_orderkey") % 2 == 0, "old")), info, spark.createDataFrame([], "source string, target string"))
+    return review.crawl_counts(out.withColumn("needsReview", F.col("o_orderkey") % 3 == 0))
+
+
+@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 3")
+def print_sample(spark, sf_dir):
+    """The first three rows, as a crawl prints them."""
+    return review.sample(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @query("""

@@ -1,17 +1,33 @@
-"""SQL dumps as tables: spark.read.format('sqldump').option('table', t).load(path)."""
+"""SQL dumps as tables, a large file in many tasks.
+
+Files are cut into ranges of bytes. Whether a range begins inside a string, and inside which statement, depends on all that
+stands before it; so each range is first scanned as if it began outside a string, inside one, and inside one after a
+backslash. These three outcomes of each range are put together file by file, a row a range, which gives every range its
+true beginning. Then the ranges are read again, each by a task: it takes the tuples that open in its range, and reads on
+to the end of the last one.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+
+from ..storage import arrow_file
+
+#: Bytes of a range, of each further piece that is read where a tuple goes on, and of a statement's head at most.
+RANGE, MORE, HEAD = 32 << 20, 1 << 20, 64 << 10
+#: A beginning of a range: outside a string, inside one, inside one after a backslash.
+OUT, IN, ESCAPED = range(3)
 
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "0": "\0"}
 _TOKEN = re.compile(r"'(?:[^'\\]|\\.|'')*'|[(),;]|[^'(),;]+", re.S)
+_STRING = re.compile(rb"(?:[^'\\]|\\.)*+", re.S)
+_OUTSIDE = re.compile(rb"['();]|INSERT(?=\s+INTO\b)", re.I)
 
 
 def unescape(body: str) -> str:
@@ -29,84 +45,197 @@ def field(raw: str) -> str | None:
     return None if raw.upper() == "NULL" or not raw else raw
 
 
-def rows(text: str, table: str, first_only: bool = False) -> Iterator[list[str | None]]:
-    """The tuples of a table's INSERT statements, with or without a column list; quotes, escapes and nested parentheses
-    are heeded. An unterminated statement is read to the end."""
-    start = re.compile(rf"INSERT\s+INTO\s+`?{re.escape(table)}`?\s*(?:\([^)]*\)\s*)?VALUES", re.I)
-    at = 0
-    while (m := start.search(text, at)) is not None:
-        depth, fields, held = 0, [], []
-        at = len(text)
-        for token in _TOKEN.finditer(text, m.end()):
-            t = token.group()
-            if t == "(":
-                depth += 1
-                if depth == 1:
-                    fields, held = [], []
-                    continue
-            elif t == ")":
-                depth -= 1
-                if depth == 0:
-                    yield [*fields, field("".join(held))]
-                    continue
-            elif t == "," and depth == 1:
-                fields.append(field("".join(held)))
-                held = []
-                continue
-            elif t == ";" and depth == 0:
-                at = token.end()
-                break
-            if depth:
-                held.append(t)
-        if first_only:
-            return
+def fields(body: str) -> list[str | None]:
+    """The fields of a tuple, given what stands between its outer parentheses; inner parentheses belong to fields."""
+    found, held, depth = [], [], 0
+    for m in _TOKEN.finditer(body):
+        t = m.group()
+        if t == "," and depth == 0:
+            found.append(field("".join(held)))
+            held = []
+            continue
+        depth += (t == "(") - (t == ")")
+        held.append(t)
+    return [*found, field("".join(held))]
+
+
+def _start(table: str) -> re.Pattern[bytes]:
+    """The head of an INSERT into the table, with or without a column list."""
+    return re.compile(rb"INSERT\s+INTO\s+`?" + re.escape(table.encode()) + rb"`?\s*(?:\([^)']*\)\s*)?VALUES", re.I)
+
+
+class Range:
+    """A file's bytes from `start` on; those up to `end` are its own, more are read when they are wanted."""
+
+    def __init__(self, path: str, start: int, end: int):
+        store, at = arrow_file(path)
+        self.file = store.open_input_file(at)
+        self.size, self.start, self.end = self.file.size(), start, end
+        self.data = self.file.read_at(min(end + HEAD, self.size) - start, start)  # a head may go on behind the end
+        self.before = self.file.read_at(min(HEAD, start), max(0, start - HEAD))
+
+    def more(self) -> bool:
+        """Reads a piece more; False at the file's end."""
+        have = self.start + len(self.data)
+        piece = self.file.read_at(min(MORE, self.size - have), have) if have < self.size else b""
+        self.data += piece
+        return bool(piece)
 
+    def head(self, start: re.Pattern[bytes], at: int) -> re.Match[bytes] | None:
+        """The head of a statement at a place, also where it goes on behind what was read."""
+        while (m := start.match(self.data, at)) is None and len(self.data) - at < HEAD and self.more():
+            pass
+        return m
 
-class _File(InputPartition):
-    def __init__(self, path: str, number: int):
-        self.path, self.number = path, number
+    def inside_head(self, start: re.Pattern[bytes]) -> int:
+        """Where a head ends that began before the range; 0 if there is none. Heads hold no quotes, so this is of use only
+        where the range begins outside of a string."""
+        if not self.before:
+            return 0
+        while len(self.data) < HEAD and self.more():
+            pass
+        edge = len(self.before)
+        return next((m.end() - edge for m in start.finditer(self.before + self.data[:HEAD]) if m.start() < edge < m.end()), 0)
 
+    def events(self, start: re.Pattern[bytes], at: int, state: int, until: int | None = None) -> Iterator[tuple[int, bytes, int]]:
+        """(place, token, where it goes on) of parentheses, semicolons and heads (b'INSERT') outside of strings; at last
+        the state (b'end') at the end of what is looked at."""
+        while True:
+            limit = len(self.data) if until is None else until
+            if state == ESCAPED and at < limit:
+                state, at = IN, at + 1
+            elif state == IN and at < limit:
+                at = _STRING.match(self.data, at, limit).end()
+                if at < limit and self.data[at : at + 1] == b"'":
+                    state, at = OUT, at + 1
+                elif at < limit:  # a backslash that is the last byte
+                    state, at = ESCAPED, limit
+            elif at < limit:
+                m = _OUTSIDE.search(self.data, at, min(limit + 64, len(self.data)))
+                if m is None or m.start() >= limit:
+                    at = limit
+                elif m.group() == b"'":
+                    state, at = IN, m.end()
+                elif len(m.group()) == 1:
+                    at = m.end()
+                    yield m.start(), m.group(), at
+                else:
+                    head = self.head(start, m.start())
+                    at = m.end() if head is None else head.end()
+                    if head is not None:
+                        yield m.start(), b"INSERT", at
+            else:
+                yield state, b"end", at
+                if until is not None or not self.more():
+                    return
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict, schema: StructType):
-        self.options, self.schema = options, schema
 
-    def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
+def outcome(part: Range, start: re.Pattern[bytes], state: int) -> tuple[int, int, int, bool, int]:
+    """What a range that begins in that state leaves behind: the state at its end, where the list of tuples begins (-1: none,
+    -2: as it was), the depth of parentheses (or its change), whether it was told anew, and how many heads it has."""
+    values, depth, anew, heads = -2, 0, False, 0
+    for at, token, after in part.events(start, part.inside_head(start) if state == OUT else 0, state, part.end - part.start):
+        if token == b"end":
+            state = at
+        elif token == b"INSERT":
+            values, depth, anew, heads = part.start + after, 0, True, heads + 1
+        elif token == b";":
+            values, depth, anew = -1, 0, True
+        else:
+            depth += 1 if token == b"(" else -1
+    return state, values, depth, anew, heads
+
+
+def beginnings(outcomes: Iterator[list]) -> list[tuple[int, int, int, int]]:
+    """How a file's ranges truly begin, given their outcomes in order: (state, where the list began, depth, heads before)."""
+    state, values, depth, heads, out = OUT, -1, 0, 0, []
+    for found in outcomes:
+        out.append((state, values, depth, heads))
+        state, v, d, anew, h = map(int, found[state])
+        values, depth, heads = values if v == -2 else v, d if anew else depth + d, heads + h
+    return out
 
-        uri = self.options["path"]
-        store, path = fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
-        info = store.get_file_info(path)
-        if info.type == fs.FileType.Directory:
-            found = [i.path for i in store.get_file_info(fs.FileSelector(path)) if i.is_file and i.base_name[0] not in "._"]
+
+def tuples(part: Range, start: re.Pattern[bytes], state: int, values: int, depth: int, heads: int, first_only: bool) -> Iterator[list[str | None]]:
+    """The tuples that open in the range, which begins in that state, `depth` parentheses deep, in a statement whose list
+    begins at `values` (-1: in none that is wanted) and before which as many heads stood."""
+    end, opened = part.end - part.start, None
+    for place, token, after in part.events(start, max(0, values - part.start), state):
+        if token == b"end":
+            if place == OUT and opened is None and depth == 0 and after >= end:
+                return
+            continue
+        if place >= end and opened is None:
+            return
+        if token == b"INSERT":
+            values, depth, heads, opened = part.start + after, 0, heads + 1, None
+        elif token == b";":
+            values, depth, opened = -1, 0, None
+        elif token == b"(":
+            depth += 1
+            if depth == 1 and values >= 0 and place < end:
+                opened = after
         else:
-            found = [path]
-        scheme = uri.split("://")[0] if "://" in uri else "file"
-        return [_File(f"{scheme}://{p}", i) for i, p in enumerate(sorted(found))]
+            depth -= 1
+            if depth == 0 and opened is not None:
+                if heads == 1 or not first_only:
+                    yield fields(part.data[opened:place].decode("utf-8"))
+                opened = None
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        from pyarrow import fs
 
-        store, path = fs.FileSystem.from_uri(partition.path)
-        with store.open_input_stream(path) as f:
-            text = f.read().decode("utf-8")
-        for i, r in enumerate(rows(text, self.options["table"], self.options.get("firstonly", "false") == "true")):
-            yield partition.number << 40 | i, r
+def rows(text: str, table: str, first_only: bool = False) -> Iterator[list[str | None]]:
+    """The tuples of a table's INSERT statements in a text; quotes, escapes and inner parentheses are heeded. Of a statement
+    that does not end, the whole tuples count."""
+    part = Range.__new__(Range)
+    part.data = text.encode("utf-8")
+    part.start, part.end, part.before, part.more = 0, len(part.data), b"", lambda: False
+    yield from tuples(part, _start(table), OUT, -1, 0, 0, first_only)
 
 
-class SqlDump(DataSource):
-    """Options: path (a file or a folder of files), table. Columns row_pos, which grows with the files by name and with the
-    rows in each, and fields array<string>."""
+def read_dump(spark: SparkSession, path: str, table: str, first_only: bool = False, size: int = RANGE) -> DataFrame:
+    """(row_pos, fields array<string>) of a table in a dump: a file, or a folder or glob of files.
 
-    @classmethod
-    def name(cls) -> str:
-        return "sqldump"
+    row_pos grows with the files by name and with the rows in each. first_only reads the first INSERT of each file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length").where("length > 0")
+    places = F.transform(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size)), lambda i: (i * size).cast("long"))
+    ranges = files.select("path", F.explode(places).alias("start"), "length").select("path", "start", F.least(F.col("start") + size, F.col("length")).alias("end"))
+    n = max(1, min(ranges.count(), 100_000))
+    start = _start(table)
 
-    def schema(self) -> str:
-        return "row_pos long, fields array<string>"
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                part = Range(r["path"], r["start"], r["end"])
+                found = [outcome(part, start, s) for s in (OUT, IN, ESCAPED)]
+                yield pa.RecordBatch.from_pylist([r | {"found": [list(map(int, f)) for f in found]}], pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("found", pa.list_(pa.list_(pa.int64())))]))
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(dict(self.options), schema)
+    def join(parts: pd.DataFrame) -> pd.DataFrame:
+        """A row for each range of a file, not its bytes."""
+        parts = parts.sort_values("start")
+        begun = pd.DataFrame(beginnings(parts["found"]), columns=["state", "list_at", "depth", "heads"])
+        return pd.concat([parts[["path", "start", "end"]].reset_index(drop=True), begun], axis=1)
+
+    scanned = ranges.repartition(n, "path", "start").mapInArrow(scan, "path string, start long, end long, found array<array<long>>")
+    begun = scanned.groupBy("path").applyInPandas(join, "path string, start long, end long, state int, list_at long, depth int, heads int")
+    numbered = files.select("path", F.expr("cast(row_number() over (order by path) - 1 as int)").alias("file"))  # a row for each file
+    placed = begun.join(numbered, "path")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("file", pa.int32()), ("start", pa.int64()), ("i", pa.int64()), ("fields", pa.list_(pa.string()))])
+        for b in batches:
+            for r in b.to_pylist():
+                part, held = Range(r["path"], r["start"], r["end"]), []
+                for i, t in enumerate(tuples(part, start, r["state"], r["list_at"], r["depth"], r["heads"], first_only)):
+                    held.append({"file": r["file"], "start": r["start"], "i": i, "fields": t})
+                    if len(held) == 10_000:
+                        yield pa.RecordBatch.from_pylist(held, kind)
+                        held = []
+                yield pa.RecordBatch.from_pylist(held, kind)
+
+    found = placed.repartition(n, "path", "start").mapInArrow(read, "file int, start long, i long, fields array<string>")
+    # a tuple has two bytes at least, so places in a file are told apart by its range's start and the tuple's number
+    return found.select((F.shiftleft(F.col("file").cast("long"), 44) + F.col("start") + F.col("i")).alias("row_pos"), "fields")
 
 
 #: Position, name and type of the columns that matching reads.
@@ -121,8 +250,12 @@ def typed(raw: DataFrame, columns: list[tuple[int, str, str]]) -> DataFrame:
     return raw.select("row_pos", *[F.get("fields", F.lit(i)).try_cast(kind).alias(name) for i, name, kind in columns])
 
 
-def load(spark: SparkSession, path: str, table: str) -> DataFrame:
+def load(spark: SparkSession, path: str, table: str, first_only: bool = False, size: int = RANGE) -> DataFrame:
     """A dump's table with row_pos and, for known tables, named and typed columns; a missing table is empty."""
-    spark.dataSource.register(SqlDump)
-    raw = spark.read.format("sqldump").option("table", table).load(path)
+    raw = read_dump(spark, path, table, first_only, size)
     return typed(raw, TABLES[table]) if table in TABLES else raw
+
+
+def load_reference(spark: SparkSession, path: str, first_only: bool = False, size: int = RANGE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(titles, persons, dynasties) of a dump, as match.match() and review.plan() take them."""
+    return tuple(load(spark, path, t, first_only, size) for t in TABLES)

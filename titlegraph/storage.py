@@ -22,6 +22,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
+def arrow_file(path: str):
+    """pyarrow's file system of a path or URI, such as file:/a, and the place in it; for use in tasks."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        path = "file://" + path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/titlegraph/{name}-{uuid.uuid4().hex}"
