@@ -2,8 +2,8 @@
 
 Every vector is approximated by a sum of full-dimensional codewords, one from each codebook. Codebooks are learned on a
 bounded sample by residual k-means. Every vector is encoded (beam search over the partial sums) and its codes are stored with the squared norm of the
-approximation. A query scores all vectors by its lookup tables; each task reranks its best ones by exact inner product,
-and the best of all tasks are merged by exact score.
+approximation. A query scores all vectors by its lookup tables; of each group of vectors the best ones are reranked by
+exact inner product, and the best of all groups are merged by exact score.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from .common import cut, parts, tidy
 BOOKS, WORDS, BEAM = 24, 256, 4
 #: Bound of the sample that codebooks are learned on, chosen by a hash of vec_id.
 SAMPLE = 8_192
-#: Vectors that each task reranks exactly for each query, over all its batches.
-RERANK = 300
+#: Vectors of a group, about, and those of each that are reranked exactly for a query.
+GROUP, RERANK = 8_192, 300
 #: Vectors that a task scores at a time.
 ROWS = 4_096
-#: Queries that are broadcast at a time.
-BLOCK = 4_096
+#: Queries of a block, about, which a task holds at a time.
+BLOCK = 3_072
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -143,63 +143,98 @@ def _best(scores: np.ndarray, n: int) -> np.ndarray:
     return np.nonzero(above | equal & (np.cumsum(equal, axis=1) <= room))[1].reshape(len(scores), n)
 
 
-def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int = 20, rerank: int = RERANK, metric: str = "ip", block: int = BLOCK) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, quantizer: Quantizer, k: int = 20, rerank: int = RERANK, metric: str = "ip", block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query (vec_id, v) its k nearest found, itself left out.
 
     Nearest means the largest inner product ('ip') or the smallest squared distance ('l2', scored negative), exactly, in
     double precision; ties go to the smaller vec_id. Fewer candidates than k are all returned; rerank is raised to k + 1.
-    Queries are taken in blocks of at most `block` by their order, each against all rows.
+
+    Queries are dealt into blocks of about `block`, vectors into groups of about `group`, both by hashes, and each block
+    meets each group once, in a task: rows of both, tables throughout, are shuffled and sorted so that a block's queries
+    come first and the group's vectors stream past them. A task holds one block at a time; nothing passes the driver.
     """
     spark, rerank = index.sparkSession, max(rerank, k + 1)
     code = np.uint8 if quantizer.books.shape[1] <= 256 else np.uint16
-    q = spark.sparkContext.broadcast(quantizer)
-    numbered = cut(queries.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(-(-queries.count() // (block * 3 // 4)) or 1)).alias("block")), "ann-queries")
-    out = None
-    for (number,) in sorted(numbered.select("block").distinct().collect()):  # one number for each block of queries
-        held = numbered.where(F.col("block") == number).select("vec_id", "v").toArrow()
-        mine = spark.sparkContext.broadcast((np.asarray(held.column(0)), _matrix(held.column(1).combine_chunks())))
-
-        def run(batches: Iterator[pa.RecordBatch], mine=mine) -> Iterator[pa.RecordBatch]:
-            ids, own = mine.value
-            tables = np.einsum("qd,mkd->qmk", own.astype(np.float32), q.value.books)
-            # of each query its best rows so far over all batches: approximate and exact score, vec_id
-            held = [[np.zeros((len(part), 0), np.float32), np.zeros((len(part), 0)), np.zeros((len(part), 0), np.int64)] for part in np.split(ids, range(64, len(ids), 64))]
-            for b in batches:
-                for at in range(0, b.num_rows, ROWS):
-                    part = b.slice(at, ROWS)
-                    vec, x = np.asarray(part.column(0)), _matrix(part.column(1))
-                    order = np.argsort(vec, kind="stable")  # so that equal scores keep the smaller vec_ids
-                    vec, x = vec[order], x[order].astype(np.float64)
-                    codes = np.frombuffer(b"".join(part.column(2).to_pylist()), code).reshape(len(vec), -1)[order]
-                    norm = np.asarray(part.column(3))[order]
-                    for i, best in enumerate(held):
-                        asked, v = ids[64 * i : 64 * i + 64], own[64 * i : 64 * i + 64].astype(np.float64)
-                        s = q.value.scores(tables[64 * i : 64 * i + 64], codes)
-                        if metric == "l2":
-                            s = 2 * s - norm
-                        s[asked[:, None] == vec] = -np.inf
-                        near = _best(s, rerank)
-                        exact = np.stack([x[n] @ y if metric == "ip" else -((x[n] - y) ** 2).sum(1) for n, y in zip(near, v, strict=True)])
-                        new = np.take_along_axis(s, near, 1), exact, vec[near]
-                        best[:] = [np.concatenate(z, axis=1) for z in zip(best, new, strict=True)]
-                        by_id = np.argsort(best[2], axis=1, kind="stable")
-                        best[:] = [np.take_along_axis(z, by_id, 1) for z in best]
-                        keep = _best(best[0], rerank)
-                        best[:] = [np.take_along_axis(z, keep, 1) for z in best]
-            got = []
-            for i, (approximate, exact, vec) in enumerate(held):
-                for who, s, e, f in zip(ids[64 * i : 64 * i + 64], approximate, exact, vec, strict=True):
-                    e, f = e[s > -np.inf], f[s > -np.inf]
-                    order = np.lexsort((f, -e))
-                    once = np.sort(np.unique(f[order], return_index=True)[1])[:k]  # the best of each vec_id
-                    got.append((np.full(len(once), who), f[order][once], e[order][once]))
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in range(3)], names=["query_id", "vec_id", "score"])
-
-        found = index.select("vec_id", "v", "codes", "norm").mapInArrow(tidy(run), "query_id long, vec_id long, score double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    q = spark.sparkContext.broadcast(quantizer)  # BOOKS * WORDS codewords at most
+    sizes = [-(-df.count() // n) or 1 for df, n in ((queries, block), (index, group))]
+    dealt = lambda size, *by: F.pmod(F.xxhash64(*by), F.lit(size)).cast("int")
+    each = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
+    none = {"codes": F.lit(None).cast("binary"), "norm": F.lit(None).cast("float")}
+    asked = queries.select("vec_id", "v").withColumns(none).select(dealt(sizes[0], "vec_id").alias("block"), each(sizes[1]).alias("group"), F.lit(0).alias("kind"), "vec_id", "v", "codes", "norm")
+    held = index.select(each(sizes[0]).alias("block"), dealt(sizes[1], "vec_id", "v").alias("group"), F.lit(1).alias("kind"), "vec_id", "v", "codes", "norm")
+    rows = asked.unionByName(held).repartition(parts(spark), "block", "group").sortWithinPartitions("block", "group", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, near = None, None
+        for b in batches:
+            keys = np.stack([np.asarray(b.column(i)) for i in range(3)])
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
+            for a, z in zip(edges, edges[1:], strict=False):
+                if a == z:
+                    continue
+                if pair != (pair := tuple(keys[:2, a].tolist())):
+                    if near is not None:
+                        yield near.best(k)
+                    near = _Nearest(q.value, code, rerank, metric)
+                (near.scan if keys[2, a] else near.ask)(b.slice(a, z - a))
+        if near is not None:
+            yield near.best(k)
+
+    out = rows.mapInArrow(tidy(run), "query_id long, vec_id long, score double")
     out = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # different vectors of one vec_id
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows a query and task
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows a query and group
     return out.repartition(parts(spark), "query_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+class _Nearest:
+    """The best of a group of vectors for each query of a block."""
+
+    def __init__(self, quantizer: Quantizer, code: type, rerank: int, metric: str):
+        self.quantizer, self.code, self.rerank, self.metric = quantizer, code, rerank, metric
+        self.asked: list[pa.RecordBatch] = []
+        self.held: list[list[np.ndarray]] | None = None
+
+    def ask(self, rows: pa.RecordBatch) -> None:
+        self.asked.append(rows)
+
+    def _begin(self) -> None:
+        self.ids = np.concatenate([np.asarray(b.column(3)) for b in self.asked]) if self.asked else np.zeros(0, np.int64)
+        self.own = np.concatenate([_matrix(b.column(4)) for b in self.asked]) if self.asked else np.zeros((0, self.quantizer.books.shape[2]), np.float32)
+        self.tables = np.einsum("qd,mkd->qmk", self.own.astype(np.float32), self.quantizer.books)
+        # of each query its best rows so far: approximate and exact score, vec_id
+        self.held = [[np.zeros((len(part), 0), np.float32), np.zeros((len(part), 0)), np.zeros((len(part), 0), np.int64)] for part in np.split(self.ids, range(64, len(self.ids), 64))]
+
+    def scan(self, rows: pa.RecordBatch) -> None:
+        if self.held is None:
+            self._begin()
+        for at in range(0, rows.num_rows if len(self.ids) else 0, ROWS):
+            part = rows.slice(at, ROWS)
+            vec, x = np.asarray(part.column(3)), _matrix(part.column(4))
+            order = np.argsort(vec, kind="stable")  # so that equal scores keep the smaller vec_ids
+            vec, x = vec[order], x[order].astype(np.float64)
+            codes = np.frombuffer(b"".join(part.column(5).to_pylist()), self.code).reshape(len(vec), -1)[order]
+            norm = np.asarray(part.column(6))[order]
+            for i, best in enumerate(self.held):
+                mine = slice(64 * i, 64 * i + 64)
+                s = self.quantizer.scores(self.tables[mine], codes)
+                if self.metric == "l2":
+                    s = 2 * s - norm
+                s[self.ids[mine, None] == vec] = -np.inf
+                near, v = _best(s, self.rerank), self.own[mine].astype(np.float64)
+                exact = np.stack([x[n] @ y if self.metric == "ip" else -((x[n] - y) ** 2).sum(1) for n, y in zip(near, v, strict=True)])
+                new = np.take_along_axis(s, near, 1), exact, vec[near]
+                best[:] = [np.concatenate(z, axis=1) for z in zip(best, new, strict=True)]
+                by_id = np.argsort(best[2], axis=1, kind="stable")
+                best[:] = [np.take_along_axis(z, by_id, 1) for z in best]
+                keep = _best(best[0], self.rerank)
+                best[:] = [np.take_along_axis(z, keep, 1) for z in best]
+
+    def best(self, k: int) -> pa.RecordBatch:
+        got = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for i, (approximate, exact, vec) in enumerate(self.held or []):
+            for who, s, e, f in zip(self.ids[64 * i : 64 * i + 64], approximate, exact, vec, strict=True):
+                e, f = e[s > -np.inf], f[s > -np.inf]
+                order = np.lexsort((f, -e))
+                once = np.sort(np.unique(f[order], return_index=True)[1])[:k]  # the best of each vec_id
+                got.append((np.full(len(once), who), f[order][once], e[order][once]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in range(3)], names=["query_id", "vec_id", "score"])
