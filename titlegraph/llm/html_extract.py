@@ -7,11 +7,12 @@
    it holds: menus, notices and footers have one form, or a few, and little text, even where their words change from page
    to page. Counts are summed by (place, content, form) first, so a hot host is spread over all tasks, and only its
    places, not its pages, meet.
-3. Branches of low importance go: outside of articles by both, inside by content alone, as any part of an article may be
-   short. Sites with too few pages for entropies, and places of middling importance, are left to the page's own marks:
-   elements such as nav and footer, roles, and classes and ids that name menus, headers, footers, sidebars, notices,
-   adverts, forms or comments. Classes and ids that only may be marks, such as the id 'side-effects' or the class
-   'related' in an article, need a place with contents of no more than middling importance beside.
+3. Branches of low importance go, but not inside an article: its headings, bylines and the like may be the same on all
+   pages of a site and still belong to it. There, on sites with too few pages for entropies, and for places of middling
+   importance, the page's own marks decide: elements such as nav and footer, roles, and classes and ids that name menus,
+   headers, footers, sidebars, notices, adverts, forms or comments. Classes and ids that only may be marks, such as the
+   id 'side-effects' or the class 'related' in an article, need a place with contents of no more than middling importance
+   beside.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from .url_filter import canonical
 LOW, MIN_PAGES = 0.2, 5
 #: A class or id that may be a mark is one if the importance of the place's contents is below CONFIRMED.
 CONFIRMED = 0.5
-#: Flags of a place: it goes outside of articles, it goes inside, it confirms a mark that is not sure.
-OUTSIDE, INSIDE, CONFIRMS = 1, 2, 4
+#: Flags of a place: it goes outside of articles, it confirms a mark that is not sure.
+OUTSIDE, CONFIRMS = 1, 4
 #: Places of 12 bytes up to which their table is broadcast (as a Python dict, about 100 bytes each); a larger one is joined by shuffle.
 BROADCAST_PLACES = 500_000
 
@@ -250,7 +251,7 @@ def blocks(root: Node, low: dict[int, int] | None = None, marks: bool = True) ->
 
     def goes(n: Node) -> bool:
         flags = low.get(n.place, 0)
-        if flags & (INSIDE if n.inside else OUTSIDE):
+        if flags & OUTSIDE and not n.inside:
             return True
         return n.tag in _NO_TEXT or marks and (n.skip or n.weak and bool(flags & CONFIRMS))
 
@@ -356,12 +357,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def low_places(tree: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
     """(place, flags) of the places of a style_tree() on at least min_pages pages that remove a branch.
 
-    Outside of articles a place goes if its importance is below low (a heading: if its content is); inside, where every
-    part may be short, if its content is. CONFIRMS lets a mark that is not sure count.
+    Outside of articles a place goes if its importance is below low (a heading: if its content is). CONFIRMS, with contents
+    of no more than middling importance, lets a mark that is not sure count, inside too.
     """
     heading = F.col("tag").isin(sorted(_HEADINGS))
     outside = F.when(heading | F.col("tag").isin("article", "main", "body", "html", "#"), F.col("content")).otherwise(F.col("importance")) < low
-    flags = F.when(outside, OUTSIDE).otherwise(0) + F.when(F.col("content") < low, INSIDE).otherwise(0) + F.when(F.col("content") < CONFIRMED, CONFIRMS).otherwise(0)
+    flags = F.when(outside, OUTSIDE).otherwise(0) + F.when(F.col("content") < CONFIRMED, CONFIRMS).otherwise(0)
     return tree.where(F.col("pages") >= min_pages).select("place", flags.cast("int").alias("flags")).where("flags > 0")
 
 
