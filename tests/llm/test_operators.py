@@ -38,7 +38,7 @@ def rows_of(docs):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "benchmark"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
@@ -172,6 +172,27 @@ def test_extract_keeps_sections_whose_ids_are_words_of_marks(spark):
     assert all(out[10 + i] == f"text {i}\nown {i}" for i in range(20))  # a possible mark that the style tree confirms
 
 
+def test_extract_keeps_what_repeats_in_articles(spark):
+    """Pages put together from known blocks: the article's own, many of them the same on every page, and what surrounds it."""
+    rng = random.Random(3)
+    names = ["Ada", "Ben"]
+    pages, want = [], {}
+    for i in range(60):
+        host = ["a.b", "c.d", "few.pages"][0 if i < 30 else 1 if i < 57 else 2]
+        own = [("h1", f"Title {i} &amp; more", f"Title {i} & more"), ("div class='byline'", f"By {names[0 if host == 'a.b' else i % 2]}", None), ("h2", "Ingredients", None)]
+        own += [("p", f"part {rng.random()} of\n {i}", None) for _ in range(rng.randint(1, 4))]
+        own += [("h2", "Method", None), ("p", "Heat the oven first.", None), ("p", f"then wait {rng.random()}", None), ("p class='sign-off'", "Enjoy your meal!", None)]
+        inner = "".join(f"<{tag}>{html}</{tag.split()[0]}>" for tag, html, _ in own)
+        pages.append((i, f"http://{host}/{i}", f"<body><nav><a href='/'>home</a></nav><div class='x1'>Only today: {i % 3}</div><article>{inner}<div class='ads'>buy {i}</div></article><div class='x2'>All rights kept</div><footer>f</footer></body>"))
+        want[i] = "\n".join(" ".join((text or html).split()) for _, html, text in own)
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+    # the tree decides outside of articles, without any mark
+    bare = [(i, u, h.replace("<nav>", "<div class='x0'>").replace("</nav>", "</div>").replace("<footer>f</footer>", "").replace(f"<div class='ads'>buy {i}</div>", "")) for i, u, h in pages[:57]]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(bare, "page_id long, url string, html string"), marks=False).collect()}
+    assert got == {i: want[i] for i in range(57)}
+
+
 def test_importance_equals_brute_force(spark):
     from math import log
 
@@ -275,6 +296,11 @@ def test_nearest_neighbours_equal_brute_force(spark):
             s[i] = -np.inf
             hits += len(set(np.argsort(-s)[:10]) & set(got[i]))
         assert hits >= 0.9 * 80
+    # with every candidate reranked the result is exact, whatever the blocks of queries and groups of vectors
+    want = {(i, j) for i in range(0, 400, 3) for j in [j for j in sorted(range(400), key=lambda j: (-float(x[i].astype(float) @ x[j].astype(float)), j)) if j != i][:5]}
+    for block, group in ((7, 50), (400, 400), (1, 400)):
+        got = ann.search(index, index.where("vec_id % 3 = 0"), q, k=5, rerank=400, block=block, group=group).collect()
+        assert {(r.query_id, r.vec_id) for r in got} == want and len(got) == len(want)
     assert ann.learn_quantizer(df.limit(0)) is None
     # repeated rows, two vectors of one id, another length; and results do not depend on batches
     odd = spark.createDataFrame([*[(i, v.tolist()) for i, v in enumerate(x)], *[(8, x[8].tolist())] * 30, (9, (x[9] * 2).tolist()), (950, [1.0])], "vec_id long, embedding array<float>")
@@ -361,7 +387,9 @@ def test_line_dedup(spark, docs):
     para = " ".join(f"p{i}" for i in range(55))
     rows = [(1, f"a\n{p}\nb"), (2, f"x\ny\n{p}"), (3, f"{p}\n{p}"), (4, f"intro\n{para}\nend"), (5, f"other\n{para}\nlast"), (6, None), (7, "  \n \n"), (8, "  \n \n"), (None, p), (9, "one line here\nsecond line here"), (10, f"\tc  d\t{para}  e \t f \nlast"), (11, f"  {para}\t g  h")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, report=True).collect()}
+    lines = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, report=True).collect()}
+    assert lines == {i: (t, 0) for i, t in rows} | {2: ("x\ny", 9), 3: ("", 18)}  # words that repeat are left alone
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, passage=line_dedup.PASSAGE, report=True).collect()}
     assert out == {1: (f"a\n{p}\nb", 0), 2: ("x\ny", 9), 3: ("", 18), 4: (f"intro\n{para}\nend", 0), 5: ("other\nlast", 55), 6: (None, 0), 7: ("  \n \n", 0), 8: ("  \n \n", 0), None: (p, 0), 9: (rows[9][1], 0), 10: ("\tc  d\te \t f \nlast", 55), 11: ("g  h", 55)}
     assert line_dedup.dedup_lines(docs).columns == docs.columns and line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
@@ -373,15 +401,16 @@ def test_line_dedup_looks_past_blank_lines(spark):
     assert out == {1: (rows[0][1], 0), 2: (rows[1][1], 0), 3: ("new\n\n\nown", 9), 4: (rows[3][1], 0), 5: (rows[4][1], 0), 6: ("", 1)}
 
 
-def test_line_dedup_equals_its_sql_on_odd_texts(spark):
+@pytest.mark.parametrize("passages", [False, True])
+def test_line_dedup_equals_its_sql_on_odd_texts(spark, passages):
     rng = random.Random(11)
     bits = ["a", "b", "c d", "", " ", "x\t y", "long " + " ".join(map(str, range(53))), "e f g"]
     rows = [(i, "\n".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))) for i in range(300)] + [(300, None)]
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
     con.executemany("insert into documents values (?, ?)", rows)
-    want = con.execute(queries.ORACLE_SQL["op8_line_dedup"]).fetchall()
-    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), report=True).select("doc_id", "n_removed", "text").collect()
+    want = con.execute(queries.line_dedup_sql(passages)).fetchall()
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), passage=line_dedup.PASSAGE if passages else None, report=True).select("doc_id", "n_removed", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
@@ -493,7 +522,7 @@ def test_pipeline_equals_brute_force(spark, library, tmp_path):
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
     con.executemany("insert into documents values (?, ?)", kept)
-    found = con.execute(queries.ORACLE_SQL["op8_line_dedup"])
+    found = con.execute(queries.line_dedup_sql(passages=True))
     at = [c[0] for c in found.description]
     kept = {r[at.index("doc_id")]: r[at.index("text")] for r in found.fetchall() if r[at.index("text")].strip()}
     kept = {i: kept[i] for i, (_, group) in ngram_join.brute_force(kept).items() if i == group}

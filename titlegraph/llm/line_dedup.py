@@ -1,23 +1,22 @@
-"""Operator 8: repeated passages, across the whole corpus, by overlapping windows.
+"""Operator 8: repeated lines, across the whole corpus, by overlapping windows of three lines.
 
-Two kinds of windows are looked for, in every text alike:
+A window is three lines in a row that are not blank (a document of fewer such lines is one window). A window that stands
+earlier, by (doc_id, text's hash, place), is removed where it stands again; overlapping windows merge.
 
-- three lines in a row that are not blank (a document of fewer such lines is one window), and
-- 51 words in a row, wherever they begin, within lines and across line ends.
+1. One scan hashes the lines and writes a mark for each window.
+2. Marks are counted by key. Only those of repeated keys go on, and meet the first mark of their key.
 
-A window that stands earlier, by (doc_id, text's hash, place), is removed where it stands again; overlapping windows merge.
-Of word windows the first occurrence stays whole, also where a later one of the same text overlaps it.
+Counts are summed on the map side, so a window that a third of all documents share costs a row a task; its occurrences
+meet what is known of it in a join that adaptive execution can split. No window is missed, dropped or capped.
+
+The pipeline looks for windows of words too (`passage`): 51 words in a row, wherever they begin, within lines and across
+line ends. Of these the first occurrence stays whole, also where a later one of the same text overlaps it.
 
-1. One scan hashes lines and words. It writes a mark for each line window and for each *anchor*: a run of 25 words that
-   has the least hash of the runs in some word window, its sign. Equal windows have equal signs, so a repeated window has
-   a repeated sign; there is about one anchor to 14 words.
-2. Marks are counted by key (line window, or sign). Only those of repeated keys go on.
-3. An anchor's context, its words and 26 on each side, holds all windows whose sign it is. A context that stands earlier
+1. The scan also marks *anchors*: a run of 25 words that has the least hash of the runs in some word window, its sign.
+   Equal windows have equal signs, so a repeated window has a repeated sign; there is about one anchor to 14 words.
+2. An anchor's context, its words and 26 on each side, holds all windows whose sign it is. A context that stands earlier
    repeats all of them, so long copies cost a row for each anchor. Only signs with several contexts, at the edges of
    passages, have their windows compared one by one, in a second scan of the documents that hold such signs.
-
-Counts are summed on the map side, so a passage that a third of all documents share costs a row a task; its occurrences
-meet what is known of it in a join that adaptive execution can split. No window is missed, dropped or capped.
 """
 
 from __future__ import annotations
@@ -154,7 +153,7 @@ def _small(table: DataFrame, items: str | None = None) -> DataFrame:
     return F.broadcast(table) if size <= BROADCAST_KEYS else table
 
 
-def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passage: int | None = PASSAGE, gram: int = GRAM) -> DataFrame:
+def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passage: int | None = None, gram: int = GRAM) -> DataFrame:
     """(doc_id, copy, gone array<long>): the words that repeat an earlier window, as ranges start << 32 | end.
 
     docs is (doc_id, copy, text), where copy tells texts of one doc_id apart. width None looks for no lines, passage None
@@ -224,12 +223,13 @@ def repeated(docs: DataFrame, tables: Tables, width: int | None = WINDOW, passag
     return gone.groupBy("doc_id", "copy").agg(F.collect_set("gone").alias("gone")).mapInArrow(tidy(merge), "doc_id long, copy long, gone array<long>")
 
 
-def dedup_lines(docs: DataFrame, width: int | None = WINDOW, passage: int | None = PASSAGE, id_col: str = "doc_id", text_col: str = "text", report: bool = False) -> DataFrame:
-    """docs without the words that repeat an earlier window; with report, also n_removed (long), how many words went.
+def dedup_lines(docs: DataFrame, width: int | None = WINDOW, passage: int | None = None, id_col: str = "doc_id", text_col: str = "text", report: bool = False) -> DataFrame:
+    """docs without the lines that repeat an earlier window of `width` lines, and with `passage` without the words that
+    repeat an earlier window of so many words; with report, also n_removed (long), how many words went.
 
     Null texts stay null and have no words; blank texts stay as they are. A text of which all goes is left empty. Rows that share
     a doc_id and a text are one document, and lose none to each other; different texts of one doc_id are two, in the order
-    of a hash. Rows with a null doc_id stay as they are and take no part. Other columns pass through, whatever their names.
+    of a hash. Rows with a null doc_id stay as they are and take no part; one that is no whole number is an error. Other columns pass through, whatever their names.
     An empty table gives no rows. See without() for white space.
     """
     copy = F.xxhash64(F.col(text_col).cast("string"))

@@ -91,6 +91,54 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def line_dedup_sql(passages: bool = False) -> str:
+    """SQL of line_dedup.dedup_lines(report=True); with passages, of its word windows beside its windows of lines."""
+    words = """, a as (
+        select doc_id, list(word order by pos) as ws from w group by doc_id
+    ), passages as (
+        select doc_id, low, md5(array_to_string(ws[low + 1 : low + 51], ' ')) as key from (select doc_id, ws, unnest(range(greatest(len(ws) - 50, 0))) as low from a)
+    )"""
+    more = """union all
+        select doc_id, case when f.doc_id = p.doc_id then greatest(low, f.low + 51) else low end, low + 51
+        from (select *, first_value(struct_pack(doc_id, low)) over (partition by key order by doc_id, low) as f, row_number() over (partition by key order by doc_id, low) as o from passages) p where o > 1"""
+    return r"""
+    with l as (
+        select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as ln from documents where text is not null
+    ), t as (  -- words, each with the white space after it
+        select doc_id, ln, unnest(regexp_extract_all(line, '[^ \t\r\f\x0b]+[ \t\r\f\x0b]*')) as token, generate_subscripts(regexp_extract_all(line, '[^ \t\r\f\x0b]+[ \t\r\f\x0b]*'), 1) as i from l
+    ), w as (
+        select doc_id, ln, i, token, regexp_extract(token, '^[^ \t\r\f\x0b]+') as word, row_number() over (partition by doc_id order by ln, i) - 1 as pos from t
+    ), u as (  -- lines that are not blank
+        select *, row_number() over (partition by doc_id order by ln) - 1 as k, count(*) over (partition by doc_id) as n
+        from (select doc_id, ln, min(pos) as low, max(pos) + 1 as high, string_agg(word, ' ' order by pos) as unit from w group by doc_id, ln)
+    ), lines as (
+        select doc_id, low, least(n, 3) as size, case least(n, 3) when 1 then high when 2 then lead(high) over d else lead(high, 2) over d end as high,
+               md5(unit || coalesce(chr(10) || lead(unit, 1) over d, '') || coalesce(chr(10) || lead(unit, 2) over d, '')) as key
+        from u window d as (partition by doc_id order by k) qualify k <= greatest(n - 3, 0)
+    )__WORDS__, ranges as (
+        select doc_id, low, high from (select *, row_number() over (partition by key, size order by doc_id, low) as o from lines) where o > 1
+        __MORE__
+    ), gone as (
+        select distinct doc_id, unnest(range(low, high)) as pos from ranges
+    ), kept as (
+        select w.doc_id, w.ln, string_agg(token, '' order by i) filter (where g.pos is null) as line, count(g.pos) as removed, bool_or(g.pos is null and i = 1) as head,
+               arg_max(g.pos is not null, i) as tail_gone
+        from w left join gone g on w.doc_id = g.doc_id and w.pos = g.pos group by w.doc_id, w.ln
+    ), b as (  -- the words before each blank line
+        select l.doc_id, l.ln, count(w.pos) as at from l left join w on l.doc_id = w.doc_id and w.ln < l.ln where l.line not similar to '.*[^ \t\r\f\x0b].*' group by l.doc_id, l.ln
+    ), inside as (
+        select b.doc_id, b.ln from b join gone x on b.doc_id = x.doc_id and x.pos = b.at - 1 join gone y on b.doc_id = y.doc_id and y.pos = b.at
+    ), whole as (
+        select l.doc_id, cast(coalesce(sum(removed), 0) as bigint) as n_removed,
+               coalesce(string_agg(case when k.removed is null or removed = 0 then l.line
+                                        else case when head then regexp_extract(l.line, '^[ \t\r\f\x0b]*') else '' end || case when tail_gone then regexp_replace(k.line, '[ \t\r\f\x0b]+$', '') else k.line end end, chr(10) order by l.ln)
+                        filter (where (k.removed is null and i.ln is null) or removed = 0 or k.line is not null), '') as text
+        from l left join kept k on l.doc_id = k.doc_id and l.ln = k.ln left join inside i on l.doc_id = i.doc_id and l.ln = i.ln group by l.doc_id
+    )
+    select d.doc_id, coalesce(n_removed, 0) as n_removed, whole.text from documents d left join whole on d.doc_id = whole.doc_id
+    """.replace("__WORDS__", words if passages else "").replace("__MORE__", more if passages else "")
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_files, op3_html_extract, op4_url_filter, op5_decontaminate, op6_ann, op7_language_id, op8_line_dedup, op9_ngram_join, op10_bpe, op11_fill_in_middle, op12_exact_dedup, op13_lexical_search)}
 
 ORACLE_SQL = {
@@ -112,48 +160,7 @@ ORACLE_SQL = {
         )
         select h.page_id, host, path, best.rule as rule, coalesce(best.v, 'allow') as verdict from h left join f on h.page_id = f.page_id
     """,
-    "op8_line_dedup": r"""
-        with l as (
-            select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as ln from documents where text is not null
-        ), t as (  -- words, each with the white space after it
-            select doc_id, ln, unnest(regexp_extract_all(line, '[^ \t\r\f\x0b]+[ \t\r\f\x0b]*')) as token, generate_subscripts(regexp_extract_all(line, '[^ \t\r\f\x0b]+[ \t\r\f\x0b]*'), 1) as i from l
-        ), w as (
-            select doc_id, ln, i, token, regexp_extract(token, '^[^ \t\r\f\x0b]+') as word, row_number() over (partition by doc_id order by ln, i) - 1 as pos from t
-        ), u as (  -- lines that are not blank
-            select *, row_number() over (partition by doc_id order by ln) - 1 as k, count(*) over (partition by doc_id) as n
-            from (select doc_id, ln, min(pos) as low, max(pos) + 1 as high, string_agg(word, ' ' order by pos) as unit from w group by doc_id, ln)
-        ), lines as (
-            select doc_id, low, least(n, 3) as size, case least(n, 3) when 1 then high when 2 then lead(high) over d else lead(high, 2) over d end as high,
-                   md5(unit || coalesce(chr(10) || lead(unit, 1) over d, '') || coalesce(chr(10) || lead(unit, 2) over d, '')) as key
-            from u window d as (partition by doc_id order by k) qualify k <= greatest(n - 3, 0)
-        ), a as (
-            select doc_id, list(word order by pos) as ws from w group by doc_id
-        ), passages as (
-            select doc_id, low, md5(array_to_string(ws[low + 1 : low + 51], ' ')) as key from (select doc_id, ws, unnest(range(greatest(len(ws) - 50, 0))) as low from a)
-        ), ranges as (
-            select doc_id, low, high from (select *, row_number() over (partition by key, size order by doc_id, low) as o from lines) where o > 1
-            union all
-            select doc_id, case when f.doc_id = p.doc_id then greatest(low, f.low + 51) else low end, low + 51
-            from (select *, first_value(struct_pack(doc_id, low)) over (partition by key order by doc_id, low) as f, row_number() over (partition by key order by doc_id, low) as o from passages) p where o > 1
-        ), gone as (
-            select distinct doc_id, unnest(range(low, high)) as pos from ranges
-        ), kept as (
-            select w.doc_id, w.ln, string_agg(token, '' order by i) filter (where g.pos is null) as line, count(g.pos) as removed, bool_or(g.pos is null and i = 1) as head,
-                   arg_max(g.pos is not null, i) as tail_gone
-            from w left join gone g on w.doc_id = g.doc_id and w.pos = g.pos group by w.doc_id, w.ln
-        ), b as (  -- the words before each blank line
-            select l.doc_id, l.ln, count(w.pos) as at from l left join w on l.doc_id = w.doc_id and w.ln < l.ln where l.line not similar to '.*[^ \t\r\f\x0b].*' group by l.doc_id, l.ln
-        ), inside as (
-            select b.doc_id, b.ln from b join gone x on b.doc_id = x.doc_id and x.pos = b.at - 1 join gone y on b.doc_id = y.doc_id and y.pos = b.at
-        ), whole as (
-            select l.doc_id, cast(coalesce(sum(removed), 0) as bigint) as n_removed,
-                   coalesce(string_agg(case when k.removed is null or removed = 0 then l.line
-                                            else case when head then regexp_extract(l.line, '^[ \t\r\f\x0b]*') else '' end || case when tail_gone then regexp_replace(k.line, '[ \t\r\f\x0b]+$', '') else k.line end end, chr(10) order by l.ln)
-                            filter (where (k.removed is null and i.ln is null) or removed = 0 or k.line is not null), '') as text
-            from l left join kept k on l.doc_id = k.doc_id and l.ln = k.ln left join inside i on l.doc_id = i.doc_id and l.ln = i.ln group by l.doc_id
-        )
-        select d.doc_id, coalesce(n_removed, 0) as n_removed, whole.text from documents d left join whole on d.doc_id = whole.doc_id
-    """,
+    "op8_line_dedup": line_dedup_sql(),
     "op11_fill_in_middle": r"""
         with t as (
             select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as seed from documents
