@@ -35,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated passages of three lines, or of 51 words at any place; a document of which nothing but white space is left goes."""
-    return _same_columns(line_dedup.dedup_lines(docs).where(F.col("text").rlike(r"\S")), docs)
+    return _same_columns(line_dedup.dedup_lines(docs, passage=line_dedup.PASSAGE).where(F.col("text").rlike(r"\S")), docs)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
