@@ -14,27 +14,38 @@ YEARS = r"(\d+|\?)年\s*-\s*(\d+|\?)年"
 HEADER = r"^==\s*([^=\n]+?)\s*==\s*\z"
 
 
+def _rank(text: Column, ranks: list[str], more: int = 0) -> Column:
+    """The first rank, in list order, that ends a text; `more` characters at least stand before it. Null if there is none."""
+    return F.coalesce(*[F.when(F.endswith(text, F.lit(r)) & (F.length(text) >= len(r) + more), F.lit(r)) for r in ranks])
+
+
+def _before(text: Column, rank: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - F.length(rank))
+
+
 def split_title(title: Column, ranks: list[str] = RANKS) -> Column:
     """struct(fief, nt): by the first rank, in list order, that ends the trimmed title and leaves something before it."""
     title = trim(title)
-    ways = [F.when(F.endswith(title, F.lit(r)) & (F.length(title) > len(r)), F.struct(F.substring(title, F.lit(1), F.length(title) - len(r)).alias("fief"), F.lit(r).alias("nt"))) for r in ranks]
-    return F.coalesce(*ways, F.struct(F.lit(None).cast("string").alias("fief"), F.lit(None).cast("string").alias("nt")))
+    rank = _rank(title, ranks, 1)
+    return F.struct(_before(title, rank).alias("fief"), rank.alias("nt"))
 
 
-def split_label(label: Column, fief: Column, nt: Column, ranks: list[str] = RANKS) -> Column:
-    """struct(fief, pn, nt) of a holder's label; fief and nt are the page's."""
-    clean = trim(F.regexp_replace(F.regexp_replace(F.coalesce(label, F.lit("")), r"\[\[[^\]]+\]\]", ""), r"[，,].*\z", ""))
+def clean_label(label: Column) -> Column:
+    """Without links and what follows a comma, trimmed."""
+    return trim(F.regexp_replace(F.regexp_replace(F.coalesce(label, F.lit("")), r"\[\[[^\]]+\]\]", ""), r"[，,].*\z", ""))
 
-    def parts(a: Column, b: Column, c: Column) -> Column:
-        return F.struct(a.alias("fief"), b.cast("string").alias("pn"), c.alias("nt"))
 
-    ways, none = [], F.lit(None)
-    for r in ranks:
-        body = F.substring(clean, F.lit(1), F.length(clean) - len(r))
-        longer = (F.coalesce(fief, F.lit("")) != "") & F.startswith(body, fief) & (F.length(body) > F.length(fief))
-        value = F.when(longer, parts(fief, F.substring(body, F.length(fief) + 1, F.length(body)), F.lit(r))).otherwise(parts(F.coalesce(blank_to_null(body), fief), none, F.lit(r)))
-        ways.append(F.when(F.endswith(clean, F.lit(r)), value))
-    return F.coalesce(*ways, parts(fief, none, nt))
+def _label_parts(clean: Column, rank: Column, fief: Column, nt: Column) -> Column:
+    body = _before(clean, rank)
+    longer = rank.isNotNull() & (F.coalesce(fief, F.lit("")) != "") & F.startswith(body, fief) & (F.length(body) > F.length(fief))
+    own = F.when(rank.isNull() | longer, fief).otherwise(F.coalesce(blank_to_null(body), fief))
+    return F.struct(own.alias("fief"), F.when(longer, F.substring(body, F.length(fief) + 1, F.length(body))).alias("pn"), F.coalesce(rank, nt).alias("nt"))
+
+
+def split_label(label: Column, fief: Column, nt: Column, ranks: list[str] = RANKS) -> Column:
+    """struct(fief, pn, nt) of a holder's label; fief and nt are the page's."""
+    clean = clean_label(label)
+    return _label_parts(clean, _rank(clean, ranks), fief, nt)
 
 
 def links(text: Column) -> Column:
@@ -57,6 +68,11 @@ def is_disambiguation(text: Column) -> Column:
     return F.coalesce(text.rlike(r"(?i)\{\{(disambig|otheruses)"), F.lit(False))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once a row: a generator ends what may be merged into the expressions above it."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def sectioned_lines(pages: DataFrame, keys: list[str], text_col: str = "wikitext") -> DataFrame:
     """Every line with its number and the level-two header above it; lines above a page's first header go, if it has one.
 
@@ -65,10 +81,8 @@ def sectioned_lines(pages: DataFrame, keys: list[str], text_col: str = "wikitext
     """
     name = lambda x: F.when(F.startswith(x, F.lit("==")), blank_to_null(F.regexp_extract(x, HEADER, 1)))
     headers = F.filter(F.transform(F.col("p.lines"), lambda x, i: F.struct(i.alias("at"), name(x).alias("name"))), lambda h: h["name"].isNotNull())
-    # the arrays are made once: a generator ends what may be merged into the expressions above it
-    once = lambda df, c, alias: df.withColumn(alias, F.explode(F.array(F.struct(c))))
-    rows = once(pages.select(*keys, F.col(text_col).alias("__text")).where("__text is not null"), F.split("__text", "\n").alias("lines"), "p").drop("__text")
-    rows = once(rows, headers.alias("headers"), "h")
+    rows = _once(pages.select(*keys, F.col(text_col).alias("__text")).where("__text is not null"), "p", F.struct(F.split("__text", "\n").alias("lines"))).drop("__text")
+    rows = _once(rows, "h", F.struct(headers.alias("headers")))
     end = lambda i: F.coalesce(F.get(F.col("h.headers"), i + 1)["at"], F.size("p.lines"))
     section = lambda h, i: F.struct(h["name"].alias("section"), (h["at"] + 1).alias("first"), F.slice(F.col("p.lines"), h["at"] + 2, end(i) - h["at"] - 1).alias("lines"))
     whole = F.array(F.struct(F.lit(None).cast("string").alias("section"), F.lit(0).alias("first"), F.col("p.lines").alias("lines")))
@@ -85,12 +99,17 @@ def holders(pages: DataFrame, text_col: str = "wikitext", title_col: str = "titl
     """
     rows = sectioned_lines(pages.select(F.col(title_col).alias("sourcePage"), F.col(text_col).alias("wikitext"), *keep), ["sourcePage", *keep])
     rows = rows.where(F.col("line").rlike(r"^\*+") & (F.col("section").isNull() | ~F.col("section").isin(PARSE_SKIP)))
-    rows = rows.withColumn("rawLine", trim(F.regexp_replace("line", r"^\*+\s*", ""))).where(F.col("rawLine") != "")
+    rows = _once(rows, "rawLine", trim(F.regexp_replace("line", r"^\*+\s*", ""))).where(F.col("rawLine") != "")
     rows = rows.where(~((F.startswith("rawLine", F.lit("第")) & F.contains("rawLine", F.lit("册封"))) | F.col("rawLine").rlike(r"^第[一二三四五六七八九十\d]+次")))
-    rows = rows.withColumn("page", split_title(F.col("sourcePage"))).withColumn("link", choose_link(links(F.col("rawLine"))))
+    rows = _once(_once(rows, "__title", trim(F.col("sourcePage"))), "__rank", _rank(F.col("__title"), RANKS, 1))
+    rows = _once(rows, "page", F.struct(_before(F.col("__title"), F.col("__rank")).alias("fief"), F.col("__rank").alias("nt")))
+    rows = _once(_once(rows, "__links", links(F.col("rawLine"))), "link", choose_link(F.col("__links")))
     at = F.instr("rawLine", F.concat(F.lit("[["), F.col("link.target")))
     rows = rows.withColumn("label", F.when(F.col("link").isNull(), F.col("rawLine")).when(at > 0, F.substring("rawLine", F.lit(1), at - 1)).otherwise(""))
-    rows = rows.withColumn("t", split_label(F.col("label"), F.col("page.fief"), F.col("page.nt"))).withColumn("y", years(F.col("rawLine")))
+    # as split_label(), with what it uses again computed once
+    rows = _once(rows, "clean", clean_label(F.col("label")))
+    rows = _once(_once(rows, "rank", _rank(F.col("clean"), RANKS)), "t", _label_parts(F.col("clean"), F.col("rank"), F.col("page.fief"), F.col("page.nt")))
+    rows = rows.withColumn("y", years(F.col("rawLine")))
     rows = rows.where(F.col("link").isNotNull() | F.col("t.fief").isNotNull() | F.col("t.nt").isNotNull())
     changed = F.coalesce(F.col("page.nt") != F.col("t.nt"), F.lit(False)) | F.coalesce(F.col("page.fief") != F.col("t.fief"), F.lit(False))
     rows = rows.withColumn("confidence", F.when(F.col("link").isNull() & (trim(F.col("label")) == ""), "low").when(F.col("link").isNull() | changed, "medium").otherwise("high"))

@@ -43,6 +43,39 @@ def parse_holders(spark, sf_dir):
     return wikitext.holders(table(spark, sf_dir, "nation").select(F.concat(own, F.lit("王")).alias("title"), text.alias("wikitext"))).drop("rawLine")
 
 
+@query("select n_name || '王' as sourcePage, n_nationkey + 1 as sourcePageId, '汉朝' as dynastySection, n_name as fief, 'B' || n_nationkey as person, 'Q' || n_nationkey as wikidataId, 'zh.wikipedia' as source, 19 as columns, true as same from nation")
+def crawl_export(spark, sf_dir):
+    """A crawl's rows as NDJSON and as a sheet of its 19 columns; both are read back and compared."""
+    k, own = F.col("n_nationkey"), F.col("n_name")
+    page = F.concat(F.lit("==汉朝==\n*[[A"), k.cast("string"), F.lit("|B"), k.cast("string"), F.lit("]]，1年-2年\n{{disambig}}"))
+    pages = table(spark, sf_dir, "nation").select(F.concat(own, F.lit("王")).alias("title"), page.alias("wikitext"), (k + 1).cast("long").alias("pageId"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("wikidataId"))
+    people = table(spark, sf_dir, "nation").select(F.concat(F.lit("A"), k.cast("string")).alias("title"), k.cast("long").alias("pageId"), F.lit("p").alias("url"), F.concat(F.lit("Q"), k.cast("string")).alias("wikidataId"))
+    rows = normalize.enrich(wikitext.ingest(pages), people, spark.createDataFrame([], "source string, target string"))
+    at = scratch(spark, "export")
+    files.write_ndjson(rows.drop("line_no"), f"{at}/ndjson", WIKI_SOURCE)
+    again = files.read_ndjson(spark, f"{at}/ndjson")
+    files.write_csv(again, f"{at}/csv", files.CRAWL_COLUMNS)
+    sheet = files.read_csv(spark, f"{at}/csv", files.CRAWL_COLUMNS)
+    same = F.lit(True)
+    for c in files.CRAWL_COLUMNS:
+        same = same & (F.col(f"s.{c}") == F.coalesce(F.col(f"n.{c}").cast("string"), F.lit("")))
+    both = again.alias("n").join(sheet.alias("s"), F.col("n.sourcePage") == F.col("s.sourcePage"))
+    out = both.select("n.sourcePage", F.col("n.sourcePageId").cast("int").alias("sourcePageId"), "n.dynastySection", "n.fief", "n.person", "n.wikidataId", "n.source", F.lit(len(sheet.columns)).alias("columns"), same.alias("same"))
+    out = cut(out, "exported")
+    delete(spark, at)
+    return out
+
+
+@query("select '東海王' as sourcePage, '東海' as fief, '人' || n_nationkey as person from nation")
+def local_pages(spark, sf_dir):
+    """Pages from local files, under a title that is given."""
+    at = scratch(spark, "pages")
+    table(spark, sf_dir, "nation").select("n_name", F.concat(F.lit("==汉朝==\n*[[人"), F.col("n_nationkey").cast("string"), F.lit("]]")).alias("value")).write.partitionBy("n_name").text(at)
+    out = cut(wikitext.holders(files.read_wikitext(spark, f"{at}/*/part-*", "東海王")).select("sourcePage", "fief", "person"), "local-pages")
+    delete(spark, at)
+    return out
+
+
 _FIT = "from supplier where s_suppkey % 5 <> 0 and s_suppkey % 7 <> 0 and s_suppkey % 11 <> 0"
 
 

@@ -374,4 +374,16 @@ def longest_prefix_segment(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", split["family"].alias("family"), split["given"].alias("given"))
 
 
+@query("""
+    with w as (select p_partkey, case p_partkey % 3 when 0 then '司' when 1 then '司马' else '司马相' end || case when p_partkey % 2 = 0 then '如' else '' end as w, case when p_size % 4 = 0 then '' else 'F' || p_size end as f, case when p_size % 5 = 0 then null else 'G' || p_size end as g from part)
+    select p_partkey, case when length(w) < 2 then p_partkey || '!' when f = '' and g is null then p_partkey || '!' when f = '' then g when g is null then f else f || ' ' || g end as name from w
+""")
+def romanized_names(spark, sf_dir):
+    """Family and given name in Latin letters; the whole name's where there is no split, or no part."""
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    name = F.concat(F.when(k % 3 == 0, "司").when(k % 3 == 1, "司马").otherwise("司马相"), F.when(k % 2 == 0, "如").otherwise(""))
+    family, given = F.when(F.col("p_size") % 4 == 0, "").otherwise(F.concat(F.lit("F"), size)), F.when(F.col("p_size") % 5 != 0, F.concat(F.lit("G"), size))
+    return table(spark, sf_dir, "part").select("p_partkey", names.romanized(names.segment(name, ["司马", "司"]), family, given, F.concat(k.cast("string"), F.lit("!"))).alias("name"))
+
+
 from . import domain  # noqa: E402, F401  registers its queries too
