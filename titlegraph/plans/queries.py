@@ -82,7 +82,7 @@ def candidate_lookup(spark, sf_dir):
     regions = table(spark, sf_dir, "region")
     first = {r.r_regionkey: r.r_name for r in regions.where("r_regionkey < 2").collect()}
     known = {first[0]: ["A", "AA"], first[1]: ["B", "BB"]}
-    rows = table(spark, sf_dir, "nation").join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     d = normalize.dynasties(F.col("r_name"), known, ["none"])
     return rows.select("n_nationkey", F.get(d, F.lit(0)).alias("dyn"), F.size(d).alias("candidates"))
 

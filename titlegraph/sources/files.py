@@ -22,7 +22,8 @@ def read_ndjson_numbered(spark: SparkSession, path: str, schema: str = HOLDER) -
     order = Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("f", "b", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("f", "b").orderBy("i")) - 1
-    rows = lines.withColumn("n", inside).join(F.broadcast(before), ["f", "b"]).withColumn("row_pos", F.col("before") + F.col("n"))
+    # both are dealt by block already
+    rows = lines.withColumn("n", inside).join(before, ["f", "b"]).withColumn("row_pos", F.col("before") + F.col("n"))
     parsed = rows.select("row_pos", F.from_json("value", f"{schema}, review_id long").alias("r")).select("row_pos", "r.*")
     return parsed.withColumn("review_id", F.coalesce("review_id", F.col("row_pos") + 1))
 
