@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _RULES = {"type", "const", "enum", "pattern", "minLength", "maxLength", "minimum", "maximum", "required", "properties", "additionalProperties", "items", "minItems", "maxItems", "uniqueItems", "$ref", "allOf", "if", "then"}
@@ -159,3 +159,10 @@ def schema_errors(raw: Column, schema: dict, path: str = "$") -> Column:
     """The errors of JSON text: not JSON (also null, and fields told twice), or those of compile_schema()."""
     v = F.try_parse_json(raw)
     return F.when(v.isNull(), F.array(F.lit(f"{path} is not JSON"))).otherwise(compile_schema(v, schema, path))
+
+
+def with_errors(rows: DataFrame, raw_col: str, schema: dict, path: str = "$") -> DataFrame:
+    """rows with errors, those of schema_errors(), each text parsed once: a generator ends what may be merged above it."""
+    v = F.col("__v")
+    errors = F.when(v.isNull(), F.array(F.lit(f"{path} is not JSON"))).otherwise(compile_schema(v, schema, path))
+    return rows.withColumn("__v", F.explode(F.array(F.try_parse_json(F.col(raw_col))))).withColumn("errors", errors).drop("__v")

@@ -291,7 +291,8 @@ def json_rule_validation(spark, sf_dir):
     tags = F.when(r == 1, F.concat(F.lit(', "tags": ["'), "event_type", F.lit('", "'), "event_type", F.lit('"]'))).when(r == 2, F.concat(F.lit(', "tags": ['), F.col("event_id").cast("string"), F.lit("]"))).otherwise("")
     more = F.concat(F.when(r != 3, ', "at": 1.5').otherwise(""), F.when(s == 8, ', "more": null').otherwise(""))
     raw = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "kind": "'), "event_type", F.lit('"'), tags, more, F.lit("}"))
-    return table(spark, sf_dir, "events").select("event_id", F.posexplode(json_rules.schema_errors(raw, _SCHEMA)).alias("n", "error"))
+    rows = table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+    return json_rules.with_errors(rows, "raw", _SCHEMA).select("event_id", F.posexplode("errors").alias("n", "error"))
 
 
 @query("select 'nation-' || n_nationkey as id, case when n_regionkey = 0 then 1 else 0 end as errors from nation where n_regionkey <> 4")
