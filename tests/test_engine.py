@@ -427,3 +427,11 @@ def test_small_operators(spark):
     rows = spark.createDataFrame([(True, 1, ""), (None, 0, "Q"), (False, None, None)], "needsReview boolean, wikiPersonPageId long, wikidataId string")
     assert tuple(review.crawl_counts(rows).first()) == (3, 1, 1, 1) and review.sample(rows, ["wikidataId"], 2).count() == 2
     assert asset.append_records(spark.range(1).select("id"), spark.createDataFrame([(5, "x")], "id long, s string")).count() == 2
+
+
+@pytest.mark.parametrize("name", ["tiered_match"])
+def test_matching_broadcasts_no_table(spark, name, capsys):
+    """Whole tables of rows, titles and persons meet by shuffle, however small their files look."""
+    queries.QUERIES[name](spark, SF).explain()
+    said = capsys.readouterr().out
+    assert "SortMergeJoin" in said and "Broadcast" not in said

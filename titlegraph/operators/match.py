@@ -16,7 +16,7 @@ def last_by(df: DataFrame, by: str, value: str, order: str = "row_pos") -> DataF
 
 def with_names(titles: DataFrame, persons: DataFrame) -> DataFrame:
     """titles (person_id, ...) with can_name from persons (row_pos, id, name)."""
-    return titles.join(last_by(persons, "id", "name").select(F.col("id").alias("person_id"), F.col("name").alias("can_name")), "person_id", "left")
+    return titles.join(last_by(persons, "id", "name").select(F.col("id").alias("person_id"), F.col("name").alias("can_name")).hint("merge"), "person_id", "left")
 
 
 def match(rows: DataFrame, titles: DataFrame, persons: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -26,7 +26,7 @@ def match(rows: DataFrame, titles: DataFrame, persons: DataFrame, row_id: str =
     dynasty (any candidate), fief, pn, rank and person; C leaves out pn; D compares the person alone; E finds a person
     without a title. The best tier that has hits counts; of its hits the first by candidate, then by row_pos. All tiers
     are equi-joins with titles counted by key, ranked in one pass. Rows without candidates are tried with an empty
-    dynasty once.
+    dynasty once. All joins go by shuffle (merge), since files that compress well look small enough to be broadcast.
     """
     db = with_names(titles, persons)
     parts = ["dyn", "fief", "pn", "nt"]
@@ -38,17 +38,17 @@ def match(rows: DataFrame, titles: DataFrame, persons: DataFrame, row_id: str =
     def hits(tier: str, mine: DataFrame, by: list[str]) -> DataFrame:
         """Titles are counted for each key first, so a common key costs a row and not all pairs."""
         table = narrow.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("row_pos").alias("row_pos"))
-        return mine.join(table, by).select("rid", F.lit(tier).alias("tier"), "n", "pos", "row_pos")
+        return mine.join(table.hint("merge"), by).select("rid", F.lit(tier).alias("tier"), "n", "pos", "row_pos")
 
     found = hits("B", many, [f"k_{c}" for c in parts] + ["k_name"]).union(hits("C", many, ["k_dyn", "k_fief", "k_nt", "k_name"])).union(hits("D", own.where("k_name <> ''").withColumn("pos", F.lit(0)), ["k_name"]))
     best = found.groupBy("rid", "tier").agg(F.sum("n").alias("n"), F.min(F.struct("pos", "row_pos")).alias("f")).groupBy("rid").agg(F.min(F.struct("tier", "n", "f.row_pos")).alias("m")).select("rid", "m.*")
     record = db.select(F.col("row_pos"), F.struct("ind", "person_id", "can_name", "dyn", "fief", "pn", "nt", "start_year", "end_year", "dyn_id").alias("db"))
-    best = best.join(record, "row_pos").drop("row_pos")
+    best = best.join(record.hint("merge"), "row_pos").drop("row_pos")
     # an id has its last name, and the place of its first row
     people = persons.groupBy("id").agg(F.max_by("name", "row_pos").alias("name"), F.min("row_pos").alias("place"))
     known = people.groupBy(key(F.col("name")).alias("k_name")).agg(F.min_by(F.struct("id", "name"), "place").alias("only")).where("only.id <> 0")
-    known = own.join(known, "k_name").select("rid", F.col("only.id").alias("only_id"), F.col("only.name").alias("only_name"))
-    out = rows.join(best, F.col(row_id) == F.col("rid"), "left").drop("rid").join(known, F.col(row_id) == F.col("rid"), "left").drop("rid")
+    known = own.join(known.hint("merge"), "k_name").select("rid", F.col("only.id").alias("only_id"), F.col("only.name").alias("only_name"))
+    out = rows.join(best.hint("merge"), F.col(row_id) == F.col("rid"), "left").drop("rid").join(known.hint("merge"), F.col(row_id) == F.col("rid"), "left").drop("rid")
     missing = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).isin("", "0")
     lacks = lambda mine, theirs: ~missing(mine) & missing(theirs)
     incomplete = lacks("pn", "db.pn") | lacks("startYear", "db.start_year") | lacks("endYear", "db.end_year")

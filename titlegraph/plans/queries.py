@@ -99,7 +99,7 @@ def _parts(spark, sf_dir):
         F.when(F.col("p_partkey") % 10 != 0, F.col("p_size").cast("string")).alias("pn"), F.lit("x").alias("nt"), F.lit(1).alias("start_year"), F.lit(2).alias("end_year"), F.lit(7).cast("long").alias("dyn_id"),
     )
     # rows miss where sizes and prices change a value
-    titles = titles.join(part.select(F.col("p_partkey").alias("ind"), (F.col("p_size") > 25).alias("other")), "ind").withColumn("dyn", F.when(F.col("other"), F.lit("none")).otherwise(F.col("dyn"))).drop("other")
+    titles = titles.join(part.select(F.col("p_partkey").alias("ind"), (F.col("p_size") > 25).alias("other")).hint("merge"), "ind").withColumn("dyn", F.when(F.col("other"), F.lit("none")).otherwise(F.col("dyn"))).drop("other")
     persons = part.select(F.col("p_partkey").alias("row_pos"), F.col("p_partkey").alias("id"), F.when(F.col("p_retailprice") % 100 < 30, F.concat(F.lit("no "), F.col("p_name"))).otherwise(F.col("p_name")).alias("name"))
     return rows, titles, persons
 
