@@ -435,3 +435,26 @@ def test_matching_broadcasts_no_table(spark, name, capsys):
     queries.QUERIES[name](spark, SF).explain()
     said = capsys.readouterr().out
     assert "SortMergeJoin" in said and "Broadcast" not in said
+
+
+def test_dump_in_small_ranges_takes_few_tasks(spark, tmp_path):
+    """Ranges that are small cost no task each; row_pos tells the range and the tuple as before."""
+    (tmp_path / "d.sql").write_text("INSERT INTO `t` VALUES " + ",".join(f"({i},'x')" for i in range(30_000)) + ";")
+    found = dump.read_dump(spark, str(tmp_path), "t", size=500)
+    assert found.rdd.getNumPartitions() <= 4
+    rows = found.orderBy("row_pos").collect()
+    assert [r.fields for r in rows] == [[str(i), "x"] for i in range(30_000)] and len({r.row_pos // 500 for r in rows}) > 600
+
+
+@settings(max_examples=30, deadline=None)
+@given(INSERTS, st.integers(1, 60), st.integers(1, 9))
+def test_dump_in_blocks_of_ranges_equals_the_whole(inserts, size, per):
+    """Ranges of a block take their bytes from it."""
+    sql = as_dump(inserts)
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(sql.encode())
+        f.flush()
+        start, n = dump._start("t"), len(sql.encode())
+        ranges = [dump.Range(dump.Block(f.name, b, min(b + size * per, n)), a, min(a + size, n)) for b in range(0, n, size * per) for a in range(b, min(b + size * per, n), size)]
+        begun = dump.beginnings([[dump.outcome(r, start, s) for s in (dump.OUT, dump.IN, dump.ESCAPED)] for r in ranges])
+        assert [t for r, b in zip(ranges, begun, strict=True) for t in dump.tuples(r, start, *b, False)] == [r for t, _, rows in inserts if t == "t" for r in rows]

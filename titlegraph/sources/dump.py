@@ -3,8 +3,8 @@
 Files are cut into ranges of bytes. Whether a range begins inside a string, and inside which statement, depends on all that
 stands before it; so each range is first scanned as if it began outside a string, inside one, and inside one after a
 backslash. These three outcomes of each range are put together file by file, a row a range, which gives every range its
-true beginning. Then the ranges are read again, each by a task: it takes the tuples that open in its range, and reads on
-to the end of the last one.
+true beginning. Then the ranges are read again: of each, the tuples that open in it, to the end of the last one. A task
+takes blocks, ranges that lie side by side, whose bytes it reads once, so that small ranges cost no more tasks or reads.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from ..storage import arrow_file
 
 #: Bytes of a range, of each further piece that is read where a tuple goes on, and of a statement's head at most.
 RANGE, MORE, HEAD = 32 << 20, 1 << 20, 64 << 10
+#: Bytes of a block of ranges that are smaller, and of a task that takes smaller blocks (less where the cores have no work).
+BLOCK, TASK = 64 << 10, 1 << 20
 #: A beginning of a range: outside a string, inside one, inside one after a backslash.
 OUT, IN, ESCAPED = range(3)
 
@@ -64,12 +66,28 @@ def _start(table: str) -> re.Pattern[bytes]:
     return re.compile(rb"INSERT\s+INTO\s+`?" + re.escape(table.encode()) + rb"`?\s*(?:\([^)']*\)\s*)?VALUES", re.I)
 
 
-class Range:
-    """A file's bytes from `start` on; those up to `end` are its own, more are read when they are wanted."""
+class Block:
+    """A file that is opened once, and whose bytes from `start` to `end`, and a head about them, are read once."""
 
     def __init__(self, path: str, start: int, end: int):
         store, at = arrow_file(path)
         self.file = store.open_input_file(at)
+        self.length, self.start = self.file.size(), max(0, start - HEAD)
+        self.held = self.file.read_at(min(end + HEAD, self.length) - self.start, self.start)
+
+    def size(self) -> int:
+        return self.length
+
+    def read_at(self, n: int, at: int) -> bytes:
+        low = at - self.start
+        return self.held[low : low + n] if 0 <= low <= low + n <= len(self.held) else self.file.read_at(n, at)
+
+
+class Range:
+    """A file's bytes from `start` on; those up to `end` are its own, more are read when they are wanted."""
+
+    def __init__(self, path: str | Block, start: int, end: int):
+        self.file = path if isinstance(path, Block) else Block(path, start, end)
         self.size, self.start, self.end = self.file.size(), start, end
         self.data = self.file.read_at(min(end + HEAD, self.size) - start, start)  # a head may go on behind the end
         self.before = self.file.read_at(min(HEAD, start), max(0, start - HEAD))
@@ -94,8 +112,9 @@ class Range:
             return 0
         while len(self.data) < HEAD and self.more():
             pass
-        edge = len(self.before)
-        return next((m.end() - edge for m in start.finditer(self.before + self.data[:HEAD]) if m.start() < edge < m.end()), 0)
+        before, after = self.before.rpartition(b"'")[2], self.data[:HEAD].partition(b"'")[0]
+        edge = len(before)
+        return next((m.end() - edge for m in start.finditer(before + after) if m.start() < edge < m.end()), 0)
 
     def events(self, start: re.Pattern[bytes], at: int, state: int, until: int | None = None) -> Iterator[tuple[int, bytes, int]]:
         """(place, token, where it goes on) of parentheses, semicolons and heads (b'INSERT') outside of strings; at last
@@ -198,26 +217,32 @@ def read_dump(spark: SparkSession, path: str, table: str, first_only: bool = Fal
     row_pos grows with the files by name and with the rows in each. first_only reads the first INSERT of each file.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length").where("length > 0")
-    places = F.transform(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size)), lambda i: (i * size).cast("long"))
-    ranges = files.select("path", F.explode(places).alias("start"), "length").select("path", "start", F.least(F.col("start") + size, F.col("length")).alias("end"))
-    n = max(1, min(ranges.count(), 100_000))
+    block = size * max(1, BLOCK // size)
+    places = F.transform(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / block)), lambda i: (i * block).cast("long"))
+    blocks = files.select("path", F.explode(places).alias("start"), "length").select("path", "start", F.least(F.col("start") + block, F.col("length")).alias("end"))
+    count, total = files.agg(F.sum(F.ceil(F.col("length") / block)), F.sum("length")).first()
+    n = max(1, min(count or 0, max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total or 0) // max(block, TASK)), 100_000))
     start = _start(table)
 
+    def ranges(r: dict) -> Iterator[Range]:
+        whole = Block(r["path"], r["start"], r["end"])
+        return (Range(whole, a, min(a + size, r["end"])) for a in range(r["start"], r["end"], size))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("found", pa.list_(pa.list_(pa.list_(pa.int64()))))])
         for b in batches:
             for r in b.to_pylist():
-                part = Range(r["path"], r["start"], r["end"])
-                found = [outcome(part, start, s) for s in (OUT, IN, ESCAPED)]
-                yield pa.RecordBatch.from_pylist([r | {"found": [list(map(int, f)) for f in found]}], pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("found", pa.list_(pa.list_(pa.int64())))]))
+                found = [[list(map(int, outcome(part, start, s))) for s in (OUT, IN, ESCAPED)] for part in ranges(r)]
+                yield pa.RecordBatch.from_pylist([r | {"found": found}], kind)
 
     def join(parts: pd.DataFrame) -> pd.DataFrame:
-        """A row for each range of a file, not its bytes."""
+        """A row for each block of a file, not its bytes."""
         parts = parts.sort_values("start")
-        begun = pd.DataFrame(beginnings(parts["found"]), columns=["state", "list_at", "depth", "heads"])
-        return pd.concat([parts[["path", "start", "end"]].reset_index(drop=True), begun], axis=1)
+        begun = iter(beginnings(f for found in parts["found"] for f in found))
+        return parts[["path", "start", "end"]].assign(begun=[[next(begun) for _ in found] for found in parts["found"]])
 
-    scanned = ranges.repartition(n, "path", "start").mapInArrow(scan, "path string, start long, end long, found array<array<long>>")
-    begun = scanned.groupBy("path").applyInPandas(join, "path string, start long, end long, state int, list_at long, depth int, heads int")
+    scanned = blocks.repartition(n).mapInArrow(scan, "path string, start long, end long, found array<array<array<long>>>")
+    begun = scanned.groupBy("path").applyInPandas(join, "path string, start long, end long, begun array<array<long>>")
     numbered = files.select("path", F.expr("cast(row_number() over (order by path) - 1 as int)").alias("file"))  # a row for each file
     placed = begun.join(numbered, "path")
 
@@ -225,15 +250,16 @@ def read_dump(spark: SparkSession, path: str, table: str, first_only: bool = Fal
         kind = pa.schema([("file", pa.int32()), ("start", pa.int64()), ("i", pa.int64()), ("fields", pa.list_(pa.string()))])
         for b in batches:
             for r in b.to_pylist():
-                part, held = Range(r["path"], r["start"], r["end"]), []
-                for i, t in enumerate(tuples(part, start, r["state"], r["list_at"], r["depth"], r["heads"], first_only)):
-                    held.append({"file": r["file"], "start": r["start"], "i": i, "fields": t})
-                    if len(held) == 10_000:
-                        yield pa.RecordBatch.from_pylist(held, kind)
-                        held = []
+                held = []
+                for part, begun in zip(ranges(r), r["begun"], strict=True):
+                    for i, t in enumerate(tuples(part, start, *begun, first_only)):
+                        held.append({"file": r["file"], "start": part.start, "i": i, "fields": t})
+                        if len(held) == 10_000:
+                            yield pa.RecordBatch.from_pylist(held, kind)
+                            held = []
                 yield pa.RecordBatch.from_pylist(held, kind)
 
-    found = placed.repartition(n, "path", "start").mapInArrow(read, "file int, start long, i long, fields array<string>")
+    found = placed.repartition(n).mapInArrow(read, "file int, start long, i long, fields array<string>")
     # a tuple has two bytes at least, so places in a file are told apart by its range's start and the tuple's number
     return found.select((F.shiftleft(F.col("file").cast("long"), 44) + F.col("start") + F.col("i")).alias("row_pos"), "fields")
 
