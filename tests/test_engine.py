@@ -458,3 +458,9 @@ def test_dump_in_blocks_of_ranges_equals_the_whole(inserts, size, per):
         ranges = [dump.Range(dump.Block(f.name, b, min(b + size * per, n)), a, min(a + size, n)) for b in range(0, n, size * per) for a in range(b, min(b + size * per, n), size)]
         begun = dump.beginnings([[dump.outcome(r, start, s) for s in (dump.OUT, dump.IN, dump.ESCAPED)] for r in ranges])
         assert [t for r, b in zip(ranges, begun, strict=True) for t in dump.tuples(r, start, *b, False)] == [r for t, _, rows in inserts if t == "t" for r in rows]
+
+
+def test_manifests_of_one_partition_are_checked_by_many_tasks(spark):
+    rows = spark.createDataFrame([(i, json.dumps(GOOD)) for i in range(40)], "i int, raw string").coalesce(1)
+    out = manifest.validate(rows).select("i", "ok", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.i for r in out) == list(range(40)) and all(r.ok for r in out) and len({r.p for r in out}) == 4

@@ -145,7 +145,8 @@ def manifest_errors(v: Column, host: str = "host", group: str = "extensions") ->
 def validate(manifests: DataFrame, schema: dict | None = None, raw_col: str = "raw", host: str = "host", group: str = "extensions") -> DataFrame:
     """manifests with errors array<string> and ok. schema: a JSON Schema whose errors follow those of the rules.
 
-    Null is taken as JSON's null. What is not JSON, or tells a field twice, has one error.
+    Null is taken as JSON's null. What is not JSON, or tells a field twice, has one error. Rows are dealt evenly over
+    spark.sql.shuffle.partitions tasks first: rules cost more than a row's way, and a small file may hold very many manifests.
     """
     raw = F.coalesce(F.col(raw_col), F.lit("null"))
     v = F.col("__v")
@@ -153,7 +154,8 @@ def validate(manifests: DataFrame, schema: dict | None = None, raw_col: str = "r
     if schema is not None:
         errors = F.when(v.isNull(), errors).otherwise(F.concat(errors, schema_errors(raw, schema, "manifest")))
     # parsed once: a generator ends what may be merged into the expressions above it
-    rows = manifests.withColumn("__v", F.explode(F.array(F.try_parse_json(raw))))
+    dealt = manifests.repartition(int(manifests.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = dealt.withColumn("__v", F.explode(F.array(F.try_parse_json(raw))))
     return rows.withColumn("errors", errors).drop("__v").withColumn("ok", F.size("errors") == 0)
 
 
