@@ -464,3 +464,12 @@ def test_manifests_of_one_partition_are_checked_by_many_tasks(spark):
     rows = spark.createDataFrame([(i, json.dumps(GOOD)) for i in range(40)], "i int, raw string").coalesce(1)
     out = manifest.validate(rows).select("i", "ok", F.spark_partition_id().alias("p")).collect()
     assert sorted(r.i for r in out) == list(range(40)) and all(r.ok for r in out) and len({r.p for r in out}) == 4
+
+
+def test_review_sheet_broadcasts_no_table(spark, monkeypatch, capsys):
+    """Rows and the other columns of the sheet meet by shuffle too, before they are numbered."""
+    number = review.number
+    monkeypatch.setattr(review, "number", lambda rows, *order: (rows.explain(), number(rows, *order))[1])
+    queries.QUERIES["review_sheet"](spark, SF)
+    said = capsys.readouterr().out
+    assert "SortMergeJoin" in said and "Broadcast" not in said
