@@ -429,7 +429,7 @@ def test_small_operators(spark):
     assert asset.append_records(spark.range(1).select("id"), spark.createDataFrame([(5, "x")], "id long, s string")).count() == 2
 
 
-@pytest.mark.parametrize("name", ["tiered_match", "only_matched"])
+@pytest.mark.parametrize("name", ["tiered_match", "only_matched", "match_action_counts"])
 def test_matching_broadcasts_no_table(spark, name, capsys):
     """Whole tables of rows, titles and persons meet by shuffle, however small their files look."""
     queries.QUERIES[name](spark, SF).explain()
