@@ -549,3 +549,15 @@ def test_pipeline(spark, library):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     hit = decontaminate.mark(out.select("doc_id", F.col("decoded").alias("text")), spark.createDataFrame(items, "item_id long, text string"))
     assert hit.where(F.size("spans") > 0).count() == 0
+
+
+def test_line_dedup_query_removes_passages_too(spark, tmp_path):
+    """What repeats within lines goes as well as repeated lines, in the query and in its SQL."""
+    para = " ".join(f"p{i}" for i in range(55))
+    rows = [(1, f"x {para} end"), (2, f"some other words {para}"), (3, "a\nb\nc\nd"), (4, "new\na\nb\nc")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, queries.op8_line_dedup(spark, str(tmp_path)).collect()))
+    assert got == [(1, 0, rows[0][1]), (2, 55, "some other words"), (3, 0, rows[2][1]), (4, 3, "new")]
+    con = duckdb.connect()
+    con.execute(f"create view documents as from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.execute(queries.ORACLE_SQL["op8_line_dedup"]).fetchall()) == got

@@ -1,4 +1,4 @@
-"""Operator 8: repeated lines, across the whole corpus, by overlapping windows of three lines.
+"""Operator 8: repeated lines and passages, across the whole corpus, by overlapping windows of three lines and of 51 words.
 
 A window is three lines in a row that are not blank (a document of fewer such lines is one window). A window that stands
 earlier, by (doc_id, text's hash, place), is removed where it stands again; overlapping windows merge.
@@ -9,7 +9,7 @@ earlier, by (doc_id, text's hash, place), is removed where it stands again; over
 Counts are summed on the map side, so a window that a third of all documents share costs a row a task; its occurrences
 meet what is known of it in a join that adaptive execution can split. No window is missed, dropped or capped.
 
-The pipeline looks for windows of words too (`passage`): 51 words in a row, wherever they begin, within lines and across
+The query and the pipeline look for windows of words too (`passage`): 51 words in a row, wherever they begin, within lines and across
 line ends. Of these the first occurrence stays whole, also where a later one of the same text overlaps it.
 
 1. The scan also marks *anchors*: a run of 25 words that has the least hash of the runs in some word window, its sign.

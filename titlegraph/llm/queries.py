@@ -63,7 +63,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True).select("doc_id", "n_removed", "text")
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=line_dedup.PASSAGE, report=True).select("doc_id", "n_removed", "text")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +160,7 @@ ORACLE_SQL = {
         )
         select h.page_id, host, path, best.rule as rule, coalesce(best.v, 'allow') as verdict from h left join f on h.page_id = f.page_id
     """,
-    "op8_line_dedup": line_dedup_sql(),
+    "op8_line_dedup": line_dedup_sql(passages=True),
     "op11_fill_in_middle": r"""
         with t as (
             select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as seed from documents
